@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from . import q_analysis, q_integration  # noqa: F401
+from . import q_analysis, q_integration, q_model  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
