@@ -46,7 +46,7 @@ def publish(df: DataFrame, id_col: str = "record_id", order_by: list | None = No
     out = df.drop(*[c for c in drop if c in df.columns])
     for c, step in generalise.items():
         if c in out.columns:
-            out = out.withColumn(c, P.generalise(numeric(out, c), step))
+            out = out.withColumn(c, P.generalise(numeric(out, c), float(step)))
     for c in rare:
         if c in out.columns:
             out = suppress_rare(out, c)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .standins import table
 
 CUST_NUMERIC = ["acctbal", "n_orders", "spend", "mean_price", "max_price", "n_urgent", "n_status",
@@ -33,8 +34,9 @@ def cust(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_nationkey").alias("nation"),
                     F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("acctbal"))
     out = base.join(oagg, "record_id", "left").join(eagg, "record_id", "left")
-    return out.select("*", F.col("n_orders").isNotNull().cast("int").alias("has_orders"),
-                      F.col("n_events").isNotNull().cast("int").alias("has_events"))
+    # materialised once: analyses make several passes over it
+    return cut_lineage(out.select("*", F.col("n_orders").isNotNull().cast("int").alias("has_orders"),
+                      F.col("n_events").isNotNull().cast("int").alias("has_events")))
 
 
 CUST_SQL = """cust AS (

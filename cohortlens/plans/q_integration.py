@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import integrate as I
 from .oracle_integration import WIDE_ROUNDED, integration_with
 from .registry import query, rounded, sql_rounded
+from ..session import cut_lineage
 from .standins import raw_sources, standin_ctes
 
 W = integration_with()
@@ -18,9 +19,10 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The integrated wide cohort table (unrounded)."""
-    return I.integrate(sources(spark, sf_dir), intake_row_index="row_index",
-                       biweekly_row_index="row_index")
+    """The integrated wide cohort table (unrounded), materialised once in the
+    checkpoint folder because every analysis runs several passes over it."""
+    return cut_lineage(I.integrate(sources(spark, sf_dir), intake_row_index="row_index",
+                                   biweekly_row_index="row_index"))
 
 
 def _cohort_keys(src: dict[str, DataFrame]) -> DataFrame:
