@@ -63,18 +63,24 @@ def strict_numeric(c) -> Column:
     return finite(F.nullif(digits, F.lit("")).try_cast("double"))
 
 
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def trimmed(c) -> Column:
-    """Trim all leading/trailing whitespace (not only spaces)."""
-    return F.regexp_replace(_c(c).cast("string"), EDGE_WS_RE, "")
+    """Trim leading/trailing whitespace (space, tab, newlines, vertical tab,
+    form feed), not only spaces."""
+    return F.btrim(_c(c).cast("string"), F.lit(WHITESPACE))
 
 
 def survey_value(c) -> Column:
-    """Missing tokens -> NULL, ordinal words -> score, else X1."""
+    """Missing tokens -> NULL, ordinal words -> score, else X1.
+
+    The missing tokens need no test of their own: none is an ordinal word
+    and none parses as a number."""
     s = _c(c).cast("string")
     scores = F.create_map(*[x for k, v in ORDINAL_SCORES.items() for x in (F.lit(k), F.lit(v))])
     ordinal = F.try_element_at(scores, F.lower(trimmed(s)))
-    return F.when(s.isNull() | s.isin(*MISSING_TOKENS), F.lit(None).cast("double")).otherwise(
-        F.coalesce(ordinal, strict_numeric(s)))
+    return F.coalesce(ordinal, strict_numeric(s))
 
 
 def is_missing(c) -> Column:

@@ -40,6 +40,14 @@ def numeric(df: DataFrame, c: str) -> Column:
     return P.strict_numeric(c)
 
 
+def missing(df: DataFrame, c: str) -> Column:
+    """X5 for a typed column: only text can hold the empty string, so other
+    types test NULL alone (no cast per cell)."""
+    if isinstance(df.schema[c].dataType, T.StringType):
+        return P.is_missing(c)
+    return F.col(c).isNull()
+
+
 def text_form(df: DataFrame, c: str) -> Column:
     """Text of a cell as the reference prints it: integral doubles without
     '.0'; NULL stays NULL."""
@@ -57,7 +65,7 @@ def filter_predicate(df: DataFrame, filters: dict[str, ColumnFilter]) -> Column:
     for c, f in filters.items():
         has_range = f.min is not None or f.max is not None
         x = numeric(df, c)
-        unreadable = P.is_missing(c) | x.isNull()
+        unreadable = missing(df, c) | x.isNull()
         pred = F.lit(True)
         if has_range:
             inside = F.lit(True)

@@ -170,28 +170,45 @@ def threshold_total(items: list[Column], min_answered: int) -> Column:
     return F.when(answered >= min_answered, total)
 
 
+def _array_total(arr: Column) -> Column:
+    """A4 on an item array: left-to-right sum, NULL as soon as one is NULL."""
+    return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _array_threshold(arr: Column, min_answered: int) -> Column:
+    """A5 on an item array."""
+    answered = F.size(F.filter(arr, lambda x: x.isNotNull()))
+    total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0)))
+    return F.when(answered >= min_answered, total)
+
+
 def biweekly_features(bw: DataFrame, key: str = "pid", wave: str = "wave",
                       row_index: str = "row_index", columns: list[str] | None = None) -> DataFrame:
     """First wave per person, items parsed with X3 and prefixed ``bw_``, wave
-    count and the four scale totals."""
+    count and the four scale totals.
+
+    Items travel as one text array through the first-wave aggregate and are
+    parsed once by a single ``transform`` (one compact expression instead of
+    one inlined parser per item, which keeps the generated code small)."""
     columns = BIWEEKLY_COLUMNS if columns is None else columns
     present = set(bw.columns)
-    fw = first_wave(bw.select(key, wave, row_index, *[c for c in columns if c in present]),
-                    key, wave, row_index)
-    val = {c: (P.survey_value(c) if c in present else F.lit(None).cast("double")) for c in columns}
-    out = [F.col(key)] + [val[c].alias(f"bw_{c}") for c in columns]
-    out.append(F.col("num_waves").cast("long").alias("bw_num_waves"))
-    sel = fw.select(*out)
-    have = set(sel.columns)
+    items = F.array(*[F.col(c).cast("string") if c in present else F.lit(None).cast("string")
+                      for c in columns])
+    fw = first_wave(bw.select(key, wave, row_index, items.alias("_items")), key, wave, row_index)
+    parsed = fw.select(key, F.transform("_items", P.survey_value).alias("_v"),
+                       F.col("num_waves").cast("long").alias("bw_num_waves"))
+    pos = {c: i for i, c in enumerate(columns)}
 
-    def items(prefix: str, n: int) -> list[Column]:
-        return [F.col(f"bw_{prefix}_{i}") if f"bw_{prefix}_{i}" in have
-                else F.lit(None).cast("double") for i in range(1, n + 1)]
+    def item_array(prefix: str, n: int) -> Column:
+        return F.array(*[F.col("_v")[pos[f"{prefix}_{i}"]] if f"{prefix}_{i}" in pos
+                         else F.lit(None).cast("double") for i in range(1, n + 1)])
 
-    extra = [scale_total(items(p, n)).alias(name) for name, (p, n) in SCALE_ITEMS.items()]
-    extra += [threshold_total(items(p, n), k).alias(name)
-              for name, (p, n, k) in THRESHOLD_SCALES.items()]
-    return sel.select("*", *extra)
+    out = [F.col(key)] + [F.col("_v")[i].alias(f"bw_{c}") for i, c in enumerate(columns)]
+    out.append(F.col("bw_num_waves"))
+    out += [_array_total(item_array(p, n)).alias(name) for name, (p, n) in SCALE_ITEMS.items()]
+    out += [_array_threshold(item_array(p, n), k).alias(name)
+            for name, (p, n, k) in THRESHOLD_SCALES.items()]
+    return parsed.select(*out)
 
 
 def daily_features(df: DataFrame, key: str = "pid", played: str = "played24hr",
@@ -413,7 +430,8 @@ def data_dictionary(wide: DataFrame) -> DataFrame:
     """One row per column: position, source, original name, aggregation
     kind and missing count (one aggregation pass over all columns)."""
     cols = wide.columns
-    missing = wide.agg(*[F.count_if(P.is_missing(c)).alias(c) for c in cols])
+    from .filters import missing as missing_of
+    missing = wide.agg(*[F.count_if(missing_of(wide, c)).alias(c) for c in cols])
     long = missing.unpivot([], cols, "variable", "missing_values")
     pos = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i + 1))])
     v = F.col("variable")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse as P
 from ..session import cut_lineage
-from .filters import numeric, text_form
+from .filters import missing, numeric, text_form
 
 NUMERIC_SHARE = 0.75  # P1: share of parseable values above which a column is numeric
 TOP_VALUES = 10
@@ -26,6 +26,7 @@ HIST_BINS = 30
 DENSITY_BINS = 36
 ITEM_SKIP_PREFIXES = ["has", "num", "intake", "daily", "bw"]
 TOTAL_PATTERNS = ["{p}_total", "bw_{p}_total", "{p}total"]
+AGG_CHUNK = 64  # columns per aggregation pass: keeps generated code small
 
 
 def _chunks(xs: list, n: int):
@@ -37,15 +38,21 @@ def infer_types(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Numeric if more than 75 % of non-missing cells parse; all-missing
     columns are categorical. One aggregation pass."""
     cols = cols or df.columns
-    aggs = []
-    for c in cols:
-        aggs += [F.count_if(~P.is_missing(c)).alias(f"{c}__n"),
-                 F.count(numeric(df, c)).alias(f"{c}__num")]
-    row = df.agg(*aggs)
-    long = row.select(F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column"),
-                 F.col(f"{c}__n").alias("non_missing"), F.col(f"{c}__num").alias("numeric_values"))
-        for i, c in enumerate(cols)])).alias("s")).select("s.*")
+    parts = []
+    for start in range(0, len(cols), AGG_CHUNK):
+        chunk = cols[start:start + AGG_CHUNK]
+        aggs = []
+        for c in chunk:
+            aggs += [F.count_if(~missing(df, c)).alias(f"{c}__n"),
+                     F.count(numeric(df, c)).alias(f"{c}__num")]
+        row = df.agg(*aggs)
+        parts.append(row.select(F.explode(F.array(*[
+            F.struct(F.lit(start + i + 1).alias("position"), F.lit(c).alias("column"),
+                     F.col(f"{c}__n").alias("non_missing"), F.col(f"{c}__num").alias("numeric_values"))
+            for i, c in enumerate(chunk)])).alias("s")).select("s.*"))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
     share = F.try_divide(F.col("numeric_values").cast("double"), F.col("non_missing"))
     return long.withColumn("type", F.when((F.col("non_missing") > 0) & (share > NUMERIC_SHARE),
                                           "numeric").otherwise("categorical"))
@@ -111,11 +118,11 @@ def moments(df: DataFrame, cols: list[str]) -> DataFrame:
     max, skewness and excess kurtosis (NULL unless std > 0 and n > 2)."""
     parts = []
     total = F.count(F.lit(1))
-    for chunk in _chunks(cols, 60):
+    for chunk in _chunks(cols, AGG_CHUNK // 4):
         aggs = [total.alias("__rows")]
         for c in chunk:
             x = numeric(df, c)
-            aggs += [F.count_if(P.is_missing(c)).alias(f"{c}__miss"), F.count(x).alias(f"{c}__n"),
+            aggs += [F.count_if(missing(df, c)).alias(f"{c}__miss"), F.count(x).alias(f"{c}__n"),
                      F.avg(x).alias(f"{c}__mean"), F.stddev_pop(x).alias(f"{c}__std"),
                      F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                      F.skewness(x).alias(f"{c}__skew"), F.kurtosis(x).alias(f"{c}__kurt")]

@@ -18,7 +18,7 @@ from .filters import numeric
 
 HEATMAP_THRESHOLD = 0.7   # P15: abs(r) > 0.7 flagged on the heatmap
 VECTOR_THRESHOLD = 0.8    # P15: abs(r) >= 0.8 flagged by the vector check
-PAIRS_PER_PASS = 150      # pairs per aggregation pass (4 aggregates each)
+PAIRS_PER_PASS = 40       # pairs per aggregation pass (4 aggregates each)
 
 
 def _pair_aggs(x: Column, y: Column, tag: str) -> list[Column]:

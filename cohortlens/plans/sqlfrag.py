@@ -20,7 +20,7 @@ def sv(x: str) -> str:
     """Survey value parse: missing tokens, ordinal words, strict numeric."""
     toks = ", ".join(q(t) for t in MISSING_TOKENS)
     words = " ".join(f"WHEN {q(k)} THEN {v}" for k, v in ORDINAL_SCORES.items())
-    norm = f"lower(regexp_replace(CAST({x} AS VARCHAR), '^\\s+|\\s+$', '', 'g'))"
+    norm = f"lower(trim(CAST({x} AS VARCHAR), ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)))"
     return (f"(CASE WHEN {x} IS NULL OR CAST({x} AS VARCHAR) IN ({toks}) THEN CAST(NULL AS DOUBLE) "
             f"ELSE COALESCE(CASE {norm} {words} END, {sn(x)}) END)")
 

@@ -22,9 +22,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 # order has no line i), as text.
 _LINE_ITEMS = """SELECT l_orderkey,
     """ + ",\n    ".join(
-    [f"max(CASE WHEN l_linenumber = {i} THEN CAST(l_quantity AS STRING) END) AS q_{i}" for i in range(1, 8)]
-    + [f"max(CASE WHEN l_linenumber = {i} THEN CAST(round(l_discount * 100) AS STRING) END) AS d_{i}" for i in range(1, 7)]
-    + [f"max(CASE WHEN l_linenumber = {i} THEN CAST(round(l_tax * 100) AS STRING) END) AS t_{i}" for i in range(1, 7)]
+    [f"CAST(max(CASE WHEN l_linenumber = {i} THEN l_quantity END) AS STRING) AS q_{i}" for i in range(1, 8)]
+    + [f"CAST(max(CASE WHEN l_linenumber = {i} THEN round(l_discount * 100) END) AS STRING) AS d_{i}" for i in range(1, 7)]
+    + [f"CAST(max(CASE WHEN l_linenumber = {i} THEN round(l_tax * 100) END) AS STRING) AS t_{i}" for i in range(1, 7)]
 ) + "\n  FROM lineitem GROUP BY l_orderkey"
 
 _BANGS = ", ".join(
