@@ -323,14 +323,6 @@ def box_outliers(spark, sf_dir):
     return PR.box_outliers(cust(spark, sf_dir), BOX_COLS)
 
 
-@query("item_groups", None)
-def item_groups(spark, sf_dir):
-    cols = wide_table(spark, sf_dir).columns
-    groups = PR.item_groups(cols)
-    rows = [(g["name"], ",".join(g["items"]), len(g["items"]), g["total_col"]) for g in groups]
-    return spark.createDataFrame(rows, "name string, items string, n_items long, total_col string")
-
-
 # --- relations and quality -------------------------------------------------------
 
 def _pair_sql(x: str, y: str, src: str = "cust") -> str:
