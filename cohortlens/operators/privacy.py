@@ -53,3 +53,12 @@ def publish(df: DataFrame, id_col: str = "record_id", order_by: list | None = No
     cols = out.columns
     out = with_row_index(out, "_new_id", order_by=order_by or [id_col])
     return out.withColumn(id_col, F.col("_new_id")).select(*cols)
+
+
+def release_note(published: DataFrame) -> DataFrame:
+    """V5: one-row release manifest for the integration report."""
+    return published.agg(F.count(F.lit(1)).alias("final_rows")).select(
+        "final_rows", F.lit(len(published.columns)).alias("final_columns"),
+        F.lit(True).alias("minimized"), F.lit(True).alias("direct_identifiers_removed"),
+        F.lit(AGE_STEP).alias("age_generalization_years"),
+        F.lit(RARE_MIN_COUNT).alias("rare_category_threshold"))

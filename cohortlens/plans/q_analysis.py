@@ -414,7 +414,31 @@ RECOMMENDED = ["age", "num_platforms", "num_telemetry_platforms", "self_reported
                "cog_mean_rt", "timeuse_gaming_entries", "timeuse_num_days"]
 
 
-@query("vector_score", None)
+def _vector_sql() -> str:
+    from itertools import combinations
+    vec = [c for c in RECOMMENDED if c != "self_reported_weekly_play"]
+    miss = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct FROM wide" for c in vec)
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in vec)
+    pairs = " UNION ALL ".join(
+        _pair_sql(a, b, "wide").replace("'" + a + "' AS x, '" + b + "' AS y, ", "", 1)
+        for a, b in combinations(vec, 2))
+    return W + f""", m AS ({miss}),
+r AS ({pairs}),
+s AS (SELECT {len(vec)} AS size, {len(vec)} AS numeric,
+  (SELECT avg(missing_pct) FROM m) AS mean_missing_pct,
+  (SELECT CAST(count_if(missing_pct >= 40) AS BIGINT) FROM m) AS high_missing,
+  (SELECT count_if({complete}) * 100.0 / count(*) FROM wide) AS complete_pct,
+  (SELECT CAST(count_if(abs(r) >= 0.8) AS BIGINT) FROM r) AS high_corr_pairs),
+sc AS (SELECT *, (CASE WHEN size >= 8 THEN 15 WHEN size >= 4 THEN 10 ELSE 0 END)
+  + (CASE WHEN numeric >= 5 THEN 25 WHEN numeric >= 3 THEN 18 WHEN numeric >= 2 THEN 10 ELSE 0 END)
+  + (CASE WHEN mean_missing_pct < 15 THEN 20 WHEN mean_missing_pct < 35 THEN 12 ELSE 0 END)
+  + (CASE WHEN complete_pct >= 80 THEN 20 WHEN complete_pct >= 60 THEN 12 ELSE 0 END)
+  + (CASE WHEN high_corr_pairs <= 2 THEN 20 WHEN high_corr_pairs <= 5 THEN 12 ELSE 0 END) AS score FROM s)
+SELECT *, CASE WHEN score >= 80 THEN 'high' WHEN score >= 55 THEN 'medium' ELSE 'low' END AS level FROM sc"""
+
+
+@query("vector_score", sql_sig(_vector_sql(), ["mean_missing_pct", "complete_pct"]))
 def vector_score(spark, sf_dir):
     return sigd(QA.vector_score(wide_table(spark, sf_dir), RECOMMENDED),
                 ["mean_missing_pct", "complete_pct"])

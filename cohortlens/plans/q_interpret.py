@@ -261,3 +261,55 @@ FROM wide LEFT JOIN n_g ON n_g.v = trim(wide.gender) LEFT JOIN n_c ON n_c.v = tr
 def privacy_publish(spark, sf_dir):
     out = PV.publish(wide_table(spark, sf_dir))
     return out.select(*PUB_COLS)
+
+
+# --- case studies, run fingerprint, projection quality --------------------------------
+
+CASE_CLUSTERS = [(2, 2), (3, 3), (4, 0)]  # (case number, canonical cluster it inspects)
+
+
+@query("case_reasons", sql_rounded(_canonical_sql().rsplit("SELECT CAST(m.label AS INTEGER)", 1)[0] + f"""
+, cnt AS (SELECT label, count(*) AS n FROM lab GROUP BY label),
+ranked AS (SELECT label, variable, z, row_number() OVER (PARTITION BY label ORDER BY abs(z) DESC, var_order) AS rank
+           FROM prof),
+cases AS (SELECT * FROM (VALUES {', '.join(f'({c}, {k})' for c, k in CASE_CLUSTERS)}) c(case_no, canonical))
+SELECT cases.case_no, CAST(m.canonical AS INTEGER) AS label, n.name, cnt.n AS members, ranked.rank, ranked.variable, ranked.z
+FROM cases JOIN m USING (canonical) JOIN (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(IN.CANONICAL_NAMES))}) n(canonical, name) USING (canonical)
+JOIN cnt ON cnt.label = m.label JOIN ranked ON ranked.label = m.label WHERE ranked.rank <= 3""", ["z"]))
+def case_reasons(spark, sf_dir):
+    """For the cases that inspect one canonical profile, the profile's
+    size and its three most distinct variables (by abs z)."""
+    wide, feats, z, labels = official_space(spark, sf_dir)
+    prof_vars = numeric_features(wide, list(dict.fromkeys(IN.PROFILE_VARIABLES + feats)))
+    prof = IN.cluster_profile(wide, labels, prof_vars, k=K)
+    best = IN.best_assignment(IN.canonical_scores(prof))
+    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("label").orderBy(
+        F.desc(F.abs("z")), F.asc("var_order"))
+    top = prof.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 3)
+    counts = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+    cases = spark.createDataFrame(CASE_CLUSTERS, "case_no int, canonical int")
+    out = (cases.join(best, "canonical").join(counts, "label").join(top.select("label", "rank", "variable", "z"), "label")
+           .select("case_no", F.col("canonical").alias("label"), "name", "members",
+                   F.col("rank").cast("bigint").alias("rank"), "variable", "z"))
+    return rounded(out, ["z"])
+
+
+@query("official_manifest")
+def official_manifest(spark, sf_dir):
+    """M22 + M25: the run manifest and whether it applies to the current rows
+    and features (fingerprint: row count, first and last id, features)."""
+    wide = wide_table(spark, sf_dir)
+    run = IN.official_run(wide)
+    ok = IN.run_matches(run.manifest, wide, run.features)
+    return run.manifest.withColumn("matches", F.lit(ok))
+
+
+@query("pca_quality")
+def pca_quality(spark, sf_dir):
+    """M5 + M6 on all official features (p > 2, median imputation): explained
+    variance of the first two components and the quality grade."""
+    wide = wide_table(spark, sf_dir)
+    feats = numeric_features(wide, IN.RECOMMENDED_VECTOR)
+    res = M.pca(wide, feats, "median")
+    rows = [(res.explained[0], res.explained[1], M.pca_grade(res.explained), res.rows_used, len(feats))]
+    return spark.createDataFrame(rows, "pc1 double, pc2 double, grade string, rows_used long, variables int")

@@ -167,3 +167,17 @@ def test_knn_graph_exact(spark):
     np.fill_diagonal(d, np.inf)
     for i in range(60):
         assert [got[i][k] for k in range(1, 5)] == list(np.argsort(d[i], kind="stable")[:4])
+
+
+def test_pca_grade_and_three_variables(spark):
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=200)
+    rows = [(i, float(a[i]), float(2 * a[i] + rng.normal() * 0.1), float(rng.normal())) for i in range(200)]
+    df = spark.createDataFrame(rows, "record_id long, a double, b double, c double")
+    res = M.pca(df, ["a", "b", "c"], "mean")
+    z = np.array([[r[1], r[2], r[3]] for r in rows])
+    z = (z - z.mean(0)) / z.std(0)
+    vals = np.sort(np.linalg.eigvalsh(np.cov(z.T)))[::-1]
+    assert res.explained[0] == pytest.approx(vals[0] / vals.sum())
+    assert M.pca_grade(res.explained) == "high"
+    assert M.pca_grade([0.5, 0.15]) == "moderate" and M.pca_grade([0.3, 0.2]) == "low"
