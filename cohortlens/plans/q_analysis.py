@@ -311,16 +311,16 @@ def histogram30(spark, sf_dir):
 BOX_COLS = ["spend", "n_orders", "ev_max", "acctbal"]
 
 
-@query("box_outliers", WC + " UNION ALL ".join(
+@query("box_outliers", sql_sig(WC + " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", record_id, {c} AS x FROM cust,
   (SELECT max(CASE WHEN rn = CAST(floor(n * 0.25) AS BIGINT) + 1 THEN v END) AS q1,
           max(CASE WHEN rn = CAST(floor(n * 0.75) AS BIGINT) + 1 THEN v END) AS q3
    FROM (SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS rn, count(*) OVER () AS n
          FROM cust WHERE {c} IS NOT NULL))
 WHERE {c} IS NOT NULL AND ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))"""
-    for c in BOX_COLS))
+    for c in BOX_COLS), ["x"]))
 def box_outliers(spark, sf_dir):
-    return PR.box_outliers(cust(spark, sf_dir), BOX_COLS)
+    return sigd(PR.box_outliers(cust(spark, sf_dir), BOX_COLS), ["x"])
 
 
 # --- relations and quality -------------------------------------------------------
@@ -377,10 +377,10 @@ def ols_trend(spark, sf_dir):
     return sigd(RL.trend_line(cust(spark, sf_dir), "n_orders", "spend", log=True), TREND)
 
 
-@query("bivariate_points", WC + """SELECT record_id, spend AS x, ev_total AS y, COALESCE(acctbal, 0.0) AS color
-FROM cust WHERE spend IS NOT NULL AND ev_total IS NOT NULL""")
+@query("bivariate_points", sql_sig(WC + """SELECT record_id, spend AS x, ev_total AS y, COALESCE(acctbal, 0.0) AS color
+FROM cust WHERE spend IS NOT NULL AND ev_total IS NOT NULL""", ["x", "y", "color"]))
 def bivariate_points(spark, sf_dir):
-    return RL.bivariate_points(cust(spark, sf_dir), "spend", "ev_total", color="acctbal")
+    return sigd(RL.bivariate_points(cust(spark, sf_dir), "spend", "ev_total", color="acctbal"), ["x", "y", "color"])
 
 
 COVERAGE_FLAGS = ["has_biweekly", "has_daily", "has_steam", "has_xbox", "has_nintendo",

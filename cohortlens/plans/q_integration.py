@@ -12,6 +12,9 @@ from ..session import cut_lineage
 from .standins import raw_sources, standin_ctes
 
 W = integration_with()
+# Averages of 2-decimal inputs over n < 256 rows are exact at 9 decimals, so
+# rounding there never sits on a tie (6 decimals can: 64 rows -> x.xxxxxx5).
+AVG_DIGITS = 9
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -43,9 +46,9 @@ def cohort_semi_join(spark, sf_dir):
     return I.restrict_to_cohort(src["xbox"], _cohort_keys(src))
 
 
-@query("integrate_cohort", sql_rounded(W + "SELECT * FROM wide", WIDE_ROUNDED))
+@query("integrate_cohort", sql_rounded(W + "SELECT * FROM wide", WIDE_ROUNDED, AVG_DIGITS))
 def integrate_cohort(spark, sf_dir):
-    return rounded(wide_table(spark, sf_dir), WIDE_ROUNDED)
+    return rounded(wide_table(spark, sf_dir), WIDE_ROUNDED, AVG_DIGITS)
 
 
 @query("platform_count", W + "SELECT pid, record_id, age, num_platforms FROM people")
@@ -87,19 +90,19 @@ def daily_counts(spark, sf_dir):
 
 
 @query("minutes_sum_mean", sql_rounded(W + "SELECT * FROM android",
-                                       ["android_total_minutes", "android_mean_daily_minutes"]))
+                                       ["android_total_minutes", "android_mean_daily_minutes"], AVG_DIGITS))
 def minutes_sum_mean(spark, sf_dir):
     out = _block(spark, sf_dir, "android", lambda d: I.minutes_features(d, "android"))
-    return rounded(out, ["android_total_minutes", "android_mean_daily_minutes"])
+    return rounded(out, ["android_total_minutes", "android_mean_daily_minutes"], AVG_DIGITS)
 
 
 _SESS_ROUND = ["nintendo_total_duration_min", "nintendo_mean_session_min"]
 
 
-@query("session_features", sql_rounded(W + "SELECT * FROM nintendo", _SESS_ROUND))
+@query("session_features", sql_rounded(W + "SELECT * FROM nintendo", _SESS_ROUND, AVG_DIGITS))
 def session_features(spark, sf_dir):
     out = _block(spark, sf_dir, "nintendo", lambda d: I.session_features(d, "nintendo"))
-    return rounded(out, _SESS_ROUND)
+    return rounded(out, _SESS_ROUND, AVG_DIGITS)
 
 
 @query("nocturnal_sessions", W + """SELECT pid, count(*) AS rows,
@@ -128,10 +131,10 @@ def link_events(spark, sf_dir):
 
 
 @query("cognitive_features", sql_rounded(W + "SELECT * FROM cognitive",
-                                         ["cog_mean_rt", "cog_mean_accuracy"]))
+                                         ["cog_mean_rt", "cog_mean_accuracy"], AVG_DIGITS))
 def cognitive_features(spark, sf_dir):
     return rounded(_block(spark, sf_dir, "cognitive", I.cognitive_features),
-                   ["cog_mean_rt", "cog_mean_accuracy"])
+                   ["cog_mean_rt", "cog_mean_accuracy"], AVG_DIGITS)
 
 
 @query("timeuse_features", W + "SELECT * FROM timeuse")
