@@ -193,7 +193,7 @@ def farthest_pair(points: DataFrame, id_col: str = "record_id", x: str = "x", y:
 # --- exact kNN graph --------------------------------------------------------------
 
 def knn_graph(points: DataFrame, k: int, id_col: str = "id", vec: str = "vec",
-              block_rows: int = 2048) -> DataFrame:
+              block_rows: int = 8192) -> DataFrame:
     """(id, neighbor, rank, distance): exact k nearest neighbours (Euclidean,
     self excluded, ties by neighbour id). Work is blocked: every (query
     block, candidate block) pair is one task; no pair table is stored."""

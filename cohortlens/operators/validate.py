@@ -19,7 +19,7 @@ from .common import row_count_at_most
 
 NOISE = -1
 SILHOUETTE_SAMPLE = 800       # M17: at most this many sample points
-MAX_DRIVER_CENTROIDS = 200_000
+MAX_DRIVER_CENTROIDS = 5_000   # above this, 2-D centroid distances are found distributed
 LARGEST_MIN_MEMBERS = 20      # M18: a case cluster needs at least 20 members
 # M29 verdict thresholds (checked in this order)
 DOMINANT_SHARE = 0.85
@@ -57,26 +57,28 @@ def metrics(labelled: DataFrame, cols: list[str], label: str = "label") -> DataF
     """SSE to member-mean centroids, mean distance, minimum centroid
     distance and size balance (NULL below 2 clusters); noise excluded."""
     cent = _centroids(labelled, cols, label)
-    if not row_count_at_most(cent, MAX_DRIVER_CENTROIDS):
-        raise ValueError("too many clusters for a driver-side centroid table")
-    crow = cent.collect()  # k rows, bounded above
-    j = labelled.filter(F.col(label) != NOISE).join(F.broadcast(cent), label)
+    j = labelled.filter(F.col(label) != NOISE).join(cent, label)
     d2 = reduce(lambda a, b: a + b, [(F.col(c) - F.col(f"c_{c}")) ** 2 for c in cols])
     base = j.agg(F.coalesce(F.sum(d2), F.lit(0.0)).alias("sse"),
                  F.coalesce(F.avg(F.sqrt(d2)), F.lit(0.0)).alias("mean_distance"))
-    if len(crow) >= 2:
-        c = np.array([[r[f"c_{x}"] for x in cols] for r in crow], dtype=float)
-        best = None
-        for i in range(len(c) - 1):  # k x k on the driver, chunked by row
-            d = np.sqrt(((c[i + 1:] - c[i]) ** 2).sum(axis=1)).min()
-            best = d if best is None else min(best, d)
-        sizes = [r["count"] for r in crow if r["count"] > 0]
-        min_cd, ratio = float(best), float(min(sizes) / max(sizes))
-    else:
-        min_cd, ratio = None, None
+    sizes = cent.agg(F.count(F.lit(1)).alias("k"), F.min("count").alias("lo"), F.max("count").alias("hi")).first()
+    k = sizes["k"]
+    min_cd, ratio = None, None
+    if k >= 2:
+        ratio = float(sizes["lo"] / sizes["hi"])
+        if k <= MAX_DRIVER_CENTROIDS:  # k x p numbers, checked above
+            c = np.array([[r[f"c_{x}"] for x in cols] for r in cent.collect()], dtype=float)
+            min_cd = min(float(np.sqrt(((c[i + 1:] - c[i]) ** 2).sum(axis=1)).min()) for i in range(len(c) - 1))
+        elif len(cols) == 2:
+            from .neighbors import closest_pair
+            pts = cent.select(F.col(label).cast("long").alias("cid"), F.col(f"c_{cols[0]}").alias("x"),
+                              F.col(f"c_{cols[1]}").alias("y"))
+            near = closest_pair(pts, "cid").first()
+            min_cd = near["distance"] if near else 0.0
+        else:
+            raise ValueError("minimum centroid distance for many clusters needs 2-D points")
     return base.select("sse", "mean_distance", F.lit(min_cd).cast("double").alias("min_centroid_distance"),
-                       F.lit(ratio).cast("double").alias("size_balance"),
-                       F.lit(len(crow)).alias("clusters"))
+                       F.lit(ratio).cast("double").alias("size_balance"), F.lit(k).alias("clusters"))
 
 
 def silhouette(labelled: DataFrame, cols: list[str], label: str = "label",
