@@ -167,3 +167,16 @@ def stability(df: DataFrame, cols: list[str], k: int, runs: int = 8, base_seed:
                           .select(F.lit(i).alias("i"), F.lit(j).alias("j"), "ari"))
     allp = reduce(lambda x, y: x.unionByName(y), scores)
     return allp.agg(F.lit(runs).alias("runs"), F.avg("ari").alias("mean_ari"), F.min("ari").alias("min_ari"))
+
+
+def kmeans_best_of(df: DataFrame, cols: list[str], k: int, n_init: int = 10, iterations: int = 80,
+                   seed: int = 42, id_col: str = "record_id") -> KMeansResult:
+    """K-means on (2-D) points restarted ``n_init`` times (seeds seed,
+    seed + 1, ...), keeping the fit with the lowest SSE (ties -> first)."""
+    data = df.select(id_col, *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    best = None
+    for i in range(max(1, n_init)):
+        fit = kmeans(data, cols, k, iterations, seed + i, id_col)
+        if best is None or fit.sse < best.sse:
+            best = fit
+    return best

@@ -463,3 +463,11 @@ def source_inventory(sources: dict[str, DataFrame], wide: DataFrame | None = Non
         out = out.unionByName(totals)
     del spark
     return out
+
+
+def round_output(df: DataFrame, cols: list[str] | None = None, digits: int = 3) -> DataFrame:
+    """Optional rounding of aggregate outputs (the reference's offline
+    telemetry aggregates keep 3 decimals; the interactive path keeps all)."""
+    cols = cols or [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    keep = set(cols)
+    return df.select(*[F.round(c, digits).alias(c) if c in keep else F.col(c) for c in df.columns])

@@ -52,3 +52,31 @@ def test_folder_listing(spark):
     tables = RD.read_folder(spark, folder)
     assert sorted(tables) == ["x.csv", "y.csv.gz"]
     assert tables["y.csv.gz"].collect()[0]["pid"] == "p1"
+
+
+def test_fingerprinted_cache(spark):
+    folder = tempfile.mkdtemp(prefix="cache-")
+    src = os.path.join(folder, "in.csv")
+    with open(src, "w") as f:
+        f.write("pid,v\np1,1\n")
+    key = RD.fingerprint(spark, [src])
+    calls = []
+
+    def build():
+        calls.append(1)
+        return RD.read_csv(spark, src)
+
+    a = RD.cached_table(spark, build, os.path.join(folder, "store"), key)
+    b = RD.cached_table(spark, build, os.path.join(folder, "store"), key)
+    assert a.count() == b.count() == 1 and len(calls) == 1
+    with open(src, "w") as f:
+        f.write("pid,v\np1,1\np2,2\n")
+    assert RD.fingerprint(spark, [src]) != key
+
+
+def test_kmeans_best_of(spark):
+    from cohortlens.operators import cluster as C
+    df = spark.createDataFrame([(i, float(i % 2) * 10 + i * 0.01, 0.0) for i in range(20)],
+                               "record_id long, x double, y double")
+    best = C.kmeans_best_of(df, ["x", "y"], 2, n_init=3, seed=1)
+    assert sorted(best.counts.tolist()) == [10, 10]
