@@ -55,15 +55,22 @@ def finite(c) -> Column:
     return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
 
 
+WHITESPACE = " \t\n\r\x0b\x0c"
+NUMBER_CHARS = "0123456789eE+-."
+
+
 def strict_numeric(c) -> Column:
     """Text -> double; NULL for missing, blank, partly numeric or
-    non-finite text. Numeric columns pass through (non-finite -> NULL)."""
-    s = _c(c).cast("string")
-    digits = F.regexp_extract(s, NUMBER_RE, 1)
-    return finite(F.nullif(digits, F.lit("")).try_cast("double"))
+    non-finite text (the whole trimmed text must be a decimal number, the
+    language of NUMBER_RE).
 
-
-WHITESPACE = " \t\n\r\x0b\x0c"
+    Implemented without a regex: text made only of digits, sign, point,
+    exponent and whitespace is cast (the cast rejects any malformed
+    arrangement of those characters); anything else (letters such as the
+    'd'/'f' suffixes, 'NaN', 'Infinity', hex) is NULL before casting."""
+    s = _c(c).cast("string")
+    only_number_chars = F.translate(s, NUMBER_CHARS + WHITESPACE, "") == F.lit("")
+    return finite(F.when(only_number_chars, F.btrim(s, F.lit(WHITESPACE)).try_cast("double")))
 
 
 def trimmed(c) -> Column:
