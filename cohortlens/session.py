@@ -62,15 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder (reliable, survives
-    executor loss) and return the re-read DataFrame.
-
-    The rows are persisted while the checkpoint is written: a reliable
-    checkpoint of an unpersisted plan would compute it twice (once for the
-    triggering job, once to write the files)."""
-    from pyspark import StorageLevel
+    executor loss) and return the re-read DataFrame. An eager Dataset
+    checkpoint computes and writes the rows in one job, so no persist is
+    needed around it."""
     ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist(blocking=False)
+    return df.checkpoint(eager=True)
