@@ -229,7 +229,8 @@ TOP_COLS = ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"]
 WHERE rank <= 10""" for c in TOP_COLS))
 def top_values(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return PR.top_values(PR.frequencies(li, TOP_COLS)).select("column", "value", "count", "rank")
+    return PR.top_values(PR.frequencies(li, TOP_COLS)).select(
+        "column", "value", "count", F.col("rank").cast("bigint").alias("rank"))
 
 
 ENT_COLS = ["p_brand", "p_type", "p_size", "p_name"]
