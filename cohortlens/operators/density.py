@@ -29,6 +29,9 @@ from ..session import cut_lineage
 from ..sources.rowindex import with_row_index
 from .components import connected_components
 
+# Quadtree depth used to decide whether two dense cells touch before point
+# pairs are enumerated (sub-cells of side cell / 2^depth).
+REFINE_LEVELS = 6
 # Half of the 5 x 5 neighbourhood (lexicographically positive offsets): every
 # unordered pair of distinct cells within reach is visited once.
 HALF_OFFSETS = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
@@ -74,7 +77,14 @@ def _grid_labels(points: DataFrame, radius: float, min_n: int, id_col: str, x: s
         F.min("y").alias("y0"), F.max("y").alias("y1"))
     cp = cut_lineage(_cell_pairs(stats, r2).select("a_cx", "a_cy", "a_n", "b_cx", "b_cy", "b_n", "kind"))
     full = cp.filter(F.col("kind") == "all")
-    part = cp.filter(F.col("kind") == "partial").select("a_cx", "a_cy", "b_cx", "b_cy")
+    partial = cp.filter(F.col("kind") == "partial")
+    # a partial pair with a sparse side needs its point pairs (counts, border
+    # points); between two full cells every point is core, so only whether
+    # the cells touch matters: decided by quadtree refinement
+    sparse_side = (F.col("a_n") < min_n) | (F.col("b_n") < min_n)
+    part = partial.filter(sparse_side).select("a_cx", "a_cy", "b_cx", "b_cy")
+    dense_links = _touching_cells(cells, partial.filter(~sparse_side).select("a_cx", "a_cy", "b_cx", "b_cy"),
+                                  side, r2)
 
     # point pairs of partially overlapping cell pairs only
     pa = cells.select(F.col("pid").alias("a"), F.col("ix").alias("a_ix"), F.col("x").alias("ax"),
@@ -103,8 +113,9 @@ def _grid_labels(points: DataFrame, radius: float, min_n: int, id_col: str, x: s
 
     # links between core points (vertex ids are point indexes)
     intra = core.join(root, ["cx", "cy"]).select(F.col("ix").alias("src"), F.col("root").alias("dst"))
-    cell_links = (full.join(root.select(F.col("cx").alias("a_cx"), F.col("cy").alias("a_cy"),
-                                        F.col("root").alias("ra")), ["a_cx", "a_cy"])
+    touching = full.select("a_cx", "a_cy", "b_cx", "b_cy").unionByName(dense_links)
+    cell_links = (touching.join(root.select(F.col("cx").alias("a_cx"), F.col("cy").alias("a_cy"),
+                                            F.col("root").alias("ra")), ["a_cx", "a_cy"])
                   .join(root.select(F.col("cx").alias("b_cx"), F.col("cy").alias("b_cy"),
                                     F.col("root").alias("rb")), ["b_cx", "b_cy"])
                   .select(F.col("ra").alias("src"), F.col("rb").alias("dst")))
@@ -137,6 +148,78 @@ def _grid_labels(points: DataFrame, radius: float, min_n: int, id_col: str, x: s
             .select(F.col("pid").alias(id_col), F.coalesce("cid", F.lit(-1)).cast("int").alias("label")))
 
 
+def _touching_cells(cells: DataFrame, pairs: DataFrame, side: float, r2: float,
+                    levels: int = REFINE_LEVELS) -> DataFrame:
+    """Cell pairs (a_cx, a_cy, b_cx, b_cy) holding at least one point pair
+    within the radius, found without enumerating the pairs of two dense cells:
+    each level splits the still-undecided pairs into 4 x 4 sub-cell pairs and
+    classifies them by bounding boxes (all within radius -> touching, all
+    beyond -> dropped); only pairs undecided at the finest level compare
+    points."""
+    keys = ["a_cx", "a_cy", "b_cx", "b_cy"]
+    spark = cells.sparkSession
+    linked = spark.createDataFrame([], "a_cx long, a_cy long, b_cx long, b_cy long")
+    pairs = cut_lineage(pairs)
+    if pairs.limit(1).count() == 0:
+        return linked
+    involved = (pairs.select(F.col("a_cx").alias("cx"), F.col("a_cy").alias("cy"))
+                .unionByName(pairs.select(F.col("b_cx").alias("cx"), F.col("b_cy").alias("cy"))).distinct())
+    pts = cut_lineage(cells.join(involved, ["cx", "cy"], "left_semi").select("cx", "cy", "pid", "x", "y"))
+    pending = pairs.select(*keys, *[F.lit(0).cast("long").alias(c) for c in ["a_ux", "a_uy", "b_ux", "b_uy"]])
+    for level in range(1, levels + 1):
+        sub = side / (1 << level)
+        top = (1 << level) - 1
+
+        def rel(v, c):
+            return F.least(F.greatest(F.floor((F.col(v) - F.col(c) * side) / sub), F.lit(0)), F.lit(top))
+
+        stats = (pts.select("cx", "cy", rel("x", "cx").alias("ux"), rel("y", "cy").alias("uy"), "x", "y")
+                 .groupBy("cx", "cy", "ux", "uy")
+                 .agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")))
+
+        def side_of(p):
+            return stats.select(F.col("cx").alias(f"{p}_cx"), F.col("cy").alias(f"{p}_cy"),
+                                F.shiftright("ux", 1).alias(f"{p}_pux"), F.shiftright("uy", 1).alias(f"{p}_puy"),
+                                F.col("ux").alias(f"{p}_nux"), F.col("uy").alias(f"{p}_nuy"),
+                                *[F.col(c).alias(f"{p}_{c}") for c in ["x0", "x1", "y0", "y1"]])
+
+        a, b = side_of("a"), side_of("b")
+        kids = (pending.join(a, (pending["a_cx"] == a["a_cx"]) & (pending["a_cy"] == a["a_cy"])
+                             & (pending["a_ux"] == a["a_pux"]) & (pending["a_uy"] == a["a_puy"]))
+                .drop(a["a_cx"]).drop(a["a_cy"]))
+        kids = (kids.join(b, (kids["b_cx"] == b["b_cx"]) & (kids["b_cy"] == b["b_cy"])
+                          & (kids["b_ux"] == b["b_pux"]) & (kids["b_uy"] == b["b_puy"]))
+                .drop(b["b_cx"]).drop(b["b_cy"]))
+        gx = F.greatest(F.lit(0.0), F.col("b_x0") - F.col("a_x1"), F.col("a_x0") - F.col("b_x1"))
+        gy = F.greatest(F.lit(0.0), F.col("b_y0") - F.col("a_y1"), F.col("a_y0") - F.col("b_y1"))
+        sx = F.greatest(F.col("b_x1") - F.col("a_x0"), F.col("a_x1") - F.col("b_x0"))
+        sy = F.greatest(F.col("b_y1") - F.col("a_y0"), F.col("a_y1") - F.col("b_y0"))
+        kind = F.when(gx * gx + gy * gy > r2, "none").when(sx * sx + sy * sy <= r2, "all").otherwise("partial")
+        kids = cut_lineage(kids.select(*keys, F.col("a_nux").alias("a_ux"), F.col("a_nuy").alias("a_uy"),
+                                       F.col("b_nux").alias("b_ux"), F.col("b_nuy").alias("b_uy"),
+                                       kind.alias("kind")).filter(F.col("kind") != "none"))
+        linked = cut_lineage(linked.unionByName(kids.filter(F.col("kind") == "all").select(*keys)).distinct())
+        pending = cut_lineage(kids.filter(F.col("kind") == "partial").drop("kind")
+                              .join(linked, keys, "left_anti"))
+        if pending.limit(1).count() == 0:
+            return linked
+    # finest level: compare the points of the still-undecided sub-cell pairs
+    leaf = side / (1 << levels)
+    top = (1 << levels) - 1
+
+    def leaf_pts(p):
+        u = F.least(F.greatest(F.floor((F.col("x") - F.col("cx") * side) / leaf), F.lit(0)), F.lit(top))
+        v = F.least(F.greatest(F.floor((F.col("y") - F.col("cy") * side) / leaf), F.lit(0)), F.lit(top))
+        return pts.select(F.col("cx").alias(f"{p}_cx"), F.col("cy").alias(f"{p}_cy"), u.alias(f"{p}_ux"),
+                          v.alias(f"{p}_uy"), F.col("x").alias(f"{p}x"), F.col("y").alias(f"{p}y"))
+
+    dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
+    close = (pending.join(leaf_pts("a"), ["a_cx", "a_cy", "a_ux", "a_uy"])
+             .join(leaf_pts("b"), ["b_cx", "b_cy", "b_ux", "b_uy"])
+             .filter(dx * dx + dy * dy <= r2).select(*keys).distinct())
+    return linked.unionByName(close).distinct()
+
+
 def _dbscan_zero(pts: DataFrame, min_n: int, id_col: str) -> DataFrame:
     """eps = 0: neighbours are exact duplicates; each duplicate group with at
     least min_n members is one cluster, numbered by its lowest index."""

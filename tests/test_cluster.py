@@ -181,3 +181,18 @@ def test_pca_grade_and_three_variables(spark):
     assert res.explained[0] == pytest.approx(vals[0] / vals.sum())
     assert M.pca_grade(res.explained) == "high"
     assert M.pca_grade([0.5, 0.15]) == "moderate" and M.pca_grade([0.3, 0.2]) == "low"
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_dbscan_dense_cells_match_sequential_scan(spark, seed):
+    # dense blobs: many full cells whose neighbours only partly overlap, so
+    # the quadtree refinement decides which dense cells touch
+    rng = np.random.default_rng(seed)
+    centres = rng.uniform(0, 3, size=(3, 2))
+    xy = np.concatenate([c + rng.normal(scale=0.1, size=(300, 2)) for c in centres] +
+                        [rng.uniform(0, 3, size=(60, 2))])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)],
+                               "record_id long, x double, y double")
+    got = labels(D.dbscan(df, 0.05, 5))
+    want = brute_dbscan(xy, 0.05, 5)
+    assert [got[i] for i in range(len(xy))] == want
