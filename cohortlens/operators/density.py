@@ -32,6 +32,9 @@ from .components import connected_components
 # Quadtree depth used to decide whether two dense cells touch before point
 # pairs are enumerated (sub-cells of side cell / 2^depth).
 REFINE_LEVELS = 6
+# Dense cell pairs are enumerated directly while their total pair count
+# (sum of |A| x |B|, known from cell statistics) stays below this bound.
+ENUMERATE_MAX_PAIRS = 20_000_000
 # Half of the 5 x 5 neighbourhood (lexicographically positive offsets): every
 # unordered pair of distinct cells within reach is visited once.
 HALF_OFFSETS = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
@@ -82,9 +85,14 @@ def _grid_labels(points: DataFrame, radius: float, min_n: int, id_col: str, x: s
     # points); between two full cells every point is core, so only whether
     # the cells touch matters: decided by quadtree refinement
     sparse_side = (F.col("a_n") < min_n) | (F.col("b_n") < min_n)
-    part = partial.filter(sparse_side).select("a_cx", "a_cy", "b_cx", "b_cy")
-    dense_links = _touching_cells(cells, partial.filter(~sparse_side).select("a_cx", "a_cy", "b_cx", "b_cy"),
-                                  side, r2)
+    dense = partial.filter(~sparse_side)
+    dense_work = dense.agg(F.sum(F.col("a_n") * F.col("b_n"))).first()[0] or 0
+    if dense_work <= ENUMERATE_MAX_PAIRS:  # bounded: enumerate every partial pair
+        part = partial.select("a_cx", "a_cy", "b_cx", "b_cy")
+        dense_links = dense.limit(0).select("a_cx", "a_cy", "b_cx", "b_cy")
+    else:
+        part = partial.filter(sparse_side).select("a_cx", "a_cy", "b_cx", "b_cy")
+        dense_links = _touching_cells(cells, dense.select("a_cx", "a_cy", "b_cx", "b_cy"), side, r2)
 
     # point pairs of partially overlapping cell pairs only
     pa = cells.select(F.col("pid").alias("a"), F.col("ix").alias("a_ix"), F.col("x").alias("ax"),

@@ -193,6 +193,13 @@ def test_dbscan_dense_cells_match_sequential_scan(spark, seed):
                         [rng.uniform(0, 3, size=(60, 2))])
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)],
                                "record_id long, x double, y double")
-    got = labels(D.dbscan(df, 0.05, 5))
+    bound = D.ENUMERATE_MAX_PAIRS
+    D.ENUMERATE_MAX_PAIRS = 0  # force the refinement path
+    try:
+        got = labels(D.dbscan(df, 0.05, 5))
+    finally:
+        D.ENUMERATE_MAX_PAIRS = bound
     want = brute_dbscan(xy, 0.05, 5)
     assert [got[i] for i in range(len(xy))] == want
+    got = labels(D.dbscan(df, 0.05, 5))  # enumeration path
+    assert [got[i] for i in range(len(xy))] == want
