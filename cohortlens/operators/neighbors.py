@@ -59,48 +59,50 @@ def _sweep_closest(ids: np.ndarray, xs: np.ndarray, ys: np.ndarray, best: float
 
 def closest_pair(points: DataFrame, id_col: str = "record_id", x: str = "x", y: str = "y",
                  partitions: int | None = None, depth: int = 0) -> DataFrame:
-    """(a, b, distance) of the closest pair with distance > 1e-8."""
+    """(a, b, distance) of the closest pair with distance > 1e-8.
+
+    Range-partition on one axis, sweep each partition exactly, then recurse
+    on the points within delta of a partition boundary only. The axis
+    alternates between levels, so points stacked on one x value are split by
+    y at the next level."""
     spark = points.sparkSession
     pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
-    if depth > 6 or row_count_at_most(pts, 5000):
+    if depth > 8 or row_count_at_most(pts, 5000):
         return _closest_single(pts, id_col)
+    axis, other = ("x", "y") if depth % 2 == 0 else ("y", "x")
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(pts.repartitionByRange(parts, "x", "id").withColumn("_p", F.spark_partition_id()))
+    ranged = cut_lineage(pts.repartitionByRange(parts, axis, "id").withColumn("_p", F.spark_partition_id()))
 
     def local(batches):
         frames = [b for b in batches if not b.empty]
         if not frames:
             return
         pdf = pd.concat(frames)
-        r = _sweep_closest(pdf["id"].to_numpy(), pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))
-        yield pd.DataFrame([{"_p": int(pdf["_p"].iloc[0]), "x0": float(pdf["x"].min()),
-                             "x1": float(pdf["x"].max()), "d": r[0] if r else None,
+        r = _sweep_closest(pdf["id"].to_numpy(), pdf[axis].to_numpy(float), pdf[other].to_numpy(float))
+        yield pd.DataFrame([{"_p": int(pdf["_p"].iloc[0]), "x0": float(pdf[axis].min()),
+                             "x1": float(pdf[axis].max()), "d": r[0] if r else None,
                              "a": r[1] if r else None, "b": r[2] if r else None}])
 
     stats = ranged.mapInPandas(local, "_p int, x0 double, x1 double, d double, a long, b long").collect()
-    stats = sorted(stats, key=lambda r: r["_p"])
+    stats = sorted(stats, key=lambda r: r["_p"])  # one row per partition
     found = min(((r["d"], r["a"], r["b"]) for r in stats if r["d"] is not None), default=None)
     delta = found[0] if found else math.inf
-    # candidates near a boundary: x >= next partition's x0 - delta or
-    # x <= previous partition's x1 + delta
-    conds = []
+    # candidates near a boundary: coordinate >= next partition's start - delta
+    # or <= previous partition's end + delta
+    expr = F.lit(False)
     for i, r in enumerate(stats):
         c = F.lit(False)
         if i + 1 < len(stats):
-            c = c | (F.col("x") >= F.lit(stats[i + 1]["x0"] - delta))
+            c = c | (F.col(axis) >= F.lit(stats[i + 1]["x0"] - delta))
         if i > 0:
-            c = c | (F.col("x") <= F.lit(stats[i - 1]["x1"] + delta))
-        conds.append((r["_p"], c))
-    if conds:
-        expr = F.lit(False)
-        for p, c in conds:
-            expr = F.when(F.col("_p") == p, c).otherwise(expr)
-        cand = ranged.filter(expr).select(F.col("id").alias(id_col), "x", "y")
-        sub = closest_pair(cand, id_col, "x", "y", max(2, parts // 2), depth + 1).collect()
-        if sub:
-            t = (sub[0]["distance"], sub[0]["a"], sub[0]["b"])
-            if found is None or t < found:
-                found = t
+            c = c | (F.col(axis) <= F.lit(stats[i - 1]["x1"] + delta))
+        expr = F.when(F.col("_p") == r["_p"], c).otherwise(expr)
+    cand = ranged.filter(expr).select(F.col("id").alias(id_col), "x", "y")
+    sub = closest_pair(cand, id_col, "x", "y", parts, depth + 1).collect()
+    if sub:
+        t = (sub[0]["distance"], sub[0]["a"], sub[0]["b"])
+        if found is None or t < found:
+            found = t
     rows = [] if found is None else [(int(found[1]), int(found[2]), float(found[0]))]
     return spark.createDataFrame(rows, "a long, b long, distance double")
 

@@ -203,3 +203,20 @@ def test_dbscan_dense_cells_match_sequential_scan(spark, seed):
     assert [got[i] for i in range(len(xy))] == want
     got = labels(D.dbscan(df, 0.05, 5))  # enumeration path
     assert [got[i] for i in range(len(xy))] == want
+
+
+def test_closest_pair_stacked_points(spark):
+    # almost every point on one x value: the y split at the next level applies
+    rng = np.random.default_rng(9)
+    xy = np.stack([np.round(rng.uniform(size=6000) * 0.001, 6), rng.uniform(size=6000) * 100], axis=1)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "record_id long, x double, y double")
+    near = N.closest_pair(df, partitions=6).first()
+    order = np.argsort(xy[:, 1])
+    s = xy[order]
+    best = np.inf
+    for k in range(1, 40):
+        d = np.hypot(s[k:, 0] - s[:-k, 0], s[k:, 1] - s[:-k, 1])
+        d = d[d > 1e-8]
+        if len(d):
+            best = min(best, d.min())
+    assert near["distance"] == pytest.approx(best)
