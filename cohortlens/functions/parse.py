@@ -49,10 +49,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+MAX_DOUBLE = 1.7976931348623157e308
+
+
 def finite(c) -> Column:
-    """NULL for NaN and +-Infinity, else the double value."""
+    """NULL for NaN and +-Infinity, else the double value (Spark orders NaN
+    above every number, so one bound test rejects NaN and both infinities)."""
     v = _c(c).cast("double")
-    return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+    return F.when(F.abs(v) <= F.lit(MAX_DOUBLE), v)
 
 
 WHITESPACE = " \t\n\r\x0b\x0c"
@@ -70,7 +74,9 @@ def strict_numeric(c) -> Column:
     'd'/'f' suffixes, 'NaN', 'Infinity', hex) is NULL before casting."""
     s = _c(c).cast("string")
     only_number_chars = F.translate(s, NUMBER_CHARS + WHITESPACE, "") == F.lit("")
-    return finite(F.when(only_number_chars, F.btrim(s, F.lit(WHITESPACE)).try_cast("double")))
+    v = F.btrim(s, F.lit(WHITESPACE)).try_cast("double")
+    # the character test already rejects NaN / Infinity; the bound catches overflow (1e400)
+    return F.when(only_number_chars & (F.abs(v) <= F.lit(MAX_DOUBLE)), v)
 
 
 def trimmed(c) -> Column:
