@@ -67,7 +67,11 @@ def closest_pair(points: DataFrame, id_col: str = "record_id", x: str = "x", y:
     y at the next level."""
     spark = points.sparkSession
     pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
-    if depth > 8 or row_count_at_most(pts, 5000):
+    if row_count_at_most(pts, 5000):
+        return _closest_single(pts, id_col)
+    if depth > 8:
+        if not row_count_at_most(pts, SINGLE_TASK_MAX):
+            raise ValueError("closest pair: candidates stay too concentrated to split")
         return _closest_single(pts, id_col)
     axis, other = ("x", "y") if depth % 2 == 0 else ("y", "x")
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

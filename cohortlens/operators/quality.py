@@ -48,17 +48,15 @@ def readiness(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     rows = df.count()
     miss = t.withColumn("missing_pct", (F.lit(rows) - F.col("non_missing")) * 100.0 / F.lit(max(rows, 1)))
     hi = miss.filter(F.col("missing_pct") >= HIGH_MISSING_PCT)
-    top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("missing_pct")).alias("k"),
-                                                       F.col("column").alias("column")))), 1, TOP_MISSING)
-    hi_agg = hi.agg(top.alias("t")).select(F.transform("t", lambda s: s["column"]).alias("top_missing"))
+    # at most five column names reach the driver
+    top = [r["column"] for r in hi.orderBy(F.desc("missing_pct"), F.asc("column")).limit(TOP_MISSING).collect()]
     base = miss.agg(F.count(F.lit(1)).alias("columns"),
                     F.count_if(F.col("type") == "numeric").alias("numeric"),
                     F.count_if(F.col("type") == "categorical").alias("categorical"),
                     F.avg("missing_pct").alias("mean_missing_pct"))
-    out = base.crossJoin(hi_agg)  # two one-row tables
     ready = (F.col("numeric") >= READY_MIN_NUMERIC) & (F.col("mean_missing_pct") < READY_MAX_MEAN_MISSING)
-    return out.select("columns", "numeric", "categorical", "mean_missing_pct",
-                      F.array_join("top_missing", ",").alias("top_missing"), ready.alias("ready"))
+    return base.select("columns", "numeric", "categorical", "mean_missing_pct",
+                       F.lit(",".join(top)).alias("top_missing"), ready.alias("ready"))
 
 
 def _ladder(x, steps, above: bool = True, else_pts: int = 0):
