@@ -20,17 +20,26 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+def _num(v: float) -> str:
+    """Exact double literal in SQL text (shortest round-trip digits)."""
+    return f"({float(v)!r}D)"
+
+
+def _sq_dist_sql(cols: list[str], centre) -> str:
+    return " + ".join(f"(`{c}` - {_num(v)}) * (`{c}` - {_num(v)})" for c, v in zip(cols, centre))
+
+
 def sq_dist(cols: list[str], centre) -> Column:
-    """Squared Euclidean distance of the row to a literal centre."""
-    return reduce(lambda a, b: a + b,
-                  [(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(cols, centre)])
+    """Squared Euclidean distance of the row to a literal centre. Built as
+    one SQL expression (one driver call instead of one per term)."""
+    return F.expr(_sq_dist_sql(cols, centre))
 
 
 def assign(df: DataFrame, cols: list[str], centres, label: str = "label",
            with_distance: bool = False) -> DataFrame:
     """M10 assignment: nearest centre, ties -> lowest index."""
-    best = F.array_min(F.array(*[F.struct(sq_dist(cols, c).alias("d"), F.lit(i).alias("i"))
-                                 for i, c in enumerate(centres)]))
+    parts = ", ".join(f"named_struct('d', {_sq_dist_sql(cols, c)}, 'i', {i})" for i, c in enumerate(centres))
+    best = F.expr(f"array_min(array({parts}))")
     out = df.withColumn("_best", best).withColumn(label, F.col("_best.i"))
     if with_distance:
         out = out.withColumn("_d2", F.col("_best.d"))
@@ -38,14 +47,19 @@ def assign(df: DataFrame, cols: list[str], centres, label: str = "label",
 
 
 def centre_stats(labelled: DataFrame, cols: list[str], k: int, label: str = "label"):
-    """Per-label counts and means (one pass). Returns (counts, means) arrays."""
-    rows = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
-                                       *[F.avg(c).alias(c) for c in cols]).collect()
-    counts = np.zeros(k, dtype=np.int64)
+    """Per-label counts and means in one global aggregation: k x (p + 1)
+    conditional sums, combined per task and merged into one row (no shuffle
+    by label). Returns (counts, means) arrays."""
+    exprs = []
+    for c in range(k):
+        exprs.append(f"count_if(`{label}` = {c}) AS n{c}")
+        exprs += [f"sum(CASE WHEN `{label}` = {c} THEN `{x}` END) AS s{c}_{j}" for j, x in enumerate(cols)]
+    row = labelled.selectExpr(*exprs).first()
+    counts = np.array([row[f"n{c}"] for c in range(k)], dtype=np.int64)
     means = np.full((k, len(cols)), np.nan)
-    for r in rows:
-        counts[r[label]] = r["_n"]
-        means[r[label]] = [r[c] for c in cols]
+    for c in range(k):
+        if counts[c]:
+            means[c] = [row[f"s{c}_{j}"] / counts[c] for j in range(len(cols))]
     return counts, means
 
 

@@ -98,11 +98,9 @@ class PCAResult:
 def gram(z: DataFrame, variables: list[str]) -> tuple[int, np.ndarray]:
     """n and the p x p matrix of sums z_i z_j in one aggregation pass."""
     p = len(variables)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i in range(p):
-        for j in range(i, p):
-            aggs.append(F.sum(F.col(variables[i]) * F.col(variables[j])).alias(f"g{i}_{j}"))
-    row = z.agg(*aggs).first()
+    exprs = ["count(1) AS n"] + [f"sum(`{variables[i]}` * `{variables[j]}`) AS g{i}_{j}"
+                                 for i in range(p) for j in range(i, p)]
+    row = z.selectExpr(*exprs).first()
     g = np.zeros((p, p))
     for i in range(p):
         for j in range(i, p):
@@ -134,10 +132,8 @@ def pca(df: DataFrame, variables: list[str], method: str = "mean", id_col: str =
     names = ["x", "y"] + [f"pc{i + 1}" for i in range(2, components)]
     score_cols = []
     for k, vec in enumerate(comps):
-        expr = F.lit(0.0)
-        for v, w in zip(variables, vec):
-            expr = expr + F.col(v) * F.lit(float(w))
-        score_cols.append(expr.alias(names[k]))
+        terms = " + ".join(f"`{v}` * ({float(w)!r}D)" for v, w in zip(variables, vec))
+        score_cols.append(F.expr(f"0.0D + {terms}").alias(names[k]))
     scores = z.select(id_col, *score_cols)
     loadings = {f"PC{k + 1}": [float(w) for w in vec] for k, vec in enumerate(comps)}
     return PCAResult(scores, list(variables), explained, loadings, n)
