@@ -49,12 +49,16 @@ def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
                          "n": noct}])
 
 
-def session_feature_stream(spark: SparkSession, folder: str, prefix: str = "xbox") -> DataFrame:
-    """Streaming DataFrame of per-person session features (update mode)."""
-    raw = spark.readStream.schema(RAW_SCHEMA).option("header", True).csv(folder)
-    parsed = raw.select("pid", P.survey_value("duration").alias("d"),
-                        P.is_nocturnal("session_start").alias("night"),
-                        F.coalesce(F.col("title_id"), F.lit("")).alias("title"))
+def session_feature_stream(spark: SparkSession, folder: str, prefix: str = "xbox",
+                           max_files_per_batch: int | None = None) -> DataFrame:
+    """Streaming DataFrame of per-person session features (update mode);
+    ``max_files_per_batch`` bounds the new files read per micro-batch."""
+    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    parsed = reader.csv(folder).select("pid", P.survey_value("duration").alias("d"),
+                                       P.is_nocturnal("session_start").alias("night"),
+                                       F.coalesce(F.col("title_id"), F.lit("")).alias("title"))
     out = parsed.groupBy("pid").applyInPandasWithState(
         _update, "pid string, s long, t double, m double, x double, u long, n long", STATE_SCHEMA,
         "update", GroupStateTimeout.NoTimeout)
@@ -74,3 +78,25 @@ def run_once(spark: SparkSession, folder: str, checkpoint: str, query_name: str,
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def run_to_table(spark: SparkSession, folder: str, out: str, checkpoint: str, prefix: str = "xbox",
+                 max_files_per_batch: int | None = None) -> DataFrame:
+    """Process every file currently in ``folder`` (availableNow trigger) and
+    return the latest state per person.
+
+    Each micro-batch's updates are written to ``out/batch_id=<n>`` with
+    overwrite, so a retried batch replaces its own output (idempotent sink);
+    the result keeps, per person, the row of the highest batch."""
+    stream = session_feature_stream(spark, folder, prefix, max_files_per_batch)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    cols = [c for c in res.columns if c not in ("pid", "batch_id")]
+    latest = res.groupBy("pid").agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("s"))
+    return latest.select("pid", "s.*")
