@@ -419,17 +419,23 @@ def _vector_sql() -> str:
     from itertools import combinations
     vec = [c for c in RECOMMENDED if c != "self_reported_weekly_play"]
     miss = " UNION ALL ".join(
-        f"SELECT '{c}' AS col, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct FROM wide" for c in vec)
-    complete = " AND ".join(f"{c} IS NOT NULL" for c in vec)
+        f"SELECT '{c}' AS col, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct, count({c}) > 0 AS has "
+        f"FROM wide" for c in vec)
+    # a column without any value is not numeric (type rule): it takes no part
+    # in complete cases or correlation pairs
+    has = ", ".join(f"count({c}) > 0 AS has_{c}" for c in vec)
+    complete = " AND ".join(f"({c} IS NOT NULL OR NOT h.has_{c})" for c in vec)
     pairs = " UNION ALL ".join(
         _pair_sql(a, b, "wide").replace("'" + a + "' AS x, '" + b + "' AS y, ", "", 1)
+        .replace("FROM wide", f"FROM wide, h WHERE h.has_{a} AND h.has_{b}")
         for a, b in combinations(vec, 2))
-    return W + f""", m AS ({miss}),
+    return W + f""", m AS ({miss}), h AS (SELECT {has} FROM wide),
 r AS ({pairs}),
-s AS (SELECT {len(vec)} AS size, {len(vec)} AS numeric,
+s AS (SELECT {len(vec)} AS size, (SELECT CAST(count_if(has) AS INTEGER) FROM m) AS numeric,
   (SELECT avg(missing_pct) FROM m) AS mean_missing_pct,
   (SELECT CAST(count_if(missing_pct >= 40) AS BIGINT) FROM m) AS high_missing,
-  (SELECT count_if({complete}) * 100.0 / count(*) FROM wide) AS complete_pct,
+  (SELECT CASE WHEN (SELECT count_if(has) FROM m) = 0 THEN 0.0 ELSE count_if({complete}) * 100.0 / count(*) END
+   FROM wide, h) AS complete_pct,
   (SELECT CAST(count_if(abs(r) >= 0.8) AS BIGINT) FROM r) AS high_corr_pairs),
 sc AS (SELECT *, (CASE WHEN size >= 8 THEN 15 WHEN size >= 4 THEN 10 ELSE 0 END)
   + (CASE WHEN numeric >= 5 THEN 25 WHEN numeric >= 3 THEN 18 WHEN numeric >= 2 THEN 10 ELSE 0 END)

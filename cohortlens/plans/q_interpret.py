@@ -79,7 +79,7 @@ PROFILE_SQL = SPACE_SQL + f""", {_long_sql('lv', PROF)}, {_gstats_sql('g', 'lv')
 per AS (SELECT label, variable, avg(value) AS mean, count(*) AS observed FROM lv JOIN lab USING (record_id)
         GROUP BY label, variable),
 grid AS (SELECT l.label, v.variable, v.var_order FROM (SELECT CAST(range AS INTEGER) AS label FROM range({K})) l,
-         (VALUES {_vars_values(PROF)}) v(variable, var_order)),
+         (VALUES {_vars_values(PROF)}) v(variable, var_order) WHERE v.variable IN (SELECT variable FROM g)),
 prof AS (SELECT grid.label, grid.var_order, grid.variable, per.mean, g.global_mean,
            CASE WHEN per.mean IS NULL THEN 0.0 ELSE (per.mean - g.global_mean) / g.global_std END AS z,
            CAST(COALESCE(per.observed, 0) AS BIGINT) AS observed
@@ -172,7 +172,8 @@ SELECT v.variable, a_value, b_value, b_value - a_value AS difference,
   (a_value - global_mean) / global_std AS a_z, (b_value - global_mean) / global_std AS b_z,
   (b_value - global_mean) / global_std - (a_value - global_mean) / global_std AS z_difference,
   (SELECT sqrt((a_x - b_x) * (a_x - b_x) + (a_y - b_y) * (a_y - b_y)) FROM pts) AS distance
-FROM (VALUES {', '.join(f"('{c}')" for c in FEATS)}) v(variable) LEFT JOIN two USING (variable) LEFT JOIN g USING (variable)""",
+FROM (VALUES {', '.join(f"('{c}')" for c in FEATS)}) v(variable) LEFT JOIN two USING (variable) LEFT JOIN g USING (variable)
+WHERE v.variable IN (SELECT variable FROM g)""",
                                         PAIR_COLS))
 def pair_compare(spark, sf_dir):
     wide, feats, z, _ = official_space(spark, sf_dir)
@@ -207,8 +208,9 @@ def cluster_means(spark, sf_dir):
 
 
 @query("cluster_z_means", sql_rounded(SPACE_SQL + f""", zm AS (SELECT label, {', '.join(f'avg({c}) AS {c}' for c in FEATS)}
-  FROM z JOIN lab USING (record_id) GROUP BY label)
-SELECT label, variable, z_mean FROM (UNPIVOT zm ON {', '.join(FEATS)} INTO NAME variable VALUE z_mean)""", ["z_mean"]))
+  FROM z JOIN lab USING (record_id) GROUP BY label), {_long_sql('lv', FEATS)}
+SELECT label, variable, z_mean FROM (UNPIVOT zm ON {', '.join(FEATS)} INTO NAME variable VALUE z_mean)
+WHERE variable IN (SELECT DISTINCT variable FROM lv)""", ["z_mean"]))
 def cluster_z_means(spark, sf_dir):
     _, feats, z, labels = official_space(spark, sf_dir)
     return rounded(IN.cluster_z_means(z, labels, feats), ["z_mean"])
