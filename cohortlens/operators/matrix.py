@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .filters import complete_cases, numeric
-from .profile import long_numeric, rank_select
+from .profile import rank_stats
 
 IMPUTE_METHODS = ("mean", "median", "zero", "drop")
 PCA_GRADES = [(0.8, "high"), (0.6, "moderate")]  # M6: PC1+PC2 share, else "low"
@@ -27,7 +27,7 @@ def build_matrix(df: DataFrame, variables: list[str], id_col: str = "record_id")
 
 def column_medians(df: DataFrame, variables: list[str]) -> dict[str, float]:
     """Exact midpoint medians of finite values (distributed rank selection)."""
-    q = rank_select(long_numeric(df, variables)).select("column", "median").collect()
+    q = rank_stats(df, variables).select("column", "median").collect()
     return {r["column"]: r["median"] for r in q}
 
 

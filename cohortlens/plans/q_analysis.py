@@ -265,13 +265,10 @@ FROM (SELECT {c} AS x, row_number() OVER (ORDER BY {c}) AS rn, count(*) OVER ()
                                        + " UNION ALL ".join(_quartile_sql(t, c) for t, c in Q_COLS) + ")",
                                        ["median", "q1", "q3", "iqr"]))
 def quartiles_floor_rank(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.col("o_totalprice"))
-    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
-    long = (PR.long_numeric(o, ["o_totalprice"])
-            .unionByName(PR.long_numeric(li, ["l_quantity", "l_extendedprice"])))
-    q = PR.rank_select(long)
-    return sigd(q.select("column", "n", "median", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr")),
-                ["median", "q1", "q3", "iqr"])
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    q = PR.quartiles(o, ["o_totalprice"]).unionByName(PR.quartiles(li, ["l_quantity", "l_extendedprice"]))
+    return sigd(q, ["median", "q1", "q3", "iqr"])
 
 
 SHAPE_COLS = ["acctbal", "n_orders", "spend", "mean_price", "ev_total", "ev_mean", "has_orders"]

@@ -63,3 +63,20 @@ def test_item_groups():
     assert [g["name"] for g in groups] == ["BFI", "GDT"]
     gdt = groups[1]
     assert gdt["items"] == ["bw_gdt_1", "bw_gdt_2"] and gdt["total_col"] == "gdt_total"
+
+
+def test_rank_stats_both_paths_agree(spark):
+    import random
+    random.seed(11)
+    rows = [(float(random.randint(0, 30)), float(random.random())) for _ in range(3001)]
+    df = spark.createDataFrame(rows, "few double, many double").repartition(5)
+    fast = {r["column"]: r for r in PR.rank_stats(df, ["few", "many"]).collect()}
+    bound = PR.PERCENTILE_BUFFER_MAX
+    PR.PERCENTILE_BUFFER_MAX = 0  # force the distributed rank selection
+    try:
+        slow = {r["column"]: r for r in PR.rank_stats(df, ["few", "many"]).collect()}
+    finally:
+        PR.PERCENTILE_BUFFER_MAX = bound
+    for c in ["few", "many"]:
+        assert (fast[c]["n"], fast[c]["median"], fast[c]["q1"], fast[c]["q3"]) == \
+               (slow[c]["n"], slow[c]["median"], slow[c]["q1"], slow[c]["q3"])
