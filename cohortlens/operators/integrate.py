@@ -11,7 +11,6 @@ rows gets NULL everywhere. Distinct counts include the empty string.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -344,14 +343,6 @@ def order_columns(columns: list[str]) -> list[str]:
 
 # --- consolidation --------------------------------------------------------------
 
-@dataclass
-class Consolidated:
-    rows: DataFrame
-    dictionary: DataFrame
-    report: DataFrame
-    used: list[str] = field(default_factory=list)
-
-
 BLOCKS = {
     "daily": lambda df: daily_features(df),
     "android": lambda df: minutes_features(df, "android"),

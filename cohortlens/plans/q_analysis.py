@@ -14,7 +14,7 @@ from .features import CUST_SQL, cust
 from .oracle_integration import integration_with
 from .q_integration import wide_table
 from .registry import query, sigd, sql_sig
-from .sqlfrag import cif, flag, missing, sn, sv
+from .sqlfrag import flag, sn, sv
 from .standins import register_tables, standin_ctes, table
 
 W = integration_with()
@@ -158,11 +158,6 @@ def participant_detail(spark, sf_dir):
 
 # --- profiling -----------------------------------------------------------------
 
-def _wide_cols_sql(name: str) -> str:
-    """Per-column SQL template over the wide table (used with a column list)."""
-    return name
-
-
 INFER_SQL = W + f""", wide_txt AS (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM wide),
 long AS (FROM wide_txt UNPIVOT INCLUDE NULLS (value FOR "column" IN (COLUMNS(*)))),
 t AS (SELECT "column", CAST(count_if(value IS NOT NULL AND value <> '') AS BIGINT) AS non_missing,
@@ -447,5 +442,3 @@ def vector_score(spark, sf_dir):
     return sigd(QA.vector_score(wide_table(spark, sf_dir), RECOMMENDED),
                 ["mean_missing_pct", "complete_pct"])
 
-
-del _wide_cols_sql, cif, missing

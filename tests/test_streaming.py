@@ -1,8 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from cohortlens.operators import integrate as I
 from cohortlens.streaming import telemetry as ST
 
