@@ -80,3 +80,31 @@ def test_rank_stats_both_paths_agree(spark):
     for c in ["few", "many"]:
         assert (fast[c]["n"], fast[c]["median"], fast[c]["q1"], fast[c]["q3"]) == \
                (slow[c]["n"], slow[c]["median"], slow[c]["q1"], slow[c]["q3"])
+
+
+def test_correlation_gram_matches_aggregates(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    n = 400
+    a = rng.normal(size=n) * 1000 + 5e5
+    b = a * 0.3 + rng.normal(size=n) * 50
+    c = rng.normal(size=n)
+    d = np.where(np.arange(n) % 3 == 0, 7.0, rng.normal(size=n))  # constant where e is present
+    e = np.where(np.arange(n) % 3 == 0, 1.0, np.nan)
+    rows = []
+    for i in range(n):
+        vals = [None if (i % 5 == 0) else float(a[i]), float(b[i]), None if i % 7 == 0 else float(c[i]),
+                float(d[i]), None if np.isnan(e[i]) else float(e[i])]
+        rows.append(tuple(vals))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(4)
+    cols = ["a", "b", "c", "d", "e"]
+    agg = {(r["x"], r["y"]): r for r in RL.correlation_matrix(df, cols, method="aggregate").collect()}
+    gram = {(r["x"], r["y"]): r for r in RL.correlation_matrix(df, cols, method="gram").collect()}
+    assert set(agg) == set(gram)
+    for k, r in agg.items():
+        g = gram[k]
+        assert r["n"] == g["n"], k
+        if r["r"] is None:
+            assert g["r"] is None, (k, g["r"])
+        else:
+            assert g["r"] == pytest.approx(r["r"], rel=1e-9, abs=1e-12), k
