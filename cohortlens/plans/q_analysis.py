@@ -384,7 +384,7 @@ COVERAGE_FLAGS = ["has_biweekly", "has_daily", "has_steam", "has_xbox", "has_nin
     f"SELECT {i + 1} AS position, '{f}' AS flag, avg(COALESCE(CAST({f} AS DOUBLE), 0.0)) * 100 AS coverage_pct, "
     f"count(*) AS rows FROM wide" for i, f in enumerate(COVERAGE_FLAGS)), ["coverage_pct"]))
 def source_coverage(spark, sf_dir):
-    return sigd(QA.coverage(wide_table(spark, sf_dir), COVERAGE_FLAGS), ["coverage_pct"])
+    return sigd(QA.coverage(wide_table(spark, sf_dir, materialise=False), COVERAGE_FLAGS), ["coverage_pct"])
 
 
 @query("dataset_readiness", sql_sig(INFER_SQL + """,

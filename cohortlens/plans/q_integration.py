@@ -21,11 +21,13 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return raw_sources(spark, sf_dir)
 
 
-def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The integrated wide cohort table (unrounded), materialised once in the
-    checkpoint folder because every analysis runs several passes over it."""
-    return cut_lineage(I.integrate(sources(spark, sf_dir), intake_row_index="row_index",
-                                   biweekly_row_index="row_index"))
+def wide_table(spark: SparkSession, sf_dir: str, materialise: bool = True) -> DataFrame:
+    """The integrated wide cohort table (unrounded). Analyses that make
+    several passes get it materialised once in the checkpoint folder; a
+    single-pass query keeps the plan so Catalyst prunes the aggregates and
+    parsers of the columns it does not read."""
+    wide = I.integrate(sources(spark, sf_dir), intake_row_index="row_index", biweekly_row_index="row_index")
+    return cut_lineage(wide) if materialise else wide
 
 
 def _cohort_keys(src: dict[str, DataFrame]) -> DataFrame:
@@ -48,7 +50,7 @@ def cohort_semi_join(spark, sf_dir):
 
 @query("integrate_cohort", sql_rounded(W + "SELECT * FROM wide", WIDE_ROUNDED, AVG_DIGITS))
 def integrate_cohort(spark, sf_dir):
-    return rounded(wide_table(spark, sf_dir), WIDE_ROUNDED, AVG_DIGITS)
+    return rounded(wide_table(spark, sf_dir, materialise=False), WIDE_ROUNDED, AVG_DIGITS)
 
 
 @query("platform_count", W + "SELECT pid, record_id, age, num_platforms FROM people")
@@ -149,7 +151,7 @@ _FLAGS = ["pid", "has_biweekly", "has_daily", "has_android", "has_ios", "has_nin
 
 @query("availability_flags", W + f"SELECT {', '.join(_FLAGS)} FROM wide")
 def availability_flags(spark, sf_dir):
-    return wide_table(spark, sf_dir).select(*_FLAGS)
+    return wide_table(spark, sf_dir, materialise=False).select(*_FLAGS)
 
 
 _TELEM = ["pid", "telem_nocturnal_sessions", "telem_total_sessions", "telem_activity_count"]
@@ -157,7 +159,7 @@ _TELEM = ["pid", "telem_nocturnal_sessions", "telem_total_sessions", "telem_acti
 
 @query("derived_telemetry", W + f"SELECT {', '.join(_TELEM)} FROM wide")
 def derived_telemetry(spark, sf_dir):
-    return wide_table(spark, sf_dir).select(*_TELEM)
+    return wide_table(spark, sf_dir, materialise=False).select(*_TELEM)
 
 
 def _dictionary_sql() -> str:
@@ -194,7 +196,7 @@ FROM miss"""
 
 @query("data_dictionary", _dictionary_sql())
 def data_dictionary(spark, sf_dir):
-    return I.data_dictionary(wide_table(spark, sf_dir)).drop("position")
+    return I.data_dictionary(wide_table(spark, sf_dir, materialise=False)).drop("position")
 
 
 @query("source_inventory", "WITH " + standin_ctes() + ",\nx AS (" + " UNION ALL ".join(
