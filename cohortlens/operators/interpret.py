@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from . import cluster as C
 from . import matrix as M
+from ..session import cut_lineage
 from .filters import numeric, numeric_features
 
 # --- fixed values (must equal the reference for equal results) -------------
@@ -159,7 +160,8 @@ def official_run(df: DataFrame, candidates: list[str] | None = None, id_col: str
     z = M.prepare(df, feats, "median", id_col)
     km = C.kmeans(z, feats, OFFICIAL_K, iterations, seed, id_col)
     prof_vars = numeric_features(df, list(dict.fromkeys(PROFILE_VARIABLES + feats)))
-    raw_prof = cluster_profile(df, km.labels, prof_vars, id_col, "label", OFFICIAL_K)
+    # k x p rows, read twice (score matrix and output): materialised once
+    raw_prof = cut_lineage(cluster_profile(df, km.labels, prof_vars, id_col, "label", OFFICIAL_K))
     mapping = best_assignment(canonical_scores(raw_prof))
     m = mapping.select(F.col("label").alias("raw_label"), F.col("canonical").alias("label"), "name",
                        "selection_score")

@@ -13,6 +13,7 @@ from ..operators import matrix as M
 from ..operators import privacy as PV
 from ..operators.filters import numeric_features
 from .oracle_integration import integration_with
+from ..session import cut_lineage
 from .q_integration import wide_table
 from .registry import query, rounded, sql_rounded
 from .standins import table
@@ -91,7 +92,7 @@ PROF_COLS = ["mean", "global_mean", "z"]
 def profile_df(spark, sf_dir):
     wide, feats, z, labels = official_space(spark, sf_dir)
     prof_vars = numeric_features(wide, list(dict.fromkeys(IN.PROFILE_VARIABLES + feats)))
-    return IN.cluster_profile(wide, labels, prof_vars, k=K)
+    return cut_lineage(IN.cluster_profile(wide, labels, prof_vars, k=K))
 
 
 @query("cluster_profile", sql_rounded(PROFILE_SQL + " SELECT label, variable, mean, global_mean, z, observed FROM prof",
