@@ -80,3 +80,28 @@ def test_kmeans_best_of(spark):
                                "record_id long, x double, y double")
     best = C.kmeans_best_of(df, ["x", "y"], 2, n_init=3, seed=1)
     assert sorted(best.counts.tolist()) == [10, 10]
+
+
+def test_file_order_across_files_and_splits(spark):
+    folder = tempfile.mkdtemp(prefix="order-")
+    expected = []
+    for f in range(3):
+        lines = ["k,v"] + [f"f{f}_{i},{i}" for i in range(2000)]
+        expected += [ln.split(",")[0] for ln in lines[1:]]
+        with open(os.path.join(folder, f"part{f}.csv"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits per file
+    try:
+        df = RD.read_csv(spark, folder)
+        got = [r["k"] for r in RD.with_file_order(df, "n").orderBy("n").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == expected
+
+
+def test_source_inventory_counts(spark):
+    from cohortlens.operators import integrate as I
+    a = spark.createDataFrame([("p1",), ("p2",)], "pid string")
+    b = spark.createDataFrame([("p1",)], "pid string")
+    inv = {r["block"]: (r["rows"], r["used"]) for r in I.source_inventory({"intake": a, "extra": b}).collect()}
+    assert inv == {"intake": (2, True), "extra": (1, False)}
