@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from . import cluster as C
 from . import matrix as M
 from ..session import cut_lineage
-from .filters import numeric, numeric_features
+from .filters import numeric
 
 # --- fixed values (must equal the reference for equal results) -------------
 RECOMMENDED_VECTOR = [
@@ -151,15 +151,19 @@ def official_run(df: DataFrame, candidates: list[str] | None = None, id_col: str
     (>= 2); median imputation; z-scores; K-means k=4; profile of validation
     variables + features on observed values; canonical names."""
     candidates = candidates or RECOMMENDED_VECTOR
-    n = df.count()
+    # one pass: row count and the finite-value count of every candidate and
+    # profile variable (features and profile columns need a finite value)
+    wanted = [c for c in dict.fromkeys(candidates + PROFILE_VARIABLES) if c in df.columns]
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(numeric(df, c)).alias(c) for c in wanted]).first()
+    n = counts["__rows"]
     if n < 4:
         raise ValueError("the official run needs at least four rows")
-    feats = numeric_features(df, candidates)
+    feats = [c for c in candidates if c in df.columns and counts[c] > 0]
     if len(feats) < 2:
         raise ValueError("the official run needs at least two numeric features")
     z = M.prepare(df, feats, "median", id_col)
     km = C.kmeans(z, feats, OFFICIAL_K, iterations, seed, id_col)
-    prof_vars = numeric_features(df, list(dict.fromkeys(PROFILE_VARIABLES + feats)))
+    prof_vars = [c for c in dict.fromkeys(PROFILE_VARIABLES + feats) if c in df.columns and counts[c] > 0]
     # k x p rows, read twice (score matrix and output): materialised once
     raw_prof = cut_lineage(cluster_profile(df, km.labels, prof_vars, id_col, "label", OFFICIAL_K))
     mapping = best_assignment(canonical_scores(raw_prof))
