@@ -17,6 +17,8 @@ from cohortlens.session import ensure_checkpoint_dir
 SLICE_BYTES = 8 << 20
 #: Ways in which the rows of one key are spread before they meet their group's result.
 SALTS = 64
+#: Rows of a few numbers that are counted before they may be broadcast.
+BROADCAST_ROWS = 500_000
 #: The characters that separate words, and nothing else does.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -77,13 +79,30 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(other, [F.col(k).eqNullSafe(F.col(v)) for k, v in named.items()], how).drop(*named.values())
 
 
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """A staged narrow table, marked for broadcast if it has at most
+    BROADCAST_ROWS rows; beyond that Spark joins it by a shuffle."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def salted_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has a row for each key (null is one).
+
+    Rows of a key are spread by ``spread`` over SALTS ways; the table's row is
+    first joined to the ways that occur, then to the rows. So a key that holds
+    a third of all rows is joined in SALTS tasks, and a rare key costs one row."""
+    salt, by = "__salt", list(keys)
+    rows = rows.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    ways = null_safe_join(rows.select(*by, salt).distinct(), table, by)
+    return null_safe_join(rows, ways, [*by, salt], how).drop(salt)
+
+
 def with_group_result(rows: DataFrame, keys: Sequence[str], spread: Column, combine: dict[str, tuple[str, Column]]) -> DataFrame:
     """Each row with aggregates of its whole group, without gathering a group.
 
     ``combine``: name -> (aggregate, expression), the aggregate being one of
     sum, min and max, which may be applied to its own partial results. Rows
-    of a key are spread by ``spread`` over SALTS ways, so a key that holds a
-    third of all rows meets its result in SALTS tasks. Null keys match."""
+    are spread as in ``salted_join``; null keys are a group."""
     salt, by = "__salt", list(keys)
     rows = rows.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     part = rows.groupBy(*by, salt).agg(*[getattr(F, how)(value).alias(name) for name, (how, value) in combine.items()])
@@ -102,4 +121,4 @@ def staged_in_order(df: DataFrame, order: Sequence[Column], label: str, position
     each = found.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     offsets = each.select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
-    return found.join(offsets, "__file").select(*df.columns, (F.col("__offset") + F.col("__index")).alias(position))
+    return found.join(F.broadcast(offsets), "__file").select(*df.columns, (F.col("__offset") + F.col("__index")).alias(position))

@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import exact_recipes, mixing, token_orc
+from cohortlens.llm import exact_recipes, language_zstd, minhash_tensor, mixing, token_orc, toxicity
 from cohortlens.llm.common import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from the labels that are not held out."""
+    docs, out = read(spark, sf_dir, "documents"), toxicity.held_out(F.col("doc_id"))
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"), ~out)
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Systematic sampling of all documents to source targets."""
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", mixing.words("text").alias("size")), F.col("size"))
@@ -25,6 +32,18 @@ def op4_exact_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_recipes.duplicates(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents by tensored MinHash bands."""
+    return minhash_tensor.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op10_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learnt from those that are not held out."""
+    docs, out = read(spark, sf_dir, "documents"), toxicity.held_out(F.col("doc_id"))
+    found = language_zstd.identify(docs, language_zstd.sample(docs, ~out))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 OP2_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -42,5 +61,5 @@ r AS (SELECT doc_id, sha256(plain) AS text_sha256, first_value(doc_id) OVER o AS
 SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM r
 """
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_token_orc": op3_token_orc, "op4_exact_recipes": op4_exact_recipes}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_mixing": op2_mixing, "op3_token_orc": op3_token_orc, "op4_exact_recipes": op4_exact_recipes, "op8_minhash_tensor": op8_minhash_tensor, "op10_language_zstd": op10_language_zstd}
 ORACLE = {"op2_mixing": OP2_SQL, "op4_exact_recipes": OP4_SQL}

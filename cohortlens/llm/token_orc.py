@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -25,8 +26,10 @@ from cohortlens.llm.common import new_folder, slices, texts
 #: Ends each document.
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a worker keeps; longer words are encoded each time.
-KEPT_WORDS, KEPT_LENGTH = 300_000, 40
+#: Words whose ids a worker keeps; longer words are encoded each time; words encoded at a time.
+KEPT_WORDS, KEPT_LENGTH, TOGETHER = 250_000, 40, 5_000
+#: A word of letters with other ASCII marks behind it (no digits, no apostrophe: those have rules of their own).
+_MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
 #: Rows of an ORC row group, which has an index entry and a Bloom filter of its own; bytes of a stripe.
 ROW_GROUP, STRIPE = 2_000, 16 << 20
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, shard int, shard_start long"
@@ -42,25 +45,49 @@ def public_vocabulary(name: str = VOCABULARY) -> str:
 def _encoder(path: str):
     """Texts -> the bytes of their ids (little-endian, 4 bytes each).
 
-    This vocabulary's rules drop white space and let no token cross it, so a
-    text's ids are those of its words. A worker keeps the ids of words it has met."""
+    This vocabulary's rules lower case, drop white space and let no token
+    cross it, nor the border of letters and others; so a text's ids are those
+    of its words, and a worker keeps the ids of words that it has met."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores in use
     from tokenizers import Tokenizer
 
-    tokenizer, known = Tokenizer.from_file(path), {}
+    tokenizer, known, older = Tokenizer.from_file(path), {}, {}
+    ends_word = np.zeros(tokenizer.get_vocab_size(), bool)
+    ends_word[[k for token, k in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+    ids_of = lambda text: np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
+
+    def learn(words: list[bytes]) -> None:
+        """Words of letters are encoded together: each ends at its first token that ends a word."""
+        plain = [w for w in words if w.decode().isalpha()]
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
+            ids = ids_of(b" ".join(part).decode())
+            stops = (np.flatnonzero(ends_word[ids]) + 1).tolist()
+            if len(stops) != len(part):
+                known.update((w, ids_of(w.decode()).tobytes()) for w in part)
+                continue
+            data, start = ids.tobytes(), 0
+            for w, stop in zip(part, stops):
+                known[w] = data[4 * start : 4 * stop]
+                start = stop
+        known.update((w, ids_of(w.decode()).tobytes()) for w in words if w not in known)
 
     def encode(batch: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in batch]
-        new = list({w for t in split for w in t} - known.keys())
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = list({w for t in split for w in t})
-        ids = dict(zip(new, (np.asarray(e.ids, "<i4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        known.update(ids)
-        coded = [b"".join(map(known.__getitem__, t)) for t in split]
-        for w in new:
-            if len(w) > KEPT_LENGTH:
-                del known[w]
+        # special tokens are found in a text as it stands, so a text that may hold one is encoded whole
+        nonlocal known, older
+        split = [t.encode().lower().replace(b"\n", b" ").split(b" ") if "<|" not in t else None for t in batch]
+        if len(known) > KEPT_WORDS:  # what is not met again until then is forgotten
+            known, older = {}, known
+        new = {w for t in split if t for w in t} - known.keys()
+        known.update((w, older[w]) for w in new & older.keys())
+        new -= known.keys()
+        stems = {w: (m[1].encode(), m[2].encode()) for w in new if (m := _MARKED(w.decode())) and m[1].isalpha()}
+        parts = {*(new - stems.keys()), *(x for pair in stems.values() for x in pair)} - known.keys()
+        learn(list(parts))
+        known.update((w, known[stem] + known[marks]) for w, (stem, marks) in stems.items())
+        coded = [b"".join(map(known.__getitem__, t)) if t else ids_of(x).tobytes() for t, x in zip(split, batch)]
+        for w in [w for w in {*new, *parts} if len(w) > KEPT_LENGTH]:
+            del known[w]
         return coded
 
     return encode
@@ -102,7 +129,7 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None) ->
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     shards = sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     chosen = rows if where is None else rows.where(where)
-    return chosen.join(shards, "shard").select("doc_id", (F.col("first") + F.col("shard_start")).alias("start"), "n_tokens", "ids")
+    return chosen.join(F.broadcast(shards), "shard").select("doc_id", (F.col("first") + F.col("shard_start")).alias("start"), "n_tokens", "ids")
 
 
 def _digests(batches):
