@@ -30,27 +30,32 @@ SHORTEST_GRAM, LONGEST_GRAM, BITS, SIZE = 3, 5, 18, 4
 #: A bucket has a vector if it is in this share of the sample's documents, and in FEWEST of them.
 RARE, COMMON, FEWEST = 0.01, 0.5, 3
 #: Words that count as neutral in every document: a few words alone say little.
-NEUTRAL = 20
-EPOCHS, RATE, DECAY, SCALE, SEED = 60, 0.02, 0.1, 50.0, 1
+NEUTRAL = 40
+EPOCHS, RATE, DECAY, SCALE, SEED = 80, 0.02, 0.1, 50.0, 1
 #: Documents with this score are predicted toxic.
 THRESHOLD = 0.7
-#: Letters of a word that is looked at in n-grams; and the words whose margins a worker keeps.
-WORD_LENGTH, KEPT = 64, 300_000
+#: Words whose margins a worker keeps; bytes of text it scores at a time.
+KEPT, SLICE = 300_000, 2 << 20
+_FACTOR = np.random.default_rng(11).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of a word and its n-grams. Of a very long word (no word any
-    more) the n-grams of each piece of WORD_LENGTH characters."""
-    found = []
-    for at in range(0, len(word), WORD_LENGTH):
-        w = f"<{word[at : at + WORD_LENGTH]}>"
-        grams = [w, *(w[i : i + n] for n in range(SHORTEST_GRAM, LONGEST_GRAM + 1) for i in range(len(w) - n + 1))]
-        found += [xxhash.xxh32_intdigest(g) & ((1 << BITS) - 1) for g in grams]
-    return found
+def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' n-grams (of bytes, borders marked) and of the words themselves, and for each the word's place in the list."""
+    data = np.frombuffer(b"".join(b"<%b>" % w for w in words), np.uint8).astype(np.uint64)
+    lengths = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
+    owner, starts = np.repeat(np.arange(len(words)), lengths), np.cumsum(lengths) - lengths
+    within = np.arange(len(data)) - starts[owner]
+    hashes, owners = [np.add.reduceat(data * _FACTOR[0] ** within.astype(np.uint64), starts)], [np.arange(len(words))]
+    for n in range(SHORTEST_GRAM, LONGEST_GRAM + 1):
+        last = len(data) - n + 1
+        inside = np.flatnonzero(owner[:last] == owner[n - 1 :]) if last > 0 else np.empty(0, np.int64)
+        hashes.append(sum(data[inside + j] * _FACTOR[n * 8 + j] for j in range(n)) if len(inside) else np.empty(0, np.uint64))
+        owners.append(owner[inside])
+    return (np.concatenate(hashes) * _FACTOR[1] >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(owners)
 
 
-def bag(text: str | None) -> set[str]:
-    return set((text or "").lower().split())
+def bag(text: str | None) -> set[bytes]:
+    return set((text or "").lower().encode().split())
 
 
 @dataclass
@@ -60,17 +65,18 @@ class Model:
     margins: np.ndarray
     bias: float
 
-    def score(self, texts: list[str | None], known: dict[str, float]) -> np.ndarray:
+    def score(self, texts: list[str | None], known: dict[bytes, float]) -> np.ndarray:
         """0 to 1; texts without words have 0. ``known`` keeps words' margins from call to call."""
-        out = np.zeros(len(texts))
-        for k, text in enumerate(texts):
-            words = bag(text)
+        out, bags = np.zeros(len(texts)), [bag(t) for t in texts]
+        if len(known) > KEPT:
+            known.clear()
+        if new := list(set().union(*bags) - known.keys()):
+            buckets, owners = subwords(new)
+            sums, counts = np.bincount(owners, self.margins[buckets], len(new)), np.bincount(owners, minlength=len(new))
+            known.update(zip(new, (sums / counts).tolist()))
+        for k, words in enumerate(bags):
             if not words:
                 continue
-            if len(known) > KEPT:
-                known.clear()
-            for w in words - known.keys():
-                known[w] = float(self.margins[subwords(w)].mean())
             z = SCALE * sum(map(known.__getitem__, words)) / (len(words) + NEUTRAL) + self.bias
             out[k] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         return out
@@ -86,25 +92,28 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Train on texts and their labels (0 or 1). Without both labels every score is that of the label there is."""
-    y = np.asarray(labels, np.float32)
-    if len(set(labels)) < 2:
-        return Model(np.zeros(1 << BITS, np.float32), 30.0 if labels and labels[0] else -30.0)
-    vocabulary: dict[str, int] = {}
+    kept = [(t, k) for t, k in zip(texts, labels) if bag(t)]
+    if len({k for _, k in kept}) < 2:
+        return Model(np.zeros(1 << BITS, np.float32), 30.0 if kept and kept[0][1] else -30.0)
+    vocabulary: dict[bytes, int] = {}
+    texts, y = [t for t, _ in kept], np.asarray([k for _, k in kept], np.float32)
     docs = [[vocabulary.setdefault(w, len(vocabulary)) for w in sorted(bag(t))] for t in texts]
-    pieces = [subwords(w) for w in vocabulary]
-    total = np.array([len(p) for p in pieces], np.float32)
+    per_doc, word = np.array([len(d) for d in docs]), np.fromiter((w for d in docs for w in d), np.int64)
+    bucket, owner = subwords(list(vocabulary))
+    order = np.argsort(owner, kind="stable")
+    bucket, owner = bucket[order], owner[order]
+    total = np.bincount(owner, minlength=len(vocabulary)).astype(np.float32)
+    first = np.cumsum(total.astype(np.int64)) - total.astype(np.int64)
     seen_in = np.zeros(1 << BITS, np.int32)
     for d in docs:
-        seen_in[np.unique([b for w in d for b in pieces[w]]).astype(np.int64)] += 1
-    use = (seen_in >= max(FEWEST, RARE * len(docs))) & (seen_in <= COMMON * len(docs))
-    pieces = [[b for b in p if use[b]] for p in pieces]
+        seen_in[np.unique(np.concatenate([bucket[first[w] : first[w] + int(total[w])] for w in d]))] += 1
+    use = ((seen_in >= max(FEWEST, RARE * len(docs))) & (seen_in <= COMMON * len(docs)))[bucket]
     # words by bucket and documents by word, and the same the other way for the gradients
-    per_word, per_doc = np.array([len(p) for p in pieces]), np.array([len(d) for d in docs])
-    bucket, word = np.fromiter((b for p in pieces for b in p), np.int64), np.fromiter((w for d in docs for w in d), np.int64)
+    bucket, per_word = bucket[use], np.bincount(owner[use], minlength=len(vocabulary))
     by_bucket, by_word = np.argsort(bucket, kind="stable"), np.argsort(word, kind="stable")
-    word_of, doc_of = np.repeat(np.arange(len(pieces)), per_word)[by_bucket], np.repeat(np.arange(len(docs)), per_doc)[by_word]
+    word_of, doc_of = np.repeat(np.arange(len(vocabulary)), per_word)[by_bucket], np.repeat(np.arange(len(docs)), per_doc)[by_word]
     used, per_bucket = np.unique(bucket, return_counts=True)
-    per_word_docs = np.bincount(word, minlength=len(pieces))
+    per_word_docs = np.bincount(word, minlength=len(vocabulary))
     place = np.searchsorted(used, bucket)
     share, part = (SCALE / (per_doc + NEUTRAL)).astype(np.float32)[:, None], (1 / np.maximum(total, 1))[:, None]
     rng = np.random.default_rng(SEED)
@@ -147,8 +156,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 1 MB, whatever the corpus
 
     def each(batches):
-        known: dict[str, float] = {}
-        for batch in slices(batches, 1):
+        known: dict[bytes, float] = {}
+        for batch in slices(batches, 1, SLICE):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(batch.column(1).to_pylist(), known), pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(each, "doc_id long, score double")
@@ -165,8 +174,8 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     at = docs.columns.index(text)
 
     def each(batches):
-        known: dict[str, float] = {}
-        for batch in slices(batches, at):
+        known: dict[bytes, float] = {}
+        for batch in slices(batches, at, SLICE):
             yield batch.filter(pa.array(shared.value.score(batch.column(at).to_pylist(), known) < THRESHOLD))
 
     return docs.mapInArrow(each, docs.schema)
