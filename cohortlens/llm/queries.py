@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import exact_recipes, language_zstd, minhash_tensor, mixing, token_orc, toxicity
+from cohortlens.llm import exact_recipes, language_zstd, line_chunks, minhash_tensor, mixing, pii_bootstrap, secrets_crf, token_orc, toxicity
 from cohortlens.llm.common import read
 
 
@@ -32,6 +32,22 @@ def op4_exact_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_recipes.duplicates(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of lines found elsewhere, and what is removed of them."""
+    return line_chunks.report(read(spark, sf_dir, "documents"))
+
+
+def op7_secrets_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: base patterns and a CRF."""
+    docs = read(spark, sf_dir, "documents")
+    return secrets_crf.secrets(docs, secrets_crf.learn(docs))
+
+
+def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: base patterns and bootstrapped contexts."""
+    return pii_bootstrap.personal_data(read(spark, sf_dir, "documents"))
+
+
 def op8_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents by tensored MinHash bands."""
     return minhash_tensor.near_duplicates(read(spark, sf_dir, "documents"))
@@ -61,5 +77,20 @@ r AS (SELECT doc_id, sha256(plain) AS text_sha256, first_value(doc_id) OVER o AS
 SELECT doc_id, keep_id, group_size, k = 1 AS kept, text_sha256 FROM r
 """
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_mixing": op2_mixing, "op3_token_orc": op3_token_orc, "op4_exact_recipes": op4_exact_recipes, "op8_minhash_tensor": op8_minhash_tensor, "op10_language_zstd": op10_language_zstd}
-ORACLE = {"op2_mixing": OP2_SQL, "op4_exact_recipes": OP4_SQL}
+OP6_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
+c AS (SELECT doc_id, line, i, seed, CASE WHEN i = 0 OR (((lag(h) OVER (PARTITION BY doc_id, seed ORDER BY i)) * (7919 + seed * 104) + h * 31 + seed * 2654435761) % 4294967296) // 512 % 2 = 0 THEN 1 ELSE 0 END AS starts FROM h, (SELECT unnest(range(4)) AS seed)),
+g AS (SELECT *, sum(starts) OVER (PARTITION BY doc_id, seed ORDER BY i) AS k FROM c),
+k AS (SELECT doc_id, seed, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM g GROUP BY doc_id, seed, k),
+w AS (SELECT *, len(regexp_extract_all(chunk, '[^ 	-
+]+')) AS words FROM k),
+r AS (SELECT *, count(*) OVER (PARTITION BY seed, chunk) AS copies, first_value(doc_id) OVER o AS first_doc, row_number() OVER o AS place FROM w WHERE (n >= 2 AND words >= 10) OR words >= 50 WINDOW o AS (PARTITION BY seed, chunk ORDER BY doc_id NULLS FIRST, first)),
+x AS (SELECT doc_id, place = 1 AS keeps, unnest(range(first, first + n)) AS i, first_doc FROM r WHERE copies > 1),
+y AS (SELECT doc_id, list_sort(list_distinct(list(i) FILTER (NOT keeps))) AS gone, list_distinct(list(i) FILTER (keeps)) AS held, list_sort(list_distinct(list(first_doc) FILTER (NOT keeps))) AS firsts FROM x GROUP BY doc_id)
+SELECT doc_id, coalesce(len(gone), 0) AS removed_lines, coalesce(array_to_string(gone, ','), '') AS removed, coalesce(len(held), 0) - coalesce(len(list_intersect(held, gone)), 0) AS shared_lines, coalesce(array_to_string(firsts, ','), '') AS first_doc_ids FROM y
+"""
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_mixing": op2_mixing, "op3_token_orc": op3_token_orc, "op4_exact_recipes": op4_exact_recipes, "op6_line_chunks": op6_line_chunks, "op7_secrets_crf": op7_secrets_crf, "op9_pii_bootstrap": op9_pii_bootstrap, "op8_minhash_tensor": op8_minhash_tensor, "op10_language_zstd": op10_language_zstd}
+ORACLE = {"op2_mixing": OP2_SQL, "op4_exact_recipes": OP4_SQL, "op6_line_chunks": OP6_SQL}
