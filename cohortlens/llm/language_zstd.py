@@ -1,7 +1,7 @@
 """Language identification by compression.
 
 For each language a raw-content zstandard dictionary is made from sample
-texts. A text is cut into blocks, each compressed with every dictionary; the
+texts. A text, in lower case, is cut into blocks, each compressed with every dictionary; the
 language whose sizes sum to the least is chosen, and the choice is rejected
 where it leads the next by less than a margin.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import slices
 
 #: Sample texts per language, at most, chosen by a hash of their ids; characters taken from one; bytes of a dictionary.
-ROWS, PIECE, DICTIONARY = 400, 1_000, 64 << 10
+ROWS, PIECE, DICTIONARY = 400, 800, 256 << 10
 #: Bytes of a text compressed at a time: beyond that a text would be its own dictionary.
 BLOCK = 4 << 10
 LEVEL = 3
@@ -40,7 +40,7 @@ def sample(docs: DataFrame, learn_from: Column, text: str = "text", lang: str =
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text"))
     found = defaultdict(list)
     for r in sorted(rows.withColumn("rank", rank).where(F.col("rank") <= ROWS).collect(), key=lambda r: (r["lang"], r["rank"])):
-        found[r["lang"]].append(r["text"].encode())
+        found[r["lang"]].append(r["text"].lower().encode())
     return {k: b"\n".join(v)[:DICTIONARY] for k, v in found.items()}
 
 
@@ -56,7 +56,7 @@ class Compressors:
             self.each.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False))
 
     def sizes(self, text: str) -> list[int]:
-        data = text.encode()
+        data = text.lower().encode()
         blocks = [data[at : at + BLOCK] for at in range(0, len(data), BLOCK)]
         return [sum(len(c.compress(b)) for b in blocks) for c in self.each]
 

@@ -119,7 +119,7 @@ class Tagger:
         self.place: dict[str, int] = {}
         self.scores = np.zeros((1024, 3, 3))
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         w = self.model.weights
         for word in words:
             k = self.place[word] = len(self.place)
@@ -130,7 +130,7 @@ class Tagger:
     def emissions(self, text: str, words: list[str]) -> np.ndarray:
         if len(self.place) > KEPT:
             self.place.clear()
-        if new := set(words) - self.place.keys():
+        if new := [w for w in set(words) if w not in self.place]:
             self._learn(new)
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         emit = self.scores[at, 0] + self.model.weights[file_features(text, words)].sum(0)

@@ -21,10 +21,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    new = set(words) - _known.keys()
+    new = [w for w in set(words) if w not in _known]  # subtracting the keys would walk over all of them
     if len(_known) + len(new) > KEPT:
         _known.clear()
-        new = set(words)
+        new = list(set(words))
     _known.update((w, xxhash.xxh3_64_intdigest(w) - (1 << 63)) for w in new)
     return np.fromiter(map(_known.__getitem__, words), np.int64, len(words)).view(np.uint64)
 

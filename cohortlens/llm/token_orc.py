@@ -78,11 +78,11 @@ def _encoder(path: str):
         split = [t.encode().lower().replace(b"\n", b" ").split(b" ") if "<|" not in t else None for t in batch]
         if len(known) > KEPT_WORDS:  # what is not met again until then is forgotten
             known, older = {}, known
-        new = {w for t in split if t for w in t} - known.keys()
-        known.update((w, older[w]) for w in new & older.keys())
-        new -= known.keys()
+        new = {w for t in split if t for w in t if w not in known}
+        known.update((w, older[w]) for w in new if w in older)
+        new = {w for w in new if w not in known}
         stems = {w: (m[1].encode(), m[2].encode()) for w in new if (m := _MARKED(w.decode())) and m[1].isalpha()}
-        parts = {*(new - stems.keys()), *(x for pair in stems.values() for x in pair)} - known.keys()
+        parts = {x for x in (*(new - stems.keys()), *(x for pair in stems.values() for x in pair)) if x not in known}
         learn(list(parts))
         known.update((w, known[stem] + known[marks]) for w, (stem, marks) in stems.items())
         coded = [b"".join(map(known.__getitem__, t)) if t else ids_of(x).tobytes() for t, x in zip(split, batch)]

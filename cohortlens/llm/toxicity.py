@@ -70,7 +70,7 @@ class Model:
         out, bags = np.zeros(len(texts)), [bag(t) for t in texts]
         if len(known) > KEPT:
             known.clear()
-        if new := list(set().union(*bags) - known.keys()):
+        if new := [w for w in set().union(*bags) if w not in known]:
             buckets, owners = subwords(new)
             sums, counts = np.bincount(owners, self.margins[buckets], len(new)), np.bincount(owners, minlength=len(new))
             known.update(zip(new, (sums / counts).tolist()))
