@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import exact_recipes, language_zstd, line_chunks, minhash_tensor, mixing, pii_bootstrap, secrets_crf, token_orc, toxicity
+from cohortlens.llm import decontaminate, exact_recipes, language_zstd, line_chunks, minhash_tensor, mixing, pii_bootstrap, secrets_crf, token_orc, toxicity
 from cohortlens.llm.common import read
 
 
@@ -32,6 +32,11 @@ def op4_exact_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_recipes.duplicates(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, and where."""
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of lines found elsewhere, and what is removed of them."""
     return line_chunks.report(read(spark, sf_dir, "documents"))
@@ -92,5 +97,5 @@ y AS (SELECT doc_id, list_sort(list_distinct(list(i) FILTER (NOT keeps))) AS gon
 SELECT doc_id, coalesce(len(gone), 0) AS removed_lines, coalesce(array_to_string(gone, ','), '') AS removed, coalesce(len(held), 0) - coalesce(len(list_intersect(held, gone)), 0) AS shared_lines, coalesce(array_to_string(firsts, ','), '') AS first_doc_ids FROM y
 """
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_mixing": op2_mixing, "op3_token_orc": op3_token_orc, "op4_exact_recipes": op4_exact_recipes, "op6_line_chunks": op6_line_chunks, "op7_secrets_crf": op7_secrets_crf, "op9_pii_bootstrap": op9_pii_bootstrap, "op8_minhash_tensor": op8_minhash_tensor, "op10_language_zstd": op10_language_zstd}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_mixing": op2_mixing, "op3_token_orc": op3_token_orc, "op4_exact_recipes": op4_exact_recipes, "op5_decontaminate": op5_decontaminate, "op6_line_chunks": op6_line_chunks, "op7_secrets_crf": op7_secrets_crf, "op9_pii_bootstrap": op9_pii_bootstrap, "op8_minhash_tensor": op8_minhash_tensor, "op10_language_zstd": op10_language_zstd}
 ORACLE = {"op2_mixing": OP2_SQL, "op4_exact_recipes": OP4_SQL, "op6_line_chunks": OP6_SQL}

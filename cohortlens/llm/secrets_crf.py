@@ -34,12 +34,13 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 LIKELY = r"AKIA[A-Z0-9]{14}|[0-9a-f]{16}|(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 #: Texts to learn from, at most, with and without a likely secret; longer texts are passed over; tokens on each side of a span.
 ROWS, LONGEST, SIDE = 400, 20_000, 8
-BITS, EPOCHS, RATE, DECAY, SEED = 14, 40, 0.1, 1e-3, 7
+BITS, EPOCHS, RATE, DECAY = 18, 40, 0.1, 1e-3
 #: Characters a found secret's longest token has at least.
 SHORTEST = 12
 TAGS = BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 #: Words whose scores a worker keeps.
-KEPT = 200_000
+KEPT = 500_000
+_MARKS = "\"'`.,;:()[]{}<>!?*&#$%"
 _QUOTES = "\"'`.,;:()[]{}<>"
 _TOKEN = re.compile(r"\S+")
 
@@ -64,17 +65,39 @@ def shape(word: str) -> str:
     return s[:6]
 
 
-def token_features(word: str) -> list[int]:
-    core = word.strip(_QUOTES)
+def kind_of(word: str) -> tuple:
+    """All of a token that its features depend on, but for the word itself as
+    a neighbour: for a plain word its case, length and marks, else the token."""
+    core = word.strip(_MARKS)
+    if core.isalpha():
+        case = 2 if core.isupper() else core[0].isupper()
+        return case, min(len(core), 48) // 4, word[0] != core[0], word[-1:] if word[-1] != core[-1] else ""
+    return (word,)
+
+
+def token_features(kind: tuple) -> list[int]:
+    if len(kind) > 1:
+        case, length, left, right = kind
+        return [_bucket(f) for f in (f"plain {case} {left} {right}", f"length {length}", f"makeup word {length}", "any token")]
+    core = kind[0].strip(_MARKS)
     digits, upper = sum("0" <= c <= "9" for c in core), sum("A" <= c <= "Z" for c in core)
     turns = sum(a.isdigit() != b.isdigit() for a, b in zip(core[:200], core[1:200]))
     length = min(len(core), 48) // 4
-    makeup = "hex" if re.fullmatch("[0-9a-f]+", core) else "upper" if re.fullmatch("[A-Z0-9]+", core) else "word" if core.isalpha() else "mixed"
-    return [_bucket(f) for f in (f"shape {shape(word)}", f"length {length}", f"makeup {makeup} {length}", f"digits {min(digits, 8)}", f"turns {min(turns, 6)}", f"upper {min(upper, 6)} {min(digits, 3)}", f"starts {core[:4].lower()}", f"equals {'=' in core} {length}", "any token")]
+    makeup = "hex" if re.fullmatch("[0-9a-f]+", core) else "upper" if re.fullmatch("[A-Z0-9]+", core) else "mixed"
+    return [_bucket(f) for f in (f"shape {shape(kind[0])}", f"length {length}", f"makeup {makeup} {length}", f"digits {min(digits, 8)}", f"turns {min(turns, 6)}", f"upper {min(upper, 6)} {min(digits, 3)}", f"starts {core[:4].lower()}", f"equals {'=' in core} {length}", "any token")]
+
+
+def beside_kind(kind: tuple, side: str) -> list[int]:
+    """Features a neighbour's kind gives; those of its word come on top."""
+    return [_bucket(f"{side} plain {kind[0]} {kind[3]}" if len(kind) > 1 else f"{side} shape {shape(kind[0])}")]
+
+
+def beside_word(word: str, side: str) -> int:
+    return _bucket(f"{side} {word.strip(_MARKS).lower()[:24]}")
 
 
 def beside_features(word: str, side: str) -> list[int]:
-    return [_bucket(f"{side} {word.strip(_QUOTES).lower()[:24]}"), _bucket(f"{side} shape {shape(word)}")]
+    return [beside_word(word, side), *beside_kind(kind_of(word), side)]
 
 
 def file_features(text: str, words: list[str]) -> list[int]:
@@ -111,25 +134,41 @@ def viterbi(emit: np.ndarray, model: Model, at_start: bool, after_outside: bool,
 
 
 class Tagger:
-    """A model with the scores of the words a worker has met: of each word as
-    the token itself, as the word before, and as the word after."""
+    """A model with scores for the kinds of words a worker has met: of each as
+    the token itself, as the word before, and as the word after. A word that
+    the model knows as a neighbour has scores of its own."""
 
     def __init__(self, model: Model) -> None:
         self.model, self.slack = model, model.slack()
+        self.weighty = model.weights.any(axis=1)
         self.place: dict[str, int] = {}
+        self.kinds: dict[tuple, int] = {}
         self.scores = np.zeros((1024, 3, 3))
+        self.used = 0
 
-    def _learn(self, words: list[str]) -> None:
+    def _row(self, kind: tuple, before: list[int], after: list[int]) -> int:
+        if self.used >= len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
         w = self.model.weights
+        self.scores[self.used] = [w[token_features(kind)].sum(0), w[before + beside_kind(kind, "before")].sum(0), w[after + beside_kind(kind, "after")].sum(0)]
+        self.used += 1
+        return self.used - 1
+
+    def _learn(self, words: list[str]) -> None:
         for word in words:
-            k = self.place[word] = len(self.place)
-            if k >= len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[k] = [w[token_features(word)].sum(0), w[beside_features(word, "before")].sum(0), w[beside_features(word, "after")].sum(0)]
+            kind, before, after = kind_of(word), beside_word(word, "before"), beside_word(word, "after")
+            if self.weighty[before] or self.weighty[after]:
+                self.place[word] = self._row(kind, [before], [after])
+                continue
+            if kind not in self.kinds:
+                self.kinds[kind] = self._row(kind, [], [])
+            self.place[word] = self.kinds[kind]
 
     def emissions(self, text: str, words: list[str]) -> np.ndarray:
         if len(self.place) > KEPT:
             self.place.clear()
+            self.kinds.clear()
+            self.used = 0
         if new := [w for w in set(words) if w not in self.place]:
             self._learn(new)
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
@@ -187,7 +226,7 @@ def _windows(text: str) -> list[tuple[list[list[int]], list[int]]]:
     of_file, out = file_features(text, words), []
     for c in centres[:4] or [len(words) // 2]:
         low, high = max(0, c - SIDE), min(len(words), c + SIDE + 1)
-        features = [token_features(words[k]) + of_file + (beside_features(words[k - 1], "before") if k else []) + (beside_features(words[k + 1], "after") if k + 1 < len(words) else []) for k in range(low, high)]
+        features = [token_features(kind_of(words[k])) + of_file + (beside_features(words[k - 1], "before") if k else []) + (beside_features(words[k + 1], "after") if k + 1 < len(words) else []) for k in range(low, high)]
         out.append((features, tags[low:high]))
     return out
 
