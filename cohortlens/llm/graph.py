@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import salted_join, stage
+from cohortlens.llm.common import stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,10 +16,10 @@ def components(links: DataFrame) -> DataFrame:
     both = stage(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
     labels = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
-        heard = salted_join(both, labels.withColumnRenamed("node", "a"), ["a"], F.col("b")).groupBy("b").agg(F.min("label").alias("heard"))
-        lower = labels.join(heard, labels["node"] == heard["b"], "left").select("node", F.least("label", F.coalesce("heard", "label")).alias("next"), F.col("label").alias("old"))
+        heard = both.join(labels.withColumnRenamed("node", "a"), "a").groupBy("b").agg(F.min("label").alias("heard"))
+        lower = labels.join(heard.withColumnRenamed("b", "node"), "node", "left").select("node", F.least("label", F.coalesce("heard", "label")).alias("next"), F.col("label").alias("old"))
         of_label = labels.select(F.col("node").alias("next"), F.col("label").alias("jump"))
-        new = stage(salted_join(lower, of_label, ["next"], F.col("node"), "left").select("node", F.least("next", F.coalesce("jump", "next")).alias("label"), "old"), "labels")
+        new = stage(lower.join(of_label, "next", "left").select("node", F.least("next", F.coalesce("jump", "next")).alias("label"), "old"), "labels")
         if new.where("label <> old").isEmpty():
             return new.select("node", "label")
         labels = new.select("node", "label")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import SALTS, broadcast_if_small, null_safe_join, salted_join, slices, stage, with_group_result
+from cohortlens.llm.common import broadcast_if_small, null_safe_join, salted_join, slices, stage
 from cohortlens.llm.graph import components
 from cohortlens.llm.shingles import shingle_set
 
@@ -34,7 +34,7 @@ SHARED = 75
 #: Of the 48 minhashes this many at least must agree; at 0.75 fewer do once in 10 million pairs.
 AGREE = 19
 #: Pivots of a bucket by round, the last for all further rounds.
-PIVOTS = (1, 4, 16, 64)
+PIVOTS = (1, 16, 64)
 _HASHES = 2 * BANDS * ROWS
 _random = np.random.default_rng(8)
 _MULTIPLY = _random.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,13 +80,17 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.bool_())], ["a", "b", "linked"])
 
 
+def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key another row has too. A frequent key is counted in
+    every task before it is sent, and Spark splits it where it is joined."""
+    return rows.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), keys)
+
+
 def _buckets(classes: DataFrame) -> DataFrame:
     """bucket, node: the tables' buckets that have two classes at least."""
-    first = classes.select("node", F.posexplode(F.slice("keys", 1, BANDS)).alias("i", "a"))
-    met = with_group_result(first, ["i", "a"], F.col("node"), {"n": ("sum", F.lit(1))}).where("n > 1").select("i", "a", "node")
+    met = _shared(classes.select("node", F.posexplode(F.slice("keys", 1, BANDS)).alias("i", "a")), ["i", "a"])
     second = met.join(classes.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others")), "node").select("node", "i", "a", F.posexplode("others").alias("j", "b"))
-    keyed = second.select("node", F.xxhash64("i", "a", "j", "b").alias("bucket"))
-    return with_group_result(keyed, ["bucket"], F.col("node"), {"n": ("sum", F.lit(1))}).where("n > 1").select("bucket", "node")
+    return _shared(second.select("node", F.xxhash64("i", "a", "j", "b").alias("bucket")), ["bucket"])
 
 
 def classes_and_labels(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
@@ -113,10 +117,9 @@ def _pairs(left: DataFrame, ways: int) -> tuple[DataFrame, DataFrame]:
 
     A bucket's members are dealt over ``ways`` by a hash, and each part's smallest node is a pivot."""
     part = F.pmod(F.xxhash64("node", F.lit(ways)), F.lit(ways))
-    spread = F.pmod(F.xxhash64("node"), F.lit(SALTS))
-    pivots = left.groupBy("bucket", part.alias("part"), spread.alias("s")).agg(F.min(F.struct("node", "label")).alias("p")).groupBy("bucket", "part").agg(F.min("p").alias("p"))
+    pivots = left.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "label")).alias("p"))
     listed = pivots.groupBy("bucket").agg(F.collect_list("p").alias("pivots"))  # as many as ways at most
-    held = salted_join(left, listed, ["bucket"], F.col("node")).select("node", "label", F.explode("pivots").alias("p")).where("label <> p.label")
+    held = left.join(listed, "bucket").select("node", "label", F.explode("pivots").alias("p")).where("label <> p.label")
     pairs = held.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
     return pivots.select("bucket", F.col("p.node").alias("node")), pairs
 
@@ -124,7 +127,7 @@ def _pairs(left: DataFrame, ways: int) -> tuple[DataFrame, DataFrame]:
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs that their sizes and minhashes don't rule out."""
     one = lambda end: classes.select(F.col("node").alias(end), F.struct("size", "keys").alias(f"of_{end}"))
-    both = salted_join(salted_join(pairs, one("a"), ["a"], F.col("b")), one("b"), ["b"], F.col("a"))
+    both = pairs.join(one("a"), "a").join(one("b"), "b")
     low, high = F.lit(0xFFFFFFFF), 32
     agree = F.aggregate(F.zip_with("of_a.keys", "of_b.keys", lambda x, y: F.when(x == y, 2).when((x.bitwiseAND(low) == y.bitwiseAND(low)) | (F.shiftrightunsigned(x, high) == F.shiftrightunsigned(y, high)), 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
     fits = 100 * F.least("of_a.size", "of_b.size") >= SHARED * F.greatest("of_a.size", "of_b.size")
@@ -137,8 +140,8 @@ def _resolved(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFr
     left, links, apart, turn = buckets, None, None, 0
     while True:
         labelled = left.join(labels, "node")
-        open_ = with_group_result(labelled, ["bucket"], F.col("node"), {"low": ("min", F.col("label")), "high": ("max", F.col("label"))}).where("low < high").select("bucket", "node", "label")
-        open_ = stage(open_, "open")
+        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+        open_ = stage(labelled.join(mixed, "bucket").select("bucket", "node", "label"), "open")
         if open_.isEmpty():
             return labels
         pivots, pairs = _pairs(open_, PIVOTS[min(turn, len(PIVOTS) - 1)])
@@ -146,13 +149,13 @@ def _resolved(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFr
             pairs = pairs.join(apart, ["a", "b"], "left_anti")
         end = lambda e: sets.select(F.col("node").alias(e), F.col("members").alias(f"set_{e}"))
         likely = _plausible(pairs, classes)
-        compared = salted_join(salted_join(likely, end("a"), ["a"], F.col("b")), end("b"), ["b"], F.col("a")).select("a", "b", "set_a", "set_b")
+        compared = likely.join(end("a"), "a").join(end("b"), "b").select("a", "b", "set_a", "set_b")
         seen = stage(compared.mapInArrow(_linked, "a long, b long, linked boolean"), "compared")
         found, none = seen.where("linked").select("a", "b"), seen.where("not linked").select("a", "b")
         if not found.isEmpty():
             by_label = lambda df, e: df.join(labels.select(F.col("node").alias(e), F.col("label").alias(f"l{e}")), e)
             merged = components(by_label(by_label(found, "a"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-            labels = stage(salted_join(labels, merged.select(F.col("node").alias("label"), F.col("label").alias("to")), ["label"], F.col("node"), "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+            labels = stage(labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
         apart = none if apart is None else apart.union(none)
         left = open_.join(pivots, ["bucket", "node"], "left_anti").select("bucket", "node")
         turn += 1
@@ -166,7 +169,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     table gives an empty result."""
     rows, labelled = classes_and_labels(docs, text, doc_id)
     lowest = labelled.groupBy("label").agg(F.min("low_doc").alias("component_id"))
-    of_class = salted_join(labelled.select("digest", "label", "node"), lowest, ["label"], F.col("node")).select("digest", "component_id")
+    of_class = labelled.select("digest", "label").join(lowest, "label").select("digest", "component_id")
     told = salted_join(rows.select("doc_id", "n_shingles", "digest", "text_key"), of_class, ["digest"], F.struct("doc_id", "text_key"), "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return told.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -178,7 +181,7 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     without words stay. Of rows equal in doc_id and text one stays."""
     rows, labelled = classes_and_labels(docs, text, doc_id)
     lowest = labelled.groupBy("label").agg(F.min("low_doc").alias("low"))
-    of_class = salted_join(labelled.select("digest", "label", "node"), lowest, ["label"], F.col("node")).select("digest", "label", "low")
+    of_class = labelled.select("digest", "label").join(lowest, "label").select("digest", "label", "low")
     members = salted_join(rows.where("n_shingles > 0").select("digest", "doc_id", "text_key"), of_class, ["digest"], F.struct("doc_id", "text_key")).where(F.col("doc_id").eqNullSafe(F.col("low")))
     chosen = members.groupBy("label").agg(F.min(F.struct("doc_id", "text_key")).alias("c")).select("c.doc_id", "c.text_key")
     wordless = rows.where("n_shingles = 0").select("doc_id", "text_key").distinct()
