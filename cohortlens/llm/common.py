@@ -85,6 +85,17 @@ def broadcast_if_small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
+def smallest_by_hash(rows: DataFrame, group: str, id_: str, most: int) -> DataFrame:
+    """Of narrow ``rows``, ``most`` per group at most: those with the smallest
+    hash of the id. Ranked first within SALTS parts of a group, so that the
+    second ranking meets SALTS * most rows of a group, whatever its size."""
+    h = F.xxhash64(F.col(id_))
+    part = Window.partitionBy(group, F.pmod(h, F.lit(SALTS))).orderBy(h, id_)
+    first = rows.withColumn("__rank", F.row_number().over(part)).where(F.col("__rank") <= most)
+    whole = Window.partitionBy(group).orderBy(h, id_)
+    return first.withColumn("__rank", F.row_number().over(whole)).where(F.col("__rank") <= most).drop("__rank")
+
+
 def salted_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table``, which has a row for each key (null is one).
 

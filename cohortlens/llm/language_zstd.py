@@ -12,11 +12,12 @@ import re
 from collections import defaultdict
 
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices
+from cohortlens.llm.common import broadcast_if_small, slices, smallest_by_hash, stage
 
 #: Sample texts per language, at most, chosen by a hash of their ids; characters taken from one; bytes of a dictionary.
 ROWS, PIECE, DICTIONARY = 400, 800, 256 << 10
@@ -34,12 +35,13 @@ def has_letter(text: str | None) -> bool:
 
 
 def sample(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict[str, bytes]:
-    """A dictionary for each language that rows with ``learn_from`` name. Each
-    task and the driver hold ROWS pieces per language at most."""
-    rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.substring(text, 1, PIECE).alias("text"), F.col(doc_id).alias("id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text"))
+    """A dictionary for each language that rows with ``learn_from`` name, from
+    ROWS pieces per language at most; rows without an id are passed over."""
+    rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"), F.substring(text, 1, PIECE).alias("text"))
+    chosen = stage(smallest_by_hash(rows.select("lang", "id").where("id is not null").distinct(), "lang", "id", ROWS), "language-sample")
     found = defaultdict(list)
-    for r in sorted(rows.withColumn("rank", rank).where(F.col("rank") <= ROWS).collect(), key=lambda r: (r["lang"], r["rank"])):
+    pieces = rows.join(broadcast_if_small(chosen), ["lang", "id"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
+    for r in sorted(pieces.collect(), key=lambda r: (r["lang"], xxhash.xxh64_intdigest(str(r["id"])))):
         found[r["lang"]].append(r["text"].lower().encode())
     return {k: b"\n".join(v)[:DICTIONARY] for k, v in found.items()}
 

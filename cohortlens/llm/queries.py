@@ -12,7 +12,7 @@ from cohortlens.llm.common import read
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learnt from the labels that are not held out."""
     docs, out = read(spark, sf_dir, "documents"), toxicity.held_out(F.col("doc_id"))
-    model = toxicity.learn(docs, read(spark, sf_dir, "labels"), ~out)
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"), toxicity.not_held_out)
     return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -19,10 +19,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices
+from cohortlens.llm.common import slices, smallest_by_hash, stage
 from cohortlens.llm.spans import Span, covered, sha256, written
 
 KINDS = ("assign", "access", "hex")
@@ -284,11 +284,12 @@ def fit(texts: list[str]) -> Model:
 
 
 def learn(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Model:
-    """A model from ROWS texts with a likely secret and ROWS without, chosen by a hash of their ids."""
-    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= LONGEST)).select(F.col(text).alias("text"), F.col(doc_id).alias("id"), F.col(text).rlike(LIKELY).alias("likely"))
-    rank = F.row_number().over(Window.partitionBy("likely").orderBy(F.xxhash64("id"), "id", "text"))
-    picked = rows.withColumn("rank", rank).where(F.col("rank") <= ROWS).collect()
-    return fit([r["text"] for r in sorted(picked, key=lambda r: (r["likely"], r["rank"]))])
+    """A model from ROWS texts with a likely secret and ROWS without, chosen by a hash of their ids; rows without an id are passed over."""
+    rows = docs.where(F.col(doc_id).isNotNull() & (F.length(text) <= LONGEST)).select(F.col(text).alias("text"), F.col(doc_id).alias("id"))
+    ids = rows.select("id", F.col("text").rlike(LIKELY).alias("likely")).groupBy("id").agg(F.max("likely").alias("likely"))
+    chosen = stage(smallest_by_hash(ids, "likely", "id", ROWS), "secrets-sample")
+    picked = rows.join(F.broadcast(chosen), "id").groupBy("id", "likely").agg(F.min("text").alias("text")).collect()  # 2 * ROWS at most
+    return fit([r["text"] for r in sorted(picked, key=lambda r: (r["likely"], r["id"]))])
 
 
 def secrets(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

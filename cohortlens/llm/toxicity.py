@@ -3,8 +3,10 @@
 A word is the bag of its character n-grams and itself, each hashed to a bucket
 that has a vector; a document is the mean over its distinct words of the means
 over their subwords; a linear softmax tells the classes. Vectors and softmax
-are trained together by Adam. A misspelling that was never seen shares most
-of its n-grams with the word it stands for, and so the vectors.
+are trained together, by steps with momentum in proportion to the gradient (a
+step per number, as large for rare noise as for telling subwords, would learn
+the noise). A misspelling that was never seen shares most of its n-grams with
+the word it stands for, and so the vectors.
 
 Training runs on the driver on a bounded sample (TOXIC_ROWS, CLEAN_ROWS, texts
 of up to LONGEST characters); what the tasks get is one number per bucket, the
@@ -13,15 +15,16 @@ softmax's margin of its vector, as that is all a score needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices
+from cohortlens.llm.common import slices, smallest_by_hash, stage
 
 #: Labelled rows to learn from, at most, by label, chosen by a hash of their ids; longer texts are passed over.
 TOXIC_ROWS, CLEAN_ROWS, LONGEST = 1_000, 2_000, 20_000
@@ -31,7 +34,7 @@ SHORTEST_GRAM, LONGEST_GRAM, BITS, SIZE = 3, 5, 18, 4
 RARE, COMMON, FEWEST = 0.01, 0.5, 3
 #: Words that count as neutral in every document: a few words alone say little.
 NEUTRAL = 40
-EPOCHS, RATE, DECAY, SCALE, SEED = 80, 0.02, 0.1, 50.0, 1
+EPOCHS, RATE, SCALE, SEED = 60, 0.3, 50.0, 1
 #: Documents with this score are predicted toxic.
 THRESHOLD = 0.7
 #: Words whose margins a worker keeps; bytes of text it scores at a time.
@@ -120,7 +123,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     vectors, softmax, bias = (rng.standard_normal((len(used), SIZE)) * 0.01).astype(np.float32), rng.standard_normal((SIZE, 2)).astype(np.float32), np.zeros(2, np.float32)
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum()).astype(np.float32)[:, None]
     right = np.stack([1 - y, y], 1)
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (vectors, softmax, bias)]
+    moments = [np.zeros_like(p) for p in (vectors, softmax, bias)]
     for epoch in range(1, EPOCHS + 1):
         words = _sums(vectors[place], per_word) * part
         hidden = _sums(words[word], per_doc) * share
@@ -130,25 +133,27 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         from_docs = (wrong @ softmax.T) * share
         from_words = _sums(from_docs[doc_of], per_word_docs) * part
         steps = (_sums(from_words[word_of], per_bucket), hidden.T @ wrong, wrong.sum(0))
-        for value, step, (m, v), decay in zip((vectors, softmax, bias), steps, moments, (DECAY, 0, 0)):
+        for value, step, m, rate in zip((vectors, softmax, bias), steps, moments, (RATE, RATE / 10, RATE / 10)):
             m += 0.1 * (step - m)
-            v += 0.01 * (step * step - v)
-            value -= RATE * (m / (1 - 0.9**epoch) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-5) + decay * value)
+            value -= rate * (1 - epoch / (EPOCHS + 1)) * m / (np.abs(m).max() + 1e-12)
     margins = np.zeros(1 << BITS, np.float32)
     margins[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
     return Model(margins, float(bias[1] - bias[0]))
 
 
-def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Model:
-    """A model from the rows of ``docs`` for which ``learn_from`` holds and
-    that ``labels`` (doc_id, label) marks 0 or 1; null texts are passed over.
-    The sample per label is bounded; each task keeps no more than it either."""
-    told = labels.where(F.col(label).isin(0, 1)).groupBy(doc_id).agg(F.max(label).cast("int").alias("__label"))
-    rows = docs.where(learn_from & (F.length(text) <= LONGEST)).select(F.col(doc_id), F.col(text).alias("__text")).join(told, doc_id)
-    rank = F.row_number().over(Window.partitionBy("__label").orderBy(F.xxhash64(doc_id), doc_id, "__text"))
-    sample = rows.withColumn("__rank", rank).where((F.col("__rank") <= F.when(F.col("__label") == 1, TOXIC_ROWS).otherwise(CLEAN_ROWS)) & (F.col("__rank") <= max(TOXIC_ROWS, CLEAN_ROWS)))
-    picked = sorted((r["__label"], r["__rank"], r["__text"]) for r in sample.select("__label", "__rank", "__text").collect())
-    return fit([x for _, _, x in picked], [k for k, _, _ in picked])
+def learn(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Column], text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Model:
+    """A model from the rows of ``docs`` whose id ``learn_from`` accepts and
+    ``labels`` (doc_id, label) marks 0 or 1; null texts are passed over. The
+    sample is drawn from the ids, so the corpus is read but not moved."""
+    told = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & learn_from(F.col(doc_id))).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("label"))
+    sizes = docs.select(F.col(doc_id).alias("id"), F.length(text).alias("n")).where(F.col("n") <= LONGEST).select("id")
+    known = told.join(sizes, "id", "left_semi")
+    by_label = [smallest_by_hash(known.where(F.col("label") == k), "label", "id", most) for k, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
+    chosen = stage(by_label[0].union(by_label[1]), "toxicity-sample")
+    rows = docs.where(F.length(text) <= LONGEST).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    picked = rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect()  # TOXIC_ROWS + CLEAN_ROWS at most
+    picked.sort(key=lambda r: (r["label"], r["id"]))
+    return fit([r["text"] for r in picked], [r["label"] for r in picked])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -168,6 +173,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def not_held_out(doc_id: Column) -> Column:
+    return ~held_out(doc_id)
+
+
 def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below THRESHOLD."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

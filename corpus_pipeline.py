@@ -11,7 +11,6 @@ their predecessor kept; an empty table passes through as an empty table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortlens.llm import decontaminate, minhash_tensor, mixing, token_orc, toxicity
 from cohortlens.llm.common import read, stage
@@ -21,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of toxicity.THRESHOLD or more go; null
     and empty texts score 0 and stay. The model learns from labelled documents
     that are not held out."""
-    model = toxicity.learn(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out(F.col("doc_id")))
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"), toxicity.not_held_out)
     return toxicity.without_toxic(docs, model)
 
 
