@@ -26,7 +26,6 @@ ORDINAL_SCORES = {
 # Text values that count as a true flag (case-sensitive).
 TRUE_FLAGS = ["1", "TRUE"]
 # Loaded-flag values (text form, after casting to string).
-LOADED_FLAGS = ["1", "true"]
 # Wave value used when the wave text has no usable leading integer.
 MISSING_WAVE = 999
 # Nocturnal hours: before 06:00 or from 22:00 on.
@@ -42,7 +41,6 @@ ITEM_NAME_RE = r"(?i)^(?:bw_)?([a-z][a-z0-9_]*?)_(\d+)(?:_.*)?$"
 # surrounding whitespace (the reference trims first). Hex, "Infinity" and
 # "NaN" are rejected.
 NUMBER_RE = r"^\s*([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
-EDGE_WS_RE = r"^\s+|\s+$"
 
 
 def _c(c) -> Column:
@@ -108,8 +106,9 @@ def flag_true(c) -> Column:
 
 
 def flag_loaded(c) -> Column:
-    """1, true or '1' (text form)."""
-    return F.coalesce(F.lower(_c(c).cast("string")).isin(*LOADED_FLAGS), F.lit(False))
+    """1, boolean true or '1'; no other text."""
+    text = _c(c).cast("string")
+    return F.coalesce((text == "1") | ((F.typeof(_c(c)) == "boolean") & (text == "true")), F.lit(False))
 
 
 def wave_number(c) -> Column:

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-MAX_ROUNDS = 64
-
 
 def _orient(e: DataFrame) -> DataFrame:
     """(u, v) with u > v, no self loops, no duplicates."""
@@ -44,7 +42,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
     """(id, component) where component = smallest vertex id of the component.
     ``vertices`` adds isolated vertices (their own component)."""
     e = cut_lineage(_orient(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))))
-    for _ in range(MAX_ROUNDS):
+    while True:  # every round shortens the longest path; it ends when all edges form stars
         e = cut_lineage(_small_star(_large_star(e)))
         # converged when the edges form stars: each node has one target and
         # no target is itself the source of an edge

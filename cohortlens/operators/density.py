@@ -246,32 +246,75 @@ def radius_components(points: DataFrame, radius: float, id_col: str = "record_id
     return _grid_labels(points, max(float(radius), 0.0), 1, id_col, x, y, index_col)
 
 
+#: Relative width of the bracket in which single-link joins groups edge by edge.
+BRACKET = 0.05
+
+
 def single_link(points: DataFrame, k: int, id_col: str = "record_id", x: str = "x", y: str = "y",
-                index_col: str | None = None, max_probes: int = 60) -> DataFrame:
-    """Single-link hierarchical clustering into k groups, labels by first
-    appearance. Cutting the k-1 heaviest minimum-spanning-tree edges equals
-    linking all pairs closer than a threshold t with w_k <= t < w_(k-1); t is
-    found by bisection, each probe being one distributed radius-components
-    run (no spanning tree and no pair table on one machine). If equal edge
-    weights make exactly k groups impossible, the result is the smallest
-    probed threshold giving fewer than k groups."""
-    pts = points.select(id_col, x, y, *([index_col] if index_col and index_col != id_col else []))
-    n = pts.count()
-    k = max(1, min(int(k), n))
-    b = pts.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    hi = math.hypot(b[1] - b[0], b[3] - b[2]) + 1e-12
-    lo = 0.0
-    best = None
-    for _ in range(max_probes):
+                index_col: str | None = None) -> DataFrame:
+    """Single-link hierarchical clustering into exactly k groups (all
+    points if there are fewer), labels by first appearance.
+
+    Cutting the k-1 heaviest minimum-spanning-tree edges equals linking all
+    pairs closer than a threshold. Bisection narrows the threshold to a bracket
+    (each probe one distributed radius-components run); the groups at its lower
+    end are then joined by the edges within it, shortest first, then by the
+    ends' indexes, until k are left. So ties leave exactly k groups too."""
+    idx = index_col or id_col
+    pts = cut_lineage(points.select(F.col(id_col).alias("pid"), F.col(idx).alias("ix"), F.col(x).alias("x"), F.col(y).alias("y")))
+    b = pts.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.count(F.lit(1))).first()
+    n = b[4]
+    k = max(1, min(int(k), n)) if n else 1
+    lab = cut_lineage(radius_components(pts, 0.0, "pid", "x", "y", "ix"))
+    groups = lab.agg(F.countDistinct("label")).first()[0]
+    lo, hi = 0.0, (math.hypot(b[1] - b[0], b[3] - b[2]) * (1 + 1e-9) + 1e-12 if n else 1.0)
+    if groups < k:  # coincident points have to be told apart: every point starts alone
+        lab = pts.select("pid", F.col("ix").alias("label"))
+        groups, hi = n, 0.0
+    while groups > k and hi - lo > BRACKET * hi:
         mid = (lo + hi) / 2
-        lab = cut_lineage(radius_components(pts, mid, id_col, x, y, index_col))
-        groups = lab.agg(F.countDistinct("label")).first()[0]
-        if groups == k:
-            return lab
-        if groups > k:
-            lo = mid
-        else:
-            hi, best = mid, lab
-        if hi - lo <= 1e-12 * max(1.0, hi):
+        if not lo < mid < hi:
             break
-    return best if best is not None else radius_components(pts, hi, id_col, x, y, index_col)
+        probe = cut_lineage(radius_components(pts, mid, "pid", "x", "y", "ix"))
+        found = probe.agg(F.countDistinct("label")).first()[0]
+        if found >= k:
+            lo, lab, groups = mid, probe, found
+        else:
+            hi = mid
+    if groups > k:
+        lab = _join_groups(pts.join(lab, "pid"), hi, groups - k)
+    first = pts.join(lab, "pid").groupBy("label").agg(F.min("ix").alias("first"))
+    order = with_row_index(first, "number", order_by=["first"], start=0)
+    return lab.join(order, "label").select(F.col("pid").alias(id_col), F.col("number").cast("int").alias("label"))
+
+
+def _join_groups(pts: DataFrame, radius: float, joins: int) -> DataFrame:
+    """(pid, label) after ``joins`` joins of groups along their shortest edges
+    of at most ``radius``, in the order (length, index, index).
+
+    Per pair of groups only the first edge counts. The minimum spanning forest
+    is found by rounds in which each group takes its first edge out; the first
+    ``joins`` edges of the forest are those a sequential clustering would join by."""
+    side = radius if radius > 0 else 1.0
+    cells = pts.select("ix", "label", "x", "y", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"))
+    if radius > 0:
+        near = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]))
+        spots = cells.groupBy("label", "x", "y", "cx", "cy").agg(F.min("ix").alias("ix"))
+        a = spots.select(*[F.col(c).alias(f"a_{c}") for c in spots.columns], near.alias("o")).select("*", (F.col("a_cx") + F.col("o.dx")).alias("cx"), (F.col("a_cy") + F.col("o.dy")).alias("cy"))
+        length = F.hypot(F.col("a_x") - F.col("x"), F.col("a_y") - F.col("y"))
+        pairs = a.join(spots, ["cx", "cy"]).where((F.col("a_label") < F.col("label")) & (length <= radius * (1 + 1e-12))).select(F.col("a_label").alias("u"), F.col("label").alias("v"), F.struct(length.alias("d"), F.least("a_ix", "ix").alias("i"), F.greatest("a_ix", "ix").alias("j")).alias("e"))
+    else:  # coincident points: each to the first of its place
+        home = cells.groupBy("x", "y").agg(F.min(F.struct("ix", "label")).alias("home"))
+        pairs = cells.join(home, ["x", "y"]).where("ix <> home.ix").select(F.least("label", "home.label").alias("u"), F.greatest("label", "home.label").alias("v"), F.struct(F.lit(0.0).alias("d"), F.col("home.ix").alias("i"), F.col("ix").alias("j")).alias("e"))
+    edges = cut_lineage(pairs.groupBy("u", "v").agg(F.min("e").alias("e")).select("u", "v", "e", F.col("u").alias("cu"), F.col("v").alias("cv")))
+    forest = None
+    while not edges.isEmpty():
+        ends = edges.select(F.col("cu").alias("c"), "e", "u", "v").unionByName(edges.select(F.col("cv").alias("c"), "e", "u", "v"))
+        taken = cut_lineage(ends.groupBy("c").agg(F.min(F.struct("e", "u", "v")).alias("t")).select("t.e", "t.u", "t.v").distinct())
+        forest = taken if forest is None else cut_lineage(forest.unionByName(taken).distinct())
+        comp = connected_components(forest.select(F.col("u").alias("src"), F.col("v").alias("dst")))
+        side_of = lambda df, end: df.drop(f"c{end}").join(comp.select(F.col("id").alias(end), F.col("component").alias(f"c{end}")), end)
+        edges = cut_lineage(side_of(side_of(edges, "u"), "v").where("cu <> cv"))
+    ranked = with_row_index(forest, "_rank", order_by=["e"])
+    comp = connected_components(ranked.where(F.col("_rank") <= joins).select(F.col("u").alias("src"), F.col("v").alias("dst")))
+    return pts.join(comp.withColumnRenamed("id", "label"), "label", "left").select("pid", F.coalesce("component", "label").alias("label"))

@@ -94,16 +94,12 @@ def restrict_to_cohort(df: DataFrame, cohort_keys: DataFrame, key: str = "pid",
     """Keep source rows whose key is in the cohort (left semi join).
 
     With a small (checked) key set the semi join is a map-side broadcast
-    filter before any shuffle. Otherwise rows are left as they are: the
-    per-key aggregate shrinks them map-side and the cohort left join drops
-    foreign keys afterwards, which beats shuffling raw rows to a join.
+    filter before any shuffle; with a larger one the same join is shuffled.
     """
     keys = cohort_keys.select(key).distinct()
     if broadcastable is None:
         keys, broadcastable = broadcast_if_small(keys)
-    if broadcastable:
-        return df.join(F.broadcast(keys), on=key, how="left_semi")
-    return df
+    return df.join(F.broadcast(keys) if broadcastable else keys, on=key, how="left_semi")
 
 
 # --- A1 .. A13: per-source feature blocks ------------------------------------
@@ -440,7 +436,6 @@ def data_dictionary(wide: DataFrame) -> DataFrame:
 def source_inventory(sources: dict[str, DataFrame], wide: DataFrame | None = None) -> DataFrame:
     """Rows per source and whether the source was used (one count job
     per source; counts are combined in Spark, not hard-coded)."""
-    spark = next(iter(sources.values())).sparkSession
     parts = []
     for name, df in sources.items():
         parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
@@ -452,7 +447,6 @@ def source_inventory(sources: dict[str, DataFrame], wide: DataFrame | None = Non
             F.lit("participants").alias("file"), F.lit("result").alias("block"),
             F.lit(True).alias("used"), "rows")
         out = out.unionByName(totals)
-    del spark
     return out
 
 

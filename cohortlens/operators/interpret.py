@@ -35,12 +35,10 @@ WELLBEING_VARIABLES = ["promis_total", "wemwbs_total", "gdt_total", "bangs_total
 SUMMARY_VARIABLES = ["telem_nocturnal_sessions", "telem_total_sessions", "num_platforms",
                      "num_telemetry_platforms", "timeuse_num_days", "timeuse_gaming_entries",
                      "promis_total", "wemwbs_total", "gdt_total", "bangs_total"]
-COVERAGE_FLAGS = ["has_steam", "has_xbox", "has_nintendo", "has_android", "has_ios", "has_biweekly",
-                  "has_daily", "has_cognitive", "has_timeuse"]
+COVERAGE_FLAGS = ["has_steam", "has_xbox", "has_nintendo", "has_android", "has_ios", "has_cognitive",
+                  "has_timeuse", "has_daily", "has_biweekly"]
 # Canonical profiles: weights on standardised differences, in canonical order.
 # The second one scores closeness to the global mean over SIGNATURE_COLUMNS.
-CANONICAL_NAMES = ["multiplatform", "lower-intensity base", "high total and nocturnal intensity",
-                   "wellbeing, risk and recorded use"]
 CANONICAL_WEIGHTS = [
     {"num_platforms": 1.0, "num_telemetry_platforms": 1.0},
     None,
@@ -57,6 +55,10 @@ OFFICIAL_ITERATIONS = 100
 TOP_PROFILE = 8
 # ---------------------------------------------------------------------------
 
+# Own names of the canonical profiles, in canonical order.
+CANONICAL_NAMES = ["multiplatform", "lower-intensity base", "high total and nocturnal intensity",
+                   "wellbeing, risk and recorded use"]
+
 
 def long_values(df: DataFrame, variables: list[str], id_col: str = "record_id",
                 extra: list[str] | None = None) -> DataFrame:

@@ -15,7 +15,9 @@ CUST_NUMERIC = ["acctbal", "n_orders", "spend", "mean_price", "max_price", "n_ur
                 "has_orders", "has_events"]
 
 
-def cust(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cust(spark: SparkSession, sf_dir: str, materialise: bool = True) -> DataFrame:
+    """The feature table; ``materialise=False`` keeps the plan, for queries
+    that pass over it once and need few of its columns or rows."""
     c = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders")
     e = table(spark, sf_dir, "events")
@@ -34,9 +36,9 @@ def cust(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_nationkey").alias("nation"),
                     F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("acctbal"))
     out = base.join(oagg, "record_id", "left").join(eagg, "record_id", "left")
-    # materialised once: analyses make several passes over it
-    return cut_lineage(out.select("*", F.col("n_orders").isNotNull().cast("int").alias("has_orders"),
-                      F.col("n_events").isNotNull().cast("int").alias("has_events")))
+    out = out.select("*", F.col("n_orders").isNotNull().cast("int").alias("has_orders"),
+                     F.col("n_events").isNotNull().cast("int").alias("has_events"))
+    return cut_lineage(out) if materialise else out
 
 
 CUST_SQL = """cust AS (

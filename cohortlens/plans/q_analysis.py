@@ -10,6 +10,7 @@ from ..operators import integrate as I
 from ..operators import profile as PR
 from ..operators import quality as QA
 from ..operators import relate as RL
+from ..operators.interpret import RECOMMENDED_VECTOR
 from .features import CUST_SQL, cust
 from .oracle_integration import integration_with
 from .q_integration import wide_table
@@ -72,7 +73,7 @@ def _rng(x, lo=None, hi=None, include_missing=None):
 
 @query("filter_range", WC + f"SELECT record_id, acctbal FROM cust WHERE {_rng('acctbal', 0, 5000)}")
 def filter_range(spark, sf_dir):
-    df = cust(spark, sf_dir)
+    df = cust(spark, sf_dir, materialise=False)
     return FL.filter_rows(df, {"acctbal": FL.ColumnFilter(min=0, max=5000)}).select("record_id", "acctbal")
 
 
@@ -80,7 +81,7 @@ def filter_range(spark, sf_dir):
 WHERE {_rng('nation', 2, 20)} AND CAST(nation AS VARCHAR) IN ('1', '3', '5', '7', '11', '13', '21')
   AND segment IN ('BUILDING', 'MACHINERY')""")
 def filter_category(spark, sf_dir):
-    df = cust(spark, sf_dir)
+    df = cust(spark, sf_dir, materialise=False)
     f = {"nation": FL.ColumnFilter(min=2, max=20, values=["1", "3", "5", "7", "11", "13", "21"]),
          "segment": FL.ColumnFilter(values=["BUILDING", "MACHINERY"])}
     return FL.filter_rows(df, f).select("record_id")
@@ -91,7 +92,7 @@ WHERE {_rng('spend', 1000000, None)}
   AND CAST(record_id AS VARCHAR) IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders
                                      WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')""")
 def filter_selection(spark, sf_dir):
-    df = cust(spark, sf_dir)
+    df = cust(spark, sf_dir, materialise=False)
     o = table(spark, sf_dir, "orders")
     sel = o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")).select("o_custkey")
     return FL.filter_rows(df, {"spend": FL.ColumnFilter(min=1000000)}, selected=sel).select("record_id")
@@ -101,7 +102,7 @@ def filter_selection(spark, sf_dir):
 WHERE {_rng('acctbal', -500, 8000, False)} AND segment IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')
   AND {_rng('ev_total', 100, None)} AND {_rng('n_orders', None, 12)}""")
 def filter_combined(spark, sf_dir):
-    df = cust(spark, sf_dir)
+    df = cust(spark, sf_dir, materialise=False)
     f = {"acctbal": FL.ColumnFilter(min=-500, max=8000, include_missing=False),
          "segment": FL.ColumnFilter(values=["AUTOMOBILE", "FURNITURE", "HOUSEHOLD"]),
          "ev_total": FL.ColumnFilter(min=100),
@@ -112,7 +113,7 @@ def filter_combined(spark, sf_dir):
 @query("complete_cases", WC + """SELECT record_id FROM cust
 WHERE acctbal IS NOT NULL AND n_events IS NOT NULL AND ev_mean IS NOT NULL""")
 def complete_cases(spark, sf_dir):
-    return FL.complete_cases(cust(spark, sf_dir), ["acctbal", "n_events", "ev_mean"]).select("record_id")
+    return FL.complete_cases(cust(spark, sf_dir, materialise=False), ["acctbal", "n_events", "ev_mean"]).select("record_id")
 
 
 @query("keyword_search", """SELECT p_partkey, p_name, p_brand FROM part
@@ -127,7 +128,7 @@ def keyword_search(spark, sf_dir):
 @query("preview_page", WC + """SELECT record_id, segment, nation, n_orders, n_urgent, n_status
 FROM cust ORDER BY record_id LIMIT 10 OFFSET 30""")
 def preview_page(spark, sf_dir):
-    df = cust(spark, sf_dir).select("record_id", "segment", "nation", "n_orders", "n_urgent", "n_status")
+    df = cust(spark, sf_dir, materialise=False).select("record_id", "segment", "nation", "n_orders", "n_urgent", "n_status")
     return FL.preview_page(df, page=3)
 
 
@@ -153,7 +154,7 @@ def _txt(c):
     f"WHERE record_id = 42 AND {_txt(c)} IS NOT NULL AND {_txt(c)} <> ''"
     for i, (s, cols) in enumerate(DETAIL_SECTIONS.items()) for c in cols))
 def participant_detail(spark, sf_dir):
-    return FL.participant_detail(cust(spark, sf_dir), 42, DETAIL_SECTIONS)
+    return FL.participant_detail(cust(spark, sf_dir, materialise=False), 42, DETAIL_SECTIONS)
 
 
 # --- profiling -----------------------------------------------------------------
@@ -330,7 +331,7 @@ FROM {src}"""
 
 @query("pearson_pair", sql_sig(WC + _pair_sql("n_orders", "spend"), ["r"]))
 def pearson_pair(spark, sf_dir):
-    return sigd(RL.pearson(cust(spark, sf_dir), "n_orders", "spend"), ["r"])
+    return sigd(RL.pearson(cust(spark, sf_dir, materialise=False), "n_orders", "spend"), ["r"])
 
 
 CORR_COLS = ["acctbal", "n_orders", "spend", "mean_price", "max_price", "n_urgent", "n_events",
@@ -367,15 +368,16 @@ b AS (SELECT *, CASE WHEN vx > 0 THEN cxy / vx END AS slope FROM a)
 SELECT n, slope, my - slope * mx AS intercept, x0, x1, (my - slope * mx) + slope * x0 AS y0,
   (my - slope * mx) + slope * x1 AS y1 FROM b""", TREND))
 def ols_trend(spark, sf_dir):
-    return sigd(RL.trend_line(cust(spark, sf_dir), "n_orders", "spend", log=True), TREND)
+    return sigd(RL.trend_line(cust(spark, sf_dir, materialise=False), "n_orders", "spend", log=True), TREND)
 
 
 @query("bivariate_points", sql_sig(WC + """SELECT record_id, spend AS x, ev_total AS y, COALESCE(acctbal, 0.0) AS color
 FROM cust WHERE spend IS NOT NULL AND ev_total IS NOT NULL""", ["x", "y", "color"]))
 def bivariate_points(spark, sf_dir):
-    return sigd(RL.bivariate_points(cust(spark, sf_dir), "spend", "ev_total", color="acctbal"), ["x", "y", "color"])
+    return sigd(RL.bivariate_points(cust(spark, sf_dir, materialise=False), "spend", "ev_total", color="acctbal"), ["x", "y", "color"])
 
 
+# fixed values: the flags of the coverage overview, in its order
 COVERAGE_FLAGS = ["has_biweekly", "has_daily", "has_steam", "has_xbox", "has_nintendo",
                   "has_android", "has_ios", "has_cognitive", "has_timeuse"]
 
@@ -400,16 +402,9 @@ def dataset_readiness(spark, sf_dir):
     return sigd(QA.readiness(wide_table(spark, sf_dir)), ["mean_missing_pct"])
 
 
-RECOMMENDED = ["age", "num_platforms", "num_telemetry_platforms", "self_reported_weekly_play",
-               "gdt_total", "promis_total", "wemwbs_total", "bangs_total", "telem_nocturnal_sessions",
-               "steam_playtime_2weeks_max", "steam_playtime_forever_max", "steam_unique_games",
-               "steam_owned_games_count", "daily_played_days", "daily_stress_days", "cog_mean_accuracy",
-               "cog_mean_rt", "timeuse_gaming_entries", "timeuse_num_days"]
-
-
 def _vector_sql() -> str:
     from itertools import combinations
-    vec = [c for c in RECOMMENDED if c != "self_reported_weekly_play"]
+    vec = [c for c in RECOMMENDED_VECTOR if c != "self_reported_weekly_play"]
     miss = " UNION ALL ".join(
         f"SELECT '{c}' AS col, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct, count({c}) > 0 AS has "
         f"FROM wide" for c in vec)
@@ -439,6 +434,6 @@ SELECT *, CASE WHEN score >= 80 THEN 'high' WHEN score >= 55 THEN 'medium' ELSE
 
 @query("vector_score", sql_sig(_vector_sql(), ["mean_missing_pct", "complete_pct"]))
 def vector_score(spark, sf_dir):
-    return sigd(QA.vector_score(wide_table(spark, sf_dir), RECOMMENDED),
+    return sigd(QA.vector_score(wide_table(spark, sf_dir), RECOMMENDED_VECTOR),
                 ["mean_missing_pct", "complete_pct"])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import permutations
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import cluster as C
@@ -286,7 +287,7 @@ def case_reasons(spark, sf_dir):
     prof_vars = numeric_features(wide, list(dict.fromkeys(IN.PROFILE_VARIABLES + feats)))
     prof = IN.cluster_profile(wide, labels, prof_vars, k=K)
     best = IN.best_assignment(IN.canonical_scores(prof))
-    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("label").orderBy(
+    w = Window.partitionBy("label").orderBy(
         F.desc(F.abs("z")), F.asc("var_order"))
     top = prof.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 3)
     counts = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members"))

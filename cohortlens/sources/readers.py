@@ -15,7 +15,8 @@ import json
 import zipfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,50 +50,51 @@ def base_name(path: Column) -> Column:
 
 def with_file_order(df: DataFrame, name: str = "file_row") -> DataFrame:
     """Dense 1..n index in file order (file path, then split start, then row
-    position inside the split). Only one small row per split reaches the
-    driver. ``df`` must come straight from a file scan."""
+    position inside the split). ``df`` must come straight from a file scan."""
     tagged = df.select("*", F.col("_metadata.file_path").alias("_fp"),
                        F.col("_metadata.file_block_start").alias("_fs"),
                        F.monotonically_increasing_id().alias("_mono"))
-    splits = (tagged.groupBy("_fp", "_fs").agg(F.count(F.lit(1)).alias("n"), F.min("_mono").alias("m0"))
-              .orderBy("_fp", "_fs").collect())
-    offsets, running = [], 1
-    for r in splits:
-        offsets.append((r["_fp"], r["_fs"], running, r["m0"]))
-        running += r["n"]
-    if not offsets:
-        return df.withColumn(name, F.lit(None).cast("long"))
-    spark = df.sparkSession
-    off = spark.createDataFrame(offsets, "_fp string, _fs long, _base long, _m0 long")
-    out = tagged.join(F.broadcast(off), ["_fp", "_fs"])
+    splits = tagged.groupBy("_fp", "_fs").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_m0"))
+    before = Window.orderBy("_fp", "_fs").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    off = splits.select("_fp", "_fs", "_m0", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).alias("_base"))
+    out = tagged.join(off, ["_fp", "_fs"])
     return out.withColumn(name, (F.col("_base") + F.col("_mono") - F.col("_m0")).cast("long")).drop(
         "_fp", "_fs", "_mono", "_base", "_m0")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             infer: bool = False, multiline: bool = False, partitions: int | None = None) -> DataFrame:
-    """Header CSV (gzip inferred from the suffix). Without a
-    schema every column is text (raw sources). Empty lines are skipped by
-    the reader. A gzip file is one unsplittable split, so it is spread over
-    ``partitions`` right after the scan."""
+def _scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+              infer: bool = False, multiline: bool = False) -> DataFrame:
     reader = (spark.read.option("header", True).option("multiLine", multiline)
               .option("mode", "PERMISSIVE").option("emptyValue", ""))
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", infer)
-    df = reader.csv(path)
-    if partitions and path.lower().endswith(".gz"):
-        df = df.repartition(partitions)
-    return df
+    return reader.csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+             infer: bool = False, multiline: bool = False, partitions: int | None = None) -> DataFrame:
+    """Header CSV (gzip inferred from the suffix). Without a
+    schema every column is text (raw sources). Empty lines are skipped by
+    the reader. A gzip file is one unsplittable split, so it is spread over
+    ``partitions`` (default: the session's parallelism) right after the scan."""
+    return _spread(_scan_csv(spark, path, schema, infer, multiline), path, partitions)
+
+
+def _spread(df: DataFrame, path: str, partitions: int | None) -> DataFrame:
+    if not path.lower().endswith(".gz"):
+        return df
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def read_csv_with_record_id(spark: SparkSession, path: str, **kw) -> DataFrame:
     """CSV with ``record_id`` backfilled by row number (file order) when
-    the column is absent or NULL; a backfilled column is put first."""
-    df = read_csv(spark, path, **kw)
+    the column is absent or NULL; a backfilled column is put first. Rows are
+    numbered where they are scanned and only then spread."""
+    df = _scan_csv(spark, path, **{k: v for k, v in kw.items() if k != "partitions"})
     present = "record_id" in df.columns
-    indexed = with_file_order(df, "_row")
+    indexed = _spread(with_file_order(df, "_row"), path, kw.get("partitions"))
     if present:
         return indexed.withColumn("record_id", F.coalesce(F.col("record_id").cast("string"),
                                                             F.col("_row").cast("string"))).drop("_row")
@@ -201,6 +203,8 @@ def cached_table(spark: SparkSession, build, folder: str, key: str) -> DataFrame
     target = f"{folder.rstrip('/')}/{key}"
     try:
         return spark.read.parquet(target)
-    except Exception:
+    except AnalysisException as exc:  # only an absent table is built; any other error is the caller's to see
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         build().write.mode("overwrite").parquet(target)
         return spark.read.parquet(target)

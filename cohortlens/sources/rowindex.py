@@ -1,44 +1,36 @@
-"""Row index without a global window.
+"""Row index without a global window over rows.
 
 A ``row_number()`` over an unpartitioned window moves every row into one
-task. Instead: count rows per partition (one small row per partition reaches
-the driver), turn the counts into offsets, and add each row's position inside
-its partition. Positions come from ``monotonically_increasing_id`` whose low
-33 bits are the record number inside the partition.
+task. Instead the rows are sorted by range and written to the shared
+checkpoint folder; from then on their partitions are fixed. A row's index is
+its partition's offset (the rows of the partitions before it) plus its
+position inside the partition, which the low 33 bits of
+``monotonically_increasing_id`` hold. Counting and numbering both read the
+written rows, so they cannot see different partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
 
 def with_row_index(df: DataFrame, name: str = "row_index", order_by: list | None = None,
-                   start: int = 1, checkpoint: bool = False) -> DataFrame:
+                   start: int = 1) -> DataFrame:
     """Add a dense index ``start..start+n-1`` in current (or ``order_by``) order.
 
     ``order_by`` sorts globally first (range partitioning, no single task).
-    ``checkpoint=True`` materialises the input first so both passes see the
-    same partitions even when the input is not deterministic.
-    """
+    The rows are materialised once, whatever their number."""
     if order_by:
         df = df.orderBy(*order_by)
-    if checkpoint:
-        df = cut_lineage(df)
-    tagged = df.withColumn("_ri_part", F.spark_partition_id()).withColumn(
+    fixed = cut_lineage(df)
+    tagged = fixed.withColumn("_ri_part", F.spark_partition_id()).withColumn(
         "_ri_mono", F.monotonically_increasing_id())
-    counts = (tagged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy("_ri_part").collect())
-    offsets: dict[int, int] = {}
-    running = start
-    for r in counts:
-        offsets[r["_ri_part"]] = running
-        running += r["n"]
-    if not offsets:
-        return df.withColumn(name, F.lit(None).cast("long"))
-    mapping = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))])
+    counts = tagged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("_ri_n"))
+    before = Window.orderBy("_ri_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = counts.select("_ri_part", (F.coalesce(F.sum("_ri_n").over(before), F.lit(0)) + start).alias("_ri_first"))
     pos = F.col("_ri_mono") - F.shiftleft(F.col("_ri_part").cast("long"), 33)
-    out = tagged.withColumn(name, (F.element_at(mapping, F.col("_ri_part")) + pos).cast("long"))
-    return out.drop("_ri_part", "_ri_mono")
+    out = tagged.join(F.broadcast(offsets), "_ri_part").withColumn(name, (F.col("_ri_first") + pos).cast("long"))
+    return out.drop("_ri_part", "_ri_mono", "_ri_first")

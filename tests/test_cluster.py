@@ -220,3 +220,11 @@ def test_closest_pair_stacked_points(spark):
         if len(d):
             best = min(best, d.min())
     assert near["distance"] == pytest.approx(best)
+
+
+def test_single_link_gives_exactly_k_groups(spark):
+    square = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 1.0), (3, 1.0, 0.0), (4, 1.0, 1.0)], "record_id long, x double, y double")
+    got = {r["record_id"]: r["label"] for r in D.single_link(square, 3).collect()}
+    assert got == {1: 0, 2: 0, 3: 1, 4: 2}  # four edges of one length: the first by index joins
+    same = spark.createDataFrame([(i, 2.0, 2.0) for i in range(1, 5)] + [(9, 5.0, 5.0)], "record_id long, x double, y double")
+    assert {r["record_id"]: r["label"] for r in D.single_link(same, 3).collect()} == {1: 0, 2: 0, 3: 0, 4: 1, 9: 2}

@@ -64,3 +64,11 @@ def test_dictionary_rules(spark):
     assert d["bw_gdt_1"]["missing_values"] == 1
     assert d["xbox_total_sessions"]["source_file"] == "telemetry_xbox_raw.csv.gz"
     assert d["pid"]["aggregation"] == "direct"
+
+
+def test_cohort_filter_holds_for_large_key_sets(spark):
+    from cohortlens.operators.integrate import restrict_to_cohort
+
+    rows, keys = spark.range(100).selectExpr("cast(id % 10 as string) pid", "id"), spark.createDataFrame([("1",), ("2",)], "pid string")
+    small, large = (restrict_to_cohort(rows, keys, broadcastable=b).orderBy("id").collect() for b in (True, False))
+    assert small == large and len(small) == 20

@@ -105,3 +105,33 @@ def test_source_inventory_counts(spark):
     b = spark.createDataFrame([("p1",)], "pid string")
     inv = {r["block"]: (r["rows"], r["used"]) for r in I.source_inventory({"intake": a, "extra": b}).collect()}
     assert inv == {"intake": (2, True), "extra": (1, False)}
+
+
+def test_row_index_is_dense_over_many_partitions(spark):
+    from cohortlens.sources.rowindex import with_row_index
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        wide = spark.range(1_000_000).selectExpr("id", "md5(cast(id as string)) a", "sha1(cast(id as string)) b", "repeat('x', 40) c")
+        got = with_row_index(wide, order_by=["a"])
+        row = got.selectExpr("count(*) n", "count(row_index) filled", "count(distinct row_index) d", "min(row_index) lo", "max(row_index) hi").first()
+        assert tuple(row) == (1_000_000, 1_000_000, 1_000_000, 1, 1_000_000)
+        first = [r["a"] for r in got.where("row_index <= 50").orderBy("row_index").collect()]
+        assert first == [r["a"] for r in wide.orderBy("a").limit(50).collect()]
+        assert with_row_index(wide.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_gzip_rows_keep_file_order_when_spread(spark, tmp_path):
+    import gzip
+
+    from cohortlens.sources.readers import read_csv_with_record_id
+
+    path = tmp_path / "x.csv.gz"
+    with gzip.open(path, "wt") as f:
+        f.write("a\n" + "".join(f"v{k}\n" for k in range(500)))
+    rows = read_csv_with_record_id(spark, str(path), partitions=4)
+    assert rows.rdd.getNumPartitions() == 4
+    assert sorted((r["record_id"], r["a"]) for r in rows.collect()) == [(k + 1, f"v{k}") for k in range(500)]
