@@ -36,14 +36,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or ensure_checkpoint_dir(spark)
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+_made: dict[str, list[str]] = {}
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def new_folder(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new name in the shared folder; unless ``keep``, ``release`` deletes it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not keep:
+        _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application's operators have staged so far. Only for a
+    caller whose results from them are all written, such as a pipeline between
+    two stages: a DataFrame that was not written yet would lose its input."""
+    conf, hadoop = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        at = hadoop.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+
+
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once into the shared folder and return it reread: later
     steps neither repeat the work nor depend on any one executor."""
-    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -79,10 +96,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(other, [F.col(k).eqNullSafe(F.col(v)) for k, v in named.items()], how).drop(*named.values())
 
 
-def broadcast_if_small(table: DataFrame) -> DataFrame:
-    """A staged narrow table, marked for broadcast if it has at most
-    BROADCAST_ROWS rows; beyond that Spark joins it by a shuffle."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+def broadcast_if_small(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table, marked for broadcast if it has ``most`` rows at most;
+    beyond that Spark joins it by a shuffle."""
+    return F.broadcast(table) if table.count() <= most else table
 
 
 def smallest_by_hash(rows: DataFrame, group: str, id_: str, most: int) -> DataFrame:

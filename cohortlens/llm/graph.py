@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import stage
+from cohortlens.llm.common import broadcast_if_small, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,12 +14,13 @@ def components(links: DataFrame) -> DataFrame:
     among its neighbours', then the label of its label; it ends when no label
     changes, however many rounds that takes."""
     both = stage(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
-    labels = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
     while True:
-        heard = both.join(labels.withColumnRenamed("node", "a"), "a").groupBy("b").agg(F.min("label").alias("heard"))
-        lower = labels.join(heard.withColumnRenamed("b", "node"), "node", "left").select("node", F.least("label", F.coalesce("heard", "label")).alias("next"), F.col("label").alias("old"))
-        of_label = labels.select(F.col("node").alias("next"), F.col("label").alias("jump"))
-        new = stage(lower.join(of_label, "next", "left").select("node", F.least("next", F.coalesce("jump", "next")).alias("label"), "old"), "labels")
+        known = broadcast_if_small(labels)
+        heard = both.join(known, both["a"] == labels["node"]).select(F.col("b").alias("node"), F.col("label").alias("next"), F.lit(None).cast("long").alias("old"))
+        lower = heard.union(labels.select("node", "label", F.col("label").alias("old"))).groupBy("node").agg(F.min("next").alias("next"), F.max("old").alias("old"))
+        jump = known.select(F.col("node").alias("next"), F.col("label").alias("jump"))
+        new = stage(lower.join(jump, "next", "left").select("node", F.least("next", F.coalesce("jump", "next")).alias("label"), "old"), "labels")
         if new.where("label <> old").isEmpty():
             return new.select("node", "label")
         labels = new.select("node", "label")

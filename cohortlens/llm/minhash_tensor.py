@@ -4,14 +4,16 @@ Two small collections of band keys are computed for a document, A and B, of
 BANDS keys each, a key being ROWS minhashes. A hash table is a pair of one key
 from either, so 2 * BANDS * ROWS minhashes serve BANDS * BANDS tables of
 2 * ROWS minhashes, where as many tables apart would take BANDS / 2 times the
-work. The product is formed only where a first key is shared at all.
-
-Documents with one and the same shingle set are first made one class. Within a
-table's bucket no pairs are listed: members are held against a few pivots;
-what that links gets one label; pivots, once held against all, leave; and
-buckets go on with new pivots until their members share one label. So every
-two members of a bucket are either compared on their full sets, told apart by
-bounds (set sizes, minhashes in common), or already in one component.
+work. The product is formed only where a first key is shared and undecided.
+
+Documents with one and the same shingle set are first made one class. Then,
+among the classes that share a key of A, each is held against one other, once
+or twice: that links most copies, at a pair a class. What is still undecided
+meets in the tables. No bucket lists its pairs: members are held against a few
+pivots; what that links gets one label; pivots, once held against all members
+of another label, leave; and buckets go on until their members share one label.
+So every two members of a bucket are either compared on their full sets, told
+apart by bounds (set sizes, keys in common), or already in one component.
 """
 
 from __future__ import annotations
@@ -19,22 +21,24 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import broadcast_if_small, null_safe_join, salted_join, slices, stage
+from cohortlens.llm.common import broadcast_if_small, null_safe_join, slices, stage
 from cohortlens.llm.graph import components
-from cohortlens.llm.shingles import shingle_set
+from cohortlens.llm.shingles import mixed, shingle_set
 
 #: Keys in each collection and minhashes in a key: at a similarity of 0.75 two
-#: documents share none of the BANDS * BANDS tables once in 10,000.
-BANDS, ROWS = 12, 2
+#: documents share none of the BANDS * BANDS tables three times in 10,000.
+BANDS, ROWS = 16, 3
 #: Linked: SHARED * union <= 100 * intersection.
 SHARED = 75
-#: Of the 48 minhashes this many at least must agree; at 0.75 fewer do once in 10 million pairs.
-AGREE = 19
+#: Of the 2 * BANDS keys this many at least must agree; at 0.75 fewer do about once in 100,000 pairs.
+AGREE = 3
+#: Times that each class is held against one other before the tables are formed.
+EARLY = 2
 #: Pivots of a bucket by round, the last for all further rounds.
-PIVOTS = (1, 16, 64)
+PIVOTS = (4, 16)
 _HASHES = 2 * BANDS * ROWS
 _random = np.random.default_rng(8)
 _MULTIPLY = _random.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -57,7 +61,10 @@ def _signed(batches):
         keys: list[np.ndarray | None] = [None] * len(sets)
         if full:
             low = minhashes([sets[k] for k in full]).reshape(len(full), 2 * BANDS, ROWS)
-            packed = ((low[:, :, 0] << np.uint64(32)) | low[:, :, 1]).view(np.int64)
+            packed = low[:, :, 0]
+            for k in range(1, ROWS):
+                packed = mixed(packed) ^ low[:, :, k]
+            packed = packed.view(np.int64)
             for k, row in zip(full, packed):
                 keys[k] = row
         digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -86,13 +93,6 @@ def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), keys)
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """bucket, node: the tables' buckets that have two classes at least."""
-    met = _shared(classes.select("node", F.posexplode(F.slice("keys", 1, BANDS)).alias("i", "a")), ["i", "a"])
-    second = met.join(classes.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others")), "node").select("node", "i", "a", F.posexplode("others").alias("j", "b"))
-    return _shared(second.select("node", F.xxhash64("i", "a", "j", "b").alias("bucket")), ["bucket"])
-
-
 def classes_and_labels(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
     """The documents with class digests; the classes with their component's label."""
     text_key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -100,65 +100,106 @@ def classes_and_labels(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFra
     rows = stage(only.mapInArrow(_signed, "doc_id long, text_key long, n_shingles long, digest binary, keys array<long>"), "signed")
     one = F.min(F.struct("text_key", "doc_id")).alias("one")
     classes = stage(rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("low_doc"), one, F.max("n_shingles").alias("size"), F.min("keys").alias("keys")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    left = stage(_buckets(classes), "buckets")
-    labels = None
-    if not left.isEmpty():
-        wanted = stage(left.select("node").distinct().join(classes.select("node", "one"), "node").select("node", F.col("one.text_key").alias("k"), F.col("one.doc_id").alias("d")), "wanted")
-        texts = only.join(broadcast_if_small(wanted), (only["text_key"] == wanted["k"]) & only["doc_id"].eqNullSafe(wanted["d"])).select("node", "text")
-        sets = stage(texts.mapInArrow(_sets, "node long, members binary").dropDuplicates(["node"]), "sets")
-        labels = _resolved(left, classes.select("node", "size", "keys"), sets)
+    labels = _Linker(only, classes).labels()
     if labels is None:
         return rows, classes.withColumn("label", F.col("node"))
-    return rows, classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-
-def _pairs(left: DataFrame, ways: int) -> tuple[DataFrame, DataFrame]:
-    """(bucket, node) of this round's pivots, and the distinct pairs of a member and a pivot with different labels.
-
-    A bucket's members are dealt over ``ways`` by a hash, and each part's smallest node is a pivot."""
-    part = F.pmod(F.xxhash64("node", F.lit(ways)), F.lit(ways))
-    pivots = left.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "label")).alias("p"))
-    listed = pivots.groupBy("bucket").agg(F.collect_list("p").alias("pivots"))  # as many as ways at most
-    held = left.join(listed, "bucket").select("node", "label", F.explode("pivots").alias("p")).where("label <> p.label")
-    pairs = held.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-    return pivots.select("bucket", F.col("p.node").alias("node")), pairs
-
-
-def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs that their sizes and minhashes don't rule out."""
-    one = lambda end: classes.select(F.col("node").alias(end), F.struct("size", "keys").alias(f"of_{end}"))
-    both = pairs.join(one("a"), "a").join(one("b"), "b")
-    low, high = F.lit(0xFFFFFFFF), 32
-    agree = F.aggregate(F.zip_with("of_a.keys", "of_b.keys", lambda x, y: F.when(x == y, 2).when((x.bitwiseAND(low) == y.bitwiseAND(low)) | (F.shiftrightunsigned(x, high) == F.shiftrightunsigned(y, high)), 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    fits = 100 * F.least("of_a.size", "of_b.size") >= SHARED * F.greatest("of_a.size", "of_b.size")
-    return both.where(fits & (agree >= AGREE)).select("a", "b")
-
-
-def _resolved(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, label for all members of the buckets."""
-    labels = stage(buckets.select("node").distinct().withColumn("label", F.col("node")), "labels")
-    left, links, apart, turn = buckets, None, None, 0
-    while True:
-        labelled = left.join(labels, "node")
-        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        open_ = stage(labelled.join(mixed, "bucket").select("bucket", "node", "label"), "open")
-        if open_.isEmpty():
-            return labels
-        pivots, pairs = _pairs(open_, PIVOTS[min(turn, len(PIVOTS) - 1)])
-        if apart is not None:
-            pairs = pairs.join(apart, ["a", "b"], "left_anti")
+    return rows, classes.join(broadcast_if_small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _member(node: str, label: str, size: str = "size", keys: str = "keys") -> Column:
+    return F.struct(F.col(node).alias("node"), F.col(label).alias("label"), F.col(size).alias("size"), F.col(keys).alias("keys"))
+
+
+def _may_link(size: Column, keys: Column, other: Column) -> Column:
+    """Whether sizes and keys leave it open that two sets are linked."""
+    fits = 100 * F.least(size, other["size"]) >= SHARED * F.greatest(size, other["size"])
+    agree = F.size(F.filter(F.zip_with(keys, other["keys"], lambda x, y: x == y), lambda same: same))
+    return fits & (agree >= AGREE)
+
+
+class _Linker:
+    """Finds the links among classes; ``only``: the documents with text_key."""
+
+    def __init__(self, only: DataFrame, classes: DataFrame) -> None:
+        self.only, self.classes = only, classes
+        self.known: DataFrame | None = None  # node, label of those in a link
+        self.tried: DataFrame | None = None  # a, b of pairs that are no link
+
+    def labels(self) -> DataFrame | None:
+        """node, label of the classes in a link (others are their own component); None if there is no link."""
+        met = stage(_shared(self.classes.select("node", F.posexplode(F.slice("keys", 1, BANDS)).alias("i", "a")), ["i", "a"]), "met")
+        for turn in range(EARLY):
+            self._compare(self._one_each(met, turn))
+        open_ = self._labelled(met).groupBy("i", "a").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("i", "a")
+        undecided = met.join(open_, ["i", "a"])
+        tables = undecided.join(self.classes.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others")), "node").select("node", "i", "a", F.posexplode("others").alias("j", "b"))
+        left, turn = stage(_shared(tables.select("node", F.xxhash64("i", "a", "j", "b").alias("bucket")), ["bucket"]), "buckets"), 0
+        while True:
+            held = stage(self._with_pivots(left, PIVOTS[min(turn, len(PIVOTS) - 1)]), "held")
+            if held.isEmpty():
+                return self.known
+            each = held.select("node", F.explode("plausible").alias("p"))
+            self._compare(each.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
+            left = held.where("not is_pivot").select("bucket", "node")
+            turn += 1
+
+    def _labelled(self, rows: DataFrame) -> DataFrame:
+        if self.known is None:
+            return rows.withColumn("label", F.col("node"))
+        return rows.join(broadcast_if_small(self.known), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def _one_each(self, met: DataFrame, turn: int) -> DataFrame:
+        """a, b: each class with the pivot it likes best of its buckets' pivots
+        that have another label. A bucket's pivot is its smallest node at
+        first, then the smallest by a hash."""
+        rows = self._labelled(met)
+        order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        pivots = rows.groupBy("i", "a").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(order.alias("o"), "node", "label")).alias("p")).where("low < high").select("i", "a", "p")
+        best = rows.join(pivots, ["i", "a"]).where("label <> p.label").groupBy("node").agg(F.min("p").alias("p"))
+        pairs = best.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+        one = lambda e: self.classes.select(F.col("node").alias(e), F.struct("size", "keys").alias(f"of_{e}"))
+        both = pairs.join(one("a"), "a").join(one("b"), "b")
+        return both.where(_may_link(F.col("of_a.size"), F.col("of_a.keys"), F.col("of_b"))).select("a", "b")
+
+    def _with_pivots(self, left: DataFrame, ways: int) -> DataFrame:
+        """bucket, node, is_pivot, plausible (pivots of another label that sizes
+        and keys don't rule out) of the members of buckets with two labels.
+
+        Labels are dealt over ``ways`` by a hash, and each part's smallest node
+        is a pivot: so a label that fills a bucket spends one pivot, and the
+        few members of other labels are soon all done."""
+        rows = self._labelled(left)
+        sums = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+        full = rows.join(sums, "bucket").join(self.classes.select("node", "size", "keys"), "node")
+        part = F.pmod(F.xxhash64("label"), F.lit(ways))
+        smallest = full.groupBy("bucket", part.alias("part")).agg(F.min_by(_member("node", "label"), "node").alias("p"))
+        pivots = smallest.groupBy("bucket").agg(F.collect_list("p").alias("pivots"))  # ``ways`` at most
+        other = F.filter("pivots", lambda p: (p["label"] != F.col("label")) & _may_link(F.col("size"), F.col("keys"), p))
+        is_pivot = F.array_contains("pivots.node", F.col("node"))
+        return full.join(pivots, "bucket").select("bucket", "node", is_pivot.alias("is_pivot"), F.transform(other, lambda p: p["node"]).alias("plausible"))
+
+    def _compare(self, pairs: DataFrame) -> None:
+        """Compare pairs on full sets, and merge the labels of those that are links."""
+        if self.tried is not None:
+            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        if pairs.isEmpty():
+            return
+        nodes = broadcast_if_small(stage(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"), "nodes"))
+        wanted = stage(self.classes.join(nodes, "node").select("node", F.col("one.text_key").alias("k"), F.col("one.doc_id").alias("d")), "wanted")
+        same = (self.only["text_key"] == wanted["k"]) & self.only["doc_id"].eqNullSafe(wanted["d"])
+        sets = stage(self.only.join(broadcast_if_small(wanted), same).select("node", "text").mapInArrow(_sets, "node long, members binary").dropDuplicates(["node"]), "sets")
         end = lambda e: sets.select(F.col("node").alias(e), F.col("members").alias(f"set_{e}"))
-        likely = _plausible(pairs, classes)
-        compared = likely.join(end("a"), "a").join(end("b"), "b").select("a", "b", "set_a", "set_b")
+        compared = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", "set_a", "set_b")
         seen = stage(compared.mapInArrow(_linked, "a long, b long, linked boolean"), "compared")
-        found, none = seen.where("linked").select("a", "b"), seen.where("not linked").select("a", "b")
-        if not found.isEmpty():
-            by_label = lambda df, e: df.join(labels.select(F.col("node").alias(e), F.col("label").alias(f"l{e}")), e)
-            merged = components(by_label(by_label(found, "a"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-            labels = stage(labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
-        apart = none if apart is None else apart.union(none)
-        left = open_.join(pivots, ["bucket", "node"], "left_anti").select("bucket", "node")
-        turn += 1
+        none, found = seen.where("not linked").select("a", "b"), seen.where("linked").select("a", "b")
+        self.tried = none if self.tried is None else self.tried.union(none)
+        if found.isEmpty():
+            return
+        links = found
+        if self.known is not None:  # what is linked already comes as links to its label
+            links = found.union(self.known.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b")))
+        self.known = components(links)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -170,7 +211,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rows, labelled = classes_and_labels(docs, text, doc_id)
     lowest = labelled.groupBy("label").agg(F.min("low_doc").alias("component_id"))
     of_class = labelled.select("digest", "label").join(lowest, "label").select("digest", "component_id")
-    told = salted_join(rows.select("doc_id", "n_shingles", "digest", "text_key"), of_class, ["digest"], F.struct("doc_id", "text_key"), "left")
+    told = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return told.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -182,7 +223,7 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rows, labelled = classes_and_labels(docs, text, doc_id)
     lowest = labelled.groupBy("label").agg(F.min("low_doc").alias("low"))
     of_class = labelled.select("digest", "label").join(lowest, "label").select("digest", "label", "low")
-    members = salted_join(rows.where("n_shingles > 0").select("digest", "doc_id", "text_key"), of_class, ["digest"], F.struct("doc_id", "text_key")).where(F.col("doc_id").eqNullSafe(F.col("low")))
+    members = rows.where("n_shingles > 0").select("digest", "doc_id", "text_key").join(of_class, "digest").where(F.col("doc_id").eqNullSafe(F.col("low")))
     chosen = members.groupBy("label").agg(F.min(F.struct("doc_id", "text_key")).alias("c")).select("c.doc_id", "c.text_key")
     wordless = rows.where("n_shingles = 0").select("doc_id", "text_key").distinct()
     staying = chosen.union(wordless).withColumns({"stays": F.lit(True)})

@@ -82,9 +82,10 @@ def test_near_duplicates(docs):
 
 
 def test_pivots_reach_every_link_of_a_bucket(spark, monkeypatch):
-    """With keys that put all classes into one bucket, links that the first pivot does not see are found."""
+    """With one bucket for all classes and none compared early, pivots find every link."""
     texts = near_copies(2)[:40]
-    monkeypatch.setattr(minhash_tensor, "_buckets", lambda classes: classes.select(F.lit(1).cast("long").alias("bucket"), "node"))
+    monkeypatch.setattr(minhash_tensor, "EARLY", 0)
+    monkeypatch.setattr(minhash_tensor, "_shared", lambda rows, keys: rows.select("node", *[F.lit(1).cast("long").alias(k) for k in keys]))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sets = [shingles(t) for t in texts]
     links = [(a, b) for a, b in combinations(range(len(texts)), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
