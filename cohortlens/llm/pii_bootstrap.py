@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import row_id, salted_join, slices, stage
-from cohortlens.llm.spans import Span, covered, sha256, written
+from cohortlens.llm.spans import Covered, Span, sha256, written
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "context"
@@ -80,13 +80,13 @@ def base_spans(text: str) -> list[Span]:
 
 def candidates(text: str, base: list[Span]) -> list[Span]:
     """What looks like an identifier (kind empty) and meets no base span."""
-    found = []
+    found, covered = [], Covered(base)
     for m in _TOKEN.finditer(text):
         word = m[0].strip(_AROUND)
         start = m.start() + m[0].find(word) if word else m.start()
         local, at, domain = word.partition("@")
         looks = any(map(str.isalnum, local)) and any(map(str.isalnum, domain)) if at else sum("0" <= c <= "9" for c in word) >= DIGITS
-        if looks and not covered(start, start + len(word), base):
+        if looks and not covered.meets(start, start + len(word)):
             found.append((start, start + len(word), ""))
     return found
 

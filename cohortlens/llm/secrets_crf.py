@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import slices, smallest_by_hash, stage
-from cohortlens.llm.spans import Span, covered, sha256, written
+from cohortlens.llm.spans import Covered, Span, sha256, written
 
 KINDS = ("assign", "access", "hex")
 FOUND = "crf"
@@ -201,12 +201,12 @@ class Tagger:
         runs = self.tags(text, words) if words else []
         if not runs:
             return []
-        places, found = [m.span() for m in _TOKEN.finditer(text)], []
+        places, found, covered = [m.span() for m in _TOKEN.finditer(text)], [], Covered(base)
         for a, b in runs:
             start, end = places[a][0], places[b - 1][1]
             core = text[start:end].strip(_QUOTES)
             start += text[start:end].find(core)
-            if max(len(w.strip(_QUOTES)) for w in words[a:b]) >= SHORTEST and not covered(start, start + len(core), base):
+            if max(len(w.strip(_QUOTES)) for w in words[a:b]) >= SHORTEST and not covered.meets(start, start + len(core)):
                 found.append((start, start + len(core), FOUND))
         return found
 

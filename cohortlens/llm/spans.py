@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Sequence
 
@@ -17,6 +18,19 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def covered(start: int, end: int, spans: list[Span]) -> bool:
-    """Whether start..end meets one of the spans."""
-    return any(start < b and a < end for a, b, _ in spans)
+class Covered:
+    """Whether places meet any of some spans, by bisection in the merged spans."""
+
+    def __init__(self, spans: list[Span]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b, _ in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect.bisect_left(self.starts, end) - 1
+        return k >= 0 and self.ends[k] > start
