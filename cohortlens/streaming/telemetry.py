@@ -1,52 +1,20 @@
 """Session features (A8) maintained incrementally with Structured Streaming.
 
 Raw session rows arrive as CSV files in a folder. Cells are parsed with the
-same Column expressions as the batch job (JVM side), then one stateful
-operator per ``pid`` (``applyInPandasWithState``) keeps the running valid-
-duration count, sum and max, the nocturnal row count and the set of titles,
-so the output equals the batch ``session_features`` on all rows seen so far.
-State per person is bounded by that person's distinct titles.
+same Column expressions as the batch job and aggregated by Spark's own
+streaming aggregation in update mode, so the output equals the batch
+``session_features`` on all rows seen so far. State per person is a few
+numbers and that person's distinct titles.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import parse as P
 
 RAW_SCHEMA = "pid string, duration string, session_start string, title_id string"
-STATE_SCHEMA = "sessions long, total double, max double, nocturnal long, titles array<string>"
-
-
-def output_schema(prefix: str) -> str:
-    return (f"pid string, {prefix}_total_sessions long, {prefix}_total_duration_min double, "
-            f"{prefix}_mean_session_min double, {prefix}_max_session_min double, "
-            f"{prefix}_unique_games long, {prefix}_nocturnal_sessions long")
-
-
-def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.exists:
-        sessions, total, mx, noct, titles = state.get
-        titles = set(titles)
-    else:
-        sessions, total, mx, noct, titles = 0, 0.0, None, 0, set()
-    for pdf in batches:
-        d = pdf["d"].dropna()
-        sessions += int(len(d))
-        total += float(d.sum()) if len(d) else 0.0
-        if len(d):
-            mx = float(d.max()) if mx is None else max(mx, float(d.max()))
-        noct += int(pdf["night"].sum())
-        titles.update(pdf["title"].tolist())
-    state.update((sessions, total, mx, noct, sorted(titles)))
-    mean = total / sessions if sessions else None
-    yield pd.DataFrame([{"pid": key[0], "s": sessions, "t": total, "m": mean, "x": mx, "u": len(titles),
-                         "n": noct}])
 
 
 def session_feature_stream(spark: SparkSession, folder: str, prefix: str = "xbox",
@@ -59,25 +27,13 @@ def session_feature_stream(spark: SparkSession, folder: str, prefix: str = "xbox
     parsed = reader.csv(folder).select("pid", P.survey_value("duration").alias("d"),
                                        P.is_nocturnal("session_start").alias("night"),
                                        F.coalesce(F.col("title_id"), F.lit("")).alias("title"))
-    out = parsed.groupBy("pid").applyInPandasWithState(
-        _update, "pid string, s long, t double, m double, x double, u long, n long", STATE_SCHEMA,
-        "update", GroupStateTimeout.NoTimeout)
-    return out.select("pid", F.col("s").alias(f"{prefix}_total_sessions"),
-                      F.col("t").alias(f"{prefix}_total_duration_min"),
-                      F.col("m").alias(f"{prefix}_mean_session_min"),
-                      F.col("x").alias(f"{prefix}_max_session_min"),
-                      F.col("u").alias(f"{prefix}_unique_games"),
-                      F.col("n").alias(f"{prefix}_nocturnal_sessions"))
-
-
-def run_once(spark: SparkSession, folder: str, checkpoint: str, query_name: str, prefix: str = "xbox"):
-    """Process every file currently in ``folder`` (availableNow trigger) into
-    an in-memory table named ``query_name``; returns the finished query."""
-    q = (session_feature_stream(spark, folder, prefix).writeStream.outputMode("update")
-         .format("memory").queryName(query_name).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    return parsed.groupBy("pid").agg(
+        F.count("d").alias(f"{prefix}_total_sessions"),
+        F.coalesce(F.sum("d"), F.lit(0.0)).alias(f"{prefix}_total_duration_min"),
+        F.avg("d").alias(f"{prefix}_mean_session_min"),
+        F.max("d").alias(f"{prefix}_max_session_min"),
+        F.size(F.collect_set("title")).cast("long").alias(f"{prefix}_unique_games"),
+        F.count_if("night").alias(f"{prefix}_nocturnal_sessions"))
 
 
 def run_to_table(spark: SparkSession, folder: str, out: str, checkpoint: str, prefix: str = "xbox",

@@ -22,8 +22,7 @@ def test_streaming_session_features_equal_batch(spark):
                 os.rename(os.path.join(base, sub, f), os.path.join(folder, f"part{n}.csv"))
                 n += 1
     ckpt = tempfile.mkdtemp(prefix="stream-ckpt-")
-    ST.run_once(spark, folder, ckpt, "xbox_stream_test")
-    got = spark.sql("SELECT * FROM xbox_stream_test")
+    got = ST.run_to_table(spark, folder, os.path.join(base, "out"), ckpt, "xbox", max_files_per_batch=1)
     latest = {r["pid"]: r.asDict() for r in got.collect()}
     want = {r["pid"]: r.asDict() for r in I.session_features(df, "xbox").collect()}
     assert set(latest) == set(want)
