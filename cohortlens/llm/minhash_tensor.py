@@ -38,7 +38,7 @@ AGREE = 3
 #: Times that each class is held against one other before the tables are formed.
 EARLY = 2
 #: Pivots of a bucket by round, the last for all further rounds.
-PIVOTS = (4, 16)
+PIVOTS = (16, 512)
 _HASHES = 2 * BANDS * ROWS
 _random = np.random.default_rng(8)
 _MULTIPLY = _random.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,14 +106,10 @@ def classes_and_labels(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFra
     return rows, classes.join(broadcast_if_small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _member(node: str, label: str, size: str = "size", keys: str = "keys") -> Column:
-    return F.struct(F.col(node).alias("node"), F.col(label).alias("label"), F.col(size).alias("size"), F.col(keys).alias("keys"))
-
-
-def _may_link(size: Column, keys: Column, other: Column) -> Column:
+def _may_link(size: Column, keys: Column, other_size: Column, other_keys: Column) -> Column:
     """Whether sizes and keys leave it open that two sets are linked."""
-    fits = 100 * F.least(size, other["size"]) >= SHARED * F.greatest(size, other["size"])
-    agree = F.size(F.filter(F.zip_with(keys, other["keys"], lambda x, y: x == y), lambda same: same))
+    fits = 100 * F.least(size, other_size) >= SHARED * F.greatest(size, other_size)
+    agree = sum((F.when(F.get(keys, F.lit(k)) == F.get(other_keys, F.lit(k)), 1).otherwise(0) for k in range(2 * BANDS)), F.lit(0))
     return fits & (agree >= AGREE)
 
 
@@ -135,14 +131,32 @@ class _Linker:
         tables = undecided.join(self.classes.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others")), "node").select("node", "i", "a", F.posexplode("others").alias("j", "b"))
         left, turn = stage(_shared(tables.select("node", F.xxhash64("i", "a", "j", "b").alias("bucket")), ["bucket"]), "buckets"), 0
         while True:
-            held = stage(self._with_pivots(left, PIVOTS[min(turn, len(PIVOTS) - 1)]), "held")
+            rows = self._labelled(left)
+            sums = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+            held = stage(rows.join(sums, "bucket").join(self._described(), "node"), "held")
             if held.isEmpty():
                 return self.known
-            each = held.select("node", F.explode("plausible").alias("p"))
-            self._compare(each.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-            left = held.where("not is_pivot").select("bucket", "node")
+            pivots = stage(self._pivots(held, PIVOTS[min(turn, len(PIVOTS) - 1)]), "pivots")
+            apart = (held["bucket"] == pivots["p_bucket"]) & (held["label"] != pivots["p_label"])
+            plausible = held.join(pivots, apart & _may_link(held["size"], held["keys"], pivots["p_size"], pivots["p_keys"]))
+            self._compare(plausible.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct())
+            done = (held["bucket"] == pivots["p_bucket"]) & (held["node"] == pivots["p_node"])
+            left = held.join(pivots, done, "left_anti").select("bucket", "node")
             turn += 1
 
+    def _described(self) -> DataFrame:
+        return self.classes.select("node", "size", "keys")
+
+    @staticmethod
+    def _pivots(held: DataFrame, ways: int) -> DataFrame:
+        """Pivots of buckets (bucket, node, label, size, keys, each with p_
+        before its name). Labels are dealt over ``ways`` by a hash, and each
+        part's smallest node is a pivot: so a label that fills a bucket spends
+        one pivot, and the few members of other labels are soon all done."""
+        member = F.min(F.struct("node", "label", "size", "keys")).alias("p")
+        parts = held.groupBy("bucket", F.pmod(F.xxhash64("label"), F.lit(ways)).alias("part")).agg(member)
+        return parts.select(F.col("bucket").alias("p_bucket"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "keys")])
+
     def _labelled(self, rows: DataFrame) -> DataFrame:
         if self.known is None:
             return rows.withColumn("label", F.col("node"))
@@ -159,29 +173,12 @@ class _Linker:
         pairs = best.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         one = lambda e: self.classes.select(F.col("node").alias(e), F.struct("size", "keys").alias(f"of_{e}"))
         both = pairs.join(one("a"), "a").join(one("b"), "b")
-        return both.where(_may_link(F.col("of_a.size"), F.col("of_a.keys"), F.col("of_b"))).select("a", "b")
-
-    def _with_pivots(self, left: DataFrame, ways: int) -> DataFrame:
-        """bucket, node, is_pivot, plausible (pivots of another label that sizes
-        and keys don't rule out) of the members of buckets with two labels.
-
-        Labels are dealt over ``ways`` by a hash, and each part's smallest node
-        is a pivot: so a label that fills a bucket spends one pivot, and the
-        few members of other labels are soon all done."""
-        rows = self._labelled(left)
-        sums = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        full = rows.join(sums, "bucket").join(self.classes.select("node", "size", "keys"), "node")
-        part = F.pmod(F.xxhash64("label"), F.lit(ways))
-        smallest = full.groupBy("bucket", part.alias("part")).agg(F.min_by(_member("node", "label"), "node").alias("p"))
-        pivots = smallest.groupBy("bucket").agg(F.collect_list("p").alias("pivots"))  # ``ways`` at most
-        other = F.filter("pivots", lambda p: (p["label"] != F.col("label")) & _may_link(F.col("size"), F.col("keys"), p))
-        is_pivot = F.array_contains("pivots.node", F.col("node"))
-        return full.join(pivots, "bucket").select("bucket", "node", is_pivot.alias("is_pivot"), F.transform(other, lambda p: p["node"]).alias("plausible"))
+        return both.where(_may_link(F.col("of_a.size"), F.col("of_a.keys"), F.col("of_b.size"), F.col("of_b.keys"))).select("a", "b")
 
     def _compare(self, pairs: DataFrame) -> None:
         """Compare pairs on full sets, and merge the labels of those that are links."""
         if self.tried is not None:
-            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
+            pairs = pairs.join(broadcast_if_small(self.tried), ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
             return
