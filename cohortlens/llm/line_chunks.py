@@ -6,8 +6,8 @@ stands before it. SEEDS rolling hashes cut independently, since one may cut a
 short passage nowhere. Chunks of several lines (or as long as several) that
 occur again anywhere, byte for byte, are removed except where they first occur.
 
-Digests of chunks are counted first; only the bytes of chunks whose digest
-repeats are moved and compared.
+Codes of chunks are counted first, as a few numbers each; only the bytes of
+chunks whose code repeats are moved, once, and compared.
 """
 
 from __future__ import annotations
@@ -15,48 +15,63 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import WORD, null_safe_join, stage, with_group_result
+from cohortlens.llm.common import WORD, broadcast_if_small, stage
 
 #: Independent cuttings; a boundary follows a pair of lines once in EVERY times.
 SEEDS, EVERY = 4, 2
 #: A chunk is removable if it has LINES lines and WORDS words at least, or LONG words in one line.
 LINES, WORDS, LONG = 2, 10, 50
+#: Documents with lists of their repeated chunks that are counted before they may be broadcast.
+FEW_DOCUMENTS = 50_000
 _MODULUS = 4294967296
 
 
-
 def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
+def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    plain = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(plain).alias("text_key"), F.split(plain, "\n", -1).alias("lines"))
+
+
 def _chunks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """doc_id, text_key, seed, first (line, from 0), n_lines, n_words, chunk: all that is removable if it repeats."""
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"), F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("lines"))
-    hashed = lines.withColumn("hashes", F.transform("lines", line_hash))
-    seeds = F.explode(F.sequence(F.lit(0), F.lit(SEEDS - 1)))
-    cut = lambda i: F.pmod(F.shiftright((F.get("hashes", i - 1) * (F.lit(7919) + F.col("seed") * 104) + F.get("hashes", i) * 31 + F.col("seed") * 2654435761) % _MODULUS, 9), F.lit(EVERY)) == 0
-    starts = hashed.select("*", seeds.alias("seed")).withColumn("starts", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: (i == 0) | cut(i)))
-    ends = lambda k: F.coalesce(F.get("starts", k + 1), F.size("lines"))
-    spans = starts.select("doc_id", "text_key", "seed", "lines", F.explode(F.transform("starts", lambda s, k: F.struct(s.alias("first"), (ends(k) - s).alias("n_lines")))).alias("s"))
-    chunks = spans.select("doc_id", "text_key", "seed", "s.first", "s.n_lines", F.array_join(F.slice("lines", F.col("s.first") + 1, F.col("s.n_lines")), "\n").alias("chunk"))
-    counted = chunks.withColumn("n_words", F.regexp_count("chunk", F.lit(WORD)))
-    return counted.where(((F.col("n_lines") >= LINES) & (F.col("n_words") >= WORDS)) | (F.col("n_words") >= LONG))
+    """doc_id, text_key, seed, first (line, from 0), n, code: the chunks that
+    are removable if they repeat. A code is two hashes of the chunk's lines."""
+    lines = _lines(docs, text, doc_id).select("doc_id", "text_key", F.transform("lines", line_hash).alias("hashes"), F.transform("lines", lambda x: F.xxhash64(x)).alias("others"), F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"))
+
+    def cut(seed: Column) -> Column:
+        mixed = lambda i: (F.get("hashes", i - 1) * (F.lit(7919) + seed * 104) + F.get("hashes", i) * 31 + seed * 2654435761) % _MODULUS
+        return F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda i: (i == 0) | (F.pmod(F.shiftright(mixed(i), 9), F.lit(EVERY)) == 0))
+
+    def of_starts(seed: Column, starts: Column) -> Column:
+        n = lambda first, k: F.coalesce(F.get(starts, k + 1), F.size("hashes")) - first
+        part = lambda column, first, k: F.slice(column, first + 1, n(first, k))
+        return F.transform(starts, lambda first, k: F.struct(seed.alias("seed"), first.alias("first"), n(first, k).alias("n"), F.aggregate(part("words", first, k), F.lit(0), lambda x, y: x + y).alias("n_words"), F.struct(F.xxhash64(part("others", first, k)).alias("x"), F.xxhash64(part("hashes", first, k)).alias("y")).alias("code")))
+
+    # an array of one array of starts, so that it is made once and not for each chunk
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SEEDS - 1)), lambda seed: F.flatten(F.transform(F.array(cut(seed)), lambda starts: of_starts(seed, starts)))))
+    chunks = lines.select("doc_id", "text_key", F.explode(spans).alias("s")).select("doc_id", "text_key", "s.*")
+    return chunks.where(((F.col("n") >= LINES) & (F.col("n_words") >= WORDS)) | (F.col("n_words") >= LONG)).drop("n_words")
 
 
 def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, text_key, seed, first, n_lines, copies, keeps: each occurrence of
+    """doc_id, text_key, seed, first, n, first_doc_id, keeps: each occurrence of
     a chunk that occurs more than once (``keeps``: the first, by doc_id, null
     first, then text_key and line). Occurrences in one document count too.
-    Rows of one doc_id and text are the same document and have one fate."""
-    rows = _chunks(docs, text, doc_id)
-    keys = ["seed", "n_lines", "digest"]
-    narrow = rows.select("doc_id", "text_key", "first", "seed", "n_lines", F.md5("chunk").alias("digest")).distinct()
-    met = with_group_result(narrow, keys, F.struct("doc_id", "first"), {"n": ("sum", F.lit(1))}).where("n > 1").select("doc_id", "text_key", "seed", "first")
-    found = stage(met, "repeated-digests")
-    same = null_safe_join(rows, found, ["doc_id", "text_key", "seed", "first"]).select("doc_id", "text_key", "seed", "first", "n_lines", "chunk").distinct()
+    Rows of one doc_id and text are the same document and have one fate. Should
+    two chunks of one code differ in bytes, both stay."""
+    rows, keys = _chunks(docs, text, doc_id), ["seed", "n", "code"]
+    often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    found = stage(rows.join(often, keys).select("doc_id", "text_key", "first", *keys), "repeated-codes")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_key", "first")
-    compared = with_group_result(same, ["seed", "chunk"], F.struct("doc_id", "first"), {"copies": ("sum", F.lit(1).cast("long")), "earliest": ("min", place)}).where("copies > 1")
-    return compared.select("doc_id", "text_key", "seed", "first", "n_lines", "copies", F.col("earliest.doc_id").alias("first_doc_id"), (place == F.col("earliest")).alias("keeps"))
+    wanted = stage(found.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).agg(F.collect_set(F.struct("first", *keys)).alias("chunks")), "repeated-in")
+    lines = _lines(docs, text, doc_id)
+    of_docs = lines.join(broadcast_if_small(wanted, FEW_DOCUMENTS), lines["doc_id"].eqNullSafe(wanted["d"]) & (lines["text_key"] == wanted["t"]))
+    chunk = F.array_join(F.slice("lines", F.col("c.first") + 1, F.col("c.n")), "\n").alias("chunk")
+    bytes_ = of_docs.select("doc_id", "text_key", "lines", F.explode("chunks").alias("c")).select("doc_id", "text_key", "c.*", chunk)
+    same = bytes_.groupBy(*keys).agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"), F.min(place).alias("earliest"), F.max(place).alias("latest")).where("low = high and earliest <> latest")
+    return found.join(same.select(*keys, "earliest"), keys).select("doc_id", "text_key", "seed", "first", "n", F.col("earliest.doc_id").alias("first_doc_id"), (place == F.col("earliest")).alias("keeps"))
 
 
 def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -66,7 +81,7 @@ def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     stay here). A line stays if, in a cutting, it belongs to a first occurrence
     and no cutting finds an earlier one."""
     found = repeated_chunks(docs, text, doc_id)
-    lines = F.sequence("first", F.col("first") + F.col("n_lines") - 1)
+    lines = F.sequence("first", F.col("first") + F.col("n") - 1)
     held = lambda keeps: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("keeps") == keeps, lines)))))
     return found.groupBy("doc_id", "text_key").agg(held(False).alias("removed"), held(True).alias("kept_lines"), F.array_sort(F.collect_set(F.when(~F.col("keeps"), F.col("first_doc_id")))).alias("first_doc_ids"))
 
