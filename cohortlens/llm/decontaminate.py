@@ -6,7 +6,8 @@ Spark over all passages in one pass that also counts document frequencies)
 gives a latent space. Windows of every text are projected into it, and windows
 close to an item by cosine are candidates. A candidate stands if the longest
 common subsequence of words covers enough of the item, or a good part of it
-and its answer (its last words) as well, as in a paraphrase.
+and its answer (its last words) as well, as in a paraphrase. Items that a text holds word for
+word are looked up besides, however short they are and whatever surrounds them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import slices
 
-#: Words of a passage of the corpus (for the SVD), and of the windows that are searched, with their steps; a longer item is cut.
+#: Words of a passage of the corpus (for the SVD), and of the windows that are searched, with their steps; a longer item is cut, the last piece overlapping the one before.
 PASSAGE, WINDOWS, ITEM = 48, ((24, 12), (48, 24)), 64
 #: Dimensions of the latent space; singular values divide the coordinates to this power.
 RANK, WHITEN, SEED = 64, 0.5, 5
@@ -44,29 +45,42 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass
 class Benchmark:
-    """Items cut to ITEM words: ids, words, and for each word that is a feature its number."""
+    """Items cut to ITEM words, so that every word is in a piece: ids, words,
+    the whole item's answer and how many of its words come after the piece; for
+    each word that is a feature its number. For what is looked up word for word:
+    the pieces of given words, and for the rarest word of a piece where it
+    stands in pieces (its place, their length)."""
 
     ids: list
     items: list[list[bytes]]
+    answers: list[list[bytes]]
+    after: list[int]
     features: dict[bytes, int]
+    verbatim: dict[tuple, list[int]]
+    anchors: dict[bytes, set[tuple[int, int]]]
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Benchmark:
-        ids, items = [], []
+        ids, items, answers, after = [], [], [], []
         for key, text in rows:
             words = words_of(text)
-            for at in range(0, len(words), ITEM):
-                if at == 0 or len(words) - at >= ITEM // 2:
-                    ids.append(key)
-                    items.append(words[at : at + ITEM])
+            for at in [*range(0, len(words) - ITEM, ITEM), max(0, len(words) - ITEM)] if words else []:
+                ids.append(key)
+                items.append(words[at : at + ITEM])
+                answers.append(words[-ANSWER_WORDS:])
+                after.append(max(0, len(words) - at - ITEM))
         seen: dict[bytes, int] = {}
         for w in (w for item in items for w in set(item)):
             seen[w] = seen.get(w, 0) + 1
         chosen: set[bytes] = set()
-        for item in items:
+        verbatim: dict[tuple, list[int]] = {}
+        anchors: dict[bytes, set[tuple[int, int]]] = {}
+        for k, item in enumerate(items):
             rarest = sorted(set(item), key=lambda w: (seen[w], w))
+            verbatim.setdefault(tuple(item), []).append(k)
+            anchors.setdefault(rarest[0], set()).add((item.index(rarest[0]), len(item)))
             chosen.update(rarest[:FEWEST], (w for w in rarest if seen[w] <= max(2, COMMON * len(items))))
-        return cls(ids, items, {w: k for k, w in enumerate(sorted(chosen))})
+        return cls(ids, items, answers, after, {w: k for k, w in enumerate(sorted(chosen))}, verbatim, anchors)
 
 
 @dataclass
@@ -179,11 +193,10 @@ def common_length(item: list[bytes], words: list[bytes]) -> int:
     return len(item) - row.bit_count()
 
 
-def judged(item: list[bytes], words: list[bytes]) -> tuple[float, bool, bool]:
-    """Part of the item that the words cover in order, whether they hold its answer, and whether it has leaked."""
+def judged(item: list[bytes], words: list[bytes], answer: list[bytes], more: list[bytes]) -> tuple[float, bool, bool]:
+    """Part of the item that the words cover in order, whether they and what comes ``more`` hold the answer, and whether it has leaked."""
     part = common_length(item, words) / len(item)
-    answer = item[-ANSWER_WORDS:]
-    has_answer = common_length(answer, words) >= ANSWER_COVERED * len(answer)
+    has_answer = common_length(answer, words + more) >= ANSWER_COVERED * len(answer)
     return part, has_answer, part >= COVERED or (part >= WITH_ANSWER and has_answer)
 
 
@@ -209,6 +222,17 @@ def candidates(words: list[bytes], bench: Benchmark, space: Space) -> dict[int,
     return found
 
 
+def held_verbatim(words: list[bytes], bench: Benchmark) -> dict[int, int]:
+    """item -> first place where the words hold it word for word."""
+    found: dict[int, int] = {}
+    for k, w in enumerate(words):
+        for place, size in bench.anchors.get(w, ()):
+            if place <= k and k - place + size <= len(words):
+                for i in bench.verbatim.get(tuple(words[k - place : k - place + size]), ()):
+                    found.setdefault(i, k - place)
+    return found
+
+
 def leaks_of(text: str | None, bench: Benchmark, space: Space) -> list[tuple]:
     """(item id, cosine, part covered, answer held, first word, end) of the items that a text holds; the best of an item's places."""
     words = words_of(text)
@@ -220,12 +244,18 @@ def leaks_of(text: str | None, bench: Benchmark, space: Space) -> list[tuple]:
             low, high = max(0, start - len(item)), min(len(words), end + len(item))
             if high <= reached or len(have.intersection(words[low:high])) < WITH_ANSWER * len(have):
                 continue
-            part, answer, leaked = judged(item, words[low:high])
+            after = bench.after[i]
+            part, answer, leaked = judged(item, words[low:high], bench.answers[i], words[high : high + after + after // 4])
             if leaked:
                 reached = high
                 row = (bench.ids[i], cosine, part, answer, low, high)
                 if bench.ids[i] not in best or best[bench.ids[i]][2] < part:
                     best[bench.ids[i]] = row
+    for i, low in held_verbatim(words, bench).items():
+        if bench.ids[i] not in best or best[bench.ids[i]][2] < 1:
+            high, after = low + len(bench.items[i]), bench.after[i]
+            _, answer, _ = judged(bench.items[i], words[low:high], bench.answers[i], words[high : high + after + after // 4])
+            best[bench.ids[i]] = (bench.ids[i], 1.0, 1.0, answer, low, high)
     return list(best.values())
 
 

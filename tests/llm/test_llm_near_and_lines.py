@@ -152,6 +152,32 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs, none).count() == 0 and decontaminate.without_leaks(docs, none).count() == docs.count()
 
 
+def test_decontamination_of_long_and_short_items(spark):
+    rng = random.Random(11)
+    noise = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    long = [f"term{k}" for k in range(95)]
+    very = [f"part{k}" for k in range(200)]
+    items = [(1, " ".join(long)), (2, " ".join(very)), (3, "zyzzyva"), (4, "blue heron"), (5, "Seven, frozen lakes!"), (6, "one odd fjord sphinx"), (7, "w1 w2 w3 w4"), (8, "...")]
+    garbled = [w for k, w in enumerate(long[:64]) if k % 3] + [f"w{k}" for k in range(20)] + long[-6:]  # two thirds of the first piece, and the item's end
+    unanswered = [w for k, w in enumerate(long[:64]) if k % 3] + noise(40)
+    texts = {1: noise(30) + long[64:] + noise(30), 2: noise(50) + long[31:] + noise(40), 3: noise(10) + garbled + noise(60), 4: noise(10) + unanswered, 5: noise(9) + very[136:] + noise(5), 6: noise(80) + ["zyzzyva"] + noise(70), 7: ["blue", "heron"], 8: noise(5) + ["blue", "x", "heron"], 9: noise(90) + "SEVEN frozen-lakes".replace("-", " ").split() + noise(9), 10: noise(60) + "one odd fjord sphinx".split() + noise(60), 11: noise(60) + ["w1", "w2", "w3", "w4"] + noise(60), 12: ["heron", "blue"], 13: long + very}
+    texts |= {k: rng.sample(long + very + [f"v{k}" for k in range(300)], 140) for k in range(100, 220)}  # the items' words in no order
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
+    hold = {(d, i) for d, t in texts.items() for i, item in items if (w := item.lower().replace(",", "").strip("!.").split()) and any([x.lower() for x in t[k : k + len(w)]] == w for k in range(len(t)))}
+    assert hold <= got and got - hold == {(2, 1), (3, 1), (5, 2)}
+    assert {r["doc_id"] for r in decontaminate.without_leaks(docs, bench).collect()} == set(texts) - {d for d, _ in got}
+
+
+def test_pieces_hold_every_word():
+    for n in (1, 3, 63, 64, 65, 95, 96, 127, 128, 129, 200, 1000):
+        words = [f"x{k}".encode() for k in range(n)]
+        bench = decontaminate.Benchmark.of([(1, b" ".join(words).decode())])
+        assert {w for item in bench.items for w in item} == set(words) and all(len(item) == min(n, 64) for item in bench.items)
+        assert all(a == words[-6:] for a in bench.answers) and bench.after[-1] == 0
+
+
 def test_common_length():
     rng = random.Random(2)
     for _ in range(200):
