@@ -5,7 +5,8 @@ these are the seeds. The words around an identifier are lexical patterns.
 Patterns and instances form a graph that Spark scores in rounds: a pattern is
 as good as the share of its instances that are known for one kind, an unknown
 instance as good as the best pattern that trusts it. Where a pattern of high
-confidence meets something that looks like an identifier, it is a new span.
+confidence meets something that looks like an identifier, it is a new span;
+digits written in groups are one identifier.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ FOUND = "context"
 ROUNDS, CONFIDENCE, SUPPORT, ACCEPTED = 3, 0.75, 5, 0.75
 #: Added to a pattern's instances, so that a few alone don't make it certain.
 SMOOTHING = 1
-#: Digits of a candidate that has no @.
+#: Digits of a candidate that has no @, in all its groups.
 DIGITS = 6
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,6 +35,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<![^\s])[^\s]*[0-9@][^\s]*")
+#: Groups of digits joined by single spaces, dots, hyphens or brackets.
+_RUN = re.compile(r"(?<!\w)[+(\[]{0,3}+[0-9]++(?!\w)(?:(?:[)\]][\x20.-]?[(\[]?|[\x20.-][(\[]?|[(\[])[0-9]++(?!\w))*")
 _AROUND = ".,;:!?()[]{}<>\"'"
 
 
@@ -78,17 +81,45 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _digits(text: str) -> int:
+    return sum("0" <= c <= "9" for c in text)
+
+
+def _runs(text: str, low: int, high: int) -> list[tuple[int, int]]:
+    """Maximal runs of digit groups between two places; a bracket that opens before the first group counts if it closes within."""
+    found = []
+    for m in _RUN.finditer(text, low, high):
+        start = m.start()
+        while text[start] in "([" and ")]"["([".index(text[start])] not in m[0]:
+            start += 1
+        if _digits(m[0]) >= DIGITS:
+            found.append((start, m.end()))
+    return found
+
+
 def candidates(text: str, base: list[Span]) -> list[Span]:
-    """What looks like an identifier (kind empty) and meets no base span."""
-    found, covered = [], Covered(base)
+    """What looks like an identifier (kind empty) and meets no base span: a
+    word with an @ or DIGITS digits, and a run of digit groups with as many in
+    all. A run and the words it overlaps are one candidate."""
+    found, covered, free = [], Covered(base), 0
     for m in _TOKEN.finditer(text):
         word = m[0].strip(_AROUND)
         start = m.start() + m[0].find(word) if word else m.start()
         local, at, domain = word.partition("@")
-        looks = any(map(str.isalnum, local)) and any(map(str.isalnum, domain)) if at else sum("0" <= c <= "9" for c in word) >= DIGITS
+        looks = any(map(str.isalnum, local)) and any(map(str.isalnum, domain)) if at else _digits(word) >= DIGITS
         if looks and not covered.meets(start, start + len(word)):
-            found.append((start, start + len(word), ""))
-    return found
+            found.append((start, start + len(word)))
+        if "@" in m[0] or covered.meets(*m.span()):
+            found += _runs(text, free, m.start())
+            free = m.end()
+    found += _runs(text, free, len(text))
+    whole: list[Span] = []
+    for start, end in sorted(found):
+        if whole and start < whole[-1][1]:
+            whole[-1] = (whole[-1][0], max(end, whole[-1][1]), "")
+        else:
+            whole.append((start, end, ""))
+    return whole
 
 
 def patterns(text: str, start: int, end: int) -> list[str]:

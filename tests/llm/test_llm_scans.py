@@ -76,6 +76,28 @@ def test_personal_data_finds_by_context(spark):
     assert pii_bootstrap.personal_data(frame(spark, [])).count() == 0
 
 
+def test_candidates_are_whole_runs_of_digit_groups():
+    want = {"ring 030 123 4567 now": ["030 123 4567"], "no 4111 1111 1111 1112 x": ["4111 1111 1111 1112"], "call (743) 555-3824 or [12] 345678.": ["(743) 555-3824", "[12] 345678"], "(030.123.4567) a": ["030.123.4567"], "123456 192.168.0.1 654321": ["123456", "654321"], "12 a9@x 123456@y": ["a9@x", "123456@y"], "v2 030 123 4567": ["030 123 4567"], "AB-123456 12": ["AB-123456 12"], "12  3456, 789 1. 2": [], "12 345678abc": ["345678abc"]}
+    for text, found in want.items():
+        assert [text[a:b] for a, b, _ in pii_bootstrap.candidates(text, pii_bootstrap.base_spans(text))] == found, text
+
+
+def test_personal_data_in_groups(spark):
+    rng = random.Random(3)
+    filler = ["alder", "birch", "cedar", "elm", "fir", "oak"]
+    noise = lambda n: " ".join(rng.choice(filler) for _ in range(n))
+    rows = [(k, f"{noise(5)} please ring us +49 30 {rng.randrange(10**6, 10**7)} anytime {noise(4)}") for k in range(30)]
+    groups = ["030 123 4567", "(743) 555-3824", "4111 1111 1111 1112", "030.765.4321"]
+    rows += [(100 + k, f"{noise(5)} please ring us {g} anytime") for k, g in enumerate(groups)]
+    rows += [(200 + k, f"{noise(5)} lot {g} sold") for k, g in enumerate(["030 999 4567", "(743) 555-9999"])]
+    got = {r["doc_id"]: r["spans"] for r in pii_bootstrap.personal_data(frame(spark, rows)).collect()}
+    text = dict(rows)
+    for k, g in enumerate(groups):
+        kind, a, b = got[100 + k].split(":")
+        assert kind == "context" and text[100 + k][int(a) : int(b)] == g
+    assert got[200] == got[201] == ""
+
+
 def test_secrets(spark):
     rng = random.Random(2)
     key = lambda n, of="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789": "".join(rng.choice(of) for _ in range(n))
