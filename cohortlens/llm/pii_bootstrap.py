@@ -23,8 +23,10 @@ from cohortlens.llm.spans import Covered, Span, sha256, written
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "context"
-#: Rounds of the graph; a pattern counts with this confidence and this many known instances; an instance is found with this score.
-ROUNDS, CONFIDENCE, SUPPORT, ACCEPTED = 3, 0.75, 5, 0.75
+#: A pattern counts with this confidence and this many known instances; an instance is found with this score.
+CONFIDENCE, SUPPORT, ACCEPTED = 0.75, 5, 0.75
+#: Confidences that rise by no more than this in a round have settled.
+SETTLED = 1e-6
 #: Added to a pattern's instances, so that a few alone don't make it certain.
 SMOOTHING = 1
 #: Digits of a candidate that has no @, in all its groups.
@@ -149,21 +151,34 @@ def _extracted(batches):
 def scored_patterns(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pattern, kind, confidence) of trusted patterns and (instance, kind,
     score) of found instances, from edges (pattern, instance, kind, mail:
-    kind empty for instances that no base pattern knows)."""
+    kind empty for instances that no base pattern knows).
+
+    An instance keeps its best score, so confidences only rise, and stay under
+    1. Rounds go on until one finds no instance and either no other pattern
+    could be trusted if all that is found were certain, or nothing rises."""
     edges = stage(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.max("mail").alias("mail")), "edges")
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
     seeds = edges.where("kind <> ''").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
     unknown = edges.where("kind = ''").select("pattern", "instance", "mail")
-    scores, trusted, found = seeds, None, None
-    for _ in range(ROUNDS):
-        mass = edges.select("pattern", "instance").join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
-        confidence = mass.join(sizes, "pattern").withColumn("confidence", F.col("mass") / (F.col("size") + SMOOTHING))
-        trusted = stage(confidence.where((F.col("confidence") >= CONFIDENCE) & (F.col("mass") >= SUPPORT)).select("pattern", "kind", "confidence"), "trusted")
+    scores, trusted, found, n_found = seeds, None, None, 0
+    enough = lambda mass: (F.col(mass) / (F.col("size") + SMOOTHING) >= CONFIDENCE) & (F.col(mass) >= SUPPORT)
+    while True:
+        mass = edges.select("pattern", "instance").join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"), F.count(F.lit(1)).alias("most"))
+        promising = stage(mass.join(sizes, "pattern").where(enough("most")).select("pattern", "kind", (F.col("mass") / (F.col("size") + SMOOTHING)).alias("confidence"), enough("mass").alias("trusted")), "trusted")
+        before, trusted = trusted, promising.where("trusted").drop("trusted")
         met = salted_join(unknown, trusted.groupBy("pattern").agg(F.max(F.struct("confidence", "kind")).alias("best")), ["pattern"], F.col("instance"))
-        fitting = met.select("instance", "mail", F.col("best.kind").alias("kind"), F.col("best.confidence").alias("confidence")).where((F.col("kind") == "email") == F.col("mail"))
-        found = stage(fitting.groupBy("instance", "kind").agg(F.max("confidence").alias("score")), "found")
-        scores = seeds.union(found)
-    return trusted, found.where(F.col("score") >= ACCEPTED)
+        fitting = met.select("instance", "mail", F.col("best.kind").alias("kind"), F.col("best.confidence").alias("score")).where((F.col("kind") == "email") == F.col("mail")).drop("mail")
+        found = stage((fitting if found is None else fitting.unionByName(found)).groupBy("instance", "kind").agg(F.max("score").alias("score")), "found")
+        n_before, n_found = n_found, found.count()
+        if n_found == n_before and (promising.where("not trusted").isEmpty() or before is not None and _rise(before, trusted) <= SETTLED):
+            return trusted, found.where(F.col("score") >= ACCEPTED)
+        scores = seeds.union(found.select(*seeds.columns)).groupBy("instance", "kind").agg(F.max("score").alias("score"))
+
+
+def _rise(before: DataFrame, after: DataFrame) -> float:
+    """The most by which a pattern's confidence rose; one that was not trusted rose from 0."""
+    was = before.withColumnRenamed("confidence", "was")
+    return after.join(was, ["pattern", "kind"], "left").agg(F.max(F.col("confidence") - F.coalesce("was", F.lit(0.0)))).first()[0] or 0.0
 
 
 def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

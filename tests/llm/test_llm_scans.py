@@ -76,6 +76,34 @@ def test_personal_data_finds_by_context(spark):
     assert pii_bootstrap.personal_data(frame(spark, [])).count() == 0
 
 
+def test_patterns_are_scored_until_nothing_is_added(spark):
+    rows, number = [], iter(range(10**6))
+    new = lambda n: [next(number) for _ in range(n)]
+    hold = lambda pattern, instances, kind="": rows.extend((pattern, i, kind, False) for i in instances)
+    groups = [new(8) for _ in range(7)]
+    hold("p0", new(60), "phone")
+    hold("p0", groups[0])
+    for k in range(1, 7):  # each trusted only when what the one before finds is known
+        hold(f"p{k}", new(30), "phone")
+        hold(f"p{k}", groups[k - 1] + groups[k])
+    slow, late = new(12), new(8)
+    hold("q0", new(40), "card")
+    hold("q0", slow)
+    hold("q1", new(29), "card")  # trusted only when scores rise once more, in a round after one that finds nothing
+    hold("q1", slow[:8] + late)
+    hold("never", new(5), "card")
+    hold("never", new(10) + slow[:2])
+    trusted, found = pii_bootstrap.scored_patterns(spark.createDataFrame(rows, "pattern string, instance long, kind string, mail boolean"))
+    assert {r["pattern"] for r in trusted.collect()} == {f"p{k}" for k in range(7)} | {"q0", "q1"}
+    assert {r["instance"] for r in found.collect()} == {i for g in [*groups, slow, late] for i in g}
+
+
+def test_slow_rise_is_not_the_end(spark):
+    rows = [("a", k, "card" if k < 40 else "", False) for k in range(52)] + [("b", k, "card" if k >= 100 else "", False) for k in [*range(40, 48), *range(100, 129), *range(60, 68)]]
+    _, found = pii_bootstrap.scored_patterns(spark.createDataFrame(rows, "pattern string, instance long, kind string, mail boolean"))
+    assert {r["instance"] for r in found.collect()} == {*range(40, 52), *range(60, 68)}
+
+
 def test_candidates_are_whole_runs_of_digit_groups():
     want = {"ring 030 123 4567 now": ["030 123 4567"], "no 4111 1111 1111 1112 x": ["4111 1111 1111 1112"], "call (743) 555-3824 or [12] 345678.": ["(743) 555-3824", "[12] 345678"], "(030.123.4567) a": ["030.123.4567"], "123456 192.168.0.1 654321": ["123456", "654321"], "12 a9@x 123456@y": ["a9@x", "123456@y"], "v2 030 123 4567": ["030 123 4567"], "AB-123456 12": ["AB-123456 12"], "12  3456, 789 1. 2": [], "12 345678abc": ["345678abc"]}
     for text, found in want.items():
