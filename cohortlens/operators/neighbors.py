@@ -150,8 +150,8 @@ def _hull_mask(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
 
 
 def hull_points(points: DataFrame, id_col: str = "record_id", x: str = "x", y: str = "y") -> DataFrame:
-    """Convex-hull vertices (with duplicates): per-partition hulls merged
-    until one partition remains."""
+    """Convex-hull vertices, of equal points the one with the lowest id:
+    per-partition hulls merged until one partition remains."""
     pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
 
     def local(batches):
@@ -159,6 +159,7 @@ def hull_points(points: DataFrame, id_col: str = "record_id", x: str = "x", y: s
         if not frames:
             return
         pdf = pd.concat(frames)
+        pdf = pdf.sort_values("id").drop_duplicates(["x", "y"])
         yield pdf[_hull_mask(pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))]
 
     schema = "id long, x double, y double"
@@ -175,6 +176,10 @@ def farthest_pair(points: DataFrame, id_col: str = "record_id", x: str = "x", y:
     hull = hull_points(points, id_col, x, y)
     if not row_count_at_most(hull, SINGLE_TASK_MAX):
         raise ValueError("hull too large for one task")
+    if row_count_at_most(hull, 1):  # all points are one: its two lowest ids
+        at = [(r["x"], r["y"]) for r in hull.collect()]
+        same = points.filter((F.col(x) == at[0][0]) & (F.col(y) == at[0][1])) if at else points.limit(0)
+        hull = same.select(F.col(id_col).cast("long").alias("id"), F.col(x).alias("x"), F.col(y).alias("y")).orderBy("id").limit(2)
 
     def far(batches):
         frames = [b for b in batches if not b.empty]

@@ -143,6 +143,18 @@ def test_impute_all_missing_to_zero(spark):
     assert all(np.isfinite([r["a"], r["b"]]).all() for r in z)
 
 
+def test_farthest_pair_of_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(N, "SINGLE_TASK_MAX", 20)
+    corners = [(0.0, 0.0), (3.0, 0.0), (0.0, 4.0), (1.0, 1.0)]
+    rows = [(1000 - k, *corners[k % 4]) for k in range(400)]  # 300 rows stand on the hull
+    df = spark.createDataFrame(rows, "record_id long, x double, y double").repartition(5)
+    low = {c: min(r[0] for r in rows if r[1:] == c) for c in corners}
+    a, b = sorted((low[(3.0, 0.0)], low[(0.0, 4.0)]))
+    assert tuple(N.farthest_pair(df).first()) == (a, b, 5.0)
+    assert tuple(N.farthest_pair(df.where("x = 3")).first()) == (low[(3.0, 0.0)], low[(3.0, 0.0)] + 4, 0.0)
+    assert N.farthest_pair(df.where("record_id = 1000")).count() == N.farthest_pair(df.limit(0)).count() == 0
+
+
 def test_closest_farthest_pairs(spark):
     rng = np.random.default_rng(5)
     xy = rng.uniform(size=(300, 2))
