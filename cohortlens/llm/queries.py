@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import decontaminate, exact_recipes, language_zstd, line_chunks, minhash_tensor, mixing, pii_bootstrap, secrets_crf, token_orc, toxicity
+from cohortlens.llm import bpe_speculative, collocations, decontaminate, exact_recipes, hard_negatives, language_zstd, line_chunks
+from cohortlens.llm import minhash_tensor, mixing, pii_bootstrap, secrets_crf, token_orc, toxicity
 from cohortlens.llm.common import read
 
 
@@ -65,6 +66,23 @@ def op10_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op11_bpe_speculative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level token ids of all documents, and what they decode to."""
+    return bpe_speculative.round_trip(read(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two or three words of each language, over all documents."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector among all vectors; the labels of every seventh are moved on by one."""
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 OP2_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -97,5 +115,51 @@ y AS (SELECT doc_id, list_sort(list_distinct(list(i) FILTER (NOT keeps))) AS gon
 SELECT doc_id, coalesce(len(gone), 0) AS removed_lines, coalesce(array_to_string(gone, ','), '') AS removed, coalesce(len(held), 0) - coalesce(len(list_intersect(held, gone)), 0) AS shared_lines, coalesce(array_to_string(firsts, ','), '') AS first_doc_ids FROM y
 """
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_mixing": op2_mixing, "op3_token_orc": op3_token_orc, "op4_exact_recipes": op4_exact_recipes, "op5_decontaminate": op5_decontaminate, "op6_line_chunks": op6_line_chunks, "op7_secrets_crf": op7_secrets_crf, "op9_pii_bootstrap": op9_pii_bootstrap, "op8_minhash_tensor": op8_minhash_tensor, "op10_language_zstd": op10_language_zstd}
-ORACLE = {"op2_mixing": OP2_SQL, "op4_exact_recipes": OP4_SQL, "op6_line_chunks": OP6_SQL}
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text, row_number() OVER () AS d FROM documents),
+p AS (SELECT lang, d, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece, generate_subscripts(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]'), 1) AS p FROM d),
+s AS (SELECT lang, d, p, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+w AS (SELECT lang, unnest(ws) AS w1, unnest(ws[2:] || [NULL]) AS w2, unnest(ws[3:] || [NULL, NULL]) AS w3 FROM s WHERE len(ws) > 0),
+u AS (SELECT lang, w1, w2, w3 FROM w WHERE w1 IS NOT NULL),
+c AS (SELECT lang, count(*) AS n FROM u GROUP BY lang),
+f1 AS (SELECT lang, w1, count(*) AS f FROM u GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM u WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM u WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+held AS (SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+two AS (SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.f AS a, x.f AS l, y.f AS r, 1 AS k FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+  LEFT JOIN held h ON h.lang = f2.lang AND h.w1 = f2.w1 AND h.w2 = f2.w2 WHERE h.f IS NULL OR 100 * h.f < 50 * f2.f),
+three AS (SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 AS phrase, f3.f AS a, unnest([x.f, xy.f]) AS l, unnest([yz.f, z.f]) AS r, unnest([1, 2]) AS k FROM f3
+  JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1 JOIN f1 z ON z.lang = f3.lang AND z.w1 = f3.w3
+  JOIN f2 xy ON xy.lang = f3.lang AND xy.w1 = f3.w1 AND xy.w2 = f3.w2 JOIN f2 yz ON yz.lang = f3.lang AND yz.w1 = f3.w2 AND yz.w2 = f3.w3),
+cuts AS (SELECT *, (a::HUGEINT * a * 1000000 // (l::HUGEINT * r))::BIGINT AS score FROM (SELECT * FROM two UNION ALL SELECT * FROM three)),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN c USING (lang) WHERE rank <= 2000
+"""
+
+OP13_SQL = r"""
+WITH v AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.id AS anchor_id, r.id AS id, a.label = r.label AS same, list_dot_product(a.q, r.q)::BIGINT AS score FROM v a JOIN v r ON a.id <> r.id WHERE a.id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER o)::INTEGER AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) QUALIFY row_number() OVER o <= 3
+"""
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_mixing": op2_mixing,
+    "op3_token_orc": op3_token_orc,
+    "op4_exact_recipes": op4_exact_recipes,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_line_chunks": op6_line_chunks,
+    "op7_secrets_crf": op7_secrets_crf,
+    "op8_minhash_tensor": op8_minhash_tensor,
+    "op9_pii_bootstrap": op9_pii_bootstrap,
+    "op10_language_zstd": op10_language_zstd,
+    "op11_bpe_speculative": op11_bpe_speculative,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
+}
+ORACLE = {"op2_mixing": OP2_SQL, "op4_exact_recipes": OP4_SQL, "op6_line_chunks": OP6_SQL, "op12_collocations": OP12_SQL, "op13_hard_negatives": OP13_SQL}
