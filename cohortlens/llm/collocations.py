@@ -40,6 +40,8 @@ from cohortlens.llm.common import SALTS, broadcast_if_small, slices, stage
 LEAST, DEPTH, TOP, HIDDEN = 10, 3, 2_000, 50
 #: Words of the corpus per route; occurrences of a pair in a slice above which its suffixes are routed by all words.
 ROUTE, HEAVY = 1 << 18, 64
+#: Partitions of a route, as a power of two, that a hash of the leading words makes before any words are compared.
+LEAD_BITS = 20
 #: Bytes of text that are cut into words together; words counted or hashes kept by a worker at a time.
 SLICE, KEPT = 16 << 20, 500_000
 UNKNOWN = "und"
@@ -80,20 +82,21 @@ def _salt(lang: str) -> bytes:
     return b"%d:%b:" % (len(name := lang.encode()), name)
 
 
-def _hash(lang: str, word: bytes, seed: int) -> int:
+def _hash(salt: bytes, word: bytes, seed: int, bits: int) -> int:
     """Not 0, which stands for no word."""
-    return xxhash.xxh64_intdigest(_salt(lang) + word, seed) or 1
+    return xxhash.xxh64_intdigest(salt + word, seed) >> 64 - bits or 1
 
 
 def _signed(hashes: np.ndarray) -> np.ndarray:
     return hashes.astype(np.uint64).view(np.int64)
 
 
-def _count_words(seed: int):
+def _count_words(seed: int, bits: int):
     def rows(lang: str, counts: Counter) -> pa.RecordBatch:
         counts[b""] = counts.total() - counts.pop(b".", 0)  # all words together, as the empty word
         words = list(counts)
-        h = np.fromiter((_hash(lang, w, seed) for w in words), np.uint64, len(words))
+        salt = _salt(lang)
+        h = np.fromiter((_hash(salt, w, seed, bits) for w in words), np.uint64, len(words))
         return pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array([lang] * len(words), pa.string()), pa.array([w.decode() for w in words], pa.string()), pa.array(list(counts.values()), pa.int64())], ["h", "lang", "word", "n"])
 
     def each(batches):
@@ -109,11 +112,12 @@ def _count_words(seed: int):
     return each
 
 
-def word_counts(docs: DataFrame, least: int = LEAST, seed: int = 0) -> tuple[DataFrame, int]:
+def word_counts(docs: DataFrame, least: int = LEAST, seed: int = 0, bits: int = 64) -> tuple[DataFrame, int]:
     """(h, lang, word, n) of words with ``least`` occurrences, staged, and the seed
-    with which each of them has a hash of its own. The empty word has the number of all words."""
+    with which each of them has a hash of its own, of ``bits`` bits. The empty word
+    has the number of all words."""
     while True:
-        counted = docs.select("lang", "text").mapInArrow(_count_words(seed), "h long, lang string, word string, n long")
+        counted = docs.select("lang", "text").mapInArrow(_count_words(seed, bits), "h long, lang string, word string, n long")
         each = counted.repartition("h").groupBy("h", "lang", "word").agg(F.sum("n").alias("n"))
         by_hash = each.groupBy("h").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"), F.min(F.struct("lang", "word")).alias("w"))
         found = stage(by_hash.where((F.col("n") >= least) | (F.col("w.word") == "")).select("h", "w.lang", "w.word", "n", "words"), "collocation-words")
@@ -189,8 +193,8 @@ def _send(seed: int, routes: int):
             if len(known) > 64 or len(known.get(lang, ())) > KEPT:
                 known.clear()
             own = known.setdefault(lang, {b".": 0})
-            prefix = _salt(lang)
-            own.update((w, xxhash.xxh64_intdigest(prefix + w, seed) or 1) for w in set(words).difference(own))
+            salt = _salt(lang)
+            own.update((w, _hash(salt, w, seed, 64)) for w in set(words).difference(own))
             block, route = suffixes(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)), routes)
             firsts = _runs(route)
             ends = np.append(firsts, len(route))
@@ -206,9 +210,12 @@ def partition_counts(block: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
 
     Phrases of three words whose pair has numbers of its own from some slice
     are counted in several routes and come with what is counted here."""
-    keys, weight = np.stack([block["w1"], block["w2"], block["w3"]]), block["n"].astype(np.int64)
-    apart = np.flatnonzero(block["kind"] == _APART)
-    ptr = np.flatnonzero(block["kind"] != _APART)
+    weight, apart = block["n"].astype(np.int64), np.flatnonzero(block["kind"] == _APART)
+    # the route's partitions by a hash of the leading words: those below least hold no frequent pair
+    lead = ((block["w1"] * _MIX[0] + block["w2"] * _MIX[1]) * _MIX[2] >> np.uint64(64 - LEAD_BITS)).astype(np.int64)
+    own = block["kind"] != _APART
+    ptr = np.flatnonzero(own & (np.bincount(lead[own], weight[own], 1 << LEAD_BITS) >= least)[lead]) if len(block) else apart
+    keys = np.stack([block["w1"], block["w2"], block["w3"]])
     found = [(apart, np.full(len(apart), DEPTH), weight[apart])]
     size, depth = np.array([len(ptr)]), np.zeros(1, np.int64)
     while len(ptr):
