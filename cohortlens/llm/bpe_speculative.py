@@ -130,7 +130,9 @@ class Merges:
         for k in made[np.argsort(self.rank[made])].tolist():
             whole[k] = whole[k] and whole.get(int(self.left[k]), True) and whole.get(int(self.right[k]), True)
         self.proposed = {self.bytes_of[k]: k for k in [*self.single.values(), *(k for k, sound in whole.items() if sound)]}
-        self.longest = max(map(len, self.proposed))
+        self.longest: dict[bytes, int] = {}
+        for token in self.proposed:
+            self.longest[token[:2]] = max(self.longest.get(token[:2], 0), len(token))
 
     def rank_of(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         """The rank at which u and v merge; NEVER if they don't."""
@@ -160,10 +162,10 @@ class Merges:
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
-        out, at, ids = [], 0, self.proposed
+        out, at, find, longest = [], 0, self.proposed.get, self.longest.get
         while at < len(word):
-            end = min(len(word), at + self.longest)
-            while (k := ids.get(word[at:end])) is None:
+            end = min(len(word), at + longest(word[at : at + 2], 1))
+            while (k := find(word[at:end])) is None:
                 end -= 1
             out.append(k)
             at = end
@@ -272,8 +274,8 @@ class Codec:
         if len(self.known) > KEPT_WORDS:  # what is not met again until the next time is forgotten
             self.known, self.older = dict(self.special), self.known
         self.known.update(self.special)
-        new = {w for words in cut for w in words if w not in self.known}
-        self.known.update((w, self.older[w]) for w in new if w in self.older)
+        new = set().union(*cut).difference(self.known)
+        self.known.update((w, self.older[w]) for w in new.intersection(self.older))
         learnt = [w for w in new if w not in self.known]
         if learnt:
             ids, failed = self.merges.encode_words([w.encode() for w in learnt])
