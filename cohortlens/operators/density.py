@@ -1,21 +1,21 @@
-"""DBSCAN (M12) in set form on a grid.
-
-Cells have side eps / sqrt(2), so any two points of one cell are neighbours:
-a cell adds its size to every member's neighbour count and all core points
-of a cell are connected; no pair inside a cell is ever enumerated. Between
-cells up to two apart, the bounding boxes of their points decide first:
-
-* boxes farther apart than eps: no neighbours, nothing to do;
-* boxes entirely within eps: every pair is a neighbour, handled at cell level
-  (counts add, roots link) without enumerating pairs;
-* otherwise the point pairs of that cell pair are enumerated (equi-join on
-  cell keys) and filtered by distance.
-
-Then core = count >= minPts; core links -> connected components; cluster
-ids in order of each component's lowest point index; a border point takes
-the lowest cluster id among its core neighbours; the rest is noise (-1).
-This set form gives exactly the ids and border choices of the sequential
-scan.
+"""DBSCAN (M12) in set form on a grid, with cells as the vertices of its graph.
+
+Cells have side eps / sqrt(2), so any two points of one cell are neighbours and
+all core points of a cell are in one cluster: a cell is one vertex, however many
+points it holds. Between cells up to two apart, the bounding boxes of their
+points decide first: nothing within eps, everything, or in between. In between,
+
+* two cells with minPts points or more (all of them core) only have to be known
+  to touch or not, which is decided by ever smaller boxes (``cells.py``);
+* a point of a cell with fewer points visits the cell and counts what it finds
+  there. Cells are cut into chunks by their measured size for that, so a cell
+  that holds a third of all points is as many tasks, and what comes back is a
+  number per visitor and cell.
+
+Core points, links between cells, components and cluster ids follow: ids in
+order of each component's lowest point index; a border point takes the lowest
+cluster id among its core neighbours; the rest is noise (-1). This set form
+gives exactly the ids and border choices of the sequential scan.
 """
 
 from __future__ import annotations
@@ -27,14 +27,12 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from ..sources.rowindex import with_row_index
+from .cells import box_kind, box_of, touching
+from .common import broadcast_if_small
 from .components import connected_components
 
-# Quadtree depth used to decide whether two dense cells touch before point
-# pairs are enumerated (sub-cells of side cell / 2^depth).
-REFINE_LEVELS = 6
-# Dense cell pairs are enumerated directly while their total pair count
-# (sum of |A| x |B|, known from cell statistics) stays below this bound.
-ENUMERATE_MAX_PAIRS = 20_000_000
+#: Points of a cell that meet the visitors from sparse cells in one group.
+CHUNK_ROWS = 10_000
 # Half of the 5 x 5 neighbourhood (lexicographically positive offsets): every
 # unordered pair of distinct cells within reach is visited once.
 HALF_OFFSETS = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
@@ -48,12 +46,7 @@ def _cell_pairs(stats: DataFrame, r2: float) -> DataFrame:
                  (F.col("a_cy") + F.col("o.dy")).alias("b_cy")).drop("o")
     b = stats.select(*[F.col(c).alias(f"b_{c}") for c in stats.columns])
     j = a.join(b, ["b_cx", "b_cy"])
-    gx = F.greatest(F.lit(0.0), F.col("b_x0") - F.col("a_x1"), F.col("a_x0") - F.col("b_x1"))
-    gy = F.greatest(F.lit(0.0), F.col("b_y0") - F.col("a_y1"), F.col("a_y0") - F.col("b_y1"))
-    sx = F.greatest(F.col("b_x1") - F.col("a_x0"), F.col("a_x1") - F.col("b_x0"))
-    sy = F.greatest(F.col("b_y1") - F.col("a_y0"), F.col("a_y1") - F.col("b_y0"))
-    kind = F.when(gx * gx + gy * gy > r2, "none").when(sx * sx + sy * sy <= r2, "all").otherwise("partial")
-    return j.withColumn("kind", kind).filter(F.col("kind") != "none")
+    return j.withColumn("kind", box_kind(r2)).filter(F.col("kind") != "none")
 
 
 def dbscan(points: DataFrame, eps: float, min_pts: int, id_col: str = "record_id",
@@ -73,159 +66,70 @@ def _grid_labels(points: DataFrame, radius: float, min_n: int, id_col: str, x: s
         return _dbscan_zero(pts, min_n, id_col)
     side = radius / math.sqrt(2.0)
     r2 = radius * radius
-    cells = cut_lineage(pts.select("*", F.floor(F.col("x") / side).alias("cx"),
-                                   F.floor(F.col("y") / side).alias("cy")))
-    stats = cells.groupBy("cx", "cy").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"),
-        F.min("y").alias("y0"), F.max("y").alias("y1"))
-    cp = cut_lineage(_cell_pairs(stats, r2).select("a_cx", "a_cy", "a_n", "b_cx", "b_cy", "b_n", "kind"))
-    full = cp.filter(F.col("kind") == "all")
-    partial = cp.filter(F.col("kind") == "partial")
-    # a partial pair with a sparse side needs its point pairs (counts, border
-    # points); between two full cells every point is core, so only whether
-    # the cells touch matters: decided by quadtree refinement
-    sparse_side = (F.col("a_n") < min_n) | (F.col("b_n") < min_n)
-    dense = partial.filter(~sparse_side)
-    dense_work = dense.agg(F.sum(F.col("a_n") * F.col("b_n"))).first()[0] or 0
-    if dense_work <= ENUMERATE_MAX_PAIRS:  # bounded: enumerate every partial pair
-        part = partial.select("a_cx", "a_cy", "b_cx", "b_cy")
-        dense_links = dense.limit(0).select("a_cx", "a_cy", "b_cx", "b_cy")
-    else:
-        part = partial.filter(sparse_side).select("a_cx", "a_cy", "b_cx", "b_cy")
-        dense_links = _touching_cells(cells, dense.select("a_cx", "a_cy", "b_cx", "b_cy"), side, r2)
-
-    # point pairs of partially overlapping cell pairs only
-    pa = cells.select(F.col("pid").alias("a"), F.col("ix").alias("a_ix"), F.col("x").alias("ax"),
-                      F.col("y").alias("ay"), F.col("cx").alias("a_cx"), F.col("cy").alias("a_cy"))
-    pb = cells.select(F.col("pid").alias("b"), F.col("ix").alias("b_ix"), F.col("x").alias("bx"),
-                      F.col("y").alias("by"), F.col("cx").alias("b_cx"), F.col("cy").alias("b_cy"))
-    dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
-    d2 = dx * dx + dy * dy
-    pairs = cut_lineage(pa.join(part, ["a_cx", "a_cy"]).join(pb, ["b_cx", "b_cy"])
-                        .filter(d2 <= r2).select("a", "a_ix", "b", "b_ix"))
-
-    # neighbour counts: own cell + fully covered neighbour cells + pair matches
-    cell_extra = (full.select(F.col("a_cx").alias("cx"), F.col("a_cy").alias("cy"), F.col("b_n").alias("m"))
-                  .unionByName(full.select(F.col("b_cx").alias("cx"), F.col("b_cy").alias("cy"),
-                                           F.col("a_n").alias("m")))
-                  .groupBy("cx", "cy").agg(F.sum("m").alias("extra")))
-    cross = (pairs.select(F.col("a").alias("pid")).unionByName(pairs.select(F.col("b").alias("pid")))
-             .groupBy("pid").agg(F.count(F.lit(1)).alias("cross_n")))
-    counted = cut_lineage(
-        cells.join(stats.select("cx", "cy", F.col("n").alias("cell_n")), ["cx", "cy"])
-        .join(cell_extra, ["cx", "cy"], "left").join(cross, "pid", "left")
-        .withColumn("n", F.col("cell_n") + F.coalesce("extra", F.lit(0)) + F.coalesce("cross_n", F.lit(0)))
-        .withColumn("core", F.col("n") >= min_n))
-    core = counted.filter("core").select("pid", "ix", "cx", "cy")
-    root = core.groupBy("cx", "cy").agg(F.min("ix").alias("root"))
-
-    # links between core points (vertex ids are point indexes)
-    intra = core.join(root, ["cx", "cy"]).select(F.col("ix").alias("src"), F.col("root").alias("dst"))
-    touching = full.select("a_cx", "a_cy", "b_cx", "b_cy").unionByName(dense_links)
-    cell_links = (touching.join(root.select(F.col("cx").alias("a_cx"), F.col("cy").alias("a_cy"),
-                                            F.col("root").alias("ra")), ["a_cx", "a_cy"])
-                  .join(root.select(F.col("cx").alias("b_cx"), F.col("cy").alias("b_cy"),
-                                    F.col("root").alias("rb")), ["b_cx", "b_cy"])
-                  .select(F.col("ra").alias("src"), F.col("rb").alias("dst")))
-    core_ids = core.select("pid")
-    pair_links = (pairs.join(core_ids.withColumnRenamed("pid", "a"), "a", "left_semi")
-                  .join(core_ids.withColumnRenamed("pid", "b"), "b", "left_semi")
-                  .select(F.col("a_ix").alias("src"), F.col("b_ix").alias("dst")))
-    comps = connected_components(intra.unionByName(cell_links).unionByName(pair_links),
-                                 core.select("ix"), vid="ix")
+    placed = cut_lineage(pts.select("*", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy")))
+    stats = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"), F.min("ix").alias("first"), *box_of())
+    stats = cut_lineage(stats.withColumn("cell", F.monotonically_increasing_id()))
+    cp = cut_lineage(_cell_pairs(stats, r2).select("a_cell", "a_n", "b_cell", "b_n", "kind"))
+    members = cut_lineage(placed.join(broadcast_if_small(stats.select("cx", "cy", "cell", F.col("n").alias("cell_n")))[0], ["cx", "cy"]).drop("cx", "cy"))
+    sparse = members.filter(F.col("cell_n") < min_n)
+    full, partial = cp.filter("kind = 'all'"), cp.filter("kind = 'partial'")
+    beside = _both_ways(full.select("a_cell", "b_cell", "a_n", "b_n"))
+    near = _visits(sparse, members, _both_ways(partial.select("a_cell", "b_cell", "a_n", "b_n")), min_n, r2)
+
+    # core points of sparse cells: own cell, cells entirely within reach, and what was counted
+    around = beside.groupBy("cell").agg(F.sum("o_n").alias("around"))
+    met = near.groupBy("pid").agg(F.sum("met").alias("met"))
+    reach = F.col("cell_n") + F.coalesce("around", F.lit(0)) + F.coalesce("met", F.lit(0))
+    counted = cut_lineage(sparse.join(around, "cell", "left").join(met, "pid", "left").select("pid", "ix", "cell", (reach >= min_n).alias("core")))
+    core = counted.filter("core").select("pid", "cell", "ix")
+
+    # a vertex per cell with core points: its lowest core index
+    dense_roots = stats.filter(F.col("n") >= min_n).select("cell", F.col("first").alias("root"))
+    roots = cut_lineage(dense_roots.unionByName(core.groupBy("cell").agg(F.min("ix").alias("root"))))
+    two_dense = partial.filter((F.col("a_n") >= min_n) & (F.col("b_n") >= min_n)).select(F.col("a_cell").alias("a"), F.col("b_cell").alias("b"))
+    from_core = near.join(core.select("pid"), "pid", "left_semi")
+    to_core = from_core.join(core.select(F.col("pid").alias("other")), "other", "left_semi")
+    links = (full.select(F.col("a_cell").alias("a"), F.col("b_cell").alias("b")).unionByName(touching(members.select("cell", "x", "y"), two_dense, r2))
+             .unionByName(from_core.filter("other IS NULL").select(F.col("cell").alias("a"), F.col("o_cell").alias("b")))
+             .unionByName(to_core.select(F.col("cell").alias("a"), F.col("o_cell").alias("b"))).distinct())
+    root_of = lambda end: roots.select(F.col("cell").alias(end), F.col("root").alias(f"root_{end}"))
+    edges = links.join(root_of("a"), "a").join(root_of("b"), "b").select(F.col("root_a").alias("src"), F.col("root_b").alias("dst"))
+    comps = connected_components(edges, roots.select("root"), vid="root")
     order = with_row_index(comps.select("component").distinct(), "cid", order_by=["component"], start=0)
-    core_lab = cut_lineage(comps.join(order, "component").join(core, "ix").select("pid", "cx", "cy", "cid"))
+    cids = cut_lineage(comps.join(order, "component").join(roots, "root").select("cell", "cid"))
 
     # border points: lowest cluster id over core neighbours
-    cell_min = core_lab.groupBy("cx", "cy").agg(F.min("cid").alias("cid"))
-    via_full = (full.join(cell_min.select(F.col("cx").alias("b_cx"), F.col("cy").alias("b_cy"), "cid"),
-                          ["b_cx", "b_cy"]).select(F.col("a_cx").alias("cx"), F.col("a_cy").alias("cy"), "cid")
-                .unionByName(full.join(cell_min.select(F.col("cx").alias("a_cx"), F.col("cy").alias("a_cy"),
-                                                       "cid"), ["a_cx", "a_cy"])
-                             .select(F.col("b_cx").alias("cx"), F.col("b_cy").alias("cy"), "cid")))
-    cell_cands = cell_min.unionByName(via_full).groupBy("cx", "cy").agg(F.min("cid").alias("cid"))
-    noncore = counted.filter(~F.col("core")).select("pid", "cx", "cy")
-    by_cell = noncore.join(cell_cands, ["cx", "cy"]).select("pid", "cid")
-    lab_of = core_lab.select(F.col("pid").alias("c"), "cid")
-    by_pair = (pairs.select(F.col("a").alias("pid"), F.col("b").alias("c"))
-               .unionByName(pairs.select(F.col("b").alias("pid"), F.col("a").alias("c")))
-               .join(lab_of, "c").join(noncore.select("pid"), "pid", "left_semi").select("pid", "cid"))
-    border = by_cell.unionByName(by_pair).groupBy("pid").agg(F.min("cid").alias("cid"))
-    labels = core_lab.select("pid", "cid").unionByName(border)
-    return (counted.select("pid").join(labels, "pid", "left")
-            .select(F.col("pid").alias(id_col), F.coalesce("cid", F.lit(-1)).cast("int").alias("label")))
-
-
-def _touching_cells(cells: DataFrame, pairs: DataFrame, side: float, r2: float,
-                    levels: int = REFINE_LEVELS) -> DataFrame:
-    """Cell pairs (a_cx, a_cy, b_cx, b_cy) holding at least one point pair
-    within the radius, found without enumerating the pairs of two dense cells:
-    each level splits the still-undecided pairs into 4 x 4 sub-cell pairs and
-    classifies them by bounding boxes (all within radius -> touching, all
-    beyond -> dropped); only pairs undecided at the finest level compare
-    points."""
-    keys = ["a_cx", "a_cy", "b_cx", "b_cy"]
-    spark = cells.sparkSession
-    linked = spark.createDataFrame([], "a_cx long, a_cy long, b_cx long, b_cy long")
-    pairs = cut_lineage(pairs)
-    if pairs.limit(1).count() == 0:
-        return linked
-    involved = (pairs.select(F.col("a_cx").alias("cx"), F.col("a_cy").alias("cy"))
-                .unionByName(pairs.select(F.col("b_cx").alias("cx"), F.col("b_cy").alias("cy"))).distinct())
-    pts = cut_lineage(cells.join(involved, ["cx", "cy"], "left_semi").select("cx", "cy", "pid", "x", "y"))
-    pending = pairs.select(*keys, *[F.lit(0).cast("long").alias(c) for c in ["a_ux", "a_uy", "b_ux", "b_uy"]])
-    for level in range(1, levels + 1):
-        sub = side / (1 << level)
-        top = (1 << level) - 1
-
-        def rel(v, c):
-            return F.least(F.greatest(F.floor((F.col(v) - F.col(c) * side) / sub), F.lit(0)), F.lit(top))
-
-        stats = (pts.select("cx", "cy", rel("x", "cx").alias("ux"), rel("y", "cy").alias("uy"), "x", "y")
-                 .groupBy("cx", "cy", "ux", "uy")
-                 .agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")))
-
-        def side_of(p):
-            return stats.select(F.col("cx").alias(f"{p}_cx"), F.col("cy").alias(f"{p}_cy"),
-                                F.shiftright("ux", 1).alias(f"{p}_pux"), F.shiftright("uy", 1).alias(f"{p}_puy"),
-                                F.col("ux").alias(f"{p}_nux"), F.col("uy").alias(f"{p}_nuy"),
-                                *[F.col(c).alias(f"{p}_{c}") for c in ["x0", "x1", "y0", "y1"]])
-
-        a, b = side_of("a"), side_of("b")
-        kids = (pending.join(a, (pending["a_cx"] == a["a_cx"]) & (pending["a_cy"] == a["a_cy"])
-                             & (pending["a_ux"] == a["a_pux"]) & (pending["a_uy"] == a["a_puy"]))
-                .drop(a["a_cx"]).drop(a["a_cy"]))
-        kids = (kids.join(b, (kids["b_cx"] == b["b_cx"]) & (kids["b_cy"] == b["b_cy"])
-                          & (kids["b_ux"] == b["b_pux"]) & (kids["b_uy"] == b["b_puy"]))
-                .drop(b["b_cx"]).drop(b["b_cy"]))
-        gx = F.greatest(F.lit(0.0), F.col("b_x0") - F.col("a_x1"), F.col("a_x0") - F.col("b_x1"))
-        gy = F.greatest(F.lit(0.0), F.col("b_y0") - F.col("a_y1"), F.col("a_y0") - F.col("b_y1"))
-        sx = F.greatest(F.col("b_x1") - F.col("a_x0"), F.col("a_x1") - F.col("b_x0"))
-        sy = F.greatest(F.col("b_y1") - F.col("a_y0"), F.col("a_y1") - F.col("b_y0"))
-        kind = F.when(gx * gx + gy * gy > r2, "none").when(sx * sx + sy * sy <= r2, "all").otherwise("partial")
-        kids = cut_lineage(kids.select(*keys, F.col("a_nux").alias("a_ux"), F.col("a_nuy").alias("a_uy"),
-                                       F.col("b_nux").alias("b_ux"), F.col("b_nuy").alias("b_uy"),
-                                       kind.alias("kind")).filter(F.col("kind") != "none"))
-        linked = cut_lineage(linked.unionByName(kids.filter(F.col("kind") == "all").select(*keys)).distinct())
-        pending = cut_lineage(kids.filter(F.col("kind") == "partial").drop("kind")
-                              .join(linked, keys, "left_anti"))
-        if pending.limit(1).count() == 0:
-            return linked
-    # finest level: compare the points of the still-undecided sub-cell pairs
-    leaf = side / (1 << levels)
-    top = (1 << levels) - 1
-
-    def leaf_pts(p):
-        u = F.least(F.greatest(F.floor((F.col("x") - F.col("cx") * side) / leaf), F.lit(0)), F.lit(top))
-        v = F.least(F.greatest(F.floor((F.col("y") - F.col("cy") * side) / leaf), F.lit(0)), F.lit(top))
-        return pts.select(F.col("cx").alias(f"{p}_cx"), F.col("cy").alias(f"{p}_cy"), u.alias(f"{p}_ux"),
-                          v.alias(f"{p}_uy"), F.col("x").alias(f"{p}x"), F.col("y").alias(f"{p}y"))
-
-    dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
-    close = (pending.join(leaf_pts("a"), ["a_cx", "a_cy", "a_ux", "a_uy"])
-             .join(leaf_pts("b"), ["b_cx", "b_cy", "b_ux", "b_uy"])
-             .filter(dx * dx + dy * dy <= r2).select(*keys).distinct())
-    return linked.unionByName(close).distinct()
+    other_cids = cids.select(F.col("cell").alias("o_cell"), "cid")
+    border = counted.filter(~F.col("core")).select("pid", "cell")
+    own = border.join(cids, "cell").select("pid", "cid")
+    by_full = border.join(beside.join(other_cids, "o_cell").groupBy("cell").agg(F.min("cid").alias("cid")), "cell").select("pid", "cid")
+    seen_core = near.filter("other IS NULL").unionByName(near.join(core.select(F.col("pid").alias("other")), "other", "left_semi"))
+    by_near = seen_core.join(border.select("pid"), "pid", "left_semi").join(other_cids, "o_cell").select("pid", "cid")
+    reached = own.unionByName(by_full).unionByName(by_near).groupBy("pid").agg(F.min("cid").alias("cid"))
+    in_cell = broadcast_if_small(cids)[0]
+    labels = (members.filter(F.col("cell_n") >= min_n).select("pid", "cell").join(in_cell, "cell").select("pid", "cid")
+              .unionByName(core.join(in_cell, "cell").select("pid", "cid"))
+              .unionByName(border.join(reached, "pid", "left").select("pid", F.coalesce("cid", F.lit(-1)).alias("cid"))))
+    return labels.select(F.col("pid").alias(id_col), F.col("cid").cast("int").alias("label"))
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    """(cell, n, o_cell, o_n): each pair of cells from either side."""
+    ways = [pairs.select(F.col(f"{a}_cell").alias("cell"), F.col(f"{a}_n").alias("n"), F.col(f"{b}_cell").alias("o_cell"), F.col(f"{b}_n").alias("o_n")) for a, b in ("ab", "ba")]
+    return ways[0].unionByName(ways[1])
+
+
+def _visits(sparse: DataFrame, members: DataFrame, pairs: DataFrame, min_n: int, r2: float) -> DataFrame:
+    """(pid, cell, o_cell, other, met): how many points of a neighbouring cell lie
+    within the radius of a point of a sparse cell; one by one (``other``) where
+    that cell is sparse too, as a number where it is not."""
+    ways = pairs.filter(F.col("n") < min_n).select("cell", "o_cell", F.ceil(F.col("o_n") / CHUNK_ROWS).cast("int").alias("chunks"))
+    come = sparse.select("pid", "cell", F.col("x").alias("sx"), F.col("y").alias("sy")).join(ways, "cell").withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)"))).drop("chunks")
+    chunks = F.ceil(F.col("cell_n") / CHUNK_ROWS).cast("int")
+    there = members.select(F.col("cell").alias("o_cell"), F.pmod(F.xxhash64("pid"), chunks).cast("int").alias("chunk"), "x", "y", F.when(F.col("cell_n") < min_n, F.col("pid")).alias("other"))
+    dx, dy = F.col("sx") - F.col("x"), F.col("sy") - F.col("y")
+    found = come.join(there, ["o_cell", "chunk"]).filter(dx * dx + dy * dy <= r2)
+    return cut_lineage(found.groupBy("pid", "cell", "o_cell", "other").agg(F.count(F.lit(1)).alias("met")))
 
 
 def _dbscan_zero(pts: DataFrame, min_n: int, id_col: str) -> DataFrame:

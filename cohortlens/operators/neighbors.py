@@ -6,8 +6,7 @@ graph (M7) and perplexity-calibrated affinities (M8).
   boundary are compared across partitions (classic divide and conquer).
 * Farthest pair: the farthest pair lies on the convex hull; hulls are built
   per partition and merged, so only hull points travel.
-* kNN: exact, by blocks: query block i meets candidate block j in one
-  co-grouped task; per-block top-k lists are merged per point.
+* kNN: exact, by a metric index (``metric.py``).
 """
 
 from __future__ import annotations
@@ -16,11 +15,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import row_count_at_most
+from .metric import knn_graph  # noqa: F401  (M7, offered here beside the other neighbour operators)
 
 MIN_PAIR_DISTANCE = 1e-8   # M18: pairs at or below this distance are ignored
 SINGLE_TASK_MAX = 2_000_000
@@ -201,52 +201,6 @@ def farthest_pair(points: DataFrame, id_col: str = "record_id", x: str = "x", y:
     return hull.coalesce(1).mapInPandas(far, "a long, b long, distance double")
 
 
-# --- exact kNN graph --------------------------------------------------------------
-
-def knn_graph(points: DataFrame, k: int, id_col: str = "id", vec: str = "vec",
-              block_rows: int = 8192) -> DataFrame:
-    """(id, neighbor, rank, distance): exact k nearest neighbours (Euclidean,
-    self excluded, ties by neighbour id). Work is blocked: every (query
-    block, candidate block) pair is one task; no pair table is stored."""
-    n = points.count()
-    k = max(1, min(int(k), n - 1))
-    blocks = max(1, -(-n // block_rows))
-    base = points.select(F.col(id_col).cast("long").alias("id"),
-                         F.col(vec).cast("array<double>").alias("vec"),
-                         F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).alias("blk"))
-    q = base.select("id", "vec", F.col("blk").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("cb"))
-    c = base.select("id", "vec", F.col("blk").alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("qb"))
-
-    def block_topk(qdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
-        if qdf.empty or cdf.empty:
-            return pd.DataFrame({"id": [], "neighbor": [], "distance": []})
-        qv = np.stack(qdf["vec"].to_numpy())
-        cv = np.stack(cdf["vec"].to_numpy())
-        qid = qdf["id"].to_numpy()
-        cid = cdf["id"].to_numpy()
-        out_id, out_nb, out_d = [], [], []
-        for start in range(0, len(qv), 64):  # direct differences, 64 queries at a time
-            block = qv[start:start + 64]
-            d = np.sqrt(((block[:, None, :] - cv[None, :, :]) ** 2).sum(axis=2))
-            for i in range(len(block)):
-                mask = cid != qid[start + i]
-                dd, nb = d[i][mask], cid[mask]
-                take = min(k, len(dd))
-                if take == 0:
-                    continue
-                idx = np.lexsort((nb, dd))[:take]
-                out_id += [qid[start + i]] * take
-                out_nb += list(nb[idx])
-                out_d += list(dd[idx])
-        return pd.DataFrame({"id": out_id, "neighbor": out_nb, "distance": out_d})
-
-    cand = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
-            .applyInPandas(block_topk, "id long, neighbor long, distance double"))
-    # merge the per-block lists: at most k x blocks rows per point
-    w = Window.partitionBy("id").orderBy("distance", "neighbor")
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
 # --- perplexity-calibrated affinities ------------------------------------------------
 
 def _calibrate(d2: np.ndarray, valid: np.ndarray, target: float, steps: int = 50, tol: float = 1e-5):

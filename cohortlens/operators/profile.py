@@ -3,22 +3,21 @@
 Wide aggregates give per-column moments in one pass. Frequencies, distinct
 counts, entropy and top values come from ``groupBy(column, value)`` (partial
 aggregation first, so a column with few values never funnels rows into one
-task). Exact rank statistics (median, floor-rank quartiles) use range
-partitioning plus per-partition offsets instead of ``percentile``/``median``
-aggregates, which keep every distinct value of a group in one buffer.
+task). Exact rank statistics (median, floor-rank quartiles) are found by radix
+selection (``quantiles.py``) instead of ``percentile``/``median`` aggregates,
+which keep every distinct value of a group in one buffer.
 """
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parse as P
-from ..session import cut_lineage
 from .filters import missing, numeric, text_form
+from .quantiles import order_statistics
 
 NUMERIC_SHARE = 0.75  # P1: share of parseable values above which a column is numeric
 TOP_VALUES = 10
@@ -172,105 +171,18 @@ def _rank_targets(n: int) -> dict[str, list[int]]:
     return {"median": med, "q1": [math.floor(n * 0.25) + 1], "q3": [math.floor(n * 0.75) + 1]}
 
 
-def rank_select(long: DataFrame, group: str = "column", value: str = "x",
-                partitions: int | None = None) -> DataFrame:
-    """Exact order statistics per group: (group, median, q1, q3, n).
-
-    1. ``groupBy(group, value).count()`` collapses duplicates map-side.
-    2. ``repartitionByRange(group, value)`` + sort: each partition holds a
-       contiguous value range; checkpointed so both passes see the same rows.
-    3. Per-partition counts per group (partitions x groups rows) reach the
-       driver and become offsets.
-    4. ``mapInPandas`` walks each partition once and emits only the rows that
-       hold a wanted rank. No group is ever gathered in one task.
-    """
-    spark = long.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dedup = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranged = cut_lineage(dedup.repartitionByRange(parts, group, value)
-                         .sortWithinPartitions(group, value)
-                         .withColumn("_part", F.spark_partition_id()))
-    counts = (ranged.groupBy("_part", group).agg(F.sum("_cnt").alias("c"))
-              .orderBy(group, "_part").collect())
-    offsets: dict[tuple, int] = {}
-    totals: dict = {}
-    for r in counts:
-        g = r[group]
-        offsets[(r["_part"], g)] = totals.get(g, 0)
-        totals[g] = totals.get(g, 0) + r["c"]
-    wanted = {g: _rank_targets(n) for g, n in totals.items()}
-
-    def pick(batches):
-        running: dict[tuple, int] = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            out = []
-            for (part, g), sub in pdf.groupby(["_part", group], sort=False):
-                start = running.get((part, g), offsets.get((part, g), 0))
-                cnt = sub["_cnt"].to_numpy()
-                cum = cnt.cumsum() + start
-                running[(part, g)] = int(cum[-1])
-                lo = cum - cnt + 1
-                vals = sub[value].to_numpy()
-                for stat, ranks in wanted.get(g, {}).items():
-                    for rk in ranks:
-                        hit = (lo <= rk) & (cum >= rk)
-                        if hit.any():
-                            out.append((g, stat, int(rk), float(vals[hit.argmax()])))
-            if out:
-                yield pd.DataFrame(out, columns=[group, "stat", "rank", "v"])
-
-    schema = f"`{group}` string, stat string, rank long, v double"
-    # Rows arrive in (group, value) order inside each partition; the running
-    # offset carries across Arrow batches of the same partition.
-    picked = ranged.mapInPandas(pick, schema)
-    agg = picked.groupBy(group).agg(
-        F.avg(F.when(F.col("stat") == "median", F.col("v"))).alias("median"),
-        F.max(F.when(F.col("stat") == "q1", F.col("v"))).alias("q1"),
-        F.max(F.when(F.col("stat") == "q3", F.col("v"))).alias("q3"))
-    ns = spark.createDataFrame([(g, int(n)) for g, n in totals.items()],
-                               f"`{group}` string, n long")
-    return agg.join(ns, group, "right")
-
-
-# Columns whose distinct-value count (estimated, with a 10 % margin) stays
-# below this use Spark's exact percentile aggregates, whose buffer holds one
-# entry per distinct value; other columns use the distributed rank selection.
-PERCENTILE_BUFFER_MAX = 200_000
-
-
 def rank_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, n, median, q1, q3) for finite values: midpoint median and
-    floor-rank quartiles (Q1 = sorted[floor(n/4)], Q3 = sorted[floor(3n/4)]).
-
-    One pass estimates each column's count and distinct values. Columns with a
-    bounded number of distinct values get ``median`` and ``percentile_disc``
-    at p' = (floor(n p) + 0.5) / n (the smallest value whose cumulative share
-    reaches p' is the one at rank floor(n p) + 1) in one more pass; the rest
-    go through ``rank_select``."""
-    spark = df.sparkSession
+    floor-rank quartiles (Q1 = sorted[floor(n/4)], Q3 = sorted[floor(3n/4)]),
+    by radix selection of all columns together; columns without values are left out."""
     nums = df.select(*[numeric(df, c).alias(c) for c in cols])
-    card = nums.agg(*[x for c in cols for x in (F.count(c).alias(f"{c}__n"),
-                                                 F.approx_count_distinct(c, 0.02).alias(f"{c}__d"))]).first()
-    small = [c for c in cols if card[f"{c}__d"] * 1.1 <= PERCENTILE_BUFFER_MAX]
-    big = [c for c in cols if c not in small]
+    counts, at = order_statistics(nums, cols, lambda n: [k for ranks in _rank_targets(n).values() for k in ranks])
     rows = []
-    for chunk in _chunks([c for c in small if card[f"{c}__n"] > 0], AGG_CHUNK // 4):
-        exprs = []
-        for c in chunk:
-            n = card[f"{c}__n"]
-            p1 = (math.floor(n * 0.25) + 0.5) / n
-            p3 = (math.floor(n * 0.75) + 0.5) / n
-            exprs += [f"median(`{c}`) AS `{c}__m`",
-                      f"percentile_disc({p1!r}) WITHIN GROUP (ORDER BY `{c}`) AS `{c}__q1`",
-                      f"percentile_disc({p3!r}) WITHIN GROUP (ORDER BY `{c}`) AS `{c}__q3`"]
-        r = nums.selectExpr(*exprs).first()
-        rows += [(c, int(card[f"{c}__n"]), r[f"{c}__m"], r[f"{c}__q1"], r[f"{c}__q3"]) for c in chunk]
-    out = spark.createDataFrame(rows, "column string, n long, median double, q1 double, q3 double")
-    if big:
-        out = out.unionByName(rank_select(long_numeric(df, big)).select("column", "n", "median", "q1", "q3"))
-    return out
+    for c in cols:
+        if counts[c]:
+            median, (q1,), (q3,) = ([at[c][k] for k in ranks] for ranks in _rank_targets(counts[c]).values())
+            rows.append((c, counts[c], sum(median) / len(median), q1, q3))
+    return df.sparkSession.createDataFrame(rows, "column string, n long, median double, q1 double, q3 double")
 
 
 def quartiles(df: DataFrame, cols: list[str]) -> DataFrame:

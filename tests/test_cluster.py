@@ -1,10 +1,12 @@
 import numpy as np
 import pytest
 
+from cohortlens.operators import cells as CELLS
 from cohortlens.operators import cluster as C
 from cohortlens.operators import components as CC
 from cohortlens.operators import density as D
 from cohortlens.operators import matrix as M
+from cohortlens.operators import metric as METRIC
 from cohortlens.operators import neighbors as N
 from cohortlens.operators import validate as V
 
@@ -167,18 +169,38 @@ def test_closest_farthest_pairs(spark):
     assert far["distance"] == pytest.approx(d[iu].max())
 
 
-def test_knn_graph_exact(spark):
-    rng = np.random.default_rng(2)
-    v = rng.normal(size=(60, 5))
+@pytest.mark.parametrize("n, p, part_rows, cell_rows", [(60, 5, 16, 512), (900, 2, 40, 60), (500, 8, 4096, 50), (3, 2, 10, 10)])
+def test_knn_graph_exact(spark, monkeypatch, n, p, part_rows, cell_rows):
+    """Against all pairs, with ties, a third of the points on one spot, and rings cut into parts."""
+    monkeypatch.setattr(METRIC, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(METRIC, "VISIT_ROWS", 100)
+    v = np.random.default_rng(2).normal(size=(n, p)).round(1)
+    v[: n // 3] = v[0]
     df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id long, vec array<double>")
-    g = N.knn_graph(df, 4, block_rows=16)
-    got = {}
-    for r in g.collect():
-        got.setdefault(r["id"], {})[r["rank"]] = r["neighbor"]
-    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
-    np.fill_diagonal(d, np.inf)
-    for i in range(60):
-        assert [got[i][k] for k in range(1, 5)] == list(np.argsort(d[i], kind="stable")[:4])
+    got = {(r["id"], r["rank"], r["neighbor"], round(r["distance"], 9)) for r in N.knn_graph(df, 4, part_rows=part_rows).collect()}
+    want = set()
+    for i in range(n):
+        d = np.sqrt(((v - v[i]) ** 2).sum(1))
+        near = [j for j in np.lexsort((np.arange(n), d)) if j != i][: min(4, n - 1)]
+        want |= {(i, k, int(j), round(float(d[j]), 9)) for k, j in enumerate(near, 1)}
+    assert got == want
+
+
+def test_a_point_visits_only_rings_within_its_bound():
+    """In the plane most rings are ruled out, and none that holds a neighbour."""
+    rng = np.random.default_rng(3)
+    v, pivots = rng.uniform(size=(4000, 2)), rng.uniform(size=(40, 2))
+    d = np.sqrt(((v[:, None] - pivots[None]) ** 2).sum(2))
+    cell = d.argmin(1)
+    own = d[np.arange(len(v)), cell]
+    ring = (own > np.array([np.median(own[cell == c]) for c in range(40)])[cell]).astype(int)
+    keys = [(c, r) for c in range(40) for r in range(2)]
+    rows = [{"cell": c, "parts": 1, "least": own[(cell == c) & (ring == r)].min(), "greatest": own[(cell == c) & (ring == r)].max()} for c, r in keys]
+    low = METRIC.Rings(pivots, rows).bounds(v[:300])
+    apart = np.sqrt(((v[:300, None] - v[None]) ** 2).sum(2))
+    for k, (c, r) in enumerate(keys):
+        assert (low[:, k] <= apart[:, (cell == c) & (ring == r)].min(1)).all()
+    assert (low <= np.sort(apart, 1)[:, 5][:, None]).mean() < 0.15
 
 
 def test_pca_grade_and_three_variables(spark):
@@ -205,16 +227,36 @@ def test_dbscan_dense_cells_match_sequential_scan(spark, seed):
                         [rng.uniform(0, 3, size=(60, 2))])
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)],
                                "record_id long, x double, y double")
-    bound = D.ENUMERATE_MAX_PAIRS
-    D.ENUMERATE_MAX_PAIRS = 0  # force the refinement path
-    try:
-        got = labels(D.dbscan(df, 0.05, 5))
-    finally:
-        D.ENUMERATE_MAX_PAIRS = bound
+    got = labels(D.dbscan(df, 0.05, 5))
     want = brute_dbscan(xy, 0.05, 5)
     assert [got[i] for i in range(len(xy))] == want
-    got = labels(D.dbscan(df, 0.05, 5))  # enumeration path
-    assert [got[i] for i in range(len(xy))] == want
+
+
+def test_dbscan_of_a_cell_that_holds_a_third(spark, monkeypatch):
+    """Copies and near copies in one cell; its neighbours come from sparse cells in chunks."""
+    monkeypatch.setattr(D, "CHUNK_ROWS", 20)
+    rng = np.random.default_rng(8)
+    xy = np.concatenate([np.full((200, 2), 0.51), 0.5 + rng.uniform(0, 0.01, size=(100, 2)), rng.uniform(0, 2, size=(300, 2))])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "record_id long, x double, y double")
+    got = labels(D.dbscan(df, 0.12, 6))
+    assert [got[i] for i in range(len(xy))] == brute_dbscan(xy, 0.12, 6)
+
+
+def test_cells_touch_if_any_of_their_points_do(spark):
+    """Against all pairs of points; lattices give distances that equal the radius."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for cell in range(24):
+        centre = rng.integers(0, 4, 2) * 1.0
+        kind = cell % 3
+        p = centre + (rng.integers(0, 8, (60, 2)) / 8 if kind == 0 else rng.uniform(0, 1, (200, 2)) if kind == 1 else np.zeros((50, 2)))
+        rows += [(cell, float(a), float(b)) for a, b in p]
+    at = {c: np.array([r[1:] for r in rows if r[0] == c]) for c in range(24)}
+    pairs = [(a, b) for a in range(24) for b in range(a)]
+    radius2 = 0.25
+    want = {(a, b) for a, b in pairs if (((at[a][:, None] - at[b][None]) ** 2).sum(2) <= radius2).any()}
+    got = CELLS.touching(spark.createDataFrame(rows, "cell long, x double, y double"), spark.createDataFrame(pairs, "a long, b long"), radius2)
+    assert {(r.a, r.b) for r in got.collect()} == want and 0 < len(want) < len(pairs)
 
 
 def test_closest_pair_stacked_points(spark):

@@ -65,21 +65,33 @@ def test_item_groups():
     assert gdt["items"] == ["bw_gdt_1", "bw_gdt_2"] and gdt["total_col"] == "gdt_total"
 
 
-def test_rank_stats_both_paths_agree(spark):
+def test_rank_stats_by_radix_selection(spark):
+    """Few and many values, signs, both zeros, neighbouring doubles, powers far apart, copies, nulls, and a column without values."""
+    import math
     import random
+    import struct
+
     random.seed(11)
-    rows = [(float(random.randint(0, 30)), float(random.random())) for _ in range(3001)]
-    df = spark.createDataFrame(rows, "few double, many double").repartition(5)
-    fast = {r["column"]: r for r in PR.rank_stats(df, ["few", "many"]).collect()}
-    bound = PR.PERCENTILE_BUFFER_MAX
-    PR.PERCENTILE_BUFFER_MAX = 0  # force the distributed rank selection
-    try:
-        slow = {r["column"]: r for r in PR.rank_stats(df, ["few", "many"]).collect()}
-    finally:
-        PR.PERCENTILE_BUFFER_MAX = bound
-    for c in ["few", "many"]:
-        assert (fast[c]["n"], fast[c]["median"], fast[c]["q1"], fast[c]["q3"]) == \
-               (slow[c]["n"], slow[c]["median"], slow[c]["q1"], slow[c]["q3"])
+    near = struct.unpack("<d", struct.pack("<q", struct.unpack("<q", struct.pack("<d", 1.0))[0] + 1))[0]
+    columns = {
+        "few": [float(random.randint(-3, 30)) for _ in range(3001)],
+        "many": [random.gauss(0, 1) for _ in range(3001)],
+        "far": [random.choice([-1, 1]) * 10.0 ** random.randint(-300, 300) for _ in range(3001)],
+        "near": [random.choice([1.0, near, -0.0, 0.0]) for _ in range(3001)],
+        "hot": [7.25 if i % 3 else random.random() for i in range(3001)],
+        "gaps": [random.random() if random.random() < 0.1 else None for _ in range(3001)],
+        "one": [None] * 3000 + [5.0],
+        "none": [None] * 3001,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    got = {r["column"]: r for r in PR.rank_stats(df, list(columns)).collect()}
+    assert set(got) == set(columns) - {"none"}
+    for c in got:
+        v = sorted(x for x in columns[c] if x is not None)
+        n = len(v)
+        want = (n, (v[(n - 1) // 2] + v[n // 2]) / 2, v[math.floor(n / 4)], v[math.floor(3 * n / 4)])
+        assert (got[c]["n"], got[c]["median"], got[c]["q1"], got[c]["q3"]) == want, c
+    assert PR.rank_stats(df.limit(0), ["few"]).count() == 0
 
 
 def test_correlation_gram_matches_aggregates(spark):
