@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import broadcast_if_small
 
 #: Sub-cells of a cell on each axis.
 SPLIT = 16
@@ -39,15 +40,28 @@ def box_of() -> list[Column]:
     return [F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")]
 
 
-def _sub() -> Column:
-    """The sub-cell of a point (x, y) of a cell with the box x0, x1, y0, y1. What
-    lies at the ends of a box is never in one sub-cell, so every round divides."""
+def in_sub_cells(held: DataFrame) -> DataFrame:
+    """``held`` (cell, x, y, ...) with each point's sub-cell of its cell's bounding
+    box. What lies at the ends of a box is never in one sub-cell, so every round divides."""
+    boxes = held.groupBy("cell").agg(*box_of())
 
     def place(v: str) -> Column:
         side = F.col(f"{v}1") - F.col(f"{v}0")
         return F.when(side > 0, F.least(F.floor((F.col(v) - F.col(f"{v}0")) / side * SPLIT), F.lit(SPLIT - 1))).otherwise(F.lit(0)).cast("int")
 
-    return (place("x") * SPLIT + place("y")).alias("sub")
+    return cut_lineage(held.join(broadcast_if_small(boxes)[0], "cell").withColumn("sub", place("x") * SPLIT + place("y")).drop(*BOX))
+
+
+def next_cells(open_: DataFrame, placed: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
+    """The sub-cells of undecided pairs (a, a_sub, b, b_sub) as the cells of the
+    next round: the pairs (pair, a, b, *keep) in new numbers, and the points of ``placed`` in them."""
+    ends = open_.select(F.col("a").alias("cell"), F.col("a_sub").alias("sub")).unionByName(open_.select(F.col("b").alias("cell"), F.col("b_sub").alias("sub"))).distinct()
+    numbered = cut_lineage(ends.withColumn("next", F.monotonically_increasing_id()))
+    for end in ("a", "b"):
+        own = numbered.select(F.col("cell").alias(end), F.col("sub").alias(f"{end}_sub"), F.col("next").alias(f"{end}_next"))
+        open_ = open_.join(own, [end, f"{end}_sub"])
+    pairs = open_.select(F.monotonically_increasing_id().alias("pair"), F.col("a_next").alias("a"), F.col("b_next").alias("b"), *keep)
+    return cut_lineage(pairs), cut_lineage(placed.join(numbered, ["cell", "sub"]).drop("cell", "sub").withColumnRenamed("next", "cell"))
 
 
 def _sub_boxes(placed: DataFrame) -> DataFrame:
@@ -99,20 +113,14 @@ def touching(points: DataFrame, pairs: DataFrame, radius2: float) -> DataFrame:
     while not todo.isEmpty():
         used = todo.select(F.col("a").alias("cell")).unionByName(todo.select(F.col("b").alias("cell"))).distinct()
         held = held.join(used, "cell", "left_semi")
-        boxes = held.groupBy("cell").agg(*box_of())
-        placed = cut_lineage(held.join(boxes, "cell").select("cell", _sub(), "x", "y"))
+        placed = in_sub_cells(held)
         subs = cut_lineage(_sub_boxes(placed))
         both = todo.join(subs.select(F.col("cell").alias("a"), F.col("boxes").alias("a_boxes")), "a").join(subs.select(F.col("cell").alias("b"), F.col("boxes").alias("b_boxes")), "b")
         said = cut_lineage(both.select("pair", "a_boxes", "b_boxes").mapInArrow(_decided(radius2), "pair long, a_sub int, b_sub int").join(todo, "pair"))
         now = said.where("a_sub < 0").select("of")
         found = cut_lineage((now if found is None else found.unionByName(now)).distinct())
         open_ = said.where("a_sub >= 0").join(found, "of", "left_anti")
-        # sub-cells that are still in between are the cells of the next round
-        ends = open_.select(F.col("a").alias("cell"), F.col("a_sub").alias("sub")).unionByName(open_.select(F.col("b").alias("cell"), F.col("b_sub").alias("sub"))).distinct()
-        numbered = cut_lineage(ends.withColumn("next", F.monotonically_increasing_id()))
-        side = lambda df, end: df.join(numbered.select(F.col("cell").alias(end), F.col("sub").alias(f"{end}_sub"), F.col("next").alias(f"{end}_next")), [end, f"{end}_sub"])
-        todo = cut_lineage(side(side(open_, "a"), "b").select(F.monotonically_increasing_id().alias("pair"), F.col("a_next").alias("a"), F.col("b_next").alias("b"), "of"))
-        held = cut_lineage(placed.join(numbered, ["cell", "sub"]).select(F.col("next").alias("cell"), "x", "y"))
+        todo, held = next_cells(open_, placed, "of")  # sub-cells that are still in between
     if found is None:
         return pairs.limit(0)
     return origin.join(found.select(F.col("of").alias("pair")), "pair", "left_semi").select(F.col("a0").alias("a"), F.col("b0").alias("b"))

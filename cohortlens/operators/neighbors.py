@@ -1,13 +1,6 @@
-"""Neighbour operators: closest / farthest pair (M18), exact k-nearest-neighbour
-graph (M7) and perplexity-calibrated affinities (M8).
-
-* Closest pair: range-partition by x, exact sweep inside every partition,
-  then only points within delta (the best distance so far) of a partition
-  boundary are compared across partitions (classic divide and conquer).
-* Farthest pair: the farthest pair lies on the convex hull; hulls are built
-  per partition and merged, so only hull points travel.
-* kNN: exact, by a metric index (``metric.py``).
-"""
+"""Neighbour operators: closest / farthest pair (M18, ``pairs.py``), exact
+k-nearest-neighbour graph (M7, ``metric.py``) and perplexity-calibrated
+affinities (M8) over it."""
 
 from __future__ import annotations
 
@@ -18,188 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .common import row_count_at_most
-from .metric import knn_graph  # noqa: F401  (M7, offered here beside the other neighbour operators)
-
-MIN_PAIR_DISTANCE = 1e-8   # M18: pairs at or below this distance are ignored
-SINGLE_TASK_MAX = 2_000_000
-
-
-# --- closest pair -------------------------------------------------------------
-
-def _sweep_closest(ids: np.ndarray, xs: np.ndarray, ys: np.ndarray, best: float = math.inf):
-    """Exact closest pair (distance > MIN_PAIR_DISTANCE) of one sorted
-    chunk; ties -> lowest (min id, max id). Returns (d, a, b) or None."""
-    order = np.lexsort((ids, xs))
-    ids, xs, ys = ids[order], xs[order], ys[order]
-    n = len(xs)
-    found = None
-    k = 1
-    while k < n:
-        dx = xs[k:] - xs[:-k]
-        live = dx <= best
-        if not live.any():
-            break
-        d = np.hypot(dx, ys[k:] - ys[:-k])
-        ok = live & (d > MIN_PAIR_DISTANCE) & (d <= best)
-        if ok.any():
-            cand = np.where(ok)[0]
-            a = np.minimum(ids[cand], ids[cand + k])
-            b = np.maximum(ids[cand], ids[cand + k])
-            dd = d[cand]
-            j = np.lexsort((b, a, dd))[0]
-            t = (float(dd[j]), int(a[j]), int(b[j]))
-            if found is None or t < found:
-                found = t
-                best = t[0]
-        k += 1
-    return found
-
-
-def closest_pair(points: DataFrame, id_col: str = "record_id", x: str = "x", y: str = "y",
-                 partitions: int | None = None, depth: int = 0) -> DataFrame:
-    """(a, b, distance) of the closest pair with distance > 1e-8.
-
-    Range-partition on one axis, sweep each partition exactly, then recurse
-    on the points within delta of a partition boundary only. The axis
-    alternates between levels, so points stacked on one x value are split by
-    y at the next level."""
-    spark = points.sparkSession
-    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
-    if row_count_at_most(pts, 5000):
-        return _closest_single(pts, id_col)
-    if depth > 8:
-        if not row_count_at_most(pts, SINGLE_TASK_MAX):
-            raise ValueError("closest pair: candidates stay too concentrated to split")
-        return _closest_single(pts, id_col)
-    axis, other = ("x", "y") if depth % 2 == 0 else ("y", "x")
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(pts.repartitionByRange(parts, axis, "id").withColumn("_p", F.spark_partition_id()))
-
-    def local(batches):
-        frames = [b for b in batches if not b.empty]
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        r = _sweep_closest(pdf["id"].to_numpy(), pdf[axis].to_numpy(float), pdf[other].to_numpy(float))
-        yield pd.DataFrame([{"_p": int(pdf["_p"].iloc[0]), "x0": float(pdf[axis].min()),
-                             "x1": float(pdf[axis].max()), "d": r[0] if r else None,
-                             "a": r[1] if r else None, "b": r[2] if r else None}])
-
-    stats = ranged.mapInPandas(local, "_p int, x0 double, x1 double, d double, a long, b long").collect()
-    stats = sorted(stats, key=lambda r: r["_p"])  # one row per partition
-    found = min(((r["d"], r["a"], r["b"]) for r in stats if r["d"] is not None), default=None)
-    delta = found[0] if found else math.inf
-    # candidates near a boundary: coordinate >= next partition's start - delta
-    # or <= previous partition's end + delta
-    expr = F.lit(False)
-    for i, r in enumerate(stats):
-        c = F.lit(False)
-        if i + 1 < len(stats):
-            c = c | (F.col(axis) >= F.lit(stats[i + 1]["x0"] - delta))
-        if i > 0:
-            c = c | (F.col(axis) <= F.lit(stats[i - 1]["x1"] + delta))
-        expr = F.when(F.col("_p") == r["_p"], c).otherwise(expr)
-    cand = ranged.filter(expr).select(F.col("id").alias(id_col), "x", "y")
-    sub = closest_pair(cand, id_col, "x", "y", parts, depth + 1).collect()
-    if sub:
-        t = (sub[0]["distance"], sub[0]["a"], sub[0]["b"])
-        if found is None or t < found:
-            found = t
-    rows = [] if found is None else [(int(found[1]), int(found[2]), float(found[0]))]
-    return spark.createDataFrame(rows, "a long, b long, distance double")
-
-
-def _closest_single(pts: DataFrame, id_col: str) -> DataFrame:
-    """Small input: one task sweeps it (the row bound was checked)."""
-    def one(batches):
-        frames = [b for b in batches if not b.empty]
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        r = _sweep_closest(pdf["id"].to_numpy(), pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))
-        if r:
-            yield pd.DataFrame([{"a": r[1], "b": r[2], "distance": r[0]}])
-
-    out = pts.coalesce(1).mapInPandas(one, "a long, b long, distance double")
-    return out.orderBy("distance", "a", "b").limit(1)
-
-
-# --- farthest pair ------------------------------------------------------------
-
-def _hull_mask(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
-    """Rows whose coordinates are convex-hull vertices (monotone chain);
-    duplicates of a vertex are kept."""
-    pts = np.unique(np.stack([xs, ys], axis=1), axis=0)
-    if len(pts) <= 2:
-        keep = pts
-    else:
-        def half(seq):
-            h = []
-            for p in seq:
-                while len(h) >= 2 and ((h[-1][0] - h[-2][0]) * (p[1] - h[-2][1])
-                                       - (h[-1][1] - h[-2][1]) * (p[0] - h[-2][0])) <= 0:
-                    h.pop()
-                h.append(tuple(p))
-            return h
-        lower, upper = half(pts), half(pts[::-1])
-        keep = np.array(lower[:-1] + upper[:-1])
-    key = set(map(tuple, keep))
-    return np.array([(a, b) in key for a, b in zip(xs, ys)])
-
-
-def hull_points(points: DataFrame, id_col: str = "record_id", x: str = "x", y: str = "y") -> DataFrame:
-    """Convex-hull vertices, of equal points the one with the lowest id:
-    per-partition hulls merged until one partition remains."""
-    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
-
-    def local(batches):
-        frames = [b for b in batches if not b.empty]
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        pdf = pdf.sort_values("id").drop_duplicates(["x", "y"])
-        yield pdf[_hull_mask(pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))]
-
-    schema = "id long, x double, y double"
-    cur = pts.mapInPandas(local, schema)
-    n_parts = pts.rdd.getNumPartitions()
-    while n_parts > 1:
-        n_parts = max(1, n_parts // 8)
-        cur = cut_lineage(cur.coalesce(n_parts).mapInPandas(local, schema))
-    return cur
-
-
-def farthest_pair(points: DataFrame, id_col: str = "record_id", x: str = "x", y: str = "y") -> DataFrame:
-    """(a, b, distance) of the farthest pair; ties -> lowest (min id, max id)."""
-    hull = hull_points(points, id_col, x, y)
-    if not row_count_at_most(hull, SINGLE_TASK_MAX):
-        raise ValueError("hull too large for one task")
-    if row_count_at_most(hull, 1):  # all points are one: its two lowest ids
-        at = [(r["x"], r["y"]) for r in hull.collect()]
-        same = points.filter((F.col(x) == at[0][0]) & (F.col(y) == at[0][1])) if at else points.limit(0)
-        hull = same.select(F.col(id_col).cast("long").alias("id"), F.col(x).alias("x"), F.col(y).alias("y")).orderBy("id").limit(2)
-
-    def far(batches):
-        frames = [b for b in batches if not b.empty]
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        ids, xs, ys = pdf["id"].to_numpy(), pdf["x"].to_numpy(float), pdf["y"].to_numpy(float)
-        best = None
-        for i in range(len(ids) - 1):
-            d = np.hypot(xs[i + 1:] - xs[i], ys[i + 1:] - ys[i])
-            a = np.minimum(ids[i + 1:], ids[i])
-            b = np.maximum(ids[i + 1:], ids[i])
-            j = np.lexsort((b, a, -d))[0]
-            t = (-float(d[j]), int(a[j]), int(b[j]))
-            best = t if best is None or t < best else best
-        if best:
-            yield pd.DataFrame([{"a": best[1], "b": best[2], "distance": -best[0]}])
-
-    return hull.coalesce(1).mapInPandas(far, "a long, b long, distance double")
-
+from .metric import knn_graph  # noqa: F401
+from .pairs import closest_pair, farthest_pair  # noqa: F401
 
 # --- perplexity-calibrated affinities ------------------------------------------------
 

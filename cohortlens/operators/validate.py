@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.rowindex import with_row_index
-from .common import row_count_at_most
+from .metric import knn_graph
 
 NOISE = -1
 SILHOUETTE_SAMPLE = 800       # M17: at most this many sample points
-MAX_DRIVER_CENTROIDS = 5_000   # above this, 2-D centroid distances are found distributed
 LARGEST_MIN_MEMBERS = 20      # M18: a case cluster needs at least 20 members
 # M29 verdict thresholds (checked in this order)
 DOMINANT_SHARE = 0.85
@@ -66,17 +65,8 @@ def metrics(labelled: DataFrame, cols: list[str], label: str = "label") -> DataF
     min_cd, ratio = None, None
     if k >= 2:
         ratio = float(sizes["lo"] / sizes["hi"])
-        if k <= MAX_DRIVER_CENTROIDS:  # k x p numbers, checked above
-            c = np.array([[r[f"c_{x}"] for x in cols] for r in cent.collect()], dtype=float)
-            min_cd = min(float(np.sqrt(((c[i + 1:] - c[i]) ** 2).sum(axis=1)).min()) for i in range(len(c) - 1))
-        elif len(cols) == 2:
-            from .neighbors import closest_pair
-            pts = cent.select(F.col(label).cast("long").alias("cid"), F.col(f"c_{cols[0]}").alias("x"),
-                              F.col(f"c_{cols[1]}").alias("y"))
-            near = closest_pair(pts, "cid").first()
-            min_cd = near["distance"] if near else 0.0
-        else:
-            raise ValueError("minimum centroid distance for many clusters needs 2-D points")
+        places = cent.select(F.col(label).cast("long").alias("id"), F.array(*[f"c_{c}" for c in cols]).alias("vec"))
+        min_cd = knn_graph(places, 1).agg(F.min("distance")).first()[0]  # 0 where centroids coincide
     return base.select("sse", "mean_distance", F.lit(min_cd).cast("double").alias("min_centroid_distance"),
                        F.lit(ratio).cast("double").alias("size_balance"), F.lit(k).alias("clusters"))
 

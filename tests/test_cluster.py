@@ -8,6 +8,7 @@ from cohortlens.operators import density as D
 from cohortlens.operators import matrix as M
 from cohortlens.operators import metric as METRIC
 from cohortlens.operators import neighbors as N
+from cohortlens.operators import pairs as PAIRS
 from cohortlens.operators import validate as V
 
 POINTS = [(1, 0.0, 0.0), (2, 0.1, 0.0), (3, 10.0, 10.0), (4, 10.1, 10.0)]
@@ -145,8 +146,7 @@ def test_impute_all_missing_to_zero(spark):
     assert all(np.isfinite([r["a"], r["b"]]).all() for r in z)
 
 
-def test_farthest_pair_of_many_copies(spark, monkeypatch):
-    monkeypatch.setattr(N, "SINGLE_TASK_MAX", 20)
+def test_farthest_pair_of_many_copies(spark):
     corners = [(0.0, 0.0), (3.0, 0.0), (0.0, 4.0), (1.0, 1.0)]
     rows = [(1000 - k, *corners[k % 4]) for k in range(400)]  # 300 rows stand on the hull
     df = spark.createDataFrame(rows, "record_id long, x double, y double").repartition(5)
@@ -157,16 +157,54 @@ def test_farthest_pair_of_many_copies(spark, monkeypatch):
     assert N.farthest_pair(df.where("record_id = 1000")).count() == N.farthest_pair(df.limit(0)).count() == 0
 
 
-def test_closest_farthest_pairs(spark):
+def all_pairs(rows):
+    rows = [r for r in rows if r[1] is not None and r[2] is not None]
+    return [(np.hypot(p[1] - q[1], p[2] - q[2]), min(p[0], q[0]), max(p[0], q[0])) for k, p in enumerate(rows) for q in rows[:k]]
+
+
+def point_sets():
     rng = np.random.default_rng(5)
-    xy = rng.uniform(size=(300, 2))
-    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "record_id long, x double, y double")
-    d = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(2))
-    iu = np.triu_indices(len(xy), 1)
+    angles = np.arange(120) * 2 * np.pi / 120
+    return {
+        "uniform": rng.uniform(size=(300, 2)),
+        "lattice": rng.integers(0, 12, size=(300, 2)) / 4.0,
+        "circle": np.stack([np.cos(angles), np.sin(angles)], axis=1).round(12),
+        "line": np.stack([np.zeros(200), rng.uniform(size=200).round(2)], axis=1),
+        "hot": np.concatenate([np.full((150, 2), 0.25), 0.25 + rng.uniform(0, 1e-6, (100, 2)), rng.uniform(-5, 5, (50, 2))]),
+        "clump": np.concatenate([rng.uniform(0, 4e-9, (100, 2)), [[1.0, 1.0]]]),
+    }
+
+
+@pytest.mark.parametrize("kind", sorted(point_sets()))
+def test_closest_and_farthest_pair_of_all(spark, monkeypatch, kind):
+    """Against all pairs: copies, ties, points on a circle, one spot with most points, pairs too close to count, nulls."""
+    monkeypatch.setattr(PAIRS, "DRAWN", 3)
+    rows = [(900 - i, float(a), float(b)) for i, (a, b) in enumerate(point_sets()[kind])] + [(1, None, 0.0), (2, 50.0, None)]
+    df = spark.createDataFrame(rows, "record_id long, x double, y double").repartition(3)
+    pairs = all_pairs(rows)
+    d, a, b = min(t for t in pairs if t[0] > 1e-8)
     near = N.closest_pair(df).first()
+    assert (near["a"], near["b"]) == (a, b) and near["distance"] == pytest.approx(d, rel=1e-12)
+    d = max(t[0] for t in pairs)
     far = N.farthest_pair(df).first()
-    assert near["distance"] == pytest.approx(d[iu].min())
-    assert far["distance"] == pytest.approx(d[iu].max())
+    assert far["distance"] == pytest.approx(d, rel=1e-12)
+    ties = [(a, b) for t, a, b in pairs if t >= d * (1 - 1e-12)]
+    assert (far["a"], far["b"]) in ties and (kind == "circle" or (far["a"], far["b"]) == min(ties))
+
+
+def test_pairs_of_few_points(spark):
+    few = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 0.0), (3, 0.0, 1e-9)], "record_id long, x double, y double")
+    assert N.closest_pair(few).count() == N.closest_pair(few.limit(0)).count() == N.closest_pair(few.limit(1)).count() == 0
+    assert N.farthest_pair(few.limit(1)).count() == N.farthest_pair(few.limit(0)).count() == 0
+    assert tuple(N.farthest_pair(few).first()) == (1, 3, 1e-9)
+
+
+def test_metrics_have_one_rule_for_coincident_centroids(spark):
+    """In three dimensions, with many clusters, two of which share their centroid."""
+    rows = [(k, k // 2, float(k // 2 % 40), float(k // 2 // 40), float(k % 2)) for k in range(400)] + [(900, 500, 3.0, 1.0, 0.5)]
+    df = spark.createDataFrame(rows, "record_id long, label int, x double, y double, z double")
+    assert V.metrics(df, ["x", "y", "z"]).first()["min_centroid_distance"] == 0.0
+    assert V.metrics(df.where("record_id < 900"), ["x", "y", "z"]).first()["min_centroid_distance"] == 1.0
 
 
 @pytest.mark.parametrize("n, p, part_rows, cell_rows", [(60, 5, 16, 512), (900, 2, 40, 60), (500, 8, 4096, 50), (3, 2, 10, 10)])
@@ -264,7 +302,7 @@ def test_closest_pair_stacked_points(spark):
     rng = np.random.default_rng(9)
     xy = np.stack([np.round(rng.uniform(size=6000) * 0.001, 6), rng.uniform(size=6000) * 100], axis=1)
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "record_id long, x double, y double")
-    near = N.closest_pair(df, partitions=6).first()
+    near = N.closest_pair(df).first()
     order = np.argsort(xy[:, 1])
     s = xy[order]
     best = np.inf
