@@ -11,8 +11,10 @@ row the ids before it in its shard, so a global start needs one sum per shard.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -27,9 +29,11 @@ from cohortlens.llm.common import new_folder, slices, texts
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a worker keeps; longer words are encoded each time; words encoded at a time.
-KEPT_WORDS, KEPT_LENGTH, TOGETHER = 250_000, 40, 5_000
-#: A word of letters with other ASCII marks behind it (no digits, no apostrophe: those have rules of their own).
-_MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
+KEPT_WORDS, KEPT_LENGTH, TOGETHER = 400_000, 40, 5_000
+#: Bytes that are not ASCII marks, and ASCII marks behind them (no digits, no apostrophe: those have rules of their own).
+_MARKED = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
+#: Bytes of text encoded together.
+SLICE = 2 << 20
 #: Rows of an ORC row group, which has an index entry and a Bloom filter of its own; bytes of a stripe.
 ROW_GROUP, STRIPE = 2_000, 16 << 20
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, shard int, shard_start long"
@@ -41,24 +45,54 @@ def public_vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def _letters(word: bytes) -> bool:
+    """Whether a lower-cased word is letters only, also once the vocabulary's rules
+    (composition, lower case) are applied: a capital I with a dot, or a Hindi letter
+    that is excluded from composition, becomes a letter and a mark, and marks go
+    together with those behind them."""
+    return word.isalpha() or (not word.isascii() and unicodedata.normalize("NFC", word.decode()).lower().isalpha() and unicodedata.normalize("NFC", word.decode().lower()).isalpha())
+
+
+#: The rules that ``_encoder`` relies on when it takes texts apart: of the normaliser, the words' pattern, and the bytes of a word.
+_RULES = (
+    [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "</w>",
+)
+
+
+def _words_apart(path: str) -> bool:
+    """Whether a tokenizer file has the rules under which a text's ids are those of its words."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    normalizer, pre = spec.get("normalizer") or {}, (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    special = all(t["content"].startswith("<|") and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"])
+    return special and (normalizer.get("normalizers"), pre[0].get("pattern"), spec["model"].get("end_of_word_suffix")) == _RULES
+
+
 @functools.lru_cache(2)
 def _encoder(path: str):
     """Texts -> the bytes of their ids (little-endian, 4 bytes each).
 
-    This vocabulary's rules lower case, drop white space and let no token
+    The public vocabulary's rules lower case, drop white space and let no token
     cross it, nor the border of letters and others; so a text's ids are those
-    of its words, and a worker keeps the ids of words that it has met."""
+    of its words, and a worker keeps the ids of words that it has met. With a
+    vocabulary of other rules, texts are encoded whole."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores in use
     from tokenizers import Tokenizer
 
     tokenizer, known, older = Tokenizer.from_file(path), {}, {}
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    ids_of = lambda text: np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
+    if not _words_apart(path):
+        return lambda batch: [ids_of(t).tobytes() for t in batch]
     ends_word = np.zeros(tokenizer.get_vocab_size(), bool)
     ends_word[[k for token, k in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-    ids_of = lambda text: np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
 
     def learn(words: list[bytes]) -> None:
         """Words of letters are encoded together: each ends at its first token that ends a word."""
-        plain = [w for w in words if w.decode().isalpha()]
+        plain = [w for w in words if _letters(w)]
         for at in range(0, len(plain), TOGETHER):
             part = plain[at : at + TOGETHER]
             ids = ids_of(b" ".join(part).decode())
@@ -78,10 +112,10 @@ def _encoder(path: str):
         split = [t.encode().lower().replace(b"\n", b" ").split(b" ") if "<|" not in t else None for t in batch]
         if len(known) > KEPT_WORDS:  # what is not met again until then is forgotten
             known, older = {}, known
-        new = {w for t in split if t for w in t if w not in known}
-        known.update((w, older[w]) for w in new if w in older)
-        new = {w for w in new if w not in known}
-        stems = {w: (m[1].encode(), m[2].encode()) for w in new if (m := _MARKED(w.decode())) and m[1].isalpha()}
+        new = set().union(*filter(None, split)).difference(known)
+        known.update((w, older[w]) for w in new.intersection(older))
+        new.difference_update(older)
+        stems = {w: (m[1], m[2]) for w in new if (m := _MARKED(w)) and _letters(m[1])}
         parts = {x for x in (*(new - stems.keys()), *(x for pair in stems.values() for x in pair)) if x not in known}
         learn(list(parts))
         known.update((w, known[stem] + known[marks]) for w, (stem, marks) in stems.items())
@@ -97,7 +131,7 @@ def _encoded(vocabulary: str | None, end_id: int):
     def each(batches):
         encode, shard, start = _encoder(vocabulary or public_vocabulary()), TaskContext.get().partitionId(), 0
         end = np.asarray([end_id], "<i4").tobytes()
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             data = [x + end for x in encode(texts(batch.column(1)))]
             counts = np.fromiter((len(x) // 4 for x in data), np.int64, len(data))
             ends = np.cumsum(counts)
