@@ -8,9 +8,9 @@ step per number, as large for rare noise as for telling subwords, would learn
 the noise). A misspelling that was never seen shares most of its n-grams with
 the word it stands for, and so the vectors.
 
-Training runs on the driver on a bounded sample (TOXIC_ROWS, CLEAN_ROWS, texts
-of up to LONGEST characters); what the tasks get is one number per bucket, the
-softmax's margin of its vector, as that is all a score needs.
+Training runs in one task on a bounded sample (TOXIC_ROWS, CLEAN_ROWS, texts of
+up to LONGEST characters); what the driver and the scoring tasks get is one
+number per bucket, the softmax's margin of its vector, as that is all a score needs.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ NEUTRAL = 40
 EPOCHS, RATE, SCALE, SEED = 60, 0.3, 50.0, 1
 #: Documents with this score are predicted toxic.
 THRESHOLD = 0.7
-#: Words whose margins a worker keeps; bytes of text it scores at a time.
-KEPT, SLICE = 300_000, 2 << 20
+#: Words whose margins a worker keeps; bytes of text it scores at a time; words of the sample whose subwords are formed at a time.
+KEPT, SLICE, WORDS = 300_000, 2 << 20, 20_000
 _FACTOR = np.random.default_rng(11).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -93,18 +93,27 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _subwords_in_order(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and places as ``subwords`` gives them, word by word; a bounded number of words at a time."""
+    buckets, owners = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+    for at in range(0, len(words), WORDS):
+        bucket, owner = subwords(words[at : at + WORDS])
+        order = np.argsort(owner, kind="stable")
+        buckets.append(bucket[order].astype(np.int32))
+        owners.append((owner[order] + at).astype(np.int32))
+    return np.concatenate(buckets), np.concatenate(owners)
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Train on texts and their labels (0 or 1). Without both labels every score is that of the label there is."""
     kept = [(t, k) for t, k in zip(texts, labels) if bag(t)]
     if len({k for _, k in kept}) < 2:
         return Model(np.zeros(1 << BITS, np.float32), 30.0 if kept and kept[0][1] else -30.0)
     vocabulary: dict[bytes, int] = {}
-    texts, y = [t for t, _ in kept], np.asarray([k for _, k in kept], np.float32)
-    docs = [[vocabulary.setdefault(w, len(vocabulary)) for w in sorted(bag(t))] for t in texts]
-    per_doc, word = np.array([len(d) for d in docs]), np.fromiter((w for d in docs for w in d), np.int64)
-    bucket, owner = subwords(list(vocabulary))
-    order = np.argsort(owner, kind="stable")
-    bucket, owner = bucket[order], owner[order]
+    y = np.asarray([k for _, k in kept], np.float32)
+    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in sorted(bag(t))], np.int32) for t, _ in kept]
+    per_doc, word = np.array([len(d) for d in docs]), np.concatenate(docs)
+    bucket, owner = _subwords_in_order(list(vocabulary))
     total = np.bincount(owner, minlength=len(vocabulary)).astype(np.float32)
     first = np.cumsum(total.astype(np.int64)) - total.astype(np.int64)
     seen_in = np.zeros(1 << BITS, np.int32)
@@ -114,10 +123,12 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     # words by bucket and documents by word, and the same the other way for the gradients
     bucket, per_word = bucket[use], np.bincount(owner[use], minlength=len(vocabulary))
     by_bucket, by_word = np.argsort(bucket, kind="stable"), np.argsort(word, kind="stable")
-    word_of, doc_of = np.repeat(np.arange(len(vocabulary)), per_word)[by_bucket], np.repeat(np.arange(len(docs)), per_doc)[by_word]
+    word_of = np.repeat(np.arange(len(vocabulary), dtype=np.int32), per_word)[by_bucket]
+    doc_of = np.repeat(np.arange(len(docs), dtype=np.int32), per_doc)[by_word]
+    del by_bucket, by_word, owner
     used, per_bucket = np.unique(bucket, return_counts=True)
     per_word_docs = np.bincount(word, minlength=len(vocabulary))
-    place = np.searchsorted(used, bucket)
+    place = np.searchsorted(used, bucket).astype(np.int32)
     share, part = (SCALE / (per_doc + NEUTRAL)).astype(np.float32)[:, None], (1 / np.maximum(total, 1))[:, None]
     rng = np.random.default_rng(SEED)
     vectors, softmax, bias = (rng.standard_normal((len(used), SIZE)) * 0.01).astype(np.float32), rng.standard_normal((SIZE, 2)).astype(np.float32), np.zeros(2, np.float32)
@@ -151,9 +162,19 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Col
     by_label = [smallest_by_hash(known.where(F.col("label") == k), "label", "id", most) for k, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
     chosen = stage(by_label[0].union(by_label[1]), "toxicity-sample")
     rows = docs.where(F.length(text) <= LONGEST).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    picked = rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect()  # TOXIC_ROWS + CLEAN_ROWS at most
-    picked.sort(key=lambda r: (r["label"], r["id"]))
-    return fit([r["text"] for r in picked], [r["label"] for r in picked])
+    picked = stage(rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")), "toxicity-texts")  # TOXIC_ROWS + CLEAN_ROWS at most
+    fitted = picked.repartition(1).sortWithinPartitions("label", "id").select("label", "text").mapInArrow(_fit_rows, "margins binary, bias double").first()
+    return Model(np.frombuffer(fitted["margins"], np.float32), fitted["bias"])
+
+
+def _fit_rows(batches):
+    """One row with the model of the task's rows (label, text); the sample is one task's."""
+    labels, found = [], []
+    for batch in batches:
+        labels += batch.column(0).to_pylist()
+        found += batch.column(1).to_pylist()
+    model = fit(found, labels)
+    yield pa.RecordBatch.from_arrays([pa.array([model.margins.astype(np.float32).tobytes()], pa.binary()), pa.array([model.bias])], ["margins", "bias"])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
