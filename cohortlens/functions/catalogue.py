@@ -11,31 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values (must equal the reference for equal results) -------------
-# Variable families: (label, prefixes); a column belongs to a family when it
-# equals or starts with one of the prefixes (a column may match several).
-FAMILIES = [
-    ("Demographics (intake)", ["age", "gender", "country", "cohort", "edu_level", "employment",
-                               "marital_status", "ethnicity", "height", "weight", "dependents",
-                               "num_platforms"]),
-    ("Neurodiversity", ["neuro_"]),
-    ("GDT (gaming disorder)", ["bw_gdt", "gdt_"]),
-    ("PROMIS (depression)", ["bw_promis", "promis_"]),
-    ("WEMWBS (wellbeing)", ["bw_wemwbs", "wemwbs_", "intake_wemwbs"]),
-    ("BANGS", ["bw_bangs", "bangs_"]),
-    ("BFI personality", ["bw_bfi"]),
-    ("TROJAN", ["bw_trojan"]),
-    ("Sleep / MCTQ / EPS / PSQI", ["bw_mctq", "bw_eps", "bw_psqi"]),
-    ("Gaming values", ["bw_gaming_value", "bw_positives", "bw_problematic"]),
-    ("Derived telemetry", ["telem_"]),
-    ("Steam telemetry", ["steam_"]),
-    ("Xbox telemetry", ["xbox_"]),
-    ("Nintendo telemetry", ["nintendo_"]),
-    ("Android telemetry", ["android_"]),
-    ("iOS telemetry", ["ios_"]),
-    ("Cognitive tasks", ["cog_"]),
-    ("Time use", ["timeuse_"]),
-    ("Daily survey", ["daily_"]),
-    ("Indicators", ["has_", "num_telemetry"]),
+# Prefixes of the variable families, in order; a column belongs to a family when it
+# equals or starts with one of its prefixes (a column may match several).
+FAMILY_PREFIXES = [
+    ["age", "gender", "country", "cohort", "edu_level", "employment", "marital_status", "ethnicity", "height", "weight", "dependents", "num_platforms"],
+    ["neuro_"],
+    ["bw_gdt", "gdt_"],
+    ["bw_promis", "promis_"],
+    ["bw_wemwbs", "wemwbs_", "intake_wemwbs"],
+    ["bw_bangs", "bangs_"],
+    ["bw_bfi"],
+    ["bw_trojan"],
+    ["bw_mctq", "bw_eps", "bw_psqi"],
+    ["bw_gaming_value", "bw_positives", "bw_problematic"],
+    ["telem_"],
+    ["steam_"],
+    ["xbox_"],
+    ["nintendo_"],
+    ["android_"],
+    ["ios_"],
+    ["cog_"],
+    ["timeuse_"],
+    ["daily_"],
+    ["has_", "num_telemetry"],
 ]
 # Question texts by item (looked up after stripping a 'bw_' then an 'intake_'
 # prefix): item, label, stem, measure.
@@ -64,6 +62,14 @@ QUESTIONS = [
     ("wemwbs_7", "Dealing with problems well", _WEMWBS_STEM, "WEMWBS"),
 ]
 # ---------------------------------------------------------------------------
+#: Our own names of the families, in the order of their prefixes.
+FAMILY_NAMES = [
+    "demographics", "neurodiversity", "gaming disorder items", "depression items", "wellbeing items",
+    "need satisfaction items", "personality items", "trojan items", "sleep", "gaming motives",
+    "derived telemetry", "steam", "xbox", "nintendo", "android", "ios", "cognitive tasks", "time use",
+    "daily survey", "availability flags",
+]
+FAMILIES = list(zip(FAMILY_NAMES, FAMILY_PREFIXES))
 
 
 def catalogue(spark: SparkSession, columns: list[str]) -> DataFrame:

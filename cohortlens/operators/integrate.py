@@ -23,8 +23,12 @@ from .common import broadcast_if_small
 # --- fixed values (must equal the reference for equal results) -------------
 PLATFORM_FLAGS = ["plays_xbox", "plays_steam", "plays_nintendo", "plays_ios",
                   "plays_android", "plays_playstation"]
-INTAKE_TEXT = ["gender", "country", "cohort", "edu_level", "employment"]
-INTAKE_RENAMED = {"wemwbs_6": "intake_wemwbs_6", "wemwbs_7": "intake_wemwbs_7"}
+INTAKE_TEXT = ["gender", "country", "cohort", "edu_level", "employment", "marital_status", "ethnicity"]
+INTAKE_NUMERIC = (["age", "height", "weight", "self_reported_weekly_play"] + PLATFORM_FLAGS
+                  + ["neuro_identify", "neuro_diagnosed", "neuro_diag_asd", "neuro_diag_adhd",
+                     "neuro_diag_dyslexia", "dependents"])
+INTAKE_RENAMED = {"life_sat": "intake_life_sat", "affective_valence": "intake_affective_valence",
+                  **{f"wemwbs_{i}": f"intake_wemwbs_{i}" for i in range(1, 8)}}
 SCALE_ITEMS = {"gdt_total": ("gdt", 4), "promis_total": ("promis", 8),
                "wemwbs_total": ("wemwbs", 7)}
 THRESHOLD_SCALES = {"bangs_total": ("bangs", 18, 15)}
@@ -68,6 +72,13 @@ SOURCE_FILES = {
     "cognitive": "cognitive_tasks_raw.csv.gz",
     "timeuse": "timeuse_raw.csv.gz",
 }
+# Rules of lineage, in order: totals of the biweekly survey; prefix -> block; prefixes of
+# aggregated columns; texts of the data dictionary.
+BIWEEKLY_TOTALS = ["gdt_total", "promis_total", "wemwbs_total", "bangs_total"]
+LINEAGE_PREFIXES = {"daily_": "daily", "android_": "android", "ios_": "ios", "nintendo_": "nintendo",
+                    "xbox_": "xbox", "steam_": "steam", "telem_": "derived_telemetry",
+                    "cog_": "cognitive", "timeuse_": "timeuse"}
+DICTIONARY_TEXT, DICTIONARY_TYPE = "Variable: ", "mixed"
 # ---------------------------------------------------------------------------
 
 
@@ -118,8 +129,9 @@ def intake_rows(intake: DataFrame, key: str = "pid", row_index: str | None = Non
         row_index = "_row"
     cols = set(df.columns)
     fields = [F.col(key).cast("string").alias("pid")]
-    if "age" in cols:
-        fields.append(P.survey_value("age").alias("age"))
+    for c in INTAKE_NUMERIC:
+        if c in cols:
+            fields.append(P.survey_value(c).alias(c))
     for c in INTAKE_TEXT:
         if c in cols:
             fields.append(F.nullif(F.col(c).cast("string"), F.lit("")).alias(c))
@@ -384,19 +396,8 @@ def integrate(sources: dict[str, DataFrame], key: str = "pid", intake_row_index:
 def lineage_source(c) -> Column:
     """Source file by column-name prefix (rules in order)."""
     c = F.col(c) if isinstance(c, str) else c
-    totals = ["gdt_total", "promis_total", "wemwbs_total", "bangs_total"]
-    rules = [
-        (c.startswith("bw_") | c.isin(*totals), SOURCE_FILES["biweekly"]),
-        (c.startswith("daily_"), SOURCE_FILES["daily"]),
-        (c.startswith("android_"), SOURCE_FILES["android"]),
-        (c.startswith("ios_"), SOURCE_FILES["ios"]),
-        (c.startswith("nintendo_"), SOURCE_FILES["nintendo"]),
-        (c.startswith("xbox_"), SOURCE_FILES["xbox"]),
-        (c.startswith("steam_"), SOURCE_FILES["steam"]),
-        (c.startswith("telem_"), "derived_telemetry"),
-        (c.startswith("cog_"), SOURCE_FILES["cognitive"]),
-        (c.startswith("timeuse_"), SOURCE_FILES["timeuse"]),
-    ]
+    rules = [(c.startswith("bw_") | c.isin(*BIWEEKLY_TOTALS), SOURCE_FILES["biweekly"])]
+    rules += [(c.startswith(p), SOURCE_FILES.get(b, b)) for p, b in LINEAGE_PREFIXES.items()]
     expr = F.lit(SOURCE_FILES["intake"])
     for cond, val in reversed(rules):
         expr = F.when(cond, F.lit(val)).otherwise(expr)
@@ -406,9 +407,7 @@ def lineage_source(c) -> Column:
 def lineage_aggregation(c) -> Column:
     """Aggregation kind by prefix/suffix (rules in order)."""
     c = F.col(c) if isinstance(c, str) else c
-    agg_prefixes = ["daily_", "android_", "ios_", "nintendo_", "xbox_", "steam_", "telem_",
-                    "cog_", "timeuse_"]
-    aggregated = reduce(lambda a, b: a | b, [c.startswith(p) for p in agg_prefixes])
+    aggregated = reduce(lambda a, b: a | b, [c.startswith(p) for p in LINEAGE_PREFIXES])
     return (F.when(c.startswith("bw_"), "first_wave").when(c.endswith("_total"), "sum")
             .when(aggregated, "aggregated").otherwise("direct"))
 
@@ -428,8 +427,8 @@ def data_dictionary(wide: DataFrame) -> DataFrame:
         F.when(v.startswith("bw_"), F.substring(v, 4, 1 << 20)).otherwise(v).alias("original_column"),
         v.alias("generated_column"),
         lineage_aggregation(v).alias("aggregation"),
-        F.concat(F.lit("Variable: "), v).alias("description"),
-        F.lit("mixed").alias("data_type"),
+        F.concat(F.lit(DICTIONARY_TEXT), v).alias("description"),
+        F.lit(DICTIONARY_TYPE).alias("data_type"),
         F.col("missing_values").cast("long").alias("missing_values"))
 
 

@@ -36,14 +36,22 @@ def suppress_rare(df: DataFrame, col: str, min_count: int = RARE_MIN_COUNT, labe
 
 def publish(df: DataFrame, id_col: str = "record_id", order_by: list | None = None,
             drop: list[str] | None = None, rare: list[str] | None = None,
-            generalise: dict[str, float] | None = None) -> DataFrame:
-    """V1-V3: drop identifying columns, re-number ``record_id`` 1..n (two-pass
-    index in ``order_by`` order, default the current id), generalise age to
-    5-year steps (missing stays missing) and suppress rare categories."""
+            generalise: dict[str, float] | None = None, shuffle_key: str | None = None) -> DataFrame:
+    """V1-V3: drop identifying columns, re-number ``record_id`` 1..n, generalise
+    age to 5-year steps (missing stays missing) and suppress rare categories.
+
+    The new numbers follow ``order_by`` (columns of ``df``, default the current
+    id); with ``shuffle_key`` they follow a hash of key and id, so they tell
+    nothing about the order of the source and can be repeated by who holds the
+    key. Only ids and their order are sorted and written; ids have to be unique."""
     drop = REMOVED_COLUMNS if drop is None else drop
     rare = RARE_COLUMNS if rare is None else rare
     generalise = {"age": AGE_STEP} if generalise is None else generalise
-    out = df.drop(*[c for c in drop if c in df.columns])
+    keyed = [F.sha2(F.concat(F.lit(f"{shuffle_key}:"), F.col(id_col).cast("string")), 256)]
+    order = keyed if shuffle_key is not None else [F.col(c) if isinstance(c, str) else c for c in order_by or [id_col]]
+    ranked = df.select(F.col(id_col).alias("_id"), *[c.alias(f"_order_{i}") for i, c in enumerate(order)])
+    numbers = with_row_index(ranked, "_new_id", order_by=[*(f"_order_{i}" for i in range(len(order))), "_id"]).select("_id", "_new_id")
+    out = df.drop(*[c for c in drop if c in df.columns and c != id_col])
     for c, step in generalise.items():
         if c in out.columns:
             out = out.withColumn(c, P.generalise(numeric(out, c), float(step)))
@@ -51,8 +59,7 @@ def publish(df: DataFrame, id_col: str = "record_id", order_by: list | None = No
         if c in out.columns:
             out = suppress_rare(out, c)
     cols = out.columns
-    out = with_row_index(out, "_new_id", order_by=order_by or [id_col])
-    return out.withColumn(id_col, F.col("_new_id")).select(*cols)
+    return out.join(numbers, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn(id_col, F.col("_new_id")).select(*cols)
 
 
 def release_note(published: DataFrame) -> DataFrame:

@@ -21,13 +21,14 @@ WIDE_ROUNDED = ["android_total_minutes", "android_mean_daily_minutes", "ios_tota
 
 def people_cte() -> str:
     plats = " + ".join(f"CAST({flag(p)} AS INTEGER)" for p in PLATFORM_FLAGS)
+    text = ", ".join(f"NULLIF({c}, '') AS {c}" for c in ["gender", "country", "cohort", "edu_level", "employment", "marital_status", "ethnicity"])
+    numbers = ", ".join(f"{sv(c)} AS {c}" for c in ["age", "height", "weight", "self_reported_weekly_play", "dependents", "plays_xbox", "plays_steam", "plays_nintendo", "plays_ios", "plays_android", "plays_playstation", "neuro_identify", "neuro_diagnosed", "neuro_diag_asd", "neuro_diag_adhd", "neuro_diag_dyslexia"])
+    renamed = ", ".join(f"{sv(c)} AS intake_{c}" for c in ["life_sat", "affective_valence", *(f"wemwbs_{i}" for i in range(1, 8))])
     return f"""intake_q AS (
   SELECT * FROM src_intake
   WHERE {flag('qualified')} AND pid IS NOT NULL AND pid <> ''),
 intake_last AS (
-  SELECT pid, {sv('age')} AS age, NULLIF(gender, '') AS gender, NULLIF(country, '') AS country,
-    NULLIF(cohort, '') AS cohort, {sv('wemwbs_6')} AS intake_wemwbs_6,
-    {sv('wemwbs_7')} AS intake_wemwbs_7, {plats} AS num_platforms
+  SELECT pid, {text}, {numbers}, {renamed}, {plats} AS num_platforms
   FROM intake_q
   QUALIFY row_number() OVER (PARTITION BY pid ORDER BY row_index DESC) = 1),
 intake_first AS (SELECT pid, min(row_index) AS first_row FROM intake_q GROUP BY pid),

@@ -404,7 +404,7 @@ def dataset_readiness(spark, sf_dir):
 
 def _vector_sql() -> str:
     from itertools import combinations
-    vec = [c for c in RECOMMENDED_VECTOR if c != "self_reported_weekly_play"]
+    vec = RECOMMENDED_VECTOR
     miss = " UNION ALL ".join(
         f"SELECT '{c}' AS col, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct, count({c}) > 0 AS has "
         f"FROM wide" for c in vec)

@@ -13,18 +13,16 @@ from ..operators import interpret as IN
 from ..operators import matrix as M
 from ..operators import privacy as PV
 from ..operators.filters import numeric_features
-from .oracle_integration import integration_with
+from .oracle_integration import WIDE_ROUNDED, integration_with
 from ..session import cut_lineage
-from .q_integration import wide_table
+from .q_integration import AVG_DIGITS, wide_table
 from .registry import query, rounded, sql_rounded
 from .standins import table
 
 W = integration_with()
 K = 4
-# Official features present in the stand-in cohort (the recommended vector
-# minus the one intake column the stand-in has no source for); the Spark
-# side derives the same list from the data (features with a finite value).
-FEATS = [f for f in IN.RECOMMENDED_VECTOR if f != "self_reported_weekly_play"]
+# The Spark side derives the same list from the data (features with a finite value).
+FEATS = IN.RECOMMENDED_VECTOR
 PROF = list(dict.fromkeys(IN.PROFILE_VARIABLES + FEATS))
 
 
@@ -251,20 +249,31 @@ def rare_category_suppress(spark, sf_dir):
     return PV.suppress_rare(c, "category")
 
 
-PUB_COLS = ["record_id", "age", "gender", "country", "num_platforms", "has_any_telemetry"]
+SHUFFLE_KEY = "release-1"
+_REMOVED = ["pid", "height", "weight", "ethnicity", "edu_level", "employment", "marital_status", "dependents", "cohort",
+            "neuro_identify", "neuro_diagnosed", "neuro_diag_asd", "neuro_diag_adhd", "neuro_diag_dyslexia"]
 
 
-@query("privacy_publish", W + """, n_g AS (SELECT trim(gender) AS v, count(*) AS n FROM wide WHERE trim(gender) <> '' GROUP BY 1),
+@query("privacy_publish", sql_rounded(W + f""", n_g AS (SELECT trim(gender) AS v, count(*) AS n FROM wide WHERE trim(gender) <> '' GROUP BY 1),
 n_c AS (SELECT trim(country) AS v, count(*) AS n FROM wide WHERE trim(country) <> '' GROUP BY 1)
-SELECT CAST(row_number() OVER (ORDER BY record_id) AS BIGINT) AS record_id,
+SELECT wide.* EXCLUDE ({', '.join(_REMOVED)}) REPLACE (
+  CAST(row_number() OVER (ORDER BY sha256('{SHUFFLE_KEY}:' || record_id)) AS BIGINT) AS record_id,
   floor(age / 5 + 0.5) * 5 AS age,
   CASE WHEN n_g.n < 10 THEN 'Other' ELSE NULLIF(trim(gender), '') END AS gender,
-  CASE WHEN n_c.n < 10 THEN 'Other' ELSE NULLIF(trim(country), '') END AS country,
-  num_platforms, has_any_telemetry
-FROM wide LEFT JOIN n_g ON n_g.v = trim(wide.gender) LEFT JOIN n_c ON n_c.v = trim(wide.country)""")
+  CASE WHEN n_c.n < 10 THEN 'Other' ELSE NULLIF(trim(country), '') END AS country)
+FROM wide LEFT JOIN n_g ON n_g.v = trim(wide.gender) LEFT JOIN n_c ON n_c.v = trim(wide.country)""", WIDE_ROUNDED, AVG_DIGITS))
 def privacy_publish(spark, sf_dir):
-    out = PV.publish(wide_table(spark, sf_dir))
-    return out.select(*PUB_COLS)
+    """V1-V4: every published column, under new numbers in the order of a keyed hash."""
+    return rounded(PV.publish(wide_table(spark, sf_dir), shuffle_key=SHUFFLE_KEY), WIDE_ROUNDED, AVG_DIGITS)
+
+
+@query("release_note", W + f"""SELECT count(*) AS final_rows,
+  CAST((SELECT count(*) FROM (DESCRIBE SELECT * EXCLUDE ({', '.join(_REMOVED)}) FROM wide)) AS INTEGER) AS final_columns,
+  true AS minimized, true AS direct_identifiers_removed, 5 AS age_generalization_years, 10 AS rare_category_threshold
+FROM wide""")
+def release_note(spark, sf_dir):
+    """V5: the note that goes with a release, counted from the published table."""
+    return PV.release_note(PV.publish(wide_table(spark, sf_dir), shuffle_key=SHUFFLE_KEY))
 
 
 # --- case studies, run fingerprint, projection quality --------------------------------

@@ -48,7 +48,26 @@ STANDIN_SQL: dict[str, str] = {
     CASE WHEN c.c_acctbal > 5000 THEN 'TRUE' ELSE 'FALSE' END AS plays_playstation,
     CASE c.c_custkey % 8 WHEN 0 THEN 'never' WHEN 1 THEN ' Rarely' WHEN 2 THEN 'sometimes'
       WHEN 3 THEN 'OFTEN ' WHEN 4 THEN 'Very Often' WHEN 5 THEN 'always' WHEN 6 THEN 'NA' ELSE '3' END AS wemwbs_6,
-    CAST(c.c_nationkey AS STRING) AS wemwbs_7
+    CAST(c.c_nationkey AS STRING) AS wemwbs_7,
+    CASE c.c_custkey % 9 WHEN 0 THEN 'always' WHEN 1 THEN '2' WHEN 2 THEN 'NULL' WHEN 3 THEN 'Rarely' ELSE '4' END AS wemwbs_1,
+    CAST(c.c_custkey % 6 AS STRING) AS wemwbs_2, CAST(c.c_custkey % 5 AS STRING) AS wemwbs_3,
+    CASE WHEN c.c_custkey % 11 = 0 THEN '' ELSE CAST(c.c_nationkey % 5 AS STRING) END AS wemwbs_4,
+    CASE WHEN c.c_acctbal < 1000 THEN 'never' ELSE 'often' END AS wemwbs_5,
+    CASE c.c_custkey % 10 WHEN 0 THEN 'NA' ELSE CAST(c.c_custkey % 10 AS STRING) END AS life_sat,
+    CAST(c.c_nationkey % 7 AS STRING) AS affective_valence,
+    CASE WHEN c.c_custkey % 13 = 0 THEN 'NA' ELSE CAST(floor(c.c_acctbal / 250) AS STRING) END AS self_reported_weekly_play,
+    CAST(150 + c.c_custkey % 50 AS STRING) AS height,
+    CASE WHEN c.c_custkey % 17 = 0 THEN '' ELSE CAST(45 + c.c_nationkey * 3 AS STRING) END AS weight,
+    CAST(c.c_custkey % 4 AS STRING) AS dependents,
+    CASE c.c_custkey % 3 WHEN 0 THEN 'secondary' WHEN 1 THEN 'degree' ELSE '' END AS edu_level,
+    CASE WHEN c.c_acctbal > 3000 THEN 'employed' ELSE 'student' END AS employment,
+    CASE c.c_custkey % 4 WHEN 0 THEN 'married' WHEN 1 THEN 'single' ELSE '' END AS marital_status,
+    n.n_name AS ethnicity,
+    CASE WHEN c.c_custkey % 6 = 0 THEN '1' ELSE '0' END AS neuro_identify,
+    CASE WHEN c.c_custkey % 12 = 0 THEN '1' WHEN c.c_custkey % 12 = 1 THEN 'NA' ELSE '0' END AS neuro_diagnosed,
+    CASE WHEN c.c_custkey % 24 = 0 THEN '1' ELSE '0' END AS neuro_diag_asd,
+    CASE WHEN c.c_custkey % 36 = 0 THEN '1' ELSE '0' END AS neuro_diag_adhd,
+    CASE WHEN c.c_custkey % 48 = 0 THEN '1' ELSE '' END AS neuro_diag_dyslexia
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     # Biweekly waves: one row per order, wave = leading number of the priority,
     # items = the order's line values.
