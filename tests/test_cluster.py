@@ -32,6 +32,62 @@ def test_kmeans_reproducible_no_empty(spark):
     assert a.iterations <= 100
 
 
+def plain_kmeans(x, centres, iterations):
+    """The sequential rule: labels, means label by label, empty labels take the farthest row; ends when labels repeat."""
+    centres, labels = [c.copy() for c in centres], [-1] * len(x)
+    for step in range(1, iterations + 1):
+        new = [int(np.argmin([((v - c) ** 2).sum() for c in centres])) for v in x]
+        done, labels = new == labels, new
+        for c in range(len(centres)):
+            members = [v for v, m in zip(x, labels) if m == c]
+            if members:
+                centres[c] = np.mean(members, axis=0)
+            else:
+                far = max(range(len(x)), key=lambda i: (((x[i] - centres[labels[i]]) ** 2).sum(), -i))
+                labels[far], centres[c] = c, x[far].copy()
+        if done:
+            break
+    return labels, centres, step, done
+
+
+def test_fits_go_together_and_follow_the_sequential_rule(spark, monkeypatch):
+    """Several seeds, empty labels among them (centres drawn twice), copies."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(60, 2)), np.full((20, 2), 5.0), rng.normal(size=(40, 2)) + 8]).round(2)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "record_id long, a double, b double").repartition(3)
+    drawn = C.kmeans_pp_seeds(df, ["a", "b"], 4, [1, 2, 3], "record_id")
+    assert drawn.shape == (3, 4, 2) and np.array_equal(drawn, C.kmeans_pp_seeds(df.repartition(2), ["a", "b"], 4, [1, 2, 3], "record_id"))
+    drawn[1][2], drawn[2][1], drawn[2][3] = drawn[1][0], drawn[2][0], drawn[2][0]  # labels without members
+    monkeypatch.setattr(C, "kmeans_pp_seeds", lambda *a: drawn.copy())
+    wide, fits = C.kmeans_many(df, ["a", "b"], 4, [1, 2, 3], 30)
+    rows = sorted(wide.collect())
+    for r, fit in enumerate(fits):
+        labels_, centres, steps, done = plain_kmeans(x, drawn[r], 30)
+        assert [row[f"l{r}"] for row in rows] == labels_
+        assert np.allclose(fit.centres, centres) and (fit.iterations, fit.converged) == (steps, done)
+        assert fit.sse == pytest.approx(sum(((v - centres[m]) ** 2).sum() for v, m in zip(x, labels_)))
+        assert list(fit.counts) == [labels_.count(c) for c in range(4)]
+
+
+def test_seeding_of_fewer_places_than_centres(spark):
+    df = spark.createDataFrame([(i, float(i // 3)) for i in range(6)], "record_id long, a double")
+    assert sorted(C.kmeans_pp_seeds(df, ["a"], 4, [5], "record_id")[0][:2].ravel()) == [0.0, 1.0]
+    fit = C.kmeans(df, ["a"], 4, seed=5)
+    want = plain_kmeans(np.array([[i // 3] for i in range(6)], float), C.kmeans_pp_seeds(df, ["a"], 4, [5], "record_id")[0], 80)
+    assert [r["label"] for r in fit.labels.orderBy("record_id").collect()] == want[0] and fit.sse == 0.0
+
+
+def test_all_pairs_of_labelings_in_one_pass(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, *map(int, rng.integers(0, 3, 3)), 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "record_id long, l0 int, l1 int, l2 int, l3 int")
+    got = {(r["i"], r["j"]): r["ari"] for r in C.pairwise_rand(df, ["l0", "l1", "l2", "l3"]).collect()}
+    assert len(got) == 6
+    for (i, j), ari in got.items():
+        want = C.adjusted_rand(df.selectExpr(f"l{i} AS a", f"l{j} AS b")).first()["ari"]
+        assert ari == pytest.approx(want)
+
+
 def test_lloyd_step_matches_numpy(spark):
     rng = np.random.default_rng(1)
     xy = rng.normal(size=(200, 2))

@@ -50,6 +50,18 @@ def test_rare_suppression_and_publish(spark):
     assert [r["record_id"] for r in out] == list(range(1, 21))
 
 
+def test_published_numbers_follow_a_keyed_hash(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(i, f"p{i}", float(i)) for i in range(1, 31)], "record_id long, pid string, height double")
+    df = df.withColumn("kept", F.col("record_id") * 10)
+    out = PV.publish(df, shuffle_key="k")
+    assert out.columns == ["record_id", "kept"]
+    order = sorted(range(1, 31), key=lambda i: hashlib.sha256(f"k:{i}".encode()).hexdigest())
+    assert {r["record_id"]: r["kept"] for r in out.collect()} == {n: i * 10 for n, i in enumerate(order, 1)}
+    assert order != sorted(order) and order != sorted(range(1, 31), key=lambda i: hashlib.sha256(f"other:{i}".encode()).hexdigest())
+
+
 def test_row_index_dense_in_order(spark):
     df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7 % 1000).alias("v"))
     out = with_row_index(df, "ri", order_by=["v"]).orderBy("v").collect()
