@@ -202,7 +202,7 @@ def test_long_texts_are_cut_at_marks(spark, monkeypatch):
 
 
 def plain_negatives(rows, every=50, positives=5, negatives=3):
-    rows = list({(i, c, tuple(int(np.floor(256 * float(x))) for x in v)) for i, c, v in rows if None not in (i, c, v) and all(x is not None and np.isfinite(x) for x in v)})
+    rows = list({(i, c, tuple(int(np.floor(256 * float(np.float32(x)))) for x in v)) for i, c, v in rows if None not in (i, c, v) and all(x is not None and np.isfinite(x) for x in v)})
     out = Counter()
     dot = lambda a, b: sum(x * y for x, y in zip(a, b))
     for a, label, v in rows:
