@@ -7,8 +7,8 @@ def test_family_members_and_questions(spark):
     cat = CT.catalogue(spark, ["age", "bw_gdt_1", "intake_wemwbs_6", "has_xbox", "num_telemetry_platforms",
                                "xbox_total_sessions", "other"])
     fam = {(r["family"], r["column"]) for r in CT.family_members(cat).collect()}
-    assert ("GDT (gaming disorder)", "bw_gdt_1") in fam
-    assert ("Indicators", "has_xbox") in fam and ("Indicators", "num_telemetry_platforms") in fam
+    assert ("gaming disorder items", "bw_gdt_1") in fam
+    assert ("availability flags", "has_xbox") in fam and ("availability flags", "num_telemetry_platforms") in fam
     assert not any(c == "other" for _, c in fam)
     q = {r["column"]: r["measure"] for r in CT.question_info(cat).collect()}
     assert q["bw_gdt_1"] == "Gaming Disorder Test" and q["intake_wemwbs_6"] == "WEMWBS" and q["age"] is None
