@@ -164,6 +164,8 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Col
     rows = docs.where(F.length(text) <= LONGEST).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     picked = stage(rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")), "toxicity-texts")  # TOXIC_ROWS + CLEAN_ROWS at most
     fitted = picked.repartition(1).sortWithinPartitions("label", "id").select("label", "text").mapInArrow(_fit_rows, "margins binary, bias double").first()
+    if fitted is None:  # nothing to learn from, and Spark ran no task
+        return fit([], [])
     return Model(np.frombuffer(fitted["margins"], np.float32), fitted["bias"])
 
 

@@ -61,6 +61,6 @@ def test_queries_are_registered(spark):
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {k.split("_")[0] for k in names if k.startswith("op")} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+    assert {k.split("_")[0] for k in names if k.startswith("op")} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert minhash_tensor.SHARED == 75 and decontaminate.COVERED <= 0.8
