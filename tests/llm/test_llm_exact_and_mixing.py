@@ -155,3 +155,33 @@ def test_empty_table(spark):
     assert exact_recipes.duplicates(empty).count() == 0
     assert mixing.mix(empty, mixing.words("text")).count() == 0 and mixing.emitted(mixing.mix(empty, mixing.words("text"))).columns == empty.columns
     assert token_orc.encode_and_reread(empty).count() == 0
+
+
+def test_ids_of_all_letters_and_marks_equal_the_library():
+    """Letters that become a letter and a mark when composed or lower-cased join the marks behind them."""
+    import random
+    import unicodedata
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    path = token_orc.public_vocabulary()
+    tokenizer, encode = Tokenizer.from_file(path), token_orc._encoder(path)
+    kinds = {c: unicodedata.category(chr(c))[0] for c in range(0x1FFFF) if not (0xD800 <= c < 0xE000 or 0x3400 <= c < 0xA000 or 0xAC00 <= c < 0xD7A4)}
+    letters, marks = ([chr(c) for c, kind in kinds.items() if kind == k] for k in "LM")
+    texts = [f"a{c}, {c}{c}. {c}-a!" for c in letters] + [f"a{c}, {c}- e{c}." for c in marks]
+    rng = random.Random(3)
+    odd = ["VELİ, ALİ.", "aİ-", "য়,", "ज़.", "é", "!", "..", "'s", "'", "a", "1", " ", "\n", "\t", "ß", "ſ", "K", "字", "ﬁ", "<|x", "ΑΣ", "<|endoftext|>"]
+    texts += ["".join(rng.choice(odd) for _ in range(rng.randrange(14))) for _ in range(5000)]
+    got = [np.frombuffer(x, "<i4").tolist() for x in encode(texts)]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_vocabularies_are_encoded_whole():
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    path = token_orc.public_vocabulary("byte_bpe_50k.json")
+    texts = ["Hello  World's end", "", "a, b.\n c", "é" * 50]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<i4").tolist() for x in token_orc._encoder(path)(texts)] == want
