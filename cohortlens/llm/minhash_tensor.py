@@ -8,12 +8,16 @@ work. The product is formed only where a first key is shared and undecided.
 
 Documents with one and the same shingle set are first made one class. Then,
 among the classes that share a key of A, each is held against one other, once
-or twice: that links most copies, at a pair a class. What is still undecided
+or twice: that links most copies, at a pair a class. For what is still
+undecided, the shingles that other labels hold too are counted: only they can
+be shared by a link that is not known yet, so a class with too few of them is
+done, whatever passages it has in common with however many others. The rest
 meets in the tables. No bucket lists its pairs: members are held against a few
 pivots; what that links gets one label; pivots, once held against all members
 of another label, leave; and buckets go on until their members share one label.
 So every two members of a bucket are either compared on their full sets, told
-apart by bounds (set sizes, keys in common), or already in one component.
+apart by an exact bound (set sizes and shingles of other labels), or already in
+one component.
 """
 
 from __future__ import annotations
@@ -33,12 +37,12 @@ from cohortlens.llm.shingles import mixed, shingle_set
 BANDS, ROWS = 16, 3
 #: Linked: SHARED * union <= 100 * intersection.
 SHARED = 75
-#: Of the 2 * BANDS keys this many at least must agree; at 0.75 fewer do about once in 100,000 pairs.
+#: Pairs with fewer of the 2 * BANDS keys in common are not compared early, but left to the tables.
 AGREE = 3
 #: Times that each class is held against one other before the tables are formed.
 EARLY = 2
-#: Pivots of a bucket by round, the last for all further rounds.
-PIVOTS = (16, 512)
+#: Pivots of a bucket by round; after these rounds a label may have twice as many from round to round.
+PIVOTS = (1, 1, 8, 64)
 _HASHES = 2 * BANDS * ROWS
 _random = np.random.default_rng(8)
 _MULTIPLY = _random.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -77,6 +81,14 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "members"])
 
 
+def _members(batches):
+    for batch in slices(batches, 2):
+        sets = [np.frombuffer(m, np.int64) for m in batch.column(2).to_pylist()]
+        each = [len(s) for s in sets]
+        columns = [np.repeat(batch.column(k).to_numpy(), each) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (*columns, np.concatenate(sets)))], ["node", "label", "shingle"])
+
+
 def _linked(batches):
     for batch in slices(batches, 2):
         held = []
@@ -106,11 +118,19 @@ def classes_and_labels(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFra
     return rows, classes.join(broadcast_if_small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _may_link(size: Column, keys: Column, other_size: Column, other_keys: Column) -> Column:
-    """Whether sizes and keys leave it open that two sets are linked."""
-    fits = 100 * F.least(size, other_size) >= SHARED * F.greatest(size, other_size)
-    agree = sum((F.when(F.get(keys, F.lit(k)) == F.get(other_keys, F.lit(k)), 1).otherwise(0) for k in range(2 * BANDS)), F.lit(0))
-    return fits & (agree >= AGREE)
+def _may_link(size: Column, foreign: Column, other_size: Column, other_foreign: Column) -> Column:
+    """Whether two sets of different labels may be linked. They share at most
+    the smaller number of shingles that other labels hold too."""
+    most = F.least(foreign, other_foreign)
+    return 100 * most >= SHARED * (size + other_size - most)
+
+
+def _worth_holding(one: str, other: str) -> Column:
+    """Whether sizes and keys (of structs) make a link likely."""
+    a, b = F.col(f"{one}.size"), F.col(f"{other}.size")
+    same = lambda k: F.get(f"{one}.keys", F.lit(k)) == F.get(f"{other}.keys", F.lit(k))
+    agree = sum((F.when(same(k), 1).otherwise(0) for k in range(2 * BANDS)), F.lit(0))
+    return (100 * F.least(a, b) >= SHARED * F.greatest(a, b)) & (agree >= AGREE)
 
 
 class _Linker:
@@ -120,6 +140,7 @@ class _Linker:
         self.only, self.classes = only, classes
         self.known: DataFrame | None = None  # node, label of those in a link
         self.tried: DataFrame | None = None  # a, b of pairs that are no link
+        self.sets: DataFrame | None = None  # node, members of the undecided classes
 
     def labels(self) -> DataFrame | None:
         """node, label of the classes in a link (others are their own component); None if there is no link."""
@@ -127,35 +148,63 @@ class _Linker:
         for turn in range(EARLY):
             self._compare(self._one_each(met, turn))
         open_ = self._labelled(met).groupBy("i", "a").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("i", "a")
-        undecided = met.join(open_, ["i", "a"])
-        tables = undecided.join(self.classes.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others")), "node").select("node", "i", "a", F.posexplode("others").alias("j", "b"))
+        undecided = stage(met.join(open_, ["i", "a"]).select("node", "i", "a"), "undecided")
+        described = self._with_foreign(undecided.select("node").distinct())
+        others = described.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others"))
+        tables = undecided.join(others, "node").select("node", "i", "a", F.posexplode("others").alias("j", "b"))
         left, turn = stage(_shared(tables.select("node", F.xxhash64("i", "a", "j", "b").alias("bucket")), ["bucket"]), "buckets"), 0
         while True:
             rows = self._labelled(left)
             sums = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-            held = stage(rows.join(sums, "bucket").join(self._described(), "node"), "held")
+            held = stage(rows.join(sums, "bucket").join(described.drop("keys"), "node"), "held")
             if held.isEmpty():
                 return self.known
-            pivots = stage(self._pivots(held, PIVOTS[min(turn, len(PIVOTS) - 1)]), "pivots")
+            last = len(PIVOTS) - 1
+            pivots = stage(self._pivots(held, PIVOTS[min(turn, last)], 2 ** max(0, turn - last)), "pivots")
             apart = (held["bucket"] == pivots["p_bucket"]) & (held["label"] != pivots["p_label"])
-            plausible = held.join(pivots, apart & _may_link(held["size"], held["keys"], pivots["p_size"], pivots["p_keys"]))
+            plausible = held.join(pivots, apart & _may_link(held["size"], held["foreign"], pivots["p_size"], pivots["p_foreign"]))
             self._compare(plausible.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct())
             done = (held["bucket"] == pivots["p_bucket"]) & (held["node"] == pivots["p_node"])
             left = held.join(pivots, done, "left_anti").select("bucket", "node")
             turn += 1
 
-    def _described(self) -> DataFrame:
-        return self.classes.select("node", "size", "keys")
+    def _with_foreign(self, nodes: DataFrame) -> DataFrame:
+        """node, size, keys, foreign of those ``nodes`` that may be linked to one
+        of them of another label. ``foreign``: how many of a class's shingles
+        some of these nodes of another label hold too. A frequent shingle is
+        combined in the tasks before it is sent; counting needs only the
+        shingles that several labels hold."""
+        self.sets = stage(self._sets_of(stage(nodes, "nodes")), "sets")
+        spread = self._labelled(self.sets).select("node", "label", "members")
+        shingles = spread.mapInArrow(_members, "node long, label long, shingle long")
+        ends = shingles.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        shared = broadcast_if_small(stage(ends.where("low < high").select("shingle"), "shared"))
+        foreign = shingles.join(shared, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("foreign"))
+        described = self.classes.select("node", "size", "keys").join(foreign, "node")
+        return stage(described.where(100 * F.col("foreign") >= SHARED * F.col("size")), "described")
+
+    def _sets_of(self, nodes: DataFrame) -> DataFrame:
+        """node, members: the shingle sets of staged ``nodes``, from the texts."""
+        of = self.classes.join(broadcast_if_small(nodes), "node")
+        wanted = stage(of.select("node", F.col("one.text_key").alias("k"), F.col("one.doc_id").alias("d")), "wanted")
+        same = (self.only["text_key"] == wanted["k"]) & self.only["doc_id"].eqNullSafe(wanted["d"])
+        texts = self.only.join(broadcast_if_small(wanted), same).select("node", "text")
+        return texts.mapInArrow(_sets, "node long, members binary").dropDuplicates(["node"])
 
     @staticmethod
-    def _pivots(held: DataFrame, ways: int) -> DataFrame:
-        """Pivots of buckets (bucket, node, label, size, keys, each with p_
-        before its name). Labels are dealt over ``ways`` by a hash, and each
-        part's smallest node is a pivot: so a label that fills a bucket spends
-        one pivot, and the few members of other labels are soon all done."""
-        member = F.min(F.struct("node", "label", "size", "keys")).alias("p")
-        parts = held.groupBy("bucket", F.pmod(F.xxhash64("label"), F.lit(ways)).alias("part")).agg(member)
-        return parts.select(F.col("bucket").alias("p_bucket"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "keys")])
+    def _pivots(held: DataFrame, ways: int, apiece: int) -> DataFrame:
+        """Pivots of buckets (bucket, node, label, size, foreign, each with p_
+        before its name). Labels are dealt over ``ways`` by a hash, their
+        members over ``apiece``, and each part's member with the fewest shingles of its own is a pivot: of copies
+        with changes the least changed one links the most. A label that fills a
+        bucket spends few pivots, and the few members of other labels are soon
+        all done; where two labels have many members, doubling ends it in a
+        logarithm of rounds."""
+        names = ("node", "label", "size", "foreign")
+        least = F.min(F.struct((1 - F.col("foreign") / F.col("size")).alias("own"), *names)).alias("p")
+        dealt = [F.pmod(F.xxhash64("label"), F.lit(ways)), F.pmod(F.xxhash64(F.col("node"), F.lit(1)), F.lit(apiece))]
+        parts = held.groupBy("bucket", *dealt).agg(least)
+        return parts.select(F.col("bucket").alias("p_bucket"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in names])
 
     def _labelled(self, rows: DataFrame) -> DataFrame:
         if self.known is None:
@@ -173,7 +222,7 @@ class _Linker:
         pairs = best.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         one = lambda e: self.classes.select(F.col("node").alias(e), F.struct("size", "keys").alias(f"of_{e}"))
         both = pairs.join(one("a"), "a").join(one("b"), "b")
-        return both.where(_may_link(F.col("of_a.size"), F.col("of_a.keys"), F.col("of_b.size"), F.col("of_b.keys"))).select("a", "b")
+        return both.where(_worth_holding("of_a", "of_b")).select("a", "b")
 
     def _compare(self, pairs: DataFrame) -> None:
         """Compare pairs on full sets, and merge the labels of those that are links."""
@@ -182,10 +231,10 @@ class _Linker:
         pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
             return
-        nodes = broadcast_if_small(stage(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"), "nodes"))
-        wanted = stage(self.classes.join(nodes, "node").select("node", F.col("one.text_key").alias("k"), F.col("one.doc_id").alias("d")), "wanted")
-        same = (self.only["text_key"] == wanted["k"]) & self.only["doc_id"].eqNullSafe(wanted["d"])
-        sets = stage(self.only.join(broadcast_if_small(wanted), same).select("node", "text").mapInArrow(_sets, "node long, members binary").dropDuplicates(["node"]), "sets")
+        sets = self.sets
+        if sets is None:
+            nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
+            sets = stage(self._sets_of(stage(nodes, "nodes")), "sets")
         end = lambda e: sets.select(F.col("node").alias(e), F.col("members").alias(f"set_{e}"))
         compared = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", "set_a", "set_b")
         seen = stage(compared.mapInArrow(_linked, "a long, b long, linked boolean"), "compared")
