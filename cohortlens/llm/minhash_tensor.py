@@ -41,8 +41,9 @@ SHARED = 75
 AGREE = 3
 #: Times that each class is held against one other before the tables are formed.
 EARLY = 2
-#: Pivots of a bucket by round; after these rounds a label may have twice as many from round to round.
+#: Pivots of a bucket by round; after these rounds a label may have FASTER times as many from round to round.
 PIVOTS = (1, 1, 8, 64)
+FASTER = 4
 _HASHES = 2 * BANDS * ROWS
 _random = np.random.default_rng(8)
 _MULTIPLY = _random.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -160,7 +161,7 @@ class _Linker:
             if held.isEmpty():
                 return self.known
             last = len(PIVOTS) - 1
-            pivots = stage(self._pivots(held, PIVOTS[min(turn, last)], 2 ** max(0, turn - last)), "pivots")
+            pivots = stage(self._pivots(held, PIVOTS[min(turn, last)], FASTER ** max(0, turn - last)), "pivots")
             apart = (held["bucket"] == pivots["p_bucket"]) & (held["label"] != pivots["p_label"])
             plausible = held.join(pivots, apart & _may_link(held["size"], held["foreign"], pivots["p_size"], pivots["p_foreign"]))
             self._compare(plausible.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct())
@@ -198,7 +199,7 @@ class _Linker:
         members over ``apiece``, and each part's member with the fewest shingles of its own is a pivot: of copies
         with changes the least changed one links the most. A label that fills a
         bucket spends few pivots, and the few members of other labels are soon
-        all done; where two labels have many members, doubling ends it in a
+        all done; where two labels have many members, FASTER ends it in a
         logarithm of rounds."""
         names = ("node", "label", "size", "foreign")
         least = F.min(F.struct((1 - F.col("foreign") / F.col("size")).alias("own"), *names)).alias("p")
