@@ -1,13 +1,17 @@
 """Repeated passages by content-defined chunks of lines. DataFrame functions only.
 
-Each line has a hash; a rolling hash over WINDOW line hashes marks boundaries,
-so a passage that is found in several documents is cut alike in each, whatever
-stands before it. SEEDS rolling hashes cut independently, since one may cut a
-short passage nowhere. Chunks of several lines (or as long as several) that
-occur again anywhere, byte for byte, are removed except where they first occur.
-
-Codes of chunks are counted first, as a few numbers each; only the bytes of
-chunks whose code repeats are moved, once, and compared.
+Where two lines follow each other in one place of the corpus only, no passage
+that repeats can run across: there, every cutting has a boundary. So a passage
+between foreign lines is cut out at its own edges, however short it is. What
+lies between two such boundaries is cut in several ways: not at all; by
+rolling hashes over pairs of line hashes, alike wherever the lines occur, so
+that a passage is found whose neighbours happen to be repeated with it; and
+into single lines, of which the long ones count. Chunks of several lines (or
+as long as several) that occur again anywhere, byte for byte, are removed
+except where they first occur.
+
+Pairs of lines, and then codes of chunks, are counted first, as a few numbers
+each; only the bytes of chunks whose code repeats are moved, once, and compared.
 """
 
 from __future__ import annotations
@@ -17,8 +21,10 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import WORD, broadcast_if_small, stage
 
-#: Independent cuttings; a boundary follows a pair of lines once in EVERY times.
-SEEDS, EVERY = 4, 2
+#: Cuttings: 0 is by boundaries of the corpus alone, 1 to ROLLING also where a rolling hash of a pair of lines
+#: says so, once in EVERY times; SINGLE has each line for itself.
+ROLLING, EVERY = 3, 2
+SINGLE = ROLLING + 1
 #: A chunk is removable if it has LINES lines and WORDS words at least, or LONG words in one line.
 LINES, WORDS, LONG = 2, 10, 50
 #: Documents with lists of their repeated chunks that are counted before they may be broadcast.
@@ -35,23 +41,58 @@ def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(plain).alias("text_key"), F.split(plain, "\n", -1).alias("lines"))
 
 
+def _followers(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """doc_id, text_key, i, alone, a, b: hashes of each line i and the one
+    before it, and (``alone``) of each long line i by itself."""
+    long_ = lambda x: F.when(F.length(x) >= 2 * LONG - 1, F.regexp_count(x, F.lit(WORD)) >= LONG).otherwise(False)
+    lines = _lines(docs, text, doc_id).select("doc_id", "text_key", F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("x"), long_(x).alias("long"))).alias("of"))
+    pairs = F.transform(F.slice("of", 2, F.size("of")), lambda y, k: F.struct((k + 1).alias("i"), F.lit(False).alias("alone"), F.get("of", k)["x"].alias("a"), y["x"].alias("b")))
+    alone = F.transform("of", lambda y, k: F.struct(k.alias("i"), y["long"].alias("alone"), y["x"].alias("a"), y["x"].alias("b")))
+    return lines.select("doc_id", "text_key", F.explode(F.concat(pairs, F.filter(alone, lambda y: y["alone"]))).alias("f")).select("doc_id", "text_key", "f.*")
+
+
+def _joined(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """d, t (doc_id and text_key of documents with lines that may repeat),
+    joined (lines that follow the line before them elsewhere too), alone (long
+    lines that occur elsewhere). A frequent pair is combined in the tasks
+    before it is sent, and Spark splits it where it is joined."""
+    rows, keys = _followers(docs, text, doc_id), ["alone", "a", "b"]
+    place = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text_key", "i")
+    often = rows.groupBy(*keys).agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select(*keys)
+    found = rows.join(broadcast_if_small(stage(often, "repeated-pairs")), keys)
+    at = lambda alone: F.collect_set(F.when(F.col("alone") == alone, F.col("i")))
+    return stage(found.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).agg(at(False).alias("joined"), at(True).alias("alone")), "joined")
+
+
 def _chunks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """doc_id, text_key, seed, first (line, from 0), n, code: the chunks that
-    are removable if they repeat. A code is two hashes of the chunk's lines."""
-    lines = _lines(docs, text, doc_id).select("doc_id", "text_key", F.transform("lines", line_hash).alias("hashes"), F.transform("lines", lambda x: F.xxhash64(x)).alias("others"), F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"))
+    """doc_id, text_key, seed (the cutting), first (line, from 0), n, code: the
+    chunks that are removable if they repeat. A code is two hashes of the
+    chunk's lines."""
+    wanted, plain = _joined(docs, text, doc_id), _lines(docs, text, doc_id)
+    of_docs = plain.join(broadcast_if_small(wanted, FEW_DOCUMENTS), plain["doc_id"].eqNullSafe(wanted["d"]) & (plain["text_key"] == wanted["t"]))
+    hashes = [F.transform("lines", line_hash).alias("hashes"), F.transform("lines", lambda x: F.xxhash64(x)).alias("others")]
+    lines = of_docs.select("doc_id", "text_key", "joined", "alone", *hashes, F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"))
+
+    def rolls(seed: Column, i: Column) -> Column:
+        mixed = (F.get("hashes", i - 1) * (F.lit(7919) + seed * 104) + F.get("hashes", i) * 31 + seed * 2654435761) % _MODULUS
+        return (seed > 0) & (F.pmod(F.shiftright(mixed, 9), F.lit(EVERY)) == 0)
 
     def cut(seed: Column) -> Column:
-        mixed = lambda i: (F.get("hashes", i - 1) * (F.lit(7919) + seed * 104) + F.get("hashes", i) * 31 + seed * 2654435761) % _MODULUS
-        return F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda i: (i == 0) | (F.pmod(F.shiftright(mixed(i), 9), F.lit(EVERY)) == 0))
+        return F.array_except(F.sequence(F.lit(0), F.size("hashes") - 1), F.filter("joined", lambda i: ~rolls(seed, i)))
+
+    def chunk(seed: Column, first: Column, n: Column) -> Column:
+        part = lambda column: F.slice(column, first + 1, n)
+        words = F.aggregate(part("words"), F.lit(0), lambda x, y: x + y)
+        code = F.struct(F.xxhash64(part("others")).alias("x"), F.xxhash64(part("hashes")).alias("y"))
+        return F.struct(seed.alias("seed"), first.alias("first"), n.alias("n"), words.alias("n_words"), code.alias("code"))
 
     def of_starts(seed: Column, starts: Column) -> Column:
-        n = lambda first, k: F.coalesce(F.get(starts, k + 1), F.size("hashes")) - first
-        part = lambda column, first, k: F.slice(column, first + 1, n(first, k))
-        return F.transform(starts, lambda first, k: F.struct(seed.alias("seed"), first.alias("first"), n(first, k).alias("n"), F.aggregate(part("words", first, k), F.lit(0), lambda x, y: x + y).alias("n_words"), F.struct(F.xxhash64(part("others", first, k)).alias("x"), F.xxhash64(part("hashes", first, k)).alias("y")).alias("code")))
+        return F.transform(starts, lambda first, k: chunk(seed, first, F.coalesce(F.get(starts, k + 1), F.size("hashes")) - first))
 
     # an array of one array of starts, so that it is made once and not for each chunk
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SEEDS - 1)), lambda seed: F.flatten(F.transform(F.array(cut(seed)), lambda starts: of_starts(seed, starts)))))
-    chunks = lines.select("doc_id", "text_key", F.explode(spans).alias("s")).select("doc_id", "text_key", "s.*")
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(ROLLING)), lambda seed: F.flatten(F.transform(F.array(cut(seed)), lambda starts: of_starts(seed, starts)))))
+    single = F.transform("alone", lambda first: chunk(F.lit(SINGLE), first, F.lit(1)))
+    chunks = lines.select("doc_id", "text_key", F.explode(F.concat(spans, single)).alias("s")).select("doc_id", "text_key", "s.*")
     return chunks.where(((F.col("n") >= LINES) & (F.col("n_words") >= WORDS)) | (F.col("n_words") >= LONG)).drop("n_words")
 
 
@@ -61,7 +102,7 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     first, then text_key and line). Occurrences in one document count too.
     Rows of one doc_id and text are the same document and have one fate. Should
     two chunks of one code differ in bytes, both stay."""
-    rows, keys = _chunks(docs, text, doc_id), ["seed", "n", "code"]
+    rows, keys = stage(_chunks(docs, text, doc_id), "chunks"), ["seed", "n", "code"]
     often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
     found = stage(rows.join(often, keys).select("doc_id", "text_key", "first", *keys), "repeated-codes")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_key", "first")
@@ -91,8 +132,11 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     A text of which nothing was removed is left as it is, null included."""
     gone = removals(docs, text, doc_id).where(F.size("removed") > 0).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("removed").alias("__removed"))
     joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("__d")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__t")), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda line, k: ~F.array_contains("__removed", k)), "\n")
-    return joined.withColumn(text, F.when(F.col("__removed").isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)
+    split = joined.withColumn("__lines", F.when(F.col("__removed").isNotNull(), F.split(F.col(text), "\n", -1)))
+    # what lies between one removed line and the next
+    before, after = F.concat(F.array(F.lit(-1)), "__removed"), F.concat("__removed", F.array(F.size("__lines")))
+    kept = F.array_join(F.flatten(F.zip_with(before, after, lambda x, y: F.slice("__lines", x + 2, y - x - 1))), "\n")
+    return split.withColumn(text, F.when(F.col("__removed").isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)
 
 
 def report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -104,7 +104,9 @@ OP6_SQL = r"""
 WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
-c AS (SELECT doc_id, line, i, seed, CASE WHEN i = 0 OR (((lag(h) OVER (PARTITION BY doc_id, seed ORDER BY i)) * (7919 + seed * 104) + h * 31 + seed * 2654435761) % 4294967296) // 512 % 2 = 0 THEN 1 ELSE 0 END AS starts FROM h, (SELECT unnest(range(4)) AS seed)),
+b AS (SELECT *, lag(line) OVER o AS prev, lag(h) OVER o AS ph FROM h WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+j AS (SELECT *, i > 0 AND count(*) OVER (PARTITION BY prev, line) > 1 AS joined FROM b),
+c AS (SELECT doc_id, line, i, seed, CASE WHEN NOT joined OR seed = 4 OR (seed > 0 AND ((ph * (7919 + seed * 104) + h * 31 + seed * 2654435761) % 4294967296) // 512 % 2 = 0) THEN 1 ELSE 0 END AS starts FROM j, (SELECT unnest(range(5)) AS seed)),
 g AS (SELECT *, sum(starts) OVER (PARTITION BY doc_id, seed ORDER BY i) AS k FROM c),
 k AS (SELECT doc_id, seed, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM g GROUP BY doc_id, seed, k),
 w AS (SELECT *, len(regexp_extract_all(chunk, '[^ 	-
