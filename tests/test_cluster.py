@@ -376,3 +376,12 @@ def test_single_link_gives_exactly_k_groups(spark):
     assert got == {1: 0, 2: 0, 3: 1, 4: 2}  # four edges of one length: the first by index joins
     same = spark.createDataFrame([(i, 2.0, 2.0) for i in range(1, 5)] + [(9, 5.0, 5.0)], "record_id long, x double, y double")
     assert {r["record_id"]: r["label"] for r in D.single_link(same, 3).collect()} == {1: 0, 2: 0, 3: 0, 4: 1, 9: 2}
+
+
+def test_largest_cluster_of_enough_points(spark):
+    rows = [(i, 0 if i < 25 else 1 if i < 50 else -1) for i in range(100)]
+    df = spark.createDataFrame(rows, "record_id long, label int")
+    got = {tuple(r) for r in V.largest_cluster(df).collect()}
+    assert got == {(i, 0) for i in range(25)}  # of two equal ones the first; noise is none
+    assert V.largest_cluster(df.where("record_id < 19")).count() == 0
+    assert V.largest_cluster(df.where("record_id % 2 = 0")).count() == 0  # no cluster has 20 members
