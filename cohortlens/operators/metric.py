@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 #: Points per cell aimed at, and the most pivots (they are sent to every task).
-CELL_ROWS, PIVOTS = 512, 1024
+#: Where no bound tells rings apart, every point travels to each of them.
+CELL_ROWS, PIVOTS = 2048, 1024
 #: Points of a part, and of those who visit it at a time.
 PART_ROWS, VISIT_ROWS = 4096, 4096
 #: Rings of a cell at most; rings a point visits before its bound is drawn anew.
 RINGS, FIRST = 100, 4
-#: Numbers in one block of distances.
-BLOCK = 4 << 20
+#: Numbers in one block of distances, or of differences.
+BLOCK = 1 << 20
 #: What distances and bounds may be off by in floating point, as a share.
 SLACK = 1e-9
 FOUND = "id long, neighbor long, distance double"
@@ -44,7 +45,7 @@ FOUND = "id long, neighbor long, distance double"
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.empty((0, 0))
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(float) if len(column) else np.empty((0, 0))
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -71,7 +72,9 @@ def nearest(qid: np.ndarray, q: np.ndarray, bound: np.ndarray, cid: np.ndarray,
             most = np.minimum(most, np.partition(d2, k, axis=1)[:, k] + slack)
         i, j = np.nonzero(d2 <= (most + slack)[:, None])
         i, j = i[ids[i] != cid[j]], j[ids[i] != cid[j]]
-        d = np.sqrt(((part[i] - c[j]) ** 2).sum(1))
+        d, most = np.empty(len(i)), max(1, BLOCK // max(1, c.shape[1]))  # of many equal distances all pairs of a block are left
+        for x in range(0, len(i), most):
+            d[x : x + most] = np.sqrt(((part[i[x : x + most]] - c[j[x : x + most]]) ** 2).sum(1))
         order = np.lexsort((cid[j], d, i))
         i, j, d = i[order], j[order], d[order]
         keep = np.arange(len(i)) - np.searchsorted(i, i) < k
@@ -112,22 +115,44 @@ class Rings:
         return np.maximum(low - SLACK * (to + self.greatest), 0.0)
 
 
+def _places(rings: Rings, start: int, stop: int, batch: pa.RecordBatch):
+    """(row, ring) of a batch of (id, vec, ring, part, bound) for the rings a point has
+    to visit, of those from ``start`` to ``stop`` in the order of their bounds."""
+    q, own, bound = _matrix(batch.column(1)), batch.column(2).to_numpy(), batch.column(4).to_numpy()
+    step = max(1, BLOCK // len(rings.cell))
+    for at in range(0, len(q), step):
+        low = rings.bounds(q[at : at + step])
+        rank = np.argsort(np.argsort(low, axis=1, kind="stable"), axis=1)
+        use = (low <= bound[at : at + step, None]) & (rank >= start) & (rank < stop)
+        use[np.arange(len(low)), own[at : at + step]] &= rings.parts[own[at : at + step]] > 1
+        i, ring = np.nonzero(use)
+        yield i + at, ring.astype(np.int32)
+
+
 def _visits(rings: Rings, start: int, stop: int):
-    """(ring, id, vec, bound, own_ring, own_part) for the rings a point has to
-    visit, of those from ``start`` to ``stop`` in the order of their bounds."""
+    """(ring, id, vec, own_ring, own_part, bound): a row for each ring that a point
+    visits, in batches of VISIT_ROWS at most, however many rings there are."""
+
+    def each(batches):
+        for batch in batches:
+            for i, ring in _places(rings, start, stop, batch):
+                for x in range(0, len(i), VISIT_ROWS):
+                    rows = batch.take(pa.array(i[x : x + VISIT_ROWS]))
+                    yield pa.RecordBatch.from_arrays([pa.array(ring[x : x + VISIT_ROWS]), *rows.columns], ["ring", "id", "vec", "own_ring", "own_part", "bound"])
+
+    return each
+
+
+def _visitors(rings: Rings, start: int, stop: int):
+    """(ring, n): how many rows of ``_visits`` there are for a ring, a row for each task."""
 
     def each(batches):
+        n = np.zeros(len(rings.cell), np.int64)
         for batch in batches:
-            q, own, bound = _matrix(batch.column(1)), batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            step = max(1, BLOCK // len(rings.cell))
-            for at in range(0, len(q), step):
-                low = rings.bounds(q[at : at + step])
-                rank = np.argsort(np.argsort(low, axis=1, kind="stable"), axis=1)
-                use = (low <= bound[at : at + step, None]) & (rank >= start) & (rank < stop)
-                use[np.arange(len(low)), own[at : at + step]] &= rings.parts[own[at : at + step]] > 1
-                i, ring = np.nonzero(use)
-                rows = batch.take(pa.array(i + at))
-                yield pa.RecordBatch.from_arrays([pa.array(ring.astype(np.int32)), *rows.columns], ["ring", "id", "vec", "own_ring", "own_part", "bound"])
+            for _, ring in _places(rings, start, stop, batch):
+                n += np.bincount(ring, minlength=len(n))
+        ring = np.nonzero(n)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(ring.astype(np.int32)), pa.array(n[ring])], ["ring", "n"])
 
     return each
 
@@ -158,13 +183,14 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def knn_graph(points: DataFrame, k: int, id_col: str = "id", vec: str = "vec", part_rows: int = PART_ROWS) -> DataFrame:
     """(id, neighbor, distance, rank): exact k nearest neighbours (Euclidean,
     self excluded, ties by neighbour id), k at most the number of other points."""
-    rows = cut_lineage(points.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec")))
+    kind = "array<float>" if points.select(vec).dtypes[0][1] == "array<float>" else "array<double>"  # floats travel as they are
+    rows = cut_lineage(points.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast(kind).alias("vec")))
     spark, n = rows.sparkSession, rows.count()
     if n < 2:
         return spark.createDataFrame([], FOUND + ", rank int")
     k = max(1, min(int(k), n - 1))
     pivots = _pivots(rows, n)
-    celled = cut_lineage(rows.mapInArrow(_with_cell(pivots), "id long, vec array<double>, cell int, d double"))
+    celled = cut_lineage(rows.mapInArrow(_with_cell(pivots), f"id long, vec {kind}, cell int, d double"))
 
     # rings: cuts at hundredths of a cell's distances, as many as its size asks for
     shares = [i / RINGS for i in range(1, RINGS)]
@@ -185,17 +211,17 @@ def knn_graph(points: DataFrame, k: int, id_col: str = "id", vec: str = "vec", p
     for start, stop in steps:
         found = cut_lineage(_best(found, k).drop("rank"))
         full = F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf"))
-        bounded = members.join(found.groupBy("id").agg(full.alias("bound")), "id", "left").select("id", "vec", "ring", "part", F.coalesce("bound", F.lit(math.inf)).alias("bound"))
-        visits = bounded.mapInArrow(_visits(rings, start, stop), "ring int, id long, vec array<double>, own_ring int, own_part int, bound double")
-        found = found.unionByName(_searched(visits, members, numbers, k))
+        bounded = cut_lineage(members.join(found.groupBy("id").agg(full.alias("bound")), "id", "left").select("id", "vec", "ring", "part", F.coalesce("bound", F.lit(math.inf)).alias("bound")))
+        come = bounded.mapInArrow(_visitors(rings, start, stop), "ring int, n long").groupBy("ring").agg(F.sum("n").alias("n"))
+        visits = bounded.mapInArrow(_visits(rings, start, stop), f"ring int, id long, vec {kind}, own_ring int, own_part int, bound double")
+        found = found.unionByName(_searched(visits, come, members, numbers, k))
     return _best(found, k)
 
 
-def _searched(visits: DataFrame, members: DataFrame, numbers: DataFrame, k: int) -> DataFrame:
+def _searched(visits: DataFrame, come: DataFrame, members: DataFrame, numbers: DataFrame, k: int) -> DataFrame:
     """What visitors find in all parts of the rings they visit, but for their own part.
-    Visitors of a ring come in chunks by its number of them, each of which meets every part."""
-    visits = cut_lineage(visits)
-    chunks = visits.groupBy("ring").agg(F.ceil(F.count(F.lit(1)) / VISIT_ROWS).cast("int").alias("chunks"))  # a row per ring
+    Visitors of a ring come in chunks by its number of them (``come``), each of which meets every part."""
+    chunks = cut_lineage(come.select("ring", F.ceil(F.col("n") / VISIT_ROWS).cast("int").alias("chunks")))  # a row per ring
     parts = F.broadcast(numbers.select(F.col("number").alias("ring"), "parts"))
     come = visits.join(F.broadcast(chunks), "ring").join(parts, "ring").select("*", F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int").alias("chunk"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
     come = come.where((F.col("ring") != F.col("own_ring")) | (F.col("part") != F.col("own_part"))).select("ring", "part", "chunk", "id", "vec", "bound")

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortlens.operators import cells as CELLS
@@ -385,3 +386,38 @@ def test_largest_cluster_of_enough_points(spark):
     assert got == {(i, 0) for i in range(25)}  # of two equal ones the first; noise is none
     assert V.largest_cluster(df.where("record_id < 19")).count() == 0
     assert V.largest_cluster(df.where("record_id % 2 = 0")).count() == 0  # no cluster has 20 members
+
+
+def test_visits_come_in_bounded_batches(monkeypatch):
+    """Points that visit every ring of many leave a task in batches whose size does not grow with the rings."""
+    monkeypatch.setattr(METRIC, "VISIT_ROWS", 50)
+    rng = np.random.default_rng(4)
+    pivots = rng.normal(size=(40, 8))
+    rows = [{"cell": c, "parts": 1, "least": 0.0, "greatest": 9.0} for c in range(40)]
+    rings = METRIC.Rings(pivots, rows)
+    points = rng.normal(size=(30, 8)).astype(np.float32)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(points.tolist(), pa.list_(pa.float32())), pa.array([0] * 30, pa.int32()),
+                                        pa.array([0] * 30, pa.int32()), pa.array([np.inf] * 30)], ["id", "vec", "ring", "part", "bound"])
+    out = list(METRIC._visits(rings, 0, 40)([batch]))
+    assert max(b.num_rows for b in out) <= 50 and sum(b.num_rows for b in out) == 30 * 39
+    assert sum(b.column(1).to_numpy().sum() for b in METRIC._visitors(rings, 0, 40)([batch])) == 30 * 39
+
+
+def test_nearest_of_equal_distances_holds_few_differences(monkeypatch):
+    """Copies: every pair of a block is a candidate, its differences are formed in slices."""
+    monkeypatch.setattr(METRIC, "BLOCK", 64)
+    ids, spot = np.arange(40), np.ones((40, 16))
+    i, j, d = METRIC.nearest(ids, spot, np.full(40, np.inf), ids, spot, 3)
+    assert (d == 0).all() and all(sorted(j[i == x]) == [y for y in range(40) if y != x][:3] for x in range(40))
+
+
+def test_affinities_of_lists_of_unequal_length(spark):
+    """Several slices, against one calibration at a time."""
+    rng = np.random.default_rng(5)
+    rows = [(i, int(j), r, float(d)) for i in range(2300) for r, (j, d) in enumerate(zip(rng.choice(np.arange(3000, 4000), 2 + i % 4, False), np.sort(rng.uniform(1, 2, 2 + i % 4))), 1)]
+    got = {(r["i"], r["j"]): r["p"] for r in N.neighbor_affinity(spark.createDataFrame(rows, "id long, neighbor long, rank int, distance double"), 2300, 2.0).collect()}
+    for i in (0, 1, 1023, 1024, 2299):
+        own = [(j, d) for x, j, _, d in rows if x == i]
+        p = N._calibrate(np.array([[d * d for _, d in own]]), np.ones((1, len(own)), bool), np.log(2.0))[0]
+        for (j, _), share in zip(own, p):
+            assert got[i, j] == pytest.approx(share / 4600) and got[j, i] == got[i, j]
