@@ -7,13 +7,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .metric import knn_graph  # noqa: F401
 from .pairs import closest_pair, farthest_pair  # noqa: F401
 
+#: Points calibrated at a time.
+AFFINITY_ROWS = 1024
+
 # --- perplexity-calibrated affinities ------------------------------------------------
 
 def _calibrate(d2: np.ndarray, valid: np.ndarray, target: float, steps: int = 50, tol: float = 1e-5):
@@ -52,24 +55,17 @@ def neighbor_affinity(knn: DataFrame, n: int, perplexity: float | None = None) -
     lists = knn.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "neighbor", "distance"))).alias("nb"))
 
     def cond(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            width = max(len(x) for x in pdf["nb"])
-            rows = len(pdf)
-            d2 = np.zeros((rows, width))
-            nb = np.full((rows, width), -1, dtype=np.int64)
-            valid = np.zeros((rows, width), dtype=bool)
-            for r, lst in enumerate(pdf["nb"]):
-                for c, item in enumerate(lst):
-                    d2[r, c] = float(item["distance"]) ** 2
-                    nb[r, c] = int(item["neighbor"])
-                    valid[r, c] = True
-            p = _calibrate(d2, valid, target)
-            ii = np.repeat(pdf["id"].to_numpy(), width)
-            keep = valid.ravel()
-            yield pd.DataFrame({"i": ii[keep], "j": nb.ravel()[keep], "p": p.ravel()[keep]})
+        for whole in batches:
+            for at in range(0, whole.num_rows, AFFINITY_ROWS):
+                batch = whole.slice(at, AFFINITY_ROWS)
+                lists, sizes = batch.column(1), batch.column(1).value_lengths().to_numpy()
+                items = lists.flatten()
+                valid = np.arange(sizes.max())[None, :] < sizes[:, None]
+                d2 = np.zeros(valid.shape)
+                d2[valid] = items.field(2).to_numpy(zero_copy_only=False) ** 2
+                p = _calibrate(d2, valid, target)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), items.field(1), pa.array(p[valid])], ["i", "j", "p"])
 
-    cp = lists.mapInPandas(cond, "i long, j long, p double")
+    cp = lists.mapInArrow(cond, "i long, j long, p double")
     both = cp.unionByName(cp.select(F.col("j").alias("i"), F.col("i").alias("j"), "p"))
     return both.groupBy("i", "j").agg((F.sum("p") / F.lit(2.0 * n)).alias("p"))
