@@ -19,7 +19,7 @@ from .filters import numeric
 HEATMAP_THRESHOLD = 0.7   # P15: abs(r) > 0.7 flagged on the heatmap
 VECTOR_THRESHOLD = 0.8    # P15: abs(r) >= 0.8 flagged by the vector check
 PAIRS_PER_PASS = 40       # pairs per aggregation pass (4 aggregates each)
-GRAM_MIN_COLUMNS = 24     # from this many columns on, use the masked Gram form (two passes)
+GRAM_MIN_COLUMNS = 16     # from this many columns on, use the masked Gram form (two passes)
 ZERO_VARIANCE = 1e-12     # relative tolerance for "variance over complete pairs is 0"
 
 

@@ -434,6 +434,6 @@ SELECT *, CASE WHEN score >= 80 THEN 'high' WHEN score >= 55 THEN 'medium' ELSE
 
 @query("vector_score", sql_sig(_vector_sql(), ["mean_missing_pct", "complete_pct"]))
 def vector_score(spark, sf_dir):
-    return sigd(QA.vector_score(wide_table(spark, sf_dir), RECOMMENDED_VECTOR),
+    return sigd(QA.vector_score(wide_table(spark, sf_dir, columns=RECOMMENDED_VECTOR), RECOMMENDED_VECTOR),
                 ["mean_missing_pct", "complete_pct"])
 

@@ -21,12 +21,16 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return raw_sources(spark, sf_dir)
 
 
-def wide_table(spark: SparkSession, sf_dir: str, materialise: bool = True) -> DataFrame:
+def wide_table(spark: SparkSession, sf_dir: str, materialise: bool = True, columns: list[str] | None = None) -> DataFrame:
     """The integrated wide cohort table (unrounded). Analyses that make
-    several passes get it materialised once in the checkpoint folder; a
-    single-pass query keeps the plan so Catalyst prunes the aggregates and
-    parsers of the columns it does not read."""
+    several passes get it materialised once in the checkpoint folder, with the
+    ``columns`` that they read (default: all); a single-pass query keeps the
+    plan so Catalyst prunes the aggregates and parsers of the columns it does
+    not read."""
     wide = I.integrate(sources(spark, sf_dir), intake_row_index="row_index", biweekly_row_index="row_index")
+    if columns is not None:
+        read = set(columns)
+        wide = wide.select(*[c for c in wide.columns if c in read])
     return cut_lineage(wide) if materialise else wide
 
 
