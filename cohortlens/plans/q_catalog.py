@@ -39,7 +39,7 @@ def _families_values() -> str:
 SELECT DISTINCT fam.family_order, fam.family, pos.col AS "column"
 FROM pos JOIN fam ON starts_with(pos.col, fam.prefix) OR pos.col = fam.prefix""")
 def variable_families(spark, sf_dir):
-    cat = CT.catalogue(spark, wide_table(spark, sf_dir).columns)
+    cat = CT.catalogue(spark, wide_table(spark, sf_dir, materialise=False).columns)
     return CT.family_members(cat).select("family_order", "family", "column")
 
 
@@ -51,13 +51,13 @@ def _questions_values() -> str:
 SELECT pos.col AS "column", q.item, q.label, q.measure
 FROM pos JOIN q ON q.item = regexp_replace(regexp_replace(pos.col, '^bw_', ''), '^intake_', '')""")
 def question_lookup(spark, sf_dir):
-    cat = CT.catalogue(spark, wide_table(spark, sf_dir).columns)
+    cat = CT.catalogue(spark, wide_table(spark, sf_dir, materialise=False).columns)
     return CT.question_info(cat).filter(F.col("label").isNotNull()).select("column", "item", "label", "measure")
 
 
 @query("column_search", COLS_SQL + """ SELECT col AS "column" FROM pos WHERE contains(lower(col), 'night') OR contains(lower(col), 'nocturnal')""")
 def column_search(spark, sf_dir):
-    cat = CT.catalogue(spark, wide_table(spark, sf_dir).columns)
+    cat = CT.catalogue(spark, wide_table(spark, sf_dir, materialise=False).columns)
     return CT.search_columns(cat, "night").unionByName(CT.search_columns(cat, "NOCTURNAL")).select("column").distinct()
 
 
@@ -75,7 +75,7 @@ FROM g"""
 
 @query("item_groups", ITEM_SQL)
 def item_groups(spark, sf_dir):
-    groups = PR.item_groups(wide_table(spark, sf_dir).columns)
+    groups = PR.item_groups(wide_table(spark, sf_dir, materialise=False).columns)
     rows = [(g["name"], ",".join(g["items"]), len(g["items"]), g["total_col"]) for g in groups]
     return spark.createDataFrame(rows, "name string, items string, n_items long, total_col string")
 

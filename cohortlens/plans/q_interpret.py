@@ -24,13 +24,15 @@ K = 4
 # The Spark side derives the same list from the data (features with a finite value).
 FEATS = IN.RECOMMENDED_VECTOR
 PROF = list(dict.fromkeys(IN.PROFILE_VARIABLES + FEATS))
+#: All that profiles, official runs and their exports read of the wide table.
+READ = ["record_id", *dict.fromkeys([*PROF, *IN.SUMMARY_VARIABLES, *IN.COVERAGE_FLAGS, "pid", "age", "gender", "country"])]
 
 
 def official_space(spark, sf_dir):
     """(wide, features, z, labels): median-imputed z-scores of the official
     features and labels from the nearest of the first four rows' vectors
     (a deterministic, SQL-expressible labelling)."""
-    wide = wide_table(spark, sf_dir)
+    wide = wide_table(spark, sf_dir, columns=READ)
     feats = numeric_features(wide, IN.RECOMMENDED_VECTOR)
     z = M.prepare(wide, feats, "median")
     rows = z.orderBy("record_id").limit(K).collect()
@@ -152,7 +154,7 @@ SELECT variable, group_mean, global_mean, (group_mean - global_mean) / global_st
   observed / (SELECT greatest(count(*), 1) FROM sel) AS coverage
 FROM grp JOIN g USING (variable) WHERE global_n >= 2""", SEL_COLS))
 def selection_profile(spark, sf_dir):
-    wide = wide_table(spark, sf_dir)
+    wide = wide_table(spark, sf_dir, columns=READ)
     feats = numeric_features(wide, IN.RECOMMENDED_VECTOR)
     sel = wide.filter(F.col("has_xbox") == 1).select("record_id")
     return rounded(IN.selection_profile(wide, sel, feats), SEL_COLS)
@@ -230,7 +232,7 @@ def export_projection(spark, sf_dir):
 def official_profile(spark, sf_dir):
     """Median imputation, z-scores, seeded K-means k=4 (seed 2026,
     100 iterations), profile on observed values, canonical names."""
-    run = IN.official_run(wide_table(spark, sf_dir))
+    run = IN.official_run(wide_table(spark, sf_dir, columns=READ))
     return run.profile.join(run.clusters.select("label", "count", "selection_score"), "label")
 
 
@@ -311,7 +313,7 @@ def case_reasons(spark, sf_dir):
 def official_manifest(spark, sf_dir):
     """M22 + M25: the run manifest and whether it applies to the current rows
     and features (fingerprint: row count, first and last id, features)."""
-    wide = wide_table(spark, sf_dir)
+    wide = wide_table(spark, sf_dir, columns=READ)
     run = IN.official_run(wide)
     ok = IN.run_matches(run.manifest, wide, run.features)
     return run.manifest.withColumn("matches", F.lit(ok))
@@ -321,7 +323,7 @@ def official_manifest(spark, sf_dir):
 def pca_quality(spark, sf_dir):
     """M5 + M6 on all official features (p > 2, median imputation): explained
     variance of the first two components and the quality grade."""
-    wide = wide_table(spark, sf_dir)
+    wide = wide_table(spark, sf_dir, columns=READ)
     feats = numeric_features(wide, IN.RECOMMENDED_VECTOR)
     res = M.pca(wide, feats, "median")
     rows = [(res.explained[0], res.explained[1], M.pca_grade(res.explained), res.rows_used, len(feats))]
