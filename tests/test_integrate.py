@@ -87,3 +87,18 @@ def test_cells_go_through_joins_in_arrays(spark):
     assert {r["pid"]: r["_cells"] for r in packed.collect()} == {"p": [31.0, 0.0], "q": [None, 3.0]}
     wide = {r["pid"]: r for r in I.integrate({"intake": intake, "biweekly": bw}, intake_row_index="row_index").collect()}
     assert (wide["p"]["intake_life_sat"], wide["p"]["gender"], wide["q"]["gender"], wide["q"]["bw_gdt_1"], wide["q"]["bw_num_waves"], wide["q"]["has_biweekly"]) == (0.0, None, "f", None, None, 0)
+
+
+def test_wide_table_is_materialised_with_the_columns_read(spark, monkeypatch):
+    """Analyses stage what they read; the catalogue of names stages no rows."""
+    from cohortlens.plans import q_catalog, q_integration
+
+    staged = []
+    monkeypatch.setattr(q_integration, "sources", lambda spark, sf_dir: {})
+    monkeypatch.setattr(q_integration.I, "integrate", lambda *a, **k: spark.createDataFrame([(1, 2.0, 3.0, "x")], "record_id long, bw_gdt_1 double, bw_gdt_2 double, pid string"))
+    monkeypatch.setattr(q_integration, "cut_lineage", lambda df: staged.append(df.columns) or df)
+    assert q_integration.wide_table(spark, "", columns=["record_id", "pid", "absent"]).columns == ["record_id", "pid"]
+    assert q_integration.wide_table(spark, "").columns == ["record_id", "bw_gdt_1", "bw_gdt_2", "pid"]
+    assert staged == [["record_id", "pid"], ["record_id", "bw_gdt_1", "bw_gdt_2", "pid"]]
+    q_catalog.item_groups(spark, "").collect()
+    assert len(staged) == 2

@@ -120,3 +120,19 @@ def test_correlation_gram_matches_aggregates(spark):
             assert g["r"] is None, (k, g["r"])
         else:
             assert g["r"] == pytest.approx(r["r"], rel=1e-9, abs=1e-12), k
+
+
+def test_correlations_of_a_vector_of_variables_take_two_passes(spark, monkeypatch):
+    """19 columns: the Gram form, with the r of the pairwise aggregates."""
+    from cohortlens.operators import relate
+
+    rows = [tuple(float((i * (c + 3)) % (7 + c)) if (i + c) % 5 else None for c in range(19)) for i in range(60)]
+    cols = [f"v{c}" for c in range(19)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    want = {(r["x"], r["y"]): r for r in relate.correlation_matrix(df, cols, False, "aggregate").collect()}
+    monkeypatch.setattr(relate, "_pair_aggs", None)  # not to be called
+    got = relate.correlation_matrix(df, cols, False).collect()
+    assert len(got) == len(want) == 19 * 18
+    for r in got:
+        w = want[r["x"], r["y"]]
+        assert r["n"] == w["n"] and (r["r"] is None) == (w["r"] is None) and (r["r"] is None or abs(r["r"] - w["r"]) < 1e-9)
