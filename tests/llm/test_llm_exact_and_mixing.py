@@ -177,6 +177,24 @@ def test_ids_of_all_letters_and_marks_equal_the_library():
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_marks_are_split_off_before_words_are_looked_up(monkeypatch):
+    """A word is learnt once, whatever marks follow it; a column may begin anywhere in its batch."""
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = token_orc.public_vocabulary()
+    stems = ["lessing", "étonné", "weiß", "ĭthring"]
+    words = [w + m for w in stems for m in ("", ",", ".", "!?", ",,", ";-")] + ["İ,", "ſ.", "x́,", "don't,"]
+    texts = ["left out", *(" ".join(words[k:] + words[:k]) for k in range(len(words))), "a <|endoftext|>, b", "", None]
+    seen, met = [], token_orc._MARKED
+    monkeypatch.setattr(token_orc, "_MARKED", lambda w: seen.append(w) or met(w))
+    got = token_orc._encoder.__wrapped__(path)(pa.array(texts).slice(1))
+    want = Tokenizer.from_file(path).encode_batch([t or "" for t in texts[1:]], add_special_tokens=False)
+    assert [np.frombuffer(x, "<i4").tolist() for x in got] == [e.ids for e in want]
+    assert not [w for w in seen if w.decode().startswith(tuple(stems)) and w.decode() not in stems]
+
+
 def test_other_vocabularies_are_encoded_whole():
     import numpy as np
     from tokenizers import Tokenizer
