@@ -108,8 +108,11 @@ def sketch(passage: np.ndarray, feature: np.ndarray, test: np.ndarray) -> tuple[
     cells, counts = np.unique(passage * n + feature, return_counts=True)
     row, column = cells // n, cells % n
     starts = np.flatnonzero(np.diff(row, prepend=-1))
-    of_row = np.add.reduceat(test[column] * counts[:, None], starts)[np.cumsum(np.diff(row, prepend=-1) > 0) - 1] * counts[:, None]
-    gram = np.stack([np.bincount(column, of_row[:, k], n) for k in range(test.shape[1])], 1)
+    owner = np.cumsum(np.diff(row, prepend=-1) > 0) - 1
+    gram = np.empty((n, test.shape[1]))
+    for k in range(test.shape[1]):  # one test vector at a time: a number per cell, not a row
+        of_row = np.add.reduceat(test[column, k] * counts, starts)[owner] * counts
+        gram[:, k] = np.bincount(column, of_row, n)
     return np.bincount(column, minlength=n), gram
 
 

@@ -64,3 +64,22 @@ def test_queries_are_registered(spark):
     assert {k.split("_")[0] for k in names if k.startswith("op")} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert minhash_tensor.SHARED == 75 and decontaminate.COVERED <= 0.8
+
+
+def test_the_sketch_holds_a_number_per_cell():
+    """One test vector at a time: memory does not hold RANK numbers for each cell of the matrix."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng, n, cells = np.random.default_rng(1), 500, 60_000
+    passage, feature = np.sort(rng.integers(0, 9_000, cells)), rng.integers(0, n, cells)
+    test = decontaminate._test_vectors(n)
+    tracemalloc.start()
+    frequency, gram = decontaminate.sketch(passage, feature, test)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    counts = np.zeros((9_000, n))
+    np.add.at(counts, (passage, feature), 1)
+    assert np.allclose(gram, counts.T @ (counts @ test)) and (frequency == (counts > 0).sum(0)).all()
+    assert peak < cells * decontaminate.RANK * 8 / 2
