@@ -27,8 +27,8 @@ ROLLING, EVERY = 3, 2
 SINGLE = ROLLING + 1
 #: A chunk is removable if it has LINES lines and WORDS words at least, or LONG words in one line.
 LINES, WORDS, LONG = 2, 10, 50
-#: Documents with lists of their repeated chunks that are counted before they may be broadcast.
-FEW_DOCUMENTS = 50_000
+#: Bits of the marks by which rows that a join would drop are left out before they are moved (8 MB at most; 32,768 to a row).
+MARKS = 1 << 26
 _MODULUS = 4294967296
 
 
@@ -36,9 +36,36 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     plain = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(plain).alias("text_key"), F.split(plain, "\n", -1).alias("lines"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(plain).alias("text_key"), plain.alias("plain"))
+
+
+def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    return _keyed(docs, text, doc_id).select("doc_id", "text_key", F.split("plain", "\n", -1).alias("lines"))
+
+
+def _marked(rows: DataFrame, keys: list[str], wanted: DataFrame, of: list[str]) -> DataFrame:
+    """The ``rows`` whose keys are among those ``of`` staged ``wanted``, and a
+    few others. Marks, a bit for the hash of each wanted key, go to all tasks, so
+    that most rows that a join would drop are not moved for it. With so many
+    keys that all bits are set, all rows stay; the join after it is exact."""
+    mark = lambda names: F.pmod(F.xxhash64(*names), F.lit(MARKS))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("__m")).alias("__bits")
+    marks = wanted.select(mark(of).alias("__m")).groupBy(F.bitmap_bucket_number("__m").alias("__bucket")).agg(bits)
+    at = F.bitmap_bit_position("__m")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.get(F.array(*[byte.bitwiseAND(1 << k) != 0 for k in range(8)]), (at % 8).cast("int"))
+    near = rows.withColumn("__m", mark(keys)).join(F.broadcast(marks), F.bitmap_bucket_number("__m") == F.col("__bucket"))
+    return near.where(held).select(*rows.columns)
+
+
+def _wanted_lines(docs: DataFrame, text: str, doc_id: str, wanted: DataFrame) -> DataFrame:
+    """doc_id, text_key, lines and the columns of staged ``wanted`` (d, t, ...)
+    for the documents that it names; most other texts stay where they are."""
+    near = _marked(_keyed(docs, text, doc_id), ["doc_id", "text_key"], wanted, ["d", "t"])
+    found = near.join(wanted, near["doc_id"].eqNullSafe(wanted["d"]) & (near["text_key"] == wanted["t"]))
+    return found.select("*", F.split("plain", "\n", -1).alias("lines")).drop("plain", "d", "t")
 
 
 def _followers(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -68,8 +95,7 @@ def _chunks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """doc_id, text_key, seed (the cutting), first (line, from 0), n, code: the
     chunks that are removable if they repeat. A code is two hashes of the
     chunk's lines."""
-    wanted, plain = _joined(docs, text, doc_id), _lines(docs, text, doc_id)
-    of_docs = plain.join(broadcast_if_small(wanted, FEW_DOCUMENTS), plain["doc_id"].eqNullSafe(wanted["d"]) & (plain["text_key"] == wanted["t"]))
+    of_docs = _wanted_lines(docs, text, doc_id, _joined(docs, text, doc_id))
     hashes = [F.transform("lines", line_hash).alias("hashes"), F.transform("lines", lambda x: F.xxhash64(x)).alias("others")]
     lines = of_docs.select("doc_id", "text_key", "joined", "alone", *hashes, F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"))
 
@@ -103,12 +129,11 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     Rows of one doc_id and text are the same document and have one fate. Should
     two chunks of one code differ in bytes, both stay."""
     rows, keys = stage(_chunks(docs, text, doc_id), "chunks"), ["seed", "n", "code"]
-    often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
-    found = stage(rows.join(often, keys).select("doc_id", "text_key", "first", *keys), "repeated-codes")
+    often = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"), "often")
+    found = stage(_marked(rows, keys, often, keys).join(often, keys).select("doc_id", "text_key", "first", *keys), "repeated-codes")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_key", "first")
     wanted = stage(found.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).agg(F.collect_set(F.struct("first", *keys)).alias("chunks")), "repeated-in")
-    lines = _lines(docs, text, doc_id)
-    of_docs = lines.join(broadcast_if_small(wanted, FEW_DOCUMENTS), lines["doc_id"].eqNullSafe(wanted["d"]) & (lines["text_key"] == wanted["t"]))
+    of_docs = _wanted_lines(docs, text, doc_id, wanted)
     chunk = F.array_join(F.slice("lines", F.col("c.first") + 1, F.col("c.n")), "\n").alias("chunk")
     bytes_ = of_docs.select("doc_id", "text_key", "lines", F.explode("chunks").alias("c")).select("doc_id", "text_key", "c.*", chunk)
     same = bytes_.groupBy(*keys).agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"), F.min(place).alias("earliest"), F.max(place).alias("latest")).where("low = high and earliest <> latest")

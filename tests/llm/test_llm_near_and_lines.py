@@ -228,3 +228,22 @@ def test_empty_tables(spark):
     assert minhash_tensor.near_duplicates(empty).count() == 0 and minhash_tensor.representatives(empty).columns == empty.columns
     assert line_chunks.report(empty).count() == 0 and line_chunks.without_repeats(empty).count() == 0
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.without_leaks(empty, bench).count() == 0
+
+
+def test_marks_leave_out_rows_that_a_join_would_drop(spark, monkeypatch):
+    """Texts are not moved only to be dropped, whatever the number of wanted documents; full marks lose nothing."""
+    from pyspark.sql import functions as F
+
+    from cohortlens.llm import line_chunks
+
+    rows = spark.range(3000).select(F.when(F.col("id") != 7, F.col("id")).alias("a"), (F.col("id") % 5).alias("b"))
+    wanted = spark.createDataFrame([(None, 2), *((k, k % 5) for k in range(0, 3000, 100)), (1, 3)], "x long, y long")
+    want = {(None, 2), *((k, k % 5) for k in range(0, 3000, 100))}
+    got = {tuple(r) for r in line_chunks._marked(rows, ["a", "b"], wanted, ["x", "y"]).collect()}
+    assert want <= got and len(got) < 2 * len(want)
+    monkeypatch.setattr(line_chunks, "MARKS", 4)
+    assert line_chunks._marked(rows, ["a", "b"], wanted, ["x", "y"]).count() == 3000
+    docs = spark.createDataFrame([(1, "x1 y\nx2 z\n" + "w " * 60 + "\nq"), (None, "r\nx1 y\nx2 z\n" + "w " * 60), (3, "s"), (4, None)], "doc_id long, text string")
+    few = {tuple(r) for r in line_chunks.report(docs).collect()}
+    monkeypatch.undo()
+    assert few == {tuple(r) for r in line_chunks.report(docs).collect()} and len(few) == 2
