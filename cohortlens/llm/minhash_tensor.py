@@ -4,24 +4,32 @@ Two small collections of band keys are computed for a document, A and B, of
 BANDS keys each, a key being ROWS minhashes. A hash table is a pair of one key
 from either, so 2 * BANDS * ROWS minhashes serve BANDS * BANDS tables of
 2 * ROWS minhashes, where as many tables apart would take BANDS / 2 times the
-work. The product is formed only where a first key is shared and undecided.
+work. The product is formed only where a first key is shared and undecided, and
+never as rows for each table.
 
 Documents with one and the same shingle set are first made one class. Then,
 among the classes that share a key of A, each is held against one other, once
 or twice: that links most copies, at a pair a class. For what is still
 undecided, the shingles that other labels hold too are counted: only they can
 be shared by a link that is not known yet, so a class with too few of them is
-done, whatever passages it has in common with however many others. The rest
-meets in the tables. No bucket lists its pairs: members are held against a few
-pivots; what that links gets one label; pivots, once held against all members
-of another label, leave; and buckets go on until their members share one label.
-So every two members of a bucket are either compared on their full sets, told
-apart by an exact bound (set sizes and shingles of other labels), or already in
-one component.
+done, whatever passages it has in common with however many others.
+
+The rest meets by keys of A, a row for a class and key, and members are held
+against a few pivots; what that links gets one label; pivots, once held against
+all members of another label, leave, as does a member that the smallest set and
+the most shared shingles of its bucket leave no link. Once pivots link little,
+what is left is held against all members of a bucket that are not of its
+largest label: there the tables are formed, as pairs have to share a key of B
+too, and a sketch of each set tells nearly all that are no link apart before
+they become rows. So every two classes that share a table are either compared
+on their full sets, told apart by an exact bound (set sizes, shingles of other
+labels, sketches), or already in one component.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,6 +52,13 @@ EARLY = 2
 #: Pivots of a bucket by round; after these rounds a label may have FASTER times as many from round to round.
 PIVOTS = (1, 1, 8, 64)
 FASTER = 4
+#: After a round with fewer links than one for FEW classes, all that is left is held at once.
+FEW = 50
+#: 64-bit words of a set's sketch.
+SKETCH = 16
+#: Sketches that are counted before they may be broadcast.
+LATE_ROWS = 50_000
+_WORDS = [f"w{k}" for k in range(SKETCH)]
 _HASHES = 2 * BANDS * ROWS
 _random = np.random.default_rng(8)
 _MULTIPLY = _random.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -82,6 +97,22 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "members"])
 
 
+def sketch(members: np.ndarray) -> np.ndarray:
+    """SKETCH words: of each bit, whether an odd number of members falls on it.
+    Members that two sets share cancel out, so their sketches differ in no more
+    bits than the sets do in members."""
+    bits = 64 * SKETCH
+    on = (members * _MULTIPLY[0]) >> np.uint64(64 - (bits.bit_length() - 1))
+    odd = np.bincount(on.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _sketched(batches):
+    for batch in slices(batches, 1):
+        words = np.stack([sketch(np.frombuffer(m, np.uint64)) for m in batch.column(1).to_pylist()]) if batch.num_rows else np.empty((0, SKETCH), np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(words[:, k])) for k in range(SKETCH)]], ["node", *_WORDS])
+
+
 def _members(batches):
     for batch in slices(batches, 2):
         sets = [np.frombuffer(m, np.int64) for m in batch.column(2).to_pylist()]
@@ -126,6 +157,13 @@ def _may_link(size: Column, foreign: Column, other_size: Column, other_foreign:
     return 100 * most >= SHARED * (size + other_size - most)
 
 
+def _may_differ(size: Column, other_size: Column, other_words: list[str]) -> Column:
+    """Whether two sets may be linked by their sketches: links differ in a
+    seventh of the sum of their sizes at most, as 100 * both >= SHARED * either."""
+    apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(o))) for w, o in zip(_WORDS, other_words)), F.lit(0))
+    return (100 + SHARED) * apart <= (100 - SHARED) * (size + other_size)
+
+
 def _worth_holding(one: str, other: str) -> Column:
     """Whether sizes and keys (of structs) make a link likely."""
     a, b = F.col(f"{one}.size"), F.col(f"{other}.size")
@@ -151,24 +189,49 @@ class _Linker:
         open_ = self._labelled(met).groupBy("i", "a").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("i", "a")
         undecided = stage(met.join(open_, ["i", "a"]).select("node", "i", "a"), "undecided")
         described = self._with_foreign(undecided.select("node").distinct())
-        others = described.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others"))
-        tables = undecided.join(others, "node").select("node", "i", "a", F.posexplode("others").alias("j", "b"))
-        left, turn = stage(_shared(tables.select("node", F.xxhash64("i", "a", "j", "b").alias("bucket")), ["bucket"]), "buckets"), 0
+        left = stage(undecided.join(described.select("node", "size", "foreign"), "node").withColumn("bucket", F.xxhash64("i", "a")).drop("i", "a"), "buckets")
+        turn = 0
         while True:
             rows = self._labelled(left)
-            sums = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-            held = stage(rows.join(sums, "bucket").join(described.drop("keys"), "node"), "held")
+            bounds = [F.min("size").alias("least"), F.max("foreign").alias("most")]
+            sums = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), *bounds).where("low < high").drop("low", "high")
+            open_ = rows.join(sums, "bucket").where(_may_link(F.col("size"), F.col("foreign"), F.col("least"), F.col("most")))
+            held = stage(open_.select("bucket", "node", "size", "foreign", "label"), "held")
             if held.isEmpty():
                 return self.known
             last = len(PIVOTS) - 1
             pivots = stage(self._pivots(held, PIVOTS[min(turn, last)], FASTER ** max(0, turn - last)), "pivots")
             apart = (held["bucket"] == pivots["p_bucket"]) & (held["label"] != pivots["p_label"])
             plausible = held.join(pivots, apart & _may_link(held["size"], held["foreign"], pivots["p_size"], pivots["p_foreign"]))
-            self._compare(plausible.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct())
+            links = self._compare(plausible.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct())
             done = (held["bucket"] == pivots["p_bucket"]) & (held["node"] == pivots["p_node"])
-            left = held.join(pivots, done, "left_anti").select("bucket", "node")
+            left = held.join(pivots, done, "left_anti").select("bucket", "node", "size", "foreign")
+            if links * FEW < held.select("node").distinct().count():
+                self._compare(self._all_left(left, described))
+                return self.known
             turn += 1
 
+    def _all_left(self, left: DataFrame, described: DataFrame) -> DataFrame:
+        """a, b: the pairs of a bucket's members that share a table too, have
+        different labels, and are not told apart by a bound. Of two members one
+        at least is not of the bucket's largest label, so those are held
+        against all."""
+        rows = self._labelled(left)
+        sizes = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("labels")).where("labels > 1").drop("labels")
+        open_ = stage(rows.join(largest, "bucket"), "open")
+        late = stage(open_.select("node").distinct(), "late")
+        sets = self.sets.join(broadcast_if_small(late), "node").select("node", "members")
+        sketches = sets.mapInArrow(_sketched, "node long, " + ", ".join(f"{w} long" for w in _WORDS))
+        others = described.select("node", F.slice("keys", BANDS + 1, BANDS).alias("others"))
+        ends = open_.join(broadcast_if_small(stage(sketches.join(others, "node"), "sketches"), LATE_ROWS), "node")
+        pivots = ends.where("label <> largest").select(*[F.col(c).alias(f"p_{c}") for c in ends.columns])
+        one, other = F.col, lambda c: F.col(f"p_{c}")
+        apart = (one("bucket") == other("bucket")) & (one("label") != other("label")) & ((one("label") == one("largest")) | (one("node") < other("node")))
+        bound = _may_link(one("size"), one("foreign"), other("size"), other("foreign")) & _may_differ(one("size"), other("size"), [f"p_{w}" for w in _WORDS])
+        table = reduce(lambda x, y: x | y, [F.get("others", F.lit(k)) == F.get("p_others", F.lit(k)) for k in range(BANDS)])
+        return ends.join(pivots, apart & bound & table).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
+
     def _with_foreign(self, nodes: DataFrame) -> DataFrame:
         """node, size, keys, foreign of those ``nodes`` that may be linked to one
         of them of another label. ``foreign``: how many of a class's shingles
@@ -225,13 +288,13 @@ class _Linker:
         both = pairs.join(one("a"), "a").join(one("b"), "b")
         return both.where(_worth_holding("of_a", "of_b")).select("a", "b")
 
-    def _compare(self, pairs: DataFrame) -> None:
-        """Compare pairs on full sets, and merge the labels of those that are links."""
+    def _compare(self, pairs: DataFrame) -> int:
+        """Compare pairs on full sets, merge the labels of those that are links, and count these."""
         if self.tried is not None:
             pairs = pairs.join(broadcast_if_small(self.tried), ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
-            return
+            return 0
         sets = self.sets
         if sets is None:
             nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
@@ -241,12 +304,14 @@ class _Linker:
         seen = stage(compared.mapInArrow(_linked, "a long, b long, linked boolean"), "compared")
         none, found = seen.where("not linked").select("a", "b"), seen.where("linked").select("a", "b")
         self.tried = none if self.tried is None else self.tried.union(none)
-        if found.isEmpty():
-            return
+        number = found.count()
+        if not number:
+            return 0
         links = found
         if self.known is not None:  # what is linked already comes as links to its label
             links = found.union(self.known.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b")))
         self.known = components(links)
+        return number
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +96,46 @@ def test_pivots_reach_every_link_of_a_bucket(spark, monkeypatch):
     assert got == want
 
 
+def test_rows_of_a_large_group_of_copies(spark, monkeypatch):
+    """Copies that are no links of each other make a row for a class and key of
+    A (not for a table), and bounds tell most of them apart before they are pairs."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, texts = [word() for _ in range(150)], []
+    for k in range(160):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), 1 if k < 60 else rng.randrange(5, 9)):
+            copy[at] = word()
+        texts.append(" ".join(copy))
+    counts = {}
+    stage = minhash_tensor.stage
+
+    def counted(df, label, keep=False):
+        out = stage(df, label, keep)
+        counts[label] = counts.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(minhash_tensor, "stage", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash_tensor.near_duplicates(df).collect()}
+    sets = [shingles(t) for t in texts]
+    links = [(a, b) for a, b in combinations(range(len(texts)), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert got == lowest_reachable(range(len(texts)), links)
+    assert len(set(got.values())) > 20
+    assert counts["buckets"] <= minhash_tensor.BANDS * len(texts)
+    assert counts["compared"] <= 8 * len(texts)
+
+
+def test_sketches_differ_no_more_than_sets():
+    rng = random.Random(6)
+    for n in (1, 5, 150, 3000):
+        a = {rng.getrandbits(64) for _ in range(n)}
+        b = set(rng.sample(sorted(a), n - n // 10)) | {rng.getrandbits(64) for _ in range(n // 7)}
+        x, y = (minhash_tensor.sketch(np.array(sorted(s), np.uint64)) for s in (a, b))
+        assert sum(int(w).bit_count() for w in (x ^ y).view(np.uint64)) <= len(a ^ b)
+        assert len(x) == minhash_tensor.SKETCH and not (x ^ x).any()
+
+
 def test_components_of_a_long_path(spark):
     path = spark.range(1, 60).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(100, 102), (102, 101), (7, 7)], "a long, b long"))
     got = {r["node"]: r["label"] for r in components(path).collect()}
