@@ -8,10 +8,11 @@ rolling hashes over pairs of line hashes, alike wherever the lines occur, so
 that a passage is found whose neighbours happen to be repeated with it; and
 into single lines, of which the long ones count. Chunks of several lines (or
 as long as several) that occur again anywhere, byte for byte, are removed
-except where they first occur.
+except where they first occur; the SHA-256 of their bytes tells.
 
 Pairs of lines, and then codes of chunks, are counted first, as a few numbers
-each; only the bytes of chunks whose code repeats are moved, once, and compared.
+each; of chunks whose code repeats the bytes are read again and their digests
+moved and compared, so that no chunk is ever moved.
 """
 
 from __future__ import annotations
@@ -127,16 +128,17 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     a chunk that occurs more than once (``keeps``: the first, by doc_id, null
     first, then text_key and line). Occurrences in one document count too.
     Rows of one doc_id and text are the same document and have one fate. Should
-    two chunks of one code differ in bytes, both stay."""
+    two chunks of one code differ in bytes (in their SHA-256), both stay."""
     rows, keys = stage(_chunks(docs, text, doc_id), "chunks"), ["seed", "n", "code"]
     often = stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"), "often")
     found = stage(_marked(rows, keys, often, keys).join(often, keys).select("doc_id", "text_key", "first", *keys), "repeated-codes")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_key", "first")
     wanted = stage(found.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).agg(F.collect_set(F.struct("first", *keys)).alias("chunks")), "repeated-in")
     of_docs = _wanted_lines(docs, text, doc_id, wanted)
-    chunk = F.array_join(F.slice("lines", F.col("c.first") + 1, F.col("c.n")), "\n").alias("chunk")
-    bytes_ = of_docs.select("doc_id", "text_key", "lines", F.explode("chunks").alias("c")).select("doc_id", "text_key", "c.*", chunk)
-    same = bytes_.groupBy(*keys).agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"), F.min(place).alias("earliest"), F.max(place).alias("latest")).where("low = high and earliest <> latest")
+    bytes_ = F.array_join(F.slice("lines", F.col("c.first") + 1, F.col("c.n")), "\n")
+    chunk = F.unhex(F.sha2(bytes_, 256)).alias("chunk")
+    digests = of_docs.select("doc_id", "text_key", "lines", F.explode("chunks").alias("c")).select("doc_id", "text_key", "c.*", chunk)
+    same = digests.groupBy(*keys).agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"), F.min(place).alias("earliest"), F.max(place).alias("latest")).where("low = high and earliest <> latest")
     return found.join(same.select(*keys, "earliest"), keys).select("doc_id", "text_key", "seed", "first", "n", F.col("earliest.doc_id").alias("first_doc_id"), (place == F.col("earliest")).alias("keeps"))
 
 

@@ -154,6 +154,13 @@ def lines(spark):
     return spark.createDataFrame([(d, t, "f", 1, "s") for d, t in rows], "doc_id long, text string, first string, seed int, chunk string")
 
 
+def test_chunks_are_compared_by_digests(lines):
+    """What is moved to compare chunks does not grow with their bytes."""
+    found = line_chunks.repeated_chunks(lines)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(chunk" in plan and "sha2(" in plan
+
+
 def test_line_chunks(lines):
     got = {r["doc_id"]: r for r in line_chunks.report(lines).collect()}
     assert set(got) == {None, 0, 1, 2, 3, 4, 60, 61, 58, 57}
