@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,9 @@ LEAST, DEPTH, TOP, HIDDEN = 10, 3, 2_000, 50
 ROUTE, HEAVY = 1 << 18, 64
 #: Partitions of a route, as a power of two, that a hash of the leading words makes before any words are compared.
 LEAD_BITS = 20
-#: Bytes of text that are cut into words together; words counted or hashes kept by a worker at a time.
-SLICE, KEPT = 16 << 20, 500_000
+#: Bytes of text whose suffixes are sent together, and that are objects of a word each at a time; words counted or
+#: hashes kept by a worker at a time; rows of words in a batch; parts in which the suffixes of a slice are sorted.
+SLICE, PART, KEPT, ROWS, SORTED_PARTS = 16 << 20, 1 << 20, 250_000, 50_000, 8
 UNKNOWN = "und"
 _MARKS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(_MARKS + b"\t", b"." * len(_MARKS) + b" ")
@@ -57,14 +59,23 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().translate(_PLAIN).replace(b".", b" . ").split()
 
 
+def _parts(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, about PART bytes of it at a time, cut behind a space."""
+    at = 0
+    while at < len(text):
+        end = text.find(b" ", at + PART) + 1 or len(text)
+        yield words_of(text[at:end])
+        at = end
+
+
 def _texts_by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     """Language and texts, joined where pieces end, of slices of the rows (lang, text)."""
     for batch in slices(batches, 1, SLICE):
         by: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            by.setdefault(UNKNOWN if lang is None else lang, []).append((text or "").encode())
-        for lang, found in by.items():
-            whole, at = b".".join(found), 0
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            by.setdefault(UNKNOWN if lang is None else lang, []).append(text.as_buffer() or b"")
+        for lang in list(by):
+            whole, at = b".".join(by.pop(lang)), 0
             while at < len(whole):  # a very long text goes on after a mark, as that ends a piece
                 end = _piece_end(whole, at + SLICE)
                 yield lang, whole[at:end]
@@ -92,22 +103,23 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
 
 
 def _count_words(seed: int, bits: int):
-    def rows(lang: str, counts: Counter) -> pa.RecordBatch:
+    def rows(lang: str, counts: Counter) -> Iterator[pa.RecordBatch]:
         counts[b""] = counts.total() - counts.pop(b".", 0)  # all words together, as the empty word
-        words = list(counts)
-        salt = _salt(lang)
-        h = np.fromiter((_hash(salt, w, seed, bits) for w in words), np.uint64, len(words))
-        return pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array([lang] * len(words), pa.string()), pa.array([w.decode() for w in words], pa.string()), pa.array(list(counts.values()), pa.int64())], ["h", "lang", "word", "n"])
+        each, salt = iter(counts.items()), _salt(lang)
+        while found := list(islice(each, ROWS)):
+            h = np.fromiter((_hash(salt, w, seed, bits) for w, _ in found), np.uint64, len(found))
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array([lang] * len(found), pa.string()), pa.array([w.decode() for w, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], ["h", "lang", "word", "n"])
 
     def each(batches):
         held: dict[str, Counter] = {}
         for lang, text in _texts_by_lang(batches):
-            counts = held.setdefault(lang, Counter())
-            counts.update(words_of(text))
-            if len(counts) > KEPT or len(held) > 64:
-                yield rows(lang, held.pop(lang))
-        for lang, counts in held.items():
-            yield rows(lang, counts)
+            for words in _parts(text):
+                counts = held.setdefault(lang, Counter())
+                counts.update(words)
+                if len(counts) > KEPT or len(held) > 64:
+                    yield from rows(lang, held.pop(lang))
+        for lang in list(held):
+            yield from rows(lang, held.pop(lang))
 
     return each
 
@@ -136,7 +148,7 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 
 
 def _routes(mixed: np.ndarray, routes: int) -> np.ndarray:
-    return ((mixed >> np.uint64(32)) * np.uint64(routes) >> np.uint64(32)).astype(np.int64)
+    return ((mixed >> np.uint64(32)) * np.uint64(routes) >> np.uint64(32)).astype(np.int32)
 
 
 def suffixes(h: np.ndarray, routes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,8 +157,28 @@ def suffixes(h: np.ndarray, routes: int) -> tuple[np.ndarray, np.ndarray]:
 
     Equal suffixes are met by sorting mixed hashes. Were two different ones to
     share those, some equal ones would go as two records: counts stay right."""
-    at = np.flatnonzero((h[:-1] != 0) & (h[1:] != 0)) if len(h) > 1 else np.empty(0, np.int64)
-    w1, w2, w3 = h[at], h[at + 1], np.append(h, np.uint64(0))[at + 2]
+    h = np.append(h, np.uint64(0))
+    # sorted in parts by the pair's hash, each with all suffixes of its pairs: one part's columns at a time
+    part = ((h[:-1] * _MIX[0] + h[1:] * _MIX[1] >> np.uint64(32)) * np.uint64(SORTED_PARTS) >> np.uint64(32)).astype(np.uint8)
+    part[(h[:-1] == 0) | (h[1:] == 0)] = SORTED_PARTS  # no pair
+    out, size = np.empty(len(part) + len(part) // HEAVY + 1, _BLOCK), 0
+    for k in range(SORTED_PARTS):
+        found = _counted(h, np.flatnonzero(part == k))
+        out[size : size + len(found)] = found
+        size += len(found)
+    del h
+    out = out[:size]
+    mixed = out["w1"] * _MIX[0] + out["w2"] * _MIX[1]
+    mixed = np.where(out["kind"] == _APART, mixed * _MIX[1] + out["w3"] * _MIX[2], mixed)
+    route = _routes(mixed, routes)
+    del mixed
+    order = np.argsort(route, kind="stable")
+    return out[order], route[order]
+
+
+def _counted(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The suffixes at ``at``, among them all of each pair that is there, as records with their counts."""
+    w1, w2, w3 = h[at], h[at + 1], h[at + 2]
     pair = w1 * _MIX[0] + w2 * _MIX[1]
     order = np.argsort(pair & np.uint64(0xFFFFFFFF00000000) | (w3 * _MIX[2] >> np.uint64(32)))
     w1, w2, w3 = w1[order], w2[order], w3[order]
@@ -161,12 +193,7 @@ def suffixes(h: np.ndarray, routes: int) -> tuple[np.ndarray, np.ndarray]:
     own, sums = out[: len(w1)], out[len(w1) :]
     own["w1"], own["w2"], own["w3"], own["n"], own["kind"] = w1, w2, w3, n, np.where(apart, _APART, _WHOLE)
     sums["w1"], sums["w2"], sums["n"], sums["kind"] = w1[pairs][heavy], w2[pairs][heavy], total[heavy], _TOTAL
-    out = out[(out["kind"] != _APART) | (out["w3"] != 0)]  # a suffix of two words is in its pair's number
-    mixed = out["w1"] * _MIX[0] + out["w2"] * _MIX[1]
-    mixed = np.where(out["kind"] == _APART, mixed * _MIX[1] + out["w3"] * _MIX[2], mixed)
-    route = _routes(mixed, routes)
-    order = np.argsort(route, kind="stable")
-    return out[order], route[order]
+    return out[(out["kind"] != _APART) | (out["w3"] != 0)]  # a suffix of two words is in its pair's number
 
 
 def _pack(block: np.ndarray) -> bytes:
@@ -189,13 +216,16 @@ def _send(seed: int, routes: int):
 
     def each(batches):
         for lang, text in _texts_by_lang(batches):
-            words = words_of(text)
-            if len(known) > 64 or len(known.get(lang, ())) > KEPT:
-                known.clear()
-            own = known.setdefault(lang, {b".": 0})
-            salt = _salt(lang)
-            own.update((w, _hash(salt, w, seed, 64)) for w in set(words).difference(own))
-            block, route = suffixes(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)), routes)
+            salt, hashes, words = _salt(lang), [], []
+            for words in _parts(text):
+                if len(known) > 64 or len(known.get(lang, ())) > KEPT:
+                    known.clear()
+                own = known.setdefault(lang, {b".": 0})
+                own.update((w, _hash(salt, w, seed, 64)) for w in set(words).difference(own))
+                hashes.append(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)))
+            h = np.concatenate([np.empty(0, np.uint64), *hashes])
+            del hashes, words
+            block, route = suffixes(h, routes)
             firsts = _runs(route)
             ends = np.append(firsts, len(route))
             for k, first in enumerate(firsts.tolist()):

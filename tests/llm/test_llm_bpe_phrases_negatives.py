@@ -5,9 +5,11 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +248,23 @@ def test_blocks_of_anchors_and_large_numbers(spark, monkeypatch):
     check_negatives(spark, rows, 20)
     assert np.array_equal(H.product(np.array([[2.0**50, 1.0]]), np.array([[2.0**11, 3.0]])), [[2**61 + 3]])
     assert np.array_equal(H.product(np.array([[2.0**80]]), np.array([[2.0**80], [-(2.0**80)]])), [[2**63 - 1, -(2**63)]])
+
+
+def test_memory_of_the_words_of_a_slice_is_bounded():
+    """Words of a slice are objects a part at a time, and suffixes are sorted in parts."""
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(9000)]
+    text = " ".join(rng.choices(names, k=1_200_000))
+    rows = pa.record_batch({"lang": ["en"], "text": [text]})
+
+    def most(step) -> int:
+        tracemalloc.start()
+        try:
+            for _ in step(iter([rows])):
+                pass
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert most(C._count_words(0, 64)) < 5 * len(text)
+    assert most(C._send(0, 4)) < 21 * len(text)
