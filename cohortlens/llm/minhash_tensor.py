@@ -56,6 +56,8 @@ FASTER = 4
 FEW = 50
 #: 64-bit words of a set's sketch.
 SKETCH = 16
+#: Bytes of text whose sets a worker holds at a time.
+SLICE = 2 << 20
 #: Sketches that are counted before they may be broadcast.
 LATE_ROWS = 50_000
 _WORDS = [f"w{k}" for k in range(SKETCH)]
@@ -75,7 +77,7 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _signed(batches):
-    for batch in slices(batches, 1):
+    for batch in slices(batches, 1, SLICE):
         sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
         full = [k for k, s in enumerate(sets) if len(s)]
         keys: list[np.ndarray | None] = [None] * len(sets)
@@ -92,7 +94,7 @@ def _signed(batches):
 
 
 def _sets(batches):
-    for batch in slices(batches, 1):
+    for batch in slices(batches, 1, SLICE):
         sets = [shingle_set(t).tobytes() for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "members"])
 

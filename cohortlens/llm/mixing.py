@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import WORD, null_safe_join, staged_in_order
+from cohortlens.llm.common import WORD, null_safe_join, row_id, stage, staged_in_order
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -56,17 +56,21 @@ def mix(docs: DataFrame, size: Column, doc_id: str = "doc_id", source: str = "so
     source, size, source_size, target and copies. Rows are ordered within a
     source by size, then doc_id; repeated rows stand side by side and each has
     its own chance. Sources of no words have the target 0. An empty table
-    gives an empty result."""
+    gives an empty result.
+
+    The line is of numbers only: dealt by ranges, the longest documents stand
+    together, and a task would get the texts of a whole range of them."""
     row = docs.select(F.col(source).alias("source"), size.cast("long").alias("size"), F.col(doc_id).alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    spread = F.monotonically_increasing_id()  # so that even one row repeated without end is dealt over many tasks
-    line = staged_in_order(row.withColumn("tie", spread), [F.col("source"), F.col("size").desc(), F.col("id"), F.col("tie")], "mix", "position")
+    rows = stage(row.withColumn("row", row_id()), "mix-rows")  # by the row's number even one row repeated without end is dealt over many tasks
+    line = staged_in_order(rows.drop("doc"), [F.col("source"), F.col("size").desc(), F.col("id"), F.col("row")], "mix", "position")
     sources = line.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("position").alias("start"))
     told = targets(sources.select("source", "source_size"), weights, most)
     plan = null_safe_join(sources, told.select("source", "target"), ["source"]).withColumn("shift", offset_of(F.col("source"), seed))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = null_safe_join(line, plan, ["source"]).withColumns({"each": each, "before": F.col("position") - F.col("start")})
     crossed = F.floor((F.col("before") + 1) * F.col("each") + F.col("shift")) - F.floor(F.col("before") * F.col("each") + F.col("shift"))
-    return joined.select("doc", "source", "size", "source_size", "target", F.least(crossed, F.lit(most)).cast("long").alias("copies"))
+    taken = joined.select("row", "source", "size", "source_size", "target", F.least(crossed, F.lit(most)).cast("long").alias("copies"))
+    return rows.select("row", "doc").join(taken, "row").drop("row")
 
 
 def emitted(mixed: DataFrame) -> DataFrame:

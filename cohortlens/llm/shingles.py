@@ -8,7 +8,7 @@ import xxhash
 #: Words in a shingle.
 WORDS = 5
 #: Words whose hashes a worker keeps.
-KEPT = 400_000
+KEPT = 100_000
 _known: dict[bytes, int] = {}
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 

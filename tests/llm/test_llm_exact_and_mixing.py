@@ -109,6 +109,23 @@ def test_mix_keeps_columns_and_repeated_rows(docs):
     assert out.count() == sum(r["copies"] for r in mixed)
 
 
+def test_only_numbers_are_dealt_by_ranges(spark, monkeypatch):
+    """The longest documents stand together in the line; their texts must not."""
+    seen, staged = [], mixing.staged_in_order
+
+    def spy(df, *more):
+        seen.append(df)
+        return staged(df, *more)
+
+    monkeypatch.setattr(mixing, "staged_in_order", spy)
+    rows = [(k % 40, "word " * (1 + k % 7), f"src{k % 3}") for k in range(200)] + [(None, None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, mixing.words("text")).collect()
+    assert sorted(map(str, ((r["doc"]["doc_id"], r["doc"]["text"], r["doc"]["source"]) for r in got))) == sorted(map(str, rows))
+    assert all(r["source"] == r["doc"]["source"] for r in got)
+    assert [f.dataType.typeName() for df in seen for f in df.schema if f.name != "source"] == ["long"] * 3
+
+
 def test_tokens_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
