@@ -219,7 +219,10 @@ def _packed_biweekly(bw: DataFrame, key: str, wave: str, row_index: str, columns
         return F.col("_items")[pos[c]] if c in pos else F.lit(None).cast("double")
 
     def item_array(prefix: str, n: int) -> Column:
-        return F.array(*[item(f"{prefix}_{i}") for i in range(1, n + 1)])
+        # by positions: a total that repeats the expressions of n item columns gives Spark's
+        # constraint propagation 2^n forms of it (of 18 items more than a driver's memory)
+        at = F.array(*[F.lit(pos.get(f"{prefix}_{i}")).cast("int") for i in range(1, n + 1)])
+        return F.transform(at, lambda i: F.get("_items", i))
 
     out = [item(c).alias(f"bw_{c}") for c in columns]
     out.append(F.col("bw_num_waves"))

@@ -102,3 +102,30 @@ def test_wide_table_is_materialised_with_the_columns_read(spark, monkeypatch):
     assert staged == [["record_id", "pid"], ["record_id", "bw_gdt_1", "bw_gdt_2", "pid"]]
     q_catalog.item_groups(spark, "").collect()
     assert len(staged) == 2
+
+
+def _answered(spark):
+    """Two persons with the items of three totals and one without; as a plan, and materialised."""
+    from cohortlens.session import cut_lineage
+
+    items = [f"{p}_{i}" for p, n in (("gdt", 4), ("promis", 8), ("wemwbs", 7)) for i in range(1, n + 1)]
+    bw = spark.createDataFrame([("p1", "1", 1, *"1" * 19), ("p2", "1", 2, *"2" * 18, "")], "pid string, wave string, row_index long, " + ", ".join(f"{c} string" for c in items))
+    intake = spark.createDataFrame([("p1", "TRUE", "31", "f", 1), ("p2", "1", "44", "f", 2), ("p3", "1", "", " ", 3)], "pid string, qualified string, age string, gender string, row_index long")
+    wide = I.integrate({"intake": intake, "biweekly": bw}, intake_row_index="row_index")
+    return wide, cut_lineage(wide)
+
+
+def _plan_constraints(df):
+    return df._jdf.queryExecution().optimizedPlan().validConstraints().size()
+
+
+def test_totals_add_few_plan_constraints_to_readiness(spark):
+    """A total of n items once gave the plan 2^n constraints when the wide table was materialised."""
+    from cohortlens.operators import quality as QA
+
+    wide, cut = _answered(spark)
+    assert _plan_constraints(wide) < 2 * len(wide.columns)
+    rows = {r["pid"]: (r["gdt_total"], r["promis_total"], r["wemwbs_total"], r["bangs_total"]) for r in cut.collect()}
+    assert rows == {"p1": (4.0, 8.0, 7.0, None), "p2": (8.0, 16.0, None, None), "p3": (None, None, None, None)}
+    out = QA.readiness(cut.select("age", "gender", "gdt_total", "bw_gdt_1")).first()
+    assert (out["columns"], out["numeric"], out["categorical"], out["top_missing"], out["ready"]) == (4, 3, 1, "", False)
