@@ -129,3 +129,15 @@ def test_totals_add_few_plan_constraints_to_readiness(spark):
     assert rows == {"p1": (4.0, 8.0, 7.0, None), "p2": (8.0, 16.0, None, None), "p3": (None, None, None, None)}
     out = QA.readiness(cut.select("age", "gender", "gdt_total", "bw_gdt_1")).first()
     assert (out["columns"], out["numeric"], out["categorical"], out["top_missing"], out["ready"]) == (4, 3, 1, "", False)
+
+
+def test_types_of_a_materialised_table_with_totals(spark):
+    """What infer_types reads has few plan constraints, and its rows are those of the plan."""
+    from cohortlens.operators import profile as PR
+
+    wide, cut = _answered(spark)
+    assert _plan_constraints(wide) < 2 * len(wide.columns)
+    types = {r["column"]: (r["non_missing"], r["numeric_values"], r["type"]) for r in PR.infer_types(cut).collect()}
+    assert len(types) == len(wide.columns)
+    assert types["gdt_total"] == (2, 2, "numeric") and types["wemwbs_total"] == (1, 1, "numeric")
+    assert types["bangs_total"] == (0, 0, "categorical") and types["pid"] == (3, 0, "categorical") and types["age"] == (2, 2, "numeric")
