@@ -141,3 +141,16 @@ def test_types_of_a_materialised_table_with_totals(spark):
     assert len(types) == len(wide.columns)
     assert types["gdt_total"] == (2, 2, "numeric") and types["wemwbs_total"] == (1, 1, "numeric")
     assert types["bangs_total"] == (0, 0, "categorical") and types["pid"] == (3, 0, "categorical") and types["age"] == (2, 2, "numeric")
+
+
+def test_publish_of_a_table_with_totals(spark):
+    """Publishing works from a plan with few constraints, and drops, renumbers and generalises as before."""
+    from cohortlens.operators import privacy as PV
+
+    wide, cut = _answered(spark)
+    assert _plan_constraints(wide) < 2 * len(wide.columns)
+    out = PV.publish(cut, shuffle_key="k")
+    assert not set(out.columns) & set(PV.REMOVED_COLUMNS)
+    rows = {r["promis_total"]: (r["age"], r["gender"]) for r in out.collect()}
+    assert rows == {8.0: (30, "Other"), 16.0: (45, "Other"), None: (None, None)}
+    assert sorted(r["record_id"] for r in out.collect()) == [1, 2, 3]
