@@ -154,3 +154,14 @@ def test_publish_of_a_table_with_totals(spark):
     rows = {r["promis_total"]: (r["age"], r["gender"]) for r in out.collect()}
     assert rows == {8.0: (30, "Other"), 16.0: (45, "Other"), None: (None, None)}
     assert sorted(r["record_id"] for r in out.collect()) == [1, 2, 3]
+
+
+def test_release_note_of_a_table_with_totals(spark):
+    """The note is counted from the published table, and its plan has few constraints."""
+    from cohortlens.operators import privacy as PV
+
+    wide, cut = _answered(spark)
+    assert _plan_constraints(wide) < 2 * len(wide.columns)
+    note = PV.release_note(PV.publish(cut, shuffle_key="k")).first()
+    removed = [c for c in wide.columns if c in PV.REMOVED_COLUMNS]
+    assert removed and (note["final_rows"], note["final_columns"]) == (3, len(wide.columns) - len(removed))
