@@ -64,8 +64,11 @@ def neighbor_affinity(knn: DataFrame, n: int, perplexity: float | None = None) -
                 d2 = np.zeros(valid.shape)
                 d2[valid] = items.field(2).to_numpy(zero_copy_only=False) ** 2
                 p = _calibrate(d2, valid, target)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), items.field(1), pa.array(p[valid])], ["i", "j", "p"])
+                i, j = np.repeat(batch.column(0).to_numpy(), sizes), items.field(1).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j)), pa.array(p[valid])], ["i", "j", "p"])
 
-    cp = lists.mapInArrow(cond, "i long, j long, p double")
-    both = cp.unionByName(cp.select(F.col("j").alias("i"), F.col("i").alias("j"), "p"))
-    return both.groupBy("i", "j").agg((F.sum("p") / F.lit(2.0 * n)).alias("p"))
+    # both directions of a pair have the same sum: it is formed once, under the lesser id
+    pairs = lists.mapInArrow(cond, "i long, j long, p double").groupBy("i", "j").agg((F.sum("p") / F.lit(2.0 * n)).alias("p"))
+    there, back = F.struct("i", "j", "p"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "p")
+    alone = F.struct("i", "j", (F.col("p") * 2).alias("p"))
+    return pairs.select(F.explode(F.when(F.col("i") == F.col("j"), F.array(alone)).otherwise(F.array(there, back))).alias("s")).select("s.*")

@@ -421,3 +421,49 @@ def test_affinities_of_lists_of_unequal_length(spark):
         p = N._calibrate(np.array([[d * d for _, d in own]]), np.ones((1, len(own)), bool), np.log(2.0))[0]
         for (j, _), share in zip(own, p):
             assert got[i, j] == pytest.approx(share / 4600) and got[j, i] == got[i, j]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_knn_of_points_that_no_bound_tells_apart_does_not_move_them(spark, monkeypatch, kind):
+    """They would visit most rings; parts meet instead, and what a visit finds is not shuffled. With copies, and an id that comes twice."""
+    def travelled(*_):
+        raise AssertionError("points travelled to rings")
+
+    monkeypatch.setattr(METRIC, "_searched", travelled)
+    monkeypatch.setattr(METRIC, "CELL_ROWS", 25)
+    monkeypatch.setattr(METRIC, "MEET_ROWS", 15)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(400, 16)).astype(np.float32)
+    x[40:70] = x[40]
+    ids = np.arange(400) * 7 - 50
+    x[399], ids[399] = x[398], ids[398]
+    df = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], f"id long, vec array<{kind}>")
+    got = {}
+    for r in N.knn_graph(df, 5, part_rows=16).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbor"], r["distance"]))
+    x = x.astype(float)
+    for a, v in zip(ids, x):
+        d = np.sqrt(((x - v) ** 2).sum(1))
+        copies = 2 if a == ids[398] else 1  # each of its rows finds the same
+        want = sorted((d[b], ids[b]) for b in range(400) for _ in range(copies) if ids[b] != a)[:5]
+        assert [g[:2] for g in got[a]] == [(r, b) for r, (_, b) in enumerate(want, 1)]
+        assert [g[2] for g in got[a]] == pytest.approx([c for c, _ in want], abs=1e-12)
+
+
+def test_points_that_bounds_tell_apart_still_travel(spark, monkeypatch):
+    """On a line few rings are near to a point, so parts do not meet all others."""
+    def met(*_):
+        raise AssertionError("parts met")
+
+    monkeypatch.setattr(METRIC, "_met", met)
+    monkeypatch.setattr(METRIC, "CELL_ROWS", 25)
+    df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(400)], "id long, vec array<double>")
+    got = {(r["id"], r["neighbor"]) for r in N.knn_graph(df, 2, part_rows=25).collect()}
+    assert got == {(i, j) for i in range(400) for j in ((i - 1, i + 1) if 0 < i < 399 else (1, 2) if i == 0 else (397, 398))}
+
+
+def test_affinities_of_a_pair_are_summed_once(spark):
+    """Both directions of a pair, one that only one side has, and a point that is its own neighbour."""
+    rows = [(1, 2, 1, 1.0), (2, 1, 1, 1.0), (3, 1, 1, 2.0), (4, 4, 1, 0.0)]
+    got = sorted((r["i"], r["j"], r["p"]) for r in N.neighbor_affinity(spark.createDataFrame(rows, "id long, neighbor long, rank int, distance double"), 4, 2.0).collect())
+    assert got == [(1, 2, 0.25), (1, 3, 0.125), (2, 1, 0.25), (3, 1, 0.125), (4, 4, 0.25)]
